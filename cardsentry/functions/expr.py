@@ -31,3 +31,17 @@ def ratio(num: Column, den: Column) -> Column:
 
 def pct(num: Column, den: Column) -> Column:
     return F.lit(100.0) * num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
+
+
+def rounded_mean(value: Column, in_scale: int, out_scale: int) -> Column:
+    """Mean of a fixed-point quantity rounded half-up to ``out_scale`` places,
+    computed exactly in integers (sum of units, count), so the result does not
+    depend on summation order or partitioning.  ``in_scale`` is the number of
+    decimals the values carry (2 for cents, 0 for integers)."""
+    units = F.round(value * (10 ** in_scale)).cast("bigint")
+    s = F.sum(units).cast("decimal(38,0)")
+    n = F.count(units).cast("decimal(38,0)")
+    num = s * (10 ** (out_scale - in_scale)) if out_scale >= in_scale else s
+    den = n if out_scale >= in_scale else n * (10 ** (in_scale - out_scale))
+    q = F.floor((F.abs(num) * 2 + den) / (den * 2)) * F.signum(num).cast("decimal(38,0)")
+    return F.when(n > 0, q.cast("double") / float(10 ** out_scale))

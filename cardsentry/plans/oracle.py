@@ -220,3 +220,21 @@ mart_model_performance AS (
 
 def q(select_sql: str) -> str:
     return "WITH " + BASE.strip() + "\n" + select_sql
+
+
+def xmean(expr: str, in_scale: int, out_scale: int) -> str:
+    """Exact half-up rounded mean of a fixed-point quantity (see
+    ``cardsentry.functions.expr.rounded_mean``)."""
+    u = f"CAST(round(({expr}) * {10 ** in_scale}) AS BIGINT)"
+    s, n = f"CAST(sum({u}) AS HUGEINT)", f"CAST(count({u}) AS HUGEINT)"
+    if out_scale >= in_scale:
+        num, den = f"({s} * {10 ** (out_scale - in_scale)})", n
+    else:
+        num, den = s, f"({n} * {10 ** (in_scale - out_scale)})"
+    q = f"(((abs({num}) * 2 + {den}) // ({den} * 2)) * sign({num}))"
+    return f"CASE WHEN {n} > 0 THEN CAST({q} AS DOUBLE) / CAST({10 ** out_scale} AS DOUBLE) END"
+
+
+def bround0(expr: str) -> str:
+    """Half-even rounding to an integer (exact for cent-valued inputs)."""
+    return f"round_even(CAST(({expr}) AS DECIMAL(38,2)), 0)::DOUBLE"
