@@ -5,7 +5,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import features as feat, gold, staging
+from ..operators import features as feat, gold, scd2, staging
 from ..session import ensure_utc
 from ..sources import testdata
 
@@ -48,6 +48,21 @@ class Pipeline:
     def alerts(self) -> DataFrame:
         return testdata.live_fraud_alerts(self.spark, self.sf_dir, self.raw["transactions"])
 
+    def card_history(self, n_snapshots: int = 2) -> DataFrame:
+        """Card SCD2 history after S1 (2024-01-01), S2 (2024-01-15) and, for
+        three snapshots, S1 again at 2024-01-22 (removed cards reappear)."""
+        snaps = [(testdata.card_snapshot(self.spark, self.sf_dir, 1), testdata.SNAPSHOT_1),
+                 (testdata.card_snapshot(self.spark, self.sf_dir, 2), testdata.SNAPSHOT_2),
+                 (testdata.card_snapshot(self.spark, self.sf_dir, 1), testdata.SNAPSHOT_3)][:n_snapshots]
+        h = None
+        for snap, ts in snaps:
+            h = scd2.scd2_apply(h, snap, "card_id", testdata.CARD_CHECK_COLS, ts)
+        return h
+
+    @cached_property
+    def dim_card(self) -> DataFrame:
+        return gold.dim_card(self.card_history(2), self.silver["accounts"])
+
     @cached_property
     def agg_fraud_by_hour(self) -> DataFrame:
         return gold.agg_fraud_by_hour(self.fact)

@@ -1 +1 @@
-"""Placeholder, filled below."""
+"""Placeholder."""

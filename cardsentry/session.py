@@ -34,10 +34,23 @@ def get_session(app: str = "cardsentry", master: str | None = None,
     return spark
 
 
+# Runtime SQL settings the operators need on any session they are handed:
+# UTC semantics, and no partitioning-aware union (on Spark 4.1 it can zip
+# children that AQE coalesced to different partition counts and fail).
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.unionOutputPartitioning": "false",
+}
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """All timestamps in the pipeline are interpreted in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for k, v in RUNTIME_CONF.items():
+        try:
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - setting absent in this Spark version
+            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

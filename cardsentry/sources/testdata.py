@@ -26,6 +26,9 @@ ENTRY_MODES = {"view": "chip", "click": "contactless", "signup": "swipe"}
 HIGH_BASE_CATEGORY_CODES = [4, 9, 10, 11]
 SNAPSHOT_1 = "2024-01-01 00:00:00"
 SNAPSHOT_2 = "2024-01-15 00:00:00"
+SNAPSHOT_3 = "2024-01-22 00:00:00"
+# Columns whose change opens a new card version.
+CARD_CHECK_COLS = ["is_active", "card_type", "home_country"]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
