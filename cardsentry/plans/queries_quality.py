@@ -1 +1,220 @@
-"""Placeholder."""
+"""Data-quality checks: single checks on clean and seeded data, and the suite."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import quality as dq
+from ..operators.features import FEATURES
+from .catalog import register
+from .context import Pipeline, ntz
+from .oracle import q
+from .queries_scd import DIM_CARD_SQL
+
+FRESHNESS_AS_OF = "2024-01-31 06:00:00"
+
+
+def _p(spark, sf_dir):
+    return Pipeline(spark, sf_dir)
+
+
+def suite_tables(p: Pipeline) -> dict:
+    t = {f"raw_{k}": v for k, v in p.raw.items()}
+    t.update({f"stg_{k}": v for k, v in p.silver.items()})
+    t.update({"fct_transactions": p.fact, "dim_merchant": p.dim_merchant, "dim_card": p.dim_card,
+              "agg_fraud_by_hour": p.agg_fraud_by_hour, "agg_merchant_risk": p.agg_merchant_risk,
+              "mart_model_performance": p.model_performance})
+    return t
+
+
+def suite_custom(p: Pipeline) -> dict:
+    s = p.silver
+    return {
+        "assert_fraud_rate_plausible": ("fct_transactions", dq.fraud_rate_plausible(p.fact), "error"),
+        "assert_no_chargeback_before_transaction":
+            ("stg_chargebacks", dq.chargeback_before_transaction(s["chargebacks"], s["transactions"]), "error"),
+        "every_transaction_has_auth": ("stg_transactions", dq.missing_auth(s["transactions"], s["auth_events"]), "warn"),
+        "chargebacks_reference_earlier_transactions":
+            ("stg_chargebacks", dq.chargeback_integrity(s["chargebacks"], s["transactions"]), "error"),
+    }
+
+
+# ---------------------------------------------------------------- oracle for the suite
+def _sql_check(c: dq.Check) -> str:
+    name, t, col = c.name, c.table, c.column
+    if c.kind == "not_null":
+        return f"SELECT '{name}' AS check_name, count(*) FILTER (WHERE {col} IS NULL) AS violations FROM {t}"
+    if c.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in c.values)
+        return (f"SELECT '{name}' AS check_name, count(*) FILTER (WHERE coalesce({col} NOT IN ({vals}), false))"
+                f" AS violations FROM {t}")
+    if c.kind == "accepted_range":
+        conds = []
+        if c.min_value is not None:
+            conds.append(f"{col} {'>=' if c.inclusive else '>'} {c.min_value}")
+        if c.max_value is not None:
+            conds.append(f"{col} {'<=' if c.inclusive else '<'} {c.max_value}")
+        return (f"SELECT '{name}' AS check_name, count(*) FILTER (WHERE coalesce(NOT ({' AND '.join(conds)}), false))"
+                f" AS violations FROM {t}")
+    if c.kind == "expression":
+        return f"SELECT '{name}' AS check_name, count(*) FILTER (WHERE coalesce({c.condition}, true)) AS violations FROM {t}"
+    if c.kind == "unique":
+        return (f"SELECT '{name}' AS check_name, count(*) AS violations FROM (SELECT {col} FROM {t}"
+                f" WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)")
+    if c.kind == "relationships":
+        return (f"SELECT '{name}' AS check_name, count(*) AS violations FROM {t} x WHERE x.{col} IS NOT NULL"
+                f" AND NOT EXISTS (SELECT 1 FROM {c.to_table} y WHERE y.{c.to_column} = x.{col})")
+    raise ValueError(c.kind)
+
+
+_CUSTOM_SQL = {
+    "assert_fraud_rate_plausible": ("fct_transactions", "error", """SELECT count(*) FROM (
+        SELECT count(*) AS n, sum(CASE WHEN is_fraud_label THEN 1 ELSE 0 END) AS fraud FROM fct_transactions)
+        WHERE CAST(fraud AS DOUBLE) / n > 0.05 OR fraud = 0"""),
+    "assert_no_chargeback_before_transaction": ("stg_chargebacks", "error", """SELECT count(*)
+        FROM stg_chargebacks cb JOIN stg_transactions t ON cb.transaction_id = t.transaction_id
+        WHERE cb.settle_ts < t.event_ts"""),
+    "every_transaction_has_auth": ("stg_transactions", "warn", """SELECT count(*) FROM stg_transactions t
+        WHERE NOT EXISTS (SELECT 1 FROM stg_auth_events a WHERE a.transaction_id = t.transaction_id)"""),
+    "chargebacks_reference_earlier_transactions": ("stg_chargebacks", "error", """SELECT count(*)
+        FROM stg_chargebacks cb LEFT JOIN stg_transactions t ON cb.transaction_id = t.transaction_id
+        WHERE t.event_ts IS NULL OR cb.settle_ts <= t.event_ts"""),
+}
+
+
+def suite_sql() -> str:
+    checks = dq.default_checks()
+    body = "\nUNION ALL\n".join(
+        [f"SELECT check_name, '{c.table}' AS table_name, '{c.kind}' AS kind, '{c.severity}' AS severity,"
+         f" CAST(violations AS BIGINT) AS violations FROM ({_sql_check(c)})" for c in checks]
+        + [f"SELECT '{n}', '{t}', 'custom', '{sev}', CAST(({sql}) AS BIGINT)" for n, (t, sev, sql) in _CUSTOM_SQL.items()])
+    return q(DIM_CARD_SQL + f""", suite AS ({body})
+SELECT check_name, table_name, kind, violations,
+       CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM suite""")
+
+
+@register("dq_13_suite", suite_sql())
+def dq_13(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return dq.run_suite(suite_tables(p), dq.default_checks(), suite_custom(p))
+
+
+# ---------------------------------------------------------------- single checks, seeded
+@register("dq_01_not_null_seeded", q("""
+SELECT transaction_id FROM (
+  SELECT transaction_id, CASE WHEN transaction_id % 97 = 0 THEN NULL ELSE merchant_id END AS merchant_id
+  FROM stg_transactions) WHERE merchant_id IS NULL"""))
+def dq_01(spark, sf_dir):
+    t = _p(spark, sf_dir).silver["transactions"]
+    seeded = t.withColumn("merchant_id", F.when(F.col("transaction_id") % 97 == 0, F.lit(None))
+                          .otherwise(F.col("merchant_id")))
+    return dq.not_null(seeded, "merchant_id").select("transaction_id")
+
+
+@register("dq_02_unique_seeded", q("""
+SELECT transaction_id, count(*) AS n_records FROM (
+  SELECT transaction_id FROM stg_transactions
+  UNION ALL SELECT transaction_id FROM stg_transactions WHERE transaction_id % 101 = 0)
+GROUP BY transaction_id HAVING count(*) > 1"""))
+def dq_02(spark, sf_dir):
+    t = _p(spark, sf_dir).silver["transactions"].select("transaction_id")
+    return dq.unique(t.unionByName(t.filter(F.col("transaction_id") % 101 == 0)), "transaction_id")
+
+
+@register("dq_03_relationships_seeded", q("""
+SELECT transaction_id, card_id FROM (
+  SELECT transaction_id, CASE WHEN transaction_id % 89 = 0 THEN card_id + 1000000000 ELSE card_id END AS card_id
+  FROM stg_transactions) x
+WHERE NOT EXISTS (SELECT 1 FROM stg_cards c WHERE c.card_id = x.card_id)"""))
+def dq_03(spark, sf_dir):
+    s = _p(spark, sf_dir).silver
+    t = s["transactions"].select(
+        "transaction_id",
+        F.when(F.col("transaction_id") % 89 == 0, F.col("card_id") + 1000000000).otherwise(F.col("card_id"))
+         .alias("card_id"))
+    return dq.relationships(t, "card_id", s["cards"], "card_id")
+
+
+@register("dq_04_accepted_values_seeded", q("""
+SELECT transaction_id, entry_mode FROM (
+  SELECT transaction_id, CASE WHEN transaction_id % 83 = 0 THEN 'magstripe' ELSE entry_mode END AS entry_mode
+  FROM stg_transactions) WHERE entry_mode NOT IN ('chip', 'contactless', 'swipe', 'online')"""))
+def dq_04(spark, sf_dir):
+    t = _p(spark, sf_dir).silver["transactions"].select(
+        "transaction_id",
+        F.when(F.col("transaction_id") % 83 == 0, F.lit("magstripe")).otherwise(F.col("entry_mode")).alias("entry_mode"))
+    return dq.accepted_values(t, "entry_mode", dq.ENTRY_MODES)
+
+
+@register("dq_05_accepted_range_seeded", q("""
+SELECT transaction_id, amount_usd FROM (
+  SELECT transaction_id, amount_usd - CAST(5.0 AS DOUBLE) AS amount_usd FROM stg_transactions)
+WHERE NOT (amount_usd > 0)"""))
+def dq_05(spark, sf_dir):
+    t = _p(spark, sf_dir).silver["transactions"].select(
+        "transaction_id", (F.col("amount_usd") - 5.0).alias("amount_usd"))
+    return dq.accepted_range(t, "amount_usd", min_value=0, inclusive=False)
+
+
+@register("dq_06_freshness", q(f"""
+SELECT 'stg_transactions' AS table_name, max(event_ts) AS max_loaded_at,
+       round((epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(max(event_ts)) // 1) / 3600.0, 3) AS age_hours,
+       CASE WHEN max(event_ts) IS NULL OR (epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(max(event_ts)) // 1) / 3600.0 > 24 THEN 'error'
+            WHEN (epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(max(event_ts)) // 1) / 3600.0 > 12 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM stg_transactions"""))
+def dq_06(spark, sf_dir):
+    t = _p(spark, sf_dir).silver["transactions"]
+    return ntz(dq.freshness(t, "event_ts", FRESHNESS_AS_OF, 12, 24, table="stg_transactions"))
+
+
+@register("dq_07_features_not_null", q(
+    "SELECT transaction_id FROM fct_transactions WHERE " + " OR ".join(f"{c} IS NULL" for c in FEATURES)))
+def dq_07(spark, sf_dir):
+    return dq.features_not_null(_p(spark, sf_dir).fact, FEATURES)
+
+
+@register("dq_08_fraud_rate_plausible", q("""
+SELECT n, fraud, rate FROM (
+  SELECT count(*) AS n, CAST(sum(CASE WHEN is_fraud_label THEN 1 ELSE 0 END) AS BIGINT) AS fraud,
+         CAST(sum(CASE WHEN is_fraud_label THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS rate
+  FROM fct_transactions) WHERE rate > 0.05 OR fraud = 0"""))
+def dq_08(spark, sf_dir):
+    return dq.fraud_rate_plausible(_p(spark, sf_dir).fact)
+
+
+@register("dq_09_chargeback_before_txn_seeded", q("""
+SELECT cb.chargeback_id, cb.settle_ts, t.event_ts
+FROM (SELECT chargeback_id, transaction_id,
+             CASE WHEN transaction_id % 3 = 0 THEN settle_ts - INTERVAL 60 DAY ELSE settle_ts END AS settle_ts
+      FROM stg_chargebacks) cb
+JOIN stg_transactions t ON cb.transaction_id = t.transaction_id WHERE cb.settle_ts < t.event_ts"""))
+def dq_09(spark, sf_dir):
+    s = _p(spark, sf_dir).silver
+    cb = s["chargebacks"].withColumn(
+        "settle_ts", F.when(F.col("transaction_id") % 3 == 0, F.col("settle_ts") - F.expr("INTERVAL 60 DAYS"))
+        .otherwise(F.col("settle_ts")))
+    return ntz(dq.chargeback_before_transaction(cb, s["transactions"]))
+
+
+@register("dq_10_transaction_has_auth", q("""
+SELECT transaction_id FROM stg_transactions t
+WHERE NOT EXISTS (SELECT 1 FROM stg_auth_events a WHERE a.transaction_id = t.transaction_id)"""))
+def dq_10(spark, sf_dir):
+    s = _p(spark, sf_dir).silver
+    return dq.missing_auth(s["transactions"], s["auth_events"])
+
+
+@register("dq_11_chargeback_integrity", q("""
+SELECT cb.chargeback_id, cb.transaction_id FROM stg_chargebacks cb
+LEFT JOIN stg_transactions t ON cb.transaction_id = t.transaction_id
+WHERE t.event_ts IS NULL OR cb.settle_ts <= t.event_ts"""))
+def dq_11(spark, sf_dir):
+    s = _p(spark, sf_dir).silver
+    return dq.chargeback_integrity(s["chargebacks"], s["transactions"])
+
+
+@register("dq_12_value_domains", q(
+    f"SELECT transaction_id FROM stg_transactions WHERE coalesce({dq.VALUE_DOMAIN_VIOLATION}, true)"))
+def dq_12(spark, sf_dir):
+    return dq.value_domains(_p(spark, sf_dir).silver["transactions"])
