@@ -87,6 +87,8 @@ def with_context(rows: DataFrame, spec: SliceSpec) -> DataFrame:
             .withColumn(SLICE, F.col("_t")).withColumn(CTX, F.lit(True))
             .select(*cols))
 
+    if spec.rows_back <= 0:
+        return core.unionByName(halo)
     # Row halo from the per-slice tails.
     order_desc = [F.col(c).desc() for c in spec.order]
     order_asc = [F.col(c).asc() for c in spec.order]
