@@ -22,4 +22,7 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     dlmb = F.radians(lon2 - lon1)
     a = (F.pow(F.sin(dphi / 2), 2)
          + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlmb / 2), 2))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    # Clamp with CASE, not least(): least() skips NULLs and would turn a
+    # missing point into a half-circumference distance.
+    clamped = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(clamped))

@@ -14,8 +14,9 @@ def sround(expr: str, n: int) -> str:
 
 
 def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return (f"(2 * 6371.0 * asin(sqrt(least(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
-            f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2), 1.0))))")
+    a = (f"(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+         f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))")
+    return f"(2 * 6371.0 * asin(sqrt(CASE WHEN {a} > 1.0 THEN 1.0 ELSE {a} END)))"
 
 
 def msum(expr: str, cond: str | None = None) -> str:

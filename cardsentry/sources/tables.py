@@ -43,6 +43,14 @@ class VersionedTable:
         v = c.agg(F.max("version")).first()[0]
         return None if v is None else int(v)
 
+    def latest_before(self, version: int) -> int | None:
+        """Latest committed version strictly below ``version``."""
+        c = self._commits()
+        if c is None:
+            return None
+        v = c.filter(F.col("version") < version).agg(F.max("version")).first()[0]
+        return None if v is None else int(v)
+
     def exists(self) -> bool:
         return self.current_version() is not None
 
@@ -75,12 +83,8 @@ class VersionedTable:
         """Merge ``updates`` on ``key`` into the current version and commit the
         result as a new version (or as ``version``, for replayable batches:
         the merge then starts from the version before it)."""
-        cur = self.current_version()
-        if version is not None and cur is not None and version <= cur:
-            base_v = version - 1
-        else:
-            base_v = cur
-        if base_v is None or base_v < 0:
+        base_v = self.latest_before(version) if version is not None else self.current_version()
+        if base_v is None:
             merged = updates if dedup_order is None else merge_by_key(updates.limit(0), updates, key, dedup_order)
         else:
             merged = merge_by_key(self.read(base_v), updates, key, dedup_order)
