@@ -8,19 +8,24 @@ from pyspark.sql.types import StructType
 
 # Raw entity schemas of the landing zone (all ids are strings,
 # timestamps ISO-8601 text, as they arrive).
-TRANSACTIONS_SCHEMA = StructType.fromDDL(
+TRANSACTIONS_SCHEMA = (
     "transaction_id string, card_id string, merchant_id string, amount double, currency string, ts string,"
     " event_date date, lat double, lon double, device_id string, entry_mode string, is_fraud boolean,"
     " fraud_type string")
-AUTH_SCHEMA = StructType.fromDDL(
+AUTH_SCHEMA = (
     "transaction_id string, approved boolean, reason string, auth_ts string, event_date date")
-CHARGEBACKS_SCHEMA = StructType.fromDDL(
+CHARGEBACKS_SCHEMA = (
     "chargeback_id string, transaction_id string, amount double, reason_code string, settle_ts string,"
     " settle_date date")
 TOPICS = {"transactions": TRANSACTIONS_SCHEMA, "auth_events": AUTH_SCHEMA, "chargebacks": CHARGEBACKS_SCHEMA}
 REFERENCE = ("accounts", "cards", "merchants")
 
 
+def schema_of(spark: SparkSession, ddl: str | StructType) -> StructType:
+    """A DDL string (as the schemas above are kept) as a StructType."""
+    return ddl if isinstance(ddl, StructType) else spark.createDataFrame([], ddl).schema
+
+
 def with_lineage(df: DataFrame) -> DataFrame:
     """Bronze lineage columns: ingestion time and source file."""
     return df.withColumn("_ingest_ts", F.current_timestamp()) \

@@ -73,7 +73,7 @@ class VersionedTable:
             .coalesce(1).write.mode("append").json(f"{self.root}/{COMMITS}")
         return v
 
-    def create_if_absent(self, schema: StructType) -> None:
+    def create_if_absent(self, schema: StructType | str) -> None:
         """Declared serving table: an empty committed version with ``schema``."""
         if not self.exists():
             self.write(self.spark.createDataFrame([], schema), note="create")

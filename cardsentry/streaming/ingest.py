@@ -35,13 +35,13 @@ def ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: Str
 
 
 def evolve_schema(spark: SparkSession, src: str, schema_path: str,
-                  base: StructType | None = None) -> tuple[StructType, list[str]]:
+                  base: StructType | str | None = None) -> tuple[StructType, list[str]]:
     """Stored schema widened by fields seen in the landing data.
 
     On first use the stored schema is ``base`` (or inferred).  Returns the
     schema to stream with and the names of newly added columns.
     """
-    stored = files.load_schema(spark, schema_path) or base
+    stored = files.load_schema(spark, schema_path) or (files.schema_of(spark, base) if base is not None else None)
     inferred = files.infer_schema(spark, src)
     if stored is None:
         stored = inferred

@@ -25,7 +25,7 @@ from ..operators.staging import dedup_latest, stg_transactions
 from ..sources.tables import VersionedTable
 
 ALERT_THRESHOLD = 0.5
-ALERT_SCHEMA = StructType.fromDDL(
+ALERT_SCHEMA = (
     "transaction_id string, card_id string, merchant_id string, amount double, event_ts timestamp,"
     " fraud_score double, is_alert boolean")
 
