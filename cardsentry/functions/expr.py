@@ -45,3 +45,12 @@ def rounded_mean(value: Column, in_scale: int, out_scale: int) -> Column:
     den = n if out_scale >= in_scale else n * (10 ** (in_scale - out_scale))
     q = F.floor((F.abs(num) * 2 + den) / (den * 2)) * F.signum(num).cast("decimal(38,0)")
     return F.when(n > 0, q.cast("double") / float(10 ** out_scale))
+
+
+def broadcast_if_small(df, max_rows: int = 1_000_000):
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows;
+    beyond that it is returned as is and the planner shuffles (AQE may still
+    switch to a broadcast from runtime sizes).  The check reads at most
+    ``max_rows + 1`` rows, whatever the table size."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

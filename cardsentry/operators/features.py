@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.expr import broadcast_if_small
 from ..functions.geo import haversine_km
 from . import skew
 
@@ -90,14 +91,17 @@ def feature_columns(df: DataFrame) -> DataFrame:
 
 
 def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
-                     hot_card_rows: int | None = None, broadcast_dims: bool = False) -> DataFrame:
+                     hot_card_rows: int | None = None, broadcast_dims: bool | str = "auto",
+                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Feature rows for staged transactions.
 
     ``txn``/``cards``/``merchants`` are the silver tables (stg_*).  Dimension
     joins are left joins; unknown cards or merchants give NULL context and the
-    documented defaults.  ``broadcast_dims`` is for callers that have checked
-    the dimension sizes (the streaming scorer); otherwise the planner and AQE
-    pick broadcast or shuffle from statistics.
+    documented defaults.  ``broadcast_dims``: True for callers that checked
+    the dimension sizes themselves (the streaming scorer, once per stream);
+    "auto" broadcasts each dimension only after a row-count check against
+    ``max_broadcast_rows`` and otherwise shuffles (the card join then shares
+    the window's card_id partitioning); False leaves it to the planner.
 
     ``hot_card_rows``: cards with more rows than this are evaluated in time
     slices (see :mod:`cardsentry.operators.skew`); results are identical.
@@ -105,7 +109,9 @@ def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
     t = with_epoch(txn.select(*TXN_COLS))
     c = cards.select(*CARD_COLS)
     m = merchants.select(*MERCHANT_COLS)
-    if broadcast_dims:
+    if broadcast_dims == "auto":
+        c, m = broadcast_if_small(c, max_broadcast_rows), broadcast_if_small(m, max_broadcast_rows)
+    elif broadcast_dims:
         c, m = F.broadcast(c), F.broadcast(m)
     # Merchants first: the later card join and all windows then share one
     # hash partitioning on card_id.

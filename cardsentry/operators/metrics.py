@@ -100,13 +100,15 @@ def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "labe
 
 def average_precision(curve: DataFrame) -> DataFrame:
     """Step-wise AP: sum over thresholds of (recall gain) x precision."""
-    return curve.agg(F.sum(F.col("pos") / F.col("n_pos") * F.col("precision")).alias("average_precision"))
+    return curve.agg(F.sum(F.col("pos") / F.nullif(F.col("n_pos"), F.lit(0)) * F.col("precision"))
+                     .alias("average_precision"))
 
 
 def roc_auc(curve: DataFrame) -> DataFrame:
     """Area under ROC with ties counted half (trapezoid between thresholds)."""
     tp_before = F.col("tp") - F.col("pos")
-    term = F.col("neg") / F.col("n_neg") * (tp_before + F.col("pos") / 2.0) / F.col("n_pos")
+    term = (F.col("neg") / F.nullif(F.col("n_neg"), F.lit(0)) * (tp_before + F.col("pos") / 2.0)
+            / F.nullif(F.col("n_pos"), F.lit(0)))
     return curve.agg(F.sum(term).alias("roc_auc"))
 
 

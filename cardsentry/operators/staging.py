@@ -105,4 +105,5 @@ def silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "chargebacks": stg_chargebacks, "accounts": stg_accounts,
         "cards": stg_cards, "merchants": stg_merchants,
     }
-    return {k: fns[k](v) for k, v in raw.items() if k in fns}
+    from ..sources.testdata import LazyTables
+    return LazyTables({k: (lambda k=k: fns[k](raw[k])) for k in raw.keys() if k in fns})

@@ -17,10 +17,22 @@ class Pipeline:
     needs only the fact reads only the columns the fact needs.
     """
 
+    _MEMO: dict = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str, hot_card_rows: int | None = None):
         ensure_utc(spark)
         self.spark, self.sf_dir, self.hot_card_rows = spark, sf_dir, hot_card_rows
 
+    @classmethod
+    def get(cls, spark: SparkSession, sf_dir: str, hot_card_rows: int | None = None) -> "Pipeline":
+        """Per-session memo of the lazy plans (the driver tables are read-only):
+        building a plan is driver-side work that does not depend on the data."""
+        key = (id(spark), sf_dir, hot_card_rows)
+        if key not in cls._MEMO:
+            cls._MEMO[key] = cls(spark, sf_dir, hot_card_rows)
+        ensure_utc(spark)
+        return cls._MEMO[key]
+
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
         return testdata.raw_tables(self.spark, self.sf_dir)

@@ -16,7 +16,7 @@ CUTOFF = "2024-01-20 00:00:00"
 
 
 def _p(spark, sf_dir):
-    return Pipeline(spark, sf_dir)
+    return Pipeline.get(spark, sf_dir)
 
 
 def _split(p: Pipeline):

@@ -13,7 +13,7 @@ MATURITY_AS_OF = "2024-03-01"
 
 
 def _p(spark, sf_dir):
-    return Pipeline(spark, sf_dir)
+    return Pipeline.get(spark, sf_dir)
 
 
 def scored(p: Pipeline):

@@ -10,7 +10,7 @@ from .oracle import bround0, cnt, msum, q, sround, xmean
 
 
 def _p(spark, sf_dir):
-    return Pipeline(spark, sf_dir)
+    return Pipeline.get(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- tiles

@@ -45,7 +45,7 @@ SCD_CTES = f"""
 
 
 def _p(spark, sf_dir):
-    return Pipeline(spark, sf_dir)
+    return Pipeline.get(spark, sf_dir)
 
 
 @register("scd_01_change_detection", q(SCD_CTES + f"""

@@ -15,6 +15,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -40,6 +41,9 @@ def get_session(app: str = "cardsentry", master: str | None = None,
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.unionOutputPartitioning": "false",
+    # PySpark 4 records a Python stack trace for every Column call by default;
+    # plan construction is dominated by it, so it is switched off.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -31,8 +31,17 @@ SNAPSHOT_3 = "2024-01-22 00:00:00"
 CARD_CHECK_COLS = ["is_active", "card_type", "home_country"]
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver tables are read-only: the (lazy) scan DataFrame is memoised per
+    session so file listing and footer reads happen once per table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _lookup(col: Column, values: list[str]) -> Column:
@@ -198,13 +207,41 @@ def snapshot_ts(which: int) -> Column:
     return F.lit(SNAPSHOT_1 if which == 1 else SNAPSHOT_2).cast("timestamp")
 
 
+class LazyTables(dict):
+    """dict of DataFrames built on first access."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        self[key] = self._builders[key]()
+        return self[key]
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __contains__(self, key):
+        return key in self._builders
+
+    def __len__(self):
+        return len(self._builders)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    txn = transactions(spark, sf_dir)
-    return {
-        "transactions": txn,
-        "auth_events": auth_events(spark, sf_dir, txn),
-        "chargebacks": chargebacks(spark, sf_dir, txn),
-        "accounts": accounts(spark, sf_dir),
-        "cards": cards(spark, sf_dir),
-        "merchants": merchants(spark, sf_dir),
-    }
+    t: LazyTables
+    t = LazyTables({
+        "transactions": lambda: transactions(spark, sf_dir),
+        "auth_events": lambda: auth_events(spark, sf_dir, t["transactions"]),
+        "chargebacks": lambda: chargebacks(spark, sf_dir, t["transactions"]),
+        "accounts": lambda: accounts(spark, sf_dir),
+        "cards": lambda: cards(spark, sf_dir),
+        "merchants": lambda: merchants(spark, sf_dir),
+    })
+    return t
