@@ -129,15 +129,35 @@ def value_domains(txn: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- suite
-def _row_violation(c: Check) -> Column:
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Positional UNION ALL of same-layout frames, built as a balanced tree."""
+    while len(parts) > 1:
+        parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def _lit_sql(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else repr(v)
+
+
+def row_violation_sql(c: Check) -> str:
+    """SQL predicate, true for a row violating a row-level check.  Kept as
+    text so a suite of many checks costs one expression parse per check."""
+    col = f"`{c.column}`" if c.column else None
     if c.kind == "not_null":
-        return F.col(c.column).isNull()
+        return f"{col} IS NULL"
     if c.kind == "accepted_values":
-        return F.coalesce(_values_violation(c.column, c.values), F.lit(False))
+        return f"coalesce({col} NOT IN ({', '.join(_lit_sql(v) for v in c.values)}), false)"
     if c.kind == "accepted_range":
-        return F.coalesce(_range_violation(c.column, c.min_value, c.max_value, c.inclusive), F.lit(False))
+        conds = []
+        if c.min_value is not None:
+            conds.append(f"{col} {'>=' if c.inclusive else '>'} {_lit_sql(c.min_value)}")
+        if c.max_value is not None:
+            conds.append(f"{col} {'<=' if c.inclusive else '<'} {_lit_sql(c.max_value)}")
+        return f"coalesce(NOT ({' AND '.join(conds)}), false)"
     if c.kind == "expression":
-        return F.coalesce(F.expr(c.condition), F.lit(True))
+        return f"coalesce({c.condition}, true)"
     raise ValueError(c.kind)
 
 
@@ -156,7 +176,9 @@ def run_suite(tables: dict[str, DataFrame], checks: list[Check],
         if c.kind in ROW_KINDS:
             by_table.setdefault(c.table, []).append(c)
     for t, cs in by_table.items():
-        agg = tables[t].agg(*[count_if(_row_violation(c)).alias(f"c{i}") for i, c in enumerate(cs)])
+        # all row-level checks of a table in one scan and one aggregate
+        agg = tables[t].selectExpr(*[f"CAST(count_if({row_violation_sql(c)}) AS BIGINT) AS c{i}"
+                                     for i, c in enumerate(cs)])
         stack = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(cs))
         parts.append(agg.selectExpr(f"stack({len(cs)}, {stack}) AS (check_name, violations)"))
     for c in checks:
@@ -168,9 +190,10 @@ def run_suite(tables: dict[str, DataFrame], checks: list[Check],
             v = custom[c.name][1]
         else:
             continue
-        parts.append(v.agg(F.count(F.lit(1)).alias("violations"))
-                     .select(F.lit(c.name).alias("check_name"), "violations"))
-    res = reduce(lambda a, b: a.unionByName(b), parts)
+        parts.append(v.selectExpr(f"'{c.name}' AS check_name", "count(1) AS violations"))
+    # identical (check_name, violations) layout: positional union as a balanced
+    # tree (a left-deep chain re-analyses the growing plan at every step)
+    res = union_all(parts)
     meta = res.sparkSession.createDataFrame(
         [(c.name, c.table, c.kind, c.severity) for c in checks],
         "check_name string, table_name string, kind string, severity string")

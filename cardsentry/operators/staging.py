@@ -85,17 +85,18 @@ def dedup_latest(df: DataFrame, key: str | list[str], order_desc: str | list[str
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def rejects(raw: DataFrame, typed: DataFrame, pairs: dict[str, str]) -> DataFrame:
-    """Count values that were present in ``raw`` but did not survive the cast.
-
-    ``pairs`` maps raw column -> typed column; both frames must be row aligned,
-    i.e. ``typed`` is a projection of ``raw`` (it is computed in one pass here).
-    """
-    aggs = []
-    for raw_col, typ in pairs.items():
-        aggs.append(F.sum(F.when(F.col(raw_col).isNotNull() & F.col(raw_col).try_cast(typ).isNull(), 1)
-                          .otherwise(0)).cast("bigint").alias(f"{raw_col}_rejects"))
-    return raw.agg(*aggs)
+def rejects(raw: DataFrame, casts: dict[str, str]) -> DataFrame:
+    """One row: per raw column, how many present values fail the cast to the
+    given type (they become NULL in silver instead of failing the job)."""
+    return raw.agg(*[
+        F.sum(F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), 1).otherwise(0))
+         .cast("bigint").alias(f"{c}_rejects")
+        for c, t in casts.items()])
+
+
+# Casts applied by stg_transactions, for reject counting.
+TRANSACTION_CASTS = {"amount": "double", "ts": "timestamp", "event_date": "date", "lat": "double",
+                     "lon": "double", "is_fraud": "boolean"}
 
 
 def silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

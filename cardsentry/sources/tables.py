@@ -113,3 +113,19 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, key: s
         staged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
+def materialize(df: DataFrame, kind: str, name: str, path: str | None = None) -> DataFrame:
+    """Per-layer materialisation: ``ephemeral`` (inline plan), ``view``
+    (session temp view), ``table`` (Parquet written once, read back so later
+    plans start from the files)."""
+    if kind == "ephemeral":
+        return df
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+        return df.sparkSession.table(name)
+    if kind == "table":
+        target = path or scratch_path(df.sparkSession, name)
+        df.write.mode("overwrite").parquet(target)
+        return df.sparkSession.read.parquet(target)
+    raise ValueError(f"unknown materialisation {kind}")

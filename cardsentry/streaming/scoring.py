@@ -117,3 +117,21 @@ def start_scoring(spark: SparkSession, bronze_txn: str, schema: StructType, scor
 
 def alert_flag(score: Column, threshold: float = ALERT_THRESHOLD) -> Column:
     return score >= threshold
+
+
+def features_in_batches(txn: DataFrame, cards: DataFrame, merchants: DataFrame, batch_of: Column,
+                        batches: list[int]) -> DataFrame:
+    """Features computed the way the scorer computes them, one micro-batch at
+    a time: batch ``k`` sees its own rows plus the bounded history of its cards
+    from all earlier batches.  For data arriving in event-time order this
+    equals the batch features (the parity the scorer relies on)."""
+    t = txn.withColumn("_batch", batch_of)
+    out = None
+    for k in batches:
+        batch = t.filter(F.col("_batch") == k).drop("_batch")
+        prev = t.filter(F.col("_batch") < k).drop("_batch")
+        hist = bounded_history(prev.join(batch.select("card_id").distinct(), "card_id", "left_semi"))
+        f = feat.compute_features(batch.unionByName(hist), cards, merchants, broadcast_dims=False) \
+            .join(batch.select("transaction_id"), "transaction_id", "left_semi")
+        out = f if out is None else out.unionByName(f)
+    return out
