@@ -45,7 +45,8 @@ def high_water_mark(target: DataFrame | None, col: str = "event_date", default:
 
 def fact_updates(prev_fact: DataFrame, txn: DataFrame, auth: DataFrame, chargebacks: DataFrame,
                  cards: DataFrame, merchants: DataFrame, new_txn: DataFrame, new_auth: DataFrame,
-                 new_chargebacks: DataFrame, hot_card_rows: int | None = None) -> DataFrame:
+                 new_chargebacks: DataFrame, hot_card_rows: int | None = None,
+                 broadcast_dims: bool | str = "auto") -> DataFrame:
     """Fact rows to upsert after new silver rows arrived (see module doc).
 
     ``txn``/``auth``/``chargebacks`` are the complete silver tables after the
@@ -53,7 +54,7 @@ def fact_updates(prev_fact: DataFrame, txn: DataFrame, auth: DataFrame, chargeba
     """
     since = new_txn.groupBy("card_id").agg(F.min("event_ts").alias("_since"))
     history = txn.join(since.select("card_id"), "card_id", "left_semi")
-    feats = compute_features(history, cards, merchants, hot_card_rows=hot_card_rows)
+    feats = compute_features(history, cards, merchants, hot_card_rows=hot_card_rows, broadcast_dims=broadcast_dims)
     changed = (feats.join(since, "card_id").filter(F.col("event_ts") >= F.col("_since"))
                .select(*OUTPUT_COLS))
     label_ids = new_auth.select("transaction_id").unionByName(new_chargebacks.select("transaction_id")).distinct()

@@ -5,6 +5,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.expr import broadcast_if_small
 from ..operators import features as feat, gold, scd2, staging
 from ..session import ensure_utc
 from ..sources import testdata
@@ -42,10 +43,19 @@ class Pipeline:
         return staging.silver(self.raw)
 
     @cached_property
-    def features(self) -> DataFrame:
+    def dims(self) -> tuple[DataFrame, DataFrame]:
+        """Silver cards and merchants, each hinted for broadcast iff its
+        row-count check passed (checked once per pipeline)."""
         s = self.silver
-        return feat.compute_features(s["transactions"], s["cards"], s["merchants"],
-                                     hot_card_rows=self.hot_card_rows)
+        return broadcast_if_small(s["cards"]), broadcast_if_small(s["merchants"])
+
+    def compute_features(self, txn: DataFrame, hot_card_rows: int | None = None) -> DataFrame:
+        c, m = self.dims
+        return feat.compute_features(txn, c, m, hot_card_rows=hot_card_rows, broadcast_dims=False)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return self.compute_features(self.silver["transactions"], self.hot_card_rows)
 
     @cached_property
     def fact(self) -> DataFrame:

@@ -41,10 +41,11 @@ def src_15(spark, sf_dir):
     p = _p(spark, sf_dir)
     s = p.silver
     old_txn, new_txn, old_auth, new_auth, old_cb, new_cb = _split(p)
-    prev = gold.fct_transactions(feat.compute_features(old_txn, s["cards"], s["merchants"]), old_auth, old_cb)
+    cards, merchants = p.dims
+    prev = gold.fct_transactions(p.compute_features(old_txn), old_auth, old_cb)
     merged = incremental.refresh_fact(
-        prev, txn=s["transactions"], auth=s["auth_events"], chargebacks=s["chargebacks"], cards=s["cards"],
-        merchants=s["merchants"], new_txn=new_txn, new_auth=new_auth, new_chargebacks=new_cb)
+        prev, txn=s["transactions"], auth=s["auth_events"], chargebacks=s["chargebacks"], cards=cards,
+        merchants=merchants, new_txn=new_txn, new_auth=new_auth, new_chargebacks=new_cb, broadcast_dims=False)
     return report_rounded(merged)
 
 

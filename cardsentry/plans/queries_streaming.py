@@ -16,7 +16,8 @@ def str_07(spark, sf_dir):
     """All transactions scored in four event-time micro-batches (days 1-8,
     9-16, 17-24, 25-31) with bounded card history carried between them; the
     features equal the batch features."""
-    s = Pipeline.get(spark, sf_dir).silver
+    p = Pipeline.get(spark, sf_dir)
+    cards, merchants = p.dims
     batch_of = F.floor((F.dayofmonth("event_ts") - 1) / 8).cast("int")
-    f = scoring.features_in_batches(s["transactions"], s["cards"], s["merchants"], batch_of, [0, 1, 2, 3])
+    f = scoring.features_in_batches(p.silver["transactions"], cards, merchants, batch_of, [0, 1, 2, 3])
     return report_rounded(f)
