@@ -5,7 +5,7 @@ the whole job under ANSI mode; ``rejects`` counts such rows per column.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def _tc(name: str, typ: str):
@@ -76,13 +76,23 @@ def stg_merchants(raw: DataFrame) -> DataFrame:
 
 
 def dedup_latest(df: DataFrame, key: str | list[str], order_desc: str | list[str]) -> DataFrame:
-    """Keep one row per key: the first by ``order_desc`` descending (ties by all
-    order columns).  A per-key ``row_number`` is a hash shuffle on the key plus a
-    sort; keys are unique identifiers here, so no single key is hot."""
+    """Keep one row per key: the greatest by ``order_desc`` (NULLs lowest),
+    remaining ties broken by the other columns, so the choice is deterministic.
+
+    Written as an aggregate (``max`` over a struct whose leading fields are
+    the order columns and whose remaining fields are the row), not as a
+    ``row_number`` window: partial aggregation keeps one row per key per task
+    before the shuffle, so a key delivered millions of times does not end up
+    whole in one task.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order_desc] if isinstance(order_desc, str) else list(order_desc)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in orders])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    rest = [c for c in df.columns if c not in keys and c not in orders]
+    best = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(orders)],
+                          *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])).alias("_best")
+    out = df.groupBy(*keys).agg(best)
+    names = {**{f"_o{i}": c for i, c in enumerate(orders)}, **{f"_r{i}": c for i, c in enumerate(rest)}}
+    return out.select(*keys, *[F.col(f"_best.{k}").alias(v) for k, v in names.items()]).select(*df.columns)
 
 
 def rejects(raw: DataFrame, casts: dict[str, str]) -> DataFrame:
