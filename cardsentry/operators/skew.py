@@ -131,3 +131,18 @@ def window_apply(df: DataFrame, spec: SliceSpec, compute, hot_threshold: int | N
         hot_rows = prepare_hot(hot_rows, hot)
     sliced = drop_context(compute(with_context(hot_rows, spec), [spec.key, SLICE]))
     return compute(cold, [spec.key]).unionByName(sliced)
+
+
+def top_k_per_key(df: DataFrame, key: str, order_desc: list[str], k: int, salts: int = 16,
+                  salt_col: str = "transaction_id") -> DataFrame:
+    """The ``k`` greatest rows per key by ``order_desc``, exactly, without
+    putting a hot key into one task: rows are first ranked within
+    (key, salt) groups, each keeping its top ``k`` (the overall top ``k`` is
+    contained in their union), then the at most ``k * salts`` survivors per
+    key are ranked again."""
+    order = [F.col(c).desc() for c in order_desc]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_col), F.lit(salts)))
+    first = (salted.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*order)))
+             .filter(F.col("_r") <= k).drop("_r", "_salt"))
+    return (first.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+            .filter(F.col("_r") <= k).drop("_r"))

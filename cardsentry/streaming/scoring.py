@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators import features as feat
+from ..operators import features as feat, skew
 from ..operators.staging import dedup_latest, stg_transactions
 from ..sources.tables import VersionedTable
 
@@ -49,14 +49,20 @@ def model_score(model) -> Callable[[DataFrame], DataFrame]:
 
 
 def bounded_history(rows: DataFrame) -> DataFrame:
-    """Per card: last ``AMOUNT_ROWS`` rows and all rows within the widest
-    velocity window of the card's newest row."""
+    """Per card: the last ``AMOUNT_ROWS`` rows and all rows within the widest
+    velocity window of the card's newest row.
+
+    Skew-safe: the newest epoch per card is a partial aggregate, the recent
+    rows come from a join with it (AQE splits a hot card on the large side),
+    and the last rows are an exact salted top-k.
+    """
     rows = feat.with_epoch(rows)
-    w_desc = Window.partitionBy("card_id").orderBy(*[F.col(c).desc() for c in feat.ORDER])
-    w_all = Window.partitionBy("card_id")
-    keep = ((F.row_number().over(w_desc) <= feat.AMOUNT_ROWS)
-            | (F.col("epoch") >= F.max("epoch").over(w_all) - max(feat.VELOCITY_SECONDS)))
-    return rows.withColumn("_keep", keep).filter("_keep").drop("_keep", "epoch")
+    back = max(feat.VELOCITY_SECONDS)
+    newest = rows.groupBy("card_id").agg(F.max("epoch").alias("_newest"))
+    recent = rows.join(newest, "card_id").filter(F.col("epoch") >= F.col("_newest") - back).drop("_newest")
+    last = skew.top_k_per_key(rows, "card_id", list(feat.ORDER), feat.AMOUNT_ROWS)
+    older = last.join(newest, "card_id").filter(F.col("epoch") < F.col("_newest") - back).drop("_newest")
+    return recent.unionByName(older).drop("epoch")
 
 
 class Scorer:
