@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expr import count_if
+from ..session import checkpoint_dir
 
 DEFAULT_SCORES_PER_BUCKET = 1_000_000
 
@@ -61,13 +62,20 @@ def _per_score(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
 
 
 def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "label",
-             scores_per_bucket: int = DEFAULT_SCORES_PER_BUCKET) -> DataFrame:
+             scores_per_bucket: int = DEFAULT_SCORES_PER_BUCKET, materialize: bool = True) -> DataFrame:
     """One row per distinct score (descending): counts at the score and
     cumulative true/false positives when alerting at ``score >= threshold``.
 
     Columns: threshold, pos, neg, tp, fp, precision, recall, f1, n_pos, n_neg.
+
+    The per-score aggregate is used four times (size, range boundaries, range
+    totals, running sums); it is checkpointed once (reliable checkpoint in the
+    shared folder) unless ``materialize`` is False.
     """
     per = _per_score(scored, score_col, label_col)
+    if materialize:
+        checkpoint_dir(per.sparkSession)
+        per = per.checkpoint(eager=True)
     n_scores = per.count()
     buckets = max(1, math.ceil(n_scores / scores_per_bucket))
     if buckets == 1:
@@ -80,22 +88,24 @@ def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "labe
         # bucket 0 holds the highest scores
         per = per.withColumn("_b", F.size(F.filter(arr, lambda b: b >= F.col("score"))))
     tot = per.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    prior = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= `buckets` rows
+    # Offsets and grand totals over the range table (at most `buckets` rows).
+    prior = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     off = tot.select("_b", F.coalesce(F.sum("_bp").over(prior), F.lit(0)).alias("_op"),
-                     F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"))
-    totals = per.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    n_pos, n_neg = totals.select("n_pos").scalar(), totals.select("n_neg").scalar()
+                     F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"),
+                     F.sum("_bp").over(every).cast("bigint").alias("n_pos"),
+                     F.sum("_bn").over(every).cast("bigint").alias("n_neg"))
     run = Window.partitionBy("_b").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
     cur = (per.join(F.broadcast(off), "_b")
            .withColumn("tp", (F.sum("pos").over(run) + F.col("_op")).cast("bigint"))
            .withColumn("fp", (F.sum("neg").over(run) + F.col("_on")).cast("bigint")))
     p = F.col("tp") / (F.col("tp") + F.col("fp"))
-    r = F.col("tp") / F.nullif(n_pos, F.lit(0))
+    r = F.col("tp") / F.nullif(F.col("n_pos"), F.lit(0))
     return cur.select(
         F.col("score").alias("threshold"), "pos", "neg", "tp", "fp",
         p.alias("precision"), r.alias("recall"),
         F.when((p + r) > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0)).alias("f1"),
-        n_pos.cast("bigint").alias("n_pos"), n_neg.cast("bigint").alias("n_neg"))
+        "n_pos", "n_neg")
 
 
 def average_precision(curve: DataFrame) -> DataFrame:
