@@ -19,6 +19,22 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB inputs).  Partition counts
+# are an upper bound that AQE coalesces to ~256 MB per task; skew handling is
+# on for joins (windows on hot keys are sliced by the library itself).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+
+
 def get_session(app: str = "cardsentry", master: str | None = None,
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

@@ -72,3 +72,24 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "fraud_rate_pct" in df.columns
+
+
+def test_scorer_with_model(spark, tmp):
+    """The streaming scorer with a fitted PipelineModel: P(fraud) from the
+    probability vector, alerts upserted once per transaction."""
+    from cardsentry.streaming import scoring
+    from cardsentry.operators.staging import stg_cards, stg_merchants
+    from cardsentry.sources import testdata
+    p = Pipeline.get(spark, "/root/testdata/sf0.001")
+    data = mdl.prepare(p.fact, "is_fraud_label")
+    model = mdl.train(data, maxIter=3, maxDepth=3)
+    raw = testdata.transactions(spark, "/root/testdata/sf0.001")
+    cards = stg_cards(testdata.cards(spark, "/root/testdata/sf0.001"))
+    merch = stg_merchants(testdata.merchants(spark, "/root/testdata/sf0.001"))
+    scorer = scoring.Scorer(spark, cards, merch, f"{tmp}/alerts", f"{tmp}/state",
+                            score_fn=scoring.model_score(model))
+    scorer(raw.filter(F.dayofmonth("ts") <= 15), 0)
+    scorer(raw.filter(F.dayofmonth("ts") > 15), 1)
+    out = scorer.alerts.read()
+    assert out.count() == 1000
+    assert out.filter((F.col("fraud_score") < 0) | (F.col("fraud_score") > 1) | F.col("fraud_score").isNull()).count() == 0
