@@ -29,10 +29,11 @@ class Pipeline:
         """Per-session memo of the lazy plans (the driver tables are read-only):
         building a plan is driver-side work that does not depend on the data."""
         key = (id(spark), sf_dir, hot_card_rows)
-        if key not in cls._MEMO:
-            cls._MEMO[key] = cls(spark, sf_dir, hot_card_rows)
+        hit = cls._MEMO.get(key)
+        if hit is None or hit.spark is not spark:            # ids can be reused by a new session
+            hit = cls._MEMO[key] = cls(spark, sf_dir, hot_card_rows)
         ensure_utc(spark)
-        return cls._MEMO[key]
+        return hit
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:

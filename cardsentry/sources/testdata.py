@@ -37,11 +37,13 @@ _READS: dict[tuple[int, str], DataFrame] = {}
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver tables are read-only: the (lazy) scan DataFrame is memoised per
     session so file listing and footer reads happen once per table."""
+    ensure_utc(spark)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    hit = _READS.get(key)
+    if hit is None or hit.sparkSession is not spark:   # ids can be reused by a new session
+        hit = _READS[key] = spark.read.parquet(path)
+    return hit
 
 
 def _lookup(col: Column, values: list[str]) -> Column:
