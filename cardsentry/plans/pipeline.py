@@ -58,18 +58,24 @@ def batch_build(spark: SparkSession, landing: str, warehouse: str, checkpoints:
 
 
 def streaming_job(spark: SparkSession, warehouse: str, registry_root: str, checkpoints: str | None = None,
-                  once: bool = False):
+                  once: bool = False, stateful: bool = False):
     """Score new bronze transactions with the champion model (rule score if
-    no champion exists yet)."""
+    no champion exists yet).  ``stateful`` keeps card history in the state
+    store (``applyInPandasWithState``) instead of a history table."""
     ensure_utc(spark)
     ckpt = checkpoints or f"{checkpoint_dir(spark)}/scoring"
     s = silver_from_bronze(spark, f"{warehouse}/bronze")
     reg = mdl.Registry(spark, registry_root)
     champ = reg.load_champion()
     fn = scoring.model_score(champ) if champ is not None else scoring.rule_score
+    schema = ing.read_bronze(spark, f"{warehouse}/bronze/raw_transactions").schema
+    if stateful:
+        from ..streaming import stateful as st
+        return st.start_stateful_scoring(spark, f"{warehouse}/bronze/raw_transactions", schema, s["cards"],
+                                         s["merchants"], f"{warehouse}/gold/live_fraud_alerts", ckpt,
+                                         score_fn=fn, once=once)
     scorer = scoring.Scorer(spark, s["cards"], s["merchants"], f"{warehouse}/gold/live_fraud_alerts",
                             f"{warehouse}/gold/card_state", score_fn=fn)
-    schema = ing.read_bronze(spark, f"{warehouse}/bronze/raw_transactions").schema
     return scoring.start_scoring(spark, f"{warehouse}/bronze/raw_transactions", schema, scorer, ckpt, once=once)
 
 
