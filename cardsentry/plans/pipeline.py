@@ -23,13 +23,30 @@ def silver_from_bronze(spark: SparkSession, bronze: str) -> dict[str, DataFrame]
     return s
 
 
+def source_freshness(spark: SparkSession, bronze: str, as_of: str, warn_after_hours: float = 12,
+                     error_after_hours: float = 24) -> DataFrame:
+    """Freshness of every bronze table by its ``_ingest_ts`` at ``as_of``."""
+    parts = [quality.freshness(ing.read_bronze(spark, f"{bronze}/raw_{t}"), "_ingest_ts", as_of,
+                               warn_after_hours, error_after_hours, table=f"raw_{t}")
+             for t in list(files.TOPICS) + list(files.REFERENCE)]
+    return quality.union_all(parts)
+
+
 def batch_build(spark: SparkSession, landing: str, warehouse: str, checkpoints: str | None = None,
-                run_quality: bool = True, hot_card_rows: int | None = 2_000_000) -> dict[str, int]:
-    """Ingest -> silver -> fact (date partitioned) -> marts -> quality gate."""
+                run_quality: bool = True, hot_card_rows: int | None = 2_000_000,
+                as_of: str | None = None) -> dict[str, int]:
+    """Ingest -> silver -> fact (date partitioned) -> marts -> quality gate.
+    With ``as_of``, source freshness is recorded and a table past its error
+    threshold stops the build."""
     ensure_utc(spark)
     ckpt = checkpoints or f"{checkpoint_dir(spark)}/ingest"
     bronze = f"{warehouse}/bronze"
     ing.ingest_all(spark, landing, bronze, ckpt)
+    if as_of is not None:
+        source_freshness(spark, bronze, as_of).write.mode("overwrite").parquet(f"{warehouse}/quality/freshness")
+        stale = spark.read.parquet(f"{warehouse}/quality/freshness").filter("status = 'error'").take(10)
+        if stale:
+            raise RuntimeError(f"stale sources: {[r['table_name'] for r in stale]}")
     s = silver_from_bronze(spark, bronze)
     feats = feat.compute_features(s["transactions"], s["cards"], s["merchants"], hot_card_rows=hot_card_rows)
     fact = gold.fct_transactions(feats, s["auth_events"], s["chargebacks"])

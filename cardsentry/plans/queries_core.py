@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_km
 from ..operators import features as feat, gold, staging
-from ..sources import testdata
 from .catalog import register
 from .context import FEATURE_ROUND, Pipeline, ntz, report_rounded
 from .oracle import hav, q, sround
@@ -257,5 +256,3 @@ def agg_04(spark, sf_dir):
 def agg_05(spark, sf_dir):
     return _p(spark, sf_dir).model_performance
 
-
-__all__ = ["testdata"]

@@ -119,3 +119,26 @@ def test_scan_is_pruned(spark):
     df = p.silver["transactions"].select("transaction_id", "amount_usd")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan or "event_id:bigint,value:double" in plan
+
+
+def test_top_k_per_key_exact(spark):
+    from cardsentry.operators.skew import top_k_per_key
+    rows = [(i % 3, i, float((i * 7919) % 101)) for i in range(600)]     # key 0..2, 200 rows each
+    df = spark.createDataFrame(rows, "k long, transaction_id long, v double")
+    got = sorted((r.k, r.transaction_id) for r in top_k_per_key(df, "k", ["v", "transaction_id"], 5, salts=7).collect())
+    want = []
+    for k in range(3):
+        mine = sorted([r for r in rows if r[0] == k], key=lambda r: (r[2], r[1]), reverse=True)[:5]
+        want += [(k, r[1]) for r in mine]
+    assert got == sorted(want)
+
+
+def test_hot_key_guard(spark):
+    import pytest as _pt
+    from cardsentry.operators import skew
+    df = spark.range(100).selectExpr("id % 10 AS card_id", "id AS epoch")
+    spec = skew.SliceSpec("card_id", "epoch", ("epoch",), 1, 60)
+    assert skew.hot_keys(df, spec, threshold=100) is None
+    assert skew.hot_keys(df, spec, threshold=5).count() == 10
+    with _pt.raises(ValueError):
+        skew.hot_keys(df, spec, threshold=5, max_hot=3)

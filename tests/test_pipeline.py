@@ -39,7 +39,11 @@ def _landing(spark, root):
 def test_batch_stream_retrain(spark, tmp):
     land, wh = f"{tmp}/landing", f"{tmp}/wh"
     _landing(spark, land)
-    counts = pipeline.batch_build(spark, land, wh, f"{tmp}/ck")
+    import datetime as _dt
+    now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    counts = pipeline.batch_build(spark, land, wh, f"{tmp}/ck", as_of=now)
+    fresh = spark.read.parquet(f"{wh}/quality/freshness")
+    assert fresh.count() == 6 and fresh.filter("status <> 'pass'").count() == 0
     assert counts["fct_transactions"] == 1000
     assert counts["agg_fraud_by_hour"] > 0
     q = spark.read.parquet(f"{wh}/quality/last_run")
