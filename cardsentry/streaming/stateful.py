@@ -12,6 +12,8 @@ means); stream/batch agreement is asserted in the tests.
 """
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -47,14 +49,26 @@ def card_features(hist: pd.DataFrame, new: pd.DataFrame) -> tuple[pd.DataFrame,
     rows = rows.sort_values(["epoch", "ts_us", "transaction_id"], kind="mergesort").reset_index(drop=True)
     ep = rows["epoch"].to_numpy(dtype=np.int64)
     amt = rows["amount_usd"].astype(float)
-    cents = np.round(amt.to_numpy() * 100).astype(np.int64)
+    cents_f = np.round(amt.to_numpy(dtype=float) * 100)
     prev_ep = pd.Series(ep).shift(1)
     prev_lat, prev_lon = rows["lat"].shift(1), rows["lon"].shift(1)
-    shifted = pd.Series(cents, dtype="float64").shift(1)
-    n_prev = shifted.rolling(feat.AMOUNT_ROWS, min_periods=1).count().fillna(0).to_numpy(dtype=np.int64)
-    csum = shifted.rolling(feat.AMOUNT_ROWS, min_periods=1).sum().fillna(0).to_numpy(dtype=np.int64)
-    mean = _exact_mean(csum, n_prev)
-    std = amt.shift(1).rolling(feat.AMOUNT_ROWS, min_periods=2).std(ddof=1).to_numpy()
+    # Same integer formulas as the Spark windows: totals over the previous
+    # AMOUNT_ROWS rows as differences of running sums (Python ints: exact).
+    k = feat.AMOUNT_ROWS
+    valid = ~np.isnan(amt.to_numpy(dtype=float))
+    c_obj = np.array([int(x) if v else 0 for x, v in zip(np.nan_to_num(cents_f), valid)], dtype=object)
+    run_s = np.concatenate([[0], np.cumsum(c_obj)]).astype(object)
+    run_q = np.concatenate([[0], np.cumsum(c_obj * c_obj)]).astype(object)
+    idx = np.arange(len(rows))
+    lo = np.maximum(idx - k, 0)
+    run_n = np.concatenate([[0], np.cumsum(valid.astype(np.int64))])
+    n_prev = (run_n[idx] - run_n[lo]).astype(np.int64)
+    csum = run_s[idx] - run_s[lo]
+    qsum = run_q[idx] - run_q[lo]
+    mean = _exact_mean(np.array(csum, dtype=np.int64), n_prev)
+    var_num = n_prev.astype(object) * qsum - csum * csum
+    std = np.array([math.sqrt(float(v) / float(m * (m - 1)) / 1e4) if m > 1 else np.nan
+                    for v, m in zip(var_num, n_prev)])
     counts = {}
     for s in feat.VELOCITY_SECONDS:
         counts[s] = np.searchsorted(ep, ep, side="right") - np.searchsorted(ep, ep - s, side="left")
