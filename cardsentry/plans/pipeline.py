@@ -15,12 +15,13 @@ from ..streaming import ingest as ing, scoring
 
 
 def silver_from_bronze(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
+    """Typed, de-duplicated silver tables.  A file delivered twice lands twice
+    in bronze; the latest delivery (``_ingest_ts``) of each key is kept."""
     raw = {t: ing.read_bronze(spark, f"{bronze}/raw_{t}") for t in list(files.TOPICS) + list(files.REFERENCE)}
-    s = staging.silver(raw)
-    # Silver is de-duplicated: a file delivered twice lands twice in bronze.
-    s["transactions"] = staging.dedup_latest(s["transactions"], "transaction_id", "event_ts")
-    s["auth_events"] = staging.dedup_latest(s["auth_events"], "transaction_id", "auth_ts")
-    return s
+    keys = {"transactions": "transaction_id", "auth_events": "transaction_id", "chargebacks": "chargeback_id"}
+    for t, k in keys.items():
+        raw[t] = staging.dedup_latest(raw[t], k, "_ingest_ts")
+    return staging.silver(raw)
 
 
 def source_freshness(spark: SparkSession, bronze: str, as_of: str, warn_after_hours: float = 12,

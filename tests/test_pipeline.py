@@ -48,6 +48,11 @@ def test_batch_stream_retrain(spark, tmp):
     assert counts["agg_fraud_by_hour"] > 0
     q = spark.read.parquet(f"{wh}/quality/last_run")
     assert q.filter("status = 'fail'").count() == 0
+    # a re-delivered file (same transactions, later ingestion) must not duplicate facts
+    dup = spark.read.json(f"{land}/transactions").limit(10)
+    dup.write.mode("append").json(f"{land}/transactions/event_date=2024-01-05")
+    counts2 = pipeline.batch_build(spark, land, wh, f"{tmp}/ck")
+    assert counts2["fct_transactions"] == 1000
     sq = pipeline.streaming_job(spark, wh, f"{tmp}/registry", f"{tmp}/ck/scoring", once=True)
     sq.awaitTermination()
     from cardsentry.sources.tables import VersionedTable
