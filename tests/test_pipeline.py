@@ -59,5 +59,8 @@ def test_batch_stream_retrain(spark, tmp):
     alerts = VersionedTable(spark, f"{wh}/gold/live_fraud_alerts").read()
     assert alerts.count() == 1000
     assert alerts.select("transaction_id").distinct().count() == 1000
+    tr = pipeline.train_job(spark, wh, f"{tmp}/registry", "2024-01-24", maxIter=3, maxDepth=3)
+    rep = spark.read.parquet(f"{tmp}/registry/reports/{tr['run_id']}")
+    assert sorted(r["class"] for r in rep.collect()) == ["0", "1", "accuracy", "macro avg", "weighted avg"]
     res = pipeline.retrain_job(spark, wh, f"{tmp}/registry", as_of="2024-03-20", maxIter=3, maxDepth=3)
     assert res["run_id"] and "pr_auc" in res
