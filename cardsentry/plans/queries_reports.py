@@ -15,7 +15,7 @@ def _p(spark, sf_dir):
 
 # ---------------------------------------------------------------- tiles
 @register("agg_06_tile_daily_fraud", q(f"""
-SELECT event_date, sum(txn_count) AS transactions,
+SELECT event_date, CAST(sum(txn_count) AS BIGINT) AS transactions,
        {sround(msum('fraud_usd'), 0)} AS fraud_dollars,
        {sround('CAST(100.0 AS DOUBLE) * sum(fraud_count) / sum(txn_count)', 3)} AS fraud_rate_pct
 FROM agg_fraud_by_hour GROUP BY event_date ORDER BY event_date"""))
@@ -24,7 +24,7 @@ def agg_06(spark, sf_dir):
 
 
 @register("agg_07_tile_hour_heatmap", q(f"""
-SELECT event_hour, {xmean('fraud_rate_pct', 4, 3)} AS avg_fraud_rate_pct, sum(fraud_count) AS fraud_count
+SELECT event_hour, {xmean('fraud_rate_pct', 4, 3)} AS avg_fraud_rate_pct, CAST(sum(fraud_count) AS BIGINT) AS fraud_count
 FROM agg_fraud_by_hour GROUP BY event_hour ORDER BY event_hour"""))
 def agg_07(spark, sf_dir):
     return reports.tile_hour_heatmap(_p(spark, sf_dir).agg_fraud_by_hour)
