@@ -3,8 +3,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import uuid
+
 from ..operators import features as feat
+from ..session import scratch_path
 from ..streaming import scoring
+from ..streaming.stateful import stateful_features
 from .catalog import register
 from .context import Pipeline, report_rounded
 from .oracle import q
@@ -21,3 +25,23 @@ def str_07(spark, sf_dir):
     batch_of = F.floor((F.dayofmonth("event_ts") - 1) / 8).cast("int")
     f = scoring.features_in_batches(p.silver["transactions"], cards, merchants, batch_of, [0, 1, 2, 3])
     return report_rounded(f)
+
+
+@register("str_10_state_store_features", q(f"SELECT {_sql_feats(feat.OUTPUT_COLS)} FROM features"))
+def str_10(spark, sf_dir):
+    """All transactions land as four event-time files (days 1-8, 9-16, 17-24,
+    25-31) in the shared checkpoint folder and are streamed, one file per
+    micro-batch, through the state-store feature operator; the written
+    features equal the batch features."""
+    p = Pipeline.get(spark, sf_dir)
+    cards, merchants = p.dims
+    txn = p.silver["transactions"].select(*feat.TXN_COLS)
+    root = scratch_path(spark, f"str10-{uuid.uuid4().hex}")
+    day = F.floor((F.dayofmonth("event_ts") - 1) / 8)
+    for k in range(4):
+        txn.filter(day == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    q = (stateful_features(stream, cards, merchants).writeStream.format("parquet")
+         .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start(f"{root}/out"))
+    q.awaitTermination()
+    return report_rounded(spark.read.parquet(f"{root}/out"))

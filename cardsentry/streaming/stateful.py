@@ -12,8 +12,6 @@ means); stream/batch agreement is asserted in the tests.
 """
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -42,58 +40,78 @@ def _exact_mean(cents_sum: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, q / 1e6, np.nan)
 
 
-def card_features(hist: pd.DataFrame, new: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """Features of ``new`` rows of one card given its stored ``hist`` rows;
-    returns (feature rows, new bounded history)."""
-    rows = pd.concat([hist.assign(_new=False), new.assign(_new=True)], ignore_index=True)
-    rows = rows.sort_values(["epoch", "ts_us", "transaction_id"], kind="mergesort").reset_index(drop=True)
-    ep = rows["epoch"].to_numpy(dtype=np.int64)
-    amt = rows["amount_usd"].astype(float)
-    cents_f = np.round(amt.to_numpy(dtype=float) * 100)
-    prev_ep = pd.Series(ep).shift(1)
-    prev_lat, prev_lon = rows["lat"].shift(1), rows["lon"].shift(1)
-    # Same integer formulas as the Spark windows: totals over the previous
-    # AMOUNT_ROWS rows as differences of running sums (Python ints: exact).
-    k = feat.AMOUNT_ROWS
-    valid = ~np.isnan(amt.to_numpy(dtype=float))
-    c_obj = np.array([int(x) if v else 0 for x, v in zip(np.nan_to_num(cents_f), valid)], dtype=object)
-    run_s = np.concatenate([[0], np.cumsum(c_obj)]).astype(object)
-    run_q = np.concatenate([[0], np.cumsum(c_obj * c_obj)]).astype(object)
-    idx = np.arange(len(rows))
-    lo = np.maximum(idx - k, 0)
-    run_n = np.concatenate([[0], np.cumsum(valid.astype(np.int64))])
-    n_prev = (run_n[idx] - run_n[lo]).astype(np.int64)
-    csum = run_s[idx] - run_s[lo]
-    qsum = run_q[idx] - run_q[lo]
-    mean = _exact_mean(np.array(csum, dtype=np.int64), n_prev)
-    var_num = n_prev.astype(object) * qsum - csum * csum
-    std = np.array([math.sqrt(float(v) / float(m * (m - 1)) / 1e4) if m > 1 else np.nan
-                    for v, m in zip(var_num, n_prev)])
-    counts = {}
-    for s in feat.VELOCITY_SECONDS:
-        counts[s] = np.searchsorted(ep, ep, side="right") - np.searchsorted(ep, ep - s, side="left")
-    gap = ep - prev_ep.to_numpy()
-    prev_km = np.nan_to_num(_hav(rows["lat"].to_numpy(float), rows["lon"].to_numpy(float),
-                                 prev_lat.to_numpy(float), prev_lon.to_numpy(float)), nan=0.0)
-    out = rows.assign(
-        amount_log=np.log1p(amt.to_numpy()),
-        seconds_since_prev=np.where(np.isnan(gap), feat.NO_PREVIOUS, gap).astype(np.int64),
-        geo_distance_from_home_km=_hav(rows["lat"].to_numpy(float), rows["lon"].to_numpy(float),
-                                       rows["home_lat"].to_numpy(float), rows["home_lon"].to_numpy(float)),
-        geo_distance_from_prev_km=prev_km,
-        is_new_device=((rows["device_id"] != rows["primary_device_id"])
-                       & rows["device_id"].notna() & rows["primary_device_id"].notna()).astype(np.int32),
-        mcc_risk=rows["baseline_fraud_rate"].astype(float).fillna(0.0),
-        amount_zscore=np.where(np.isnan(std) | (std == 0), 0.0, (amt.to_numpy() - mean) / np.where(std == 0, 1, std)),
-        txn_count_60s=counts[feat.VELOCITY_SECONDS[0]].astype(np.int64),
-        txn_count_1h=counts[feat.VELOCITY_SECONDS[1]].astype(np.int64),
-        implied_speed_kmh=np.where(np.nan_to_num(gap, nan=0.0) <= 0, 0.0,
-                                   prev_km / (np.where(np.isnan(gap) | (gap <= 0), 1, gap) / 3600.0)),
-    )
-    emitted = out[out["_new"]]
-    newest = ep.max()
-    keep = (np.arange(len(rows)) >= len(rows) - feat.AMOUNT_ROWS) | (ep >= newest - max(feat.VELOCITY_SECONDS))
-    return emitted, rows.loc[keep, HISTORY]
+def _frame_totals(run: np.ndarray, idx: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return run[idx] - run[lo]
+
+
+def card_features(hist: dict, new: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
+    """Features of ``new`` rows of one card given its stored history arrays
+    ``hist`` (columns of HISTORY); returns (feature rows, new history)."""
+    n_h, n_n = len(hist["epoch"]), len(new)
+    col = {c: np.concatenate([np.asarray(hist[c]), new[c].to_numpy()]) for c in HISTORY}
+    ep = col["epoch"].astype(np.int64)
+    ts = col["ts_us"].astype(np.int64)
+    tid = col["transaction_id"]
+    tid_key = tid.astype(str) if tid.dtype == object else tid
+    order = np.lexsort((tid_key, ts, ep))
+    is_new = np.r_[np.zeros(n_h, bool), np.ones(n_n, bool)][order]
+    ep, ts = ep[order], ts[order]
+    amt = col["amount_usd"].astype(float)[order]
+    lat, lon = col["lat"].astype(float)[order], col["lon"].astype(float)[order]
+    n = len(ep)
+    idx = np.arange(n)
+    lo = np.maximum(idx - feat.AMOUNT_ROWS, 0)
+
+    valid = ~np.isnan(amt)
+    cents = np.where(valid, np.round(np.nan_to_num(amt) * 100), 0).astype(np.int64)
+    run_n = np.r_[0, np.cumsum(valid.astype(np.int64))]
+    n_prev = _frame_totals(run_n, idx, lo)
+    run_s = np.r_[0, np.cumsum(cents)]
+    csum = _frame_totals(run_s, idx, lo)
+    mean = _exact_mean(csum, n_prev)
+    if n and np.abs(cents).max() < 60_000_000:          # n*sum(x^2) and sum(x)^2 stay inside int64
+        run_q = np.r_[0, np.cumsum(cents * cents)]
+        var_num = n_prev * _frame_totals(run_q, idx, lo) - csum * csum
+    else:                                               # exact with Python integers
+        c_obj = cents.astype(object)
+        run_q = np.r_[0, np.cumsum(c_obj * c_obj)].astype(object)
+        var_num = n_prev.astype(object) * (run_q[idx] - run_q[lo]) - csum.astype(object) * csum.astype(object)
+    den = (n_prev * (n_prev - 1)).astype(float)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        std = np.where(n_prev > 1, np.sqrt(np.asarray(var_num, dtype=float) / np.where(den > 0, den, 1) / 1e4), np.nan)
+
+    counts = {s: np.searchsorted(ep, ep, side="right") - np.searchsorted(ep, ep - s, side="left")
+              for s in feat.VELOCITY_SECONDS}
+    prev_ep = np.r_[np.nan, ep[:-1].astype(float)] if n else np.array([])
+    gap = ep - prev_ep
+    prev_lat, prev_lon = np.r_[np.nan, lat[:-1]], np.r_[np.nan, lon[:-1]]
+    prev_km = np.nan_to_num(_hav(lat, lon, prev_lat, prev_lon), nan=0.0)
+
+    # the new rows in their sorted order
+    pos = order[is_new] - n_h
+    out = new.iloc[pos].reset_index(drop=True)
+    sel = is_new
+    a, g, z_std, z_mean = amt[sel], gap[sel], std[sel], mean[sel]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        z = np.where(np.isnan(z_std) | (z_std == 0), 0.0, (a - z_mean) / np.where(z_std == 0, 1, z_std))
+        speed = np.where(np.nan_to_num(g, nan=0.0) <= 0, 0.0,
+                         prev_km[sel] / (np.where(np.isnan(g) | (g <= 0), 1, g) / 3600.0))
+    dev, prim = out["device_id"], out["primary_device_id"]
+    out["amount_log"] = np.log1p(a)
+    out["seconds_since_prev"] = np.where(np.isnan(g), feat.NO_PREVIOUS, g).astype(np.int64)
+    out["geo_distance_from_home_km"] = _hav(lat[sel], lon[sel], out["home_lat"].to_numpy(float),
+                                            out["home_lon"].to_numpy(float))
+    out["geo_distance_from_prev_km"] = prev_km[sel]
+    out["is_new_device"] = ((dev != prim) & dev.notna() & prim.notna()).astype(np.int32)
+    out["mcc_risk"] = out["baseline_fraud_rate"].astype(float).fillna(0.0)
+    out["amount_zscore"] = z
+    out["txn_count_60s"] = counts[feat.VELOCITY_SECONDS[0]][sel].astype(np.int64)
+    out["txn_count_1h"] = counts[feat.VELOCITY_SECONDS[1]][sel].astype(np.int64)
+    out["implied_speed_kmh"] = speed
+
+    keep = (idx >= n - feat.AMOUNT_ROWS) | (ep >= ep.max() - max(feat.VELOCITY_SECONDS)) if n else idx >= 0
+    srt = {"epoch": ep, "ts_us": ts, "transaction_id": tid[order], "amount_usd": amt, "lat": lat, "lon": lon}
+    return out, {c: srt[c][keep] for c in HISTORY}
 
 
 def _output_schema(stream: DataFrame) -> StructType:
@@ -130,12 +148,13 @@ def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame)
     out_cols = feat.OUTPUT_COLS
 
     def step(key, pdfs, state):
-        new = pd.concat(list(pdfs), ignore_index=True)
+        frames = list(pdfs)
+        new = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if state.exists:
             arrs = state.get
-            hist = pd.DataFrame({c: list(arrs[i]) for i, c in enumerate(HISTORY)})
+            hist = {c: np.asarray(arrs[i]) for i, c in enumerate(HISTORY)}
         else:
-            hist = pd.DataFrame({c: pd.Series(dtype=new[c].dtype) for c in HISTORY})
+            hist = {c: np.asarray([], dtype=new[c].dtype) for c in HISTORY}
         emitted, keep = card_features(hist, new)
         state.update(tuple(keep[c].tolist() for c in HISTORY))
         yield emitted[out_cols]
