@@ -57,10 +57,14 @@ def ingest_all(spark: SparkSession, landing: str, bronze: str, checkpoints: str,
                once: bool = True) -> dict[str, int]:
     """The three bronze streams plus the reference snapshots.  Returns the
     bronze row counts."""
+    started = []
     for topic, schema in files.TOPICS.items():
         sch, _ = evolve_schema(spark, f"{landing}/{topic}", f"{checkpoints}/{topic}/schema", schema)
-        q = ingest(spark, f"{landing}/{topic}", f"{bronze}/raw_{topic}", f"{checkpoints}/{topic}/commit",
-                   sch, once=once)
+        started.append(ingest(spark, f"{landing}/{topic}", f"{bronze}/raw_{topic}",
+                              f"{checkpoints}/{topic}/commit", sch, once=once))
+    if not once:
+        return {}
+    for q in started:          # the three streams run concurrently
         q.awaitTermination()
     files.load_reference_snapshots(spark, landing, bronze)
     return {t: read_bronze(spark, f"{bronze}/raw_{t}").count() for t in list(files.TOPICS) + list(files.REFERENCE)}
