@@ -80,15 +80,15 @@ def with_context(rows: DataFrame, spec: SliceSpec) -> DataFrame:
     core = rows.withColumn(SLICE, F.floor(ep / w).cast("bigint")).withColumn(CTX, F.lit(False))
     cols = core.columns
 
-    # Range halo: row at epoch e is context for slices j with j*w - back <= e < j*w.
+    # Core rows and the range halo in one pass: a row at epoch e belongs to its
+    # own slice and is context for slices j with j*w - back <= e < j*w.
     last_reached = F.floor((ep + F.lit(spec.secs_back)) / w).cast("bigint")
-    halo = (core.filter(last_reached > F.col(SLICE))
-            .withColumn("_t", F.explode(F.sequence(F.col(SLICE) + 1, last_reached)))
-            .withColumn(SLICE, F.col("_t")).withColumn(CTX, F.lit(True))
-            .select(*cols))
+    with_halo = (core.withColumn("_t", F.explode(F.sequence(F.col(SLICE), F.greatest(last_reached, F.col(SLICE)))))
+                 .withColumn(CTX, F.col("_t") != F.col(SLICE)).withColumn(SLICE, F.col("_t"))
+                 .select(*cols))
 
     if spec.rows_back <= 0:
-        return core.unionByName(halo)
+        return with_halo
     # Row halo from the per-slice tails.
     order_desc = [F.col(c).desc() for c in spec.order]
     order_asc = [F.col(c).asc() for c in spec.order]
@@ -103,7 +103,7 @@ def with_context(rows: DataFrame, spec: SliceSpec) -> DataFrame:
            .filter(ep < F.col("_t") * w - F.lit(spec.secs_back))
            .withColumn(SLICE, F.col("_t")).withColumn(CTX, F.lit(True))
            .select(*cols))
-    return core.unionByName(halo).unionByName(ctx)
+    return with_halo.unionByName(ctx)
 
 
 def partition_cols(spec: SliceSpec, sliced: bool) -> list[str]:
