@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import gold, incremental
-from ..operators import features as feat
 from .catalog import register
 from .context import Pipeline, ntz, report_rounded
 from .oracle import q

@@ -1,8 +1,6 @@
 """Dashboard tiles, KPIs, ordering and set operations."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import reports
 from .catalog import register
 from .context import Pipeline, ntz
