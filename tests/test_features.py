@@ -142,3 +142,26 @@ def test_hot_key_guard(spark):
     assert skew.hot_keys(df, spec, threshold=5).count() == 10
     with _pt.raises(ValueError):
         skew.hot_keys(df, spec, threshold=5, max_hot=3)
+
+
+def test_large_dimension_shares_the_window_shuffle(spark):
+    """Beyond the broadcast bound the card join is a sort-merge join on
+    card_id and the windows reuse its partitioning: transactions are
+    shuffled once."""
+    from cardsentry.plans.context import Pipeline
+    p = Pipeline.get(spark, "/root/testdata/sf0.001")
+    s = p.silver
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = feat.compute_features(s["transactions"], s["cards"], s["merchants"], max_broadcast_rows=10)
+        plan = f._jdf.queryExecution().executedPlan().toString()
+        txn_exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning(card_id" in l]
+        assert "SortMergeJoin" in plan
+        assert len(txn_exchanges) == 2          # transactions side + cards side, nothing for the windows
+        a = sorted(f.select("transaction_id", *feat.FEATURES).collect())
+        b = sorted(p.features.select("transaction_id", *feat.FEATURES).collect())
+        assert a == b
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
