@@ -41,7 +41,15 @@ def str_10(spark, sf_dir):
     for k in range(4):
         txn.filter(day == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
     stream = spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    q = (stateful_features(stream, cards, merchants).writeStream.format("parquet")
-         .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start(f"{root}/out"))
+    # The stateful operator keeps the partition count it starts with (one
+    # state store per partition); size it to the cores, not the batch default.
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   str(max(1, min(int(prev), spark.sparkContext.defaultParallelism))))
+    try:
+        q = (stateful_features(stream, cards, merchants).writeStream.format("parquet")
+             .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start(f"{root}/out"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
     return report_rounded(spark.read.parquet(f"{root}/out"))

@@ -97,3 +97,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cardsentry`` importable in Python workers (needed where a
+    Python function runs on executors, e.g. ``applyInPandasWithState``).
+
+    The package is zipped once per SparkContext and added with ``addPyFile``,
+    which distributes it to every executor, as ``--py-files`` would.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_cardsentry_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="cardsentry-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, names in os.walk(pkg):
+            if "__pycache__" in root:
+                continue
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(root, n)
+                    z.write(full, os.path.join("cardsentry", os.path.relpath(full, pkg)))
+    sc.addPyFile(path)
+    sc._cardsentry_shipped = True

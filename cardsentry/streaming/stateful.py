@@ -21,6 +21,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, Int
 
 from ..functions.geo import EARTH_RADIUS_KM
 from ..operators import features as feat
+from ..session import ship_package
 
 HISTORY = ["epoch", "ts_us", "transaction_id", "amount_usd", "lat", "lon"]
 
@@ -140,6 +141,7 @@ def _state_schema(stream: DataFrame) -> StructType:
 def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame) -> DataFrame:
     """Feature rows for a stream of staged transactions (one output row per
     input row), with per-card history in the state store."""
+    ship_package(stream.sparkSession)
     s = feat.with_epoch(stream.select(*feat.TXN_COLS)).withColumn("ts_us", F.unix_micros("event_ts"))
     s = (s.join(F.broadcast(merchants.select(*feat.MERCHANT_COLS)), "merchant_id", "left")
           .join(F.broadcast(cards.select(*feat.CARD_COLS)), "card_id", "left"))
