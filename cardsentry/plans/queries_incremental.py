@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import gold, incremental
+from ..session import checkpoint_dir
 from .catalog import register
 from .context import Pipeline, ntz, report_rounded
 from .oracle import q
@@ -41,7 +42,10 @@ def src_15(spark, sf_dir):
     s = p.silver
     old_txn, new_txn, old_auth, new_auth, old_cb, new_cb = _split(p)
     cards, merchants = p.dims
-    prev = gold.fct_transactions(p.compute_features(old_txn), old_auth, old_cb)
+    # The previous fact is a stored table in the pipeline: materialise it once
+    # (reliable checkpoint) instead of re-deriving it for each of its uses.
+    checkpoint_dir(spark)
+    prev = gold.fct_transactions(p.compute_features(old_txn), old_auth, old_cb).checkpoint(eager=True)
     merged = incremental.refresh_fact(
         prev, txn=s["transactions"], auth=s["auth_events"], chargebacks=s["chargebacks"], cards=cards,
         merchants=merchants, new_txn=new_txn, new_auth=new_auth, new_chargebacks=new_cb, broadcast_dims=False)
