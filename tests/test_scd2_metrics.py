@@ -120,3 +120,23 @@ def test_time_and_quantile_split(spark):
     assert {r["split"]: r["count"] for r in q.collect()} == {"train": 8, "test": 2}
     t = metrics.time_split(df, "2024-01-05").groupBy("split").count()
     assert {r["split"]: r["count"] for r in t.collect()} == {"train": 4, "test": 6}
+
+
+def test_duplicate_chargebacks_do_not_fan_out_the_fact(spark):
+    """Two chargebacks for one transaction: one fact row, earliest reason."""
+    from cardsentry.operators import gold
+    from cardsentry.operators.features import OUTPUT_COLS
+    feats = spark.createDataFrame([(1,), (2,)], "transaction_id long")
+    for c in OUTPUT_COLS:
+        if c != "transaction_id":
+            feats = feats.withColumn(c, F.lit(None).cast("string") if c in ("entry_mode", "merchant_category",
+                                                                            "fraud_type_label") else F.lit(None))
+    feats = feats.withColumn("event_ts", F.lit("2024-01-01 10:00:00").cast("timestamp"))
+    auth = spark.createDataFrame([], "transaction_id long, is_approved boolean, decline_reason string")
+    cb = spark.createDataFrame(
+        [("CB2", 1, "dispute", datetime(2024, 1, 20)), ("CB1", 1, "fraud", datetime(2024, 1, 12))],
+        "chargeback_id string, transaction_id long, reason_code string, settle_ts timestamp")
+    fact = {r.transaction_id: r for r in gold.fct_transactions(feats, auth, cb).collect()}
+    assert len(fact) == 2
+    assert fact[1].is_confirmed_fraud and fact[1].chargeback_reason == "fraud"
+    assert not fact[2].is_confirmed_fraud and fact[2].is_approved
