@@ -49,6 +49,9 @@ def batch_build(spark: SparkSession, landing: str, warehouse: str, checkpoints:
         if stale:
             raise RuntimeError(f"stale sources: {[r['table_name'] for r in stale]}")
     s = silver_from_bronze(spark, bronze)
+    # values present in bronze that fail their typed cast (NULL in silver)
+    staging.rejects(ing.read_bronze(spark, f"{bronze}/raw_transactions"), staging.TRANSACTION_CASTS) \
+        .write.mode("overwrite").parquet(f"{warehouse}/quality/rejects_transactions")
     feats = feat.compute_features(s["transactions"], s["cards"], s["merchants"], hot_card_rows=hot_card_rows)
     fact = gold.fct_transactions(feats, s["auth_events"], s["chargebacks"])
     fact.write.mode("overwrite").partitionBy("event_date").parquet(f"{warehouse}/gold/fct_transactions")

@@ -46,6 +46,8 @@ def test_batch_stream_retrain(spark, tmp):
     assert fresh.count() == 6 and fresh.filter("status <> 'pass'").count() == 0
     assert counts["fct_transactions"] == 1000
     assert counts["agg_fraud_by_hour"] > 0
+    rej = spark.read.parquet(f"{wh}/quality/rejects_transactions").first()
+    assert all(v == 0 for v in rej.asDict().values())
     q = spark.read.parquet(f"{wh}/quality/last_run")
     assert q.filter("status = 'fail'").count() == 0
     # a re-delivered file (same transactions, later ingestion) must not duplicate facts
