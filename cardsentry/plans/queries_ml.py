@@ -142,7 +142,7 @@ SELECT transaction_id, card_id, event_ts, amount_usd, burst_count FROM (
   FROM fct_transactions WHERE entry_mode = 'online' AND amount_usd < {detect.TESTING_MAX_AMOUNT})
 WHERE burst_count >= {detect.TESTING_MIN_COUNT}"""))
 def det_01(spark, sf_dir):
-    return ntz(detect.card_testing(_p(spark, sf_dir).fact))
+    return ntz(detect.card_testing(_p(spark, sf_dir).features))
 
 
 @register("det_01b_card_testing_hot_slices", q(f"""
@@ -151,7 +151,7 @@ SELECT transaction_id, card_id, event_ts, amount_usd, burst_count FROM (
   FROM fct_transactions WHERE entry_mode = 'online' AND amount_usd < {detect.TESTING_MAX_AMOUNT})
 WHERE burst_count >= {detect.TESTING_MIN_COUNT}"""))
 def det_01b(spark, sf_dir):
-    return ntz(detect.card_testing(_p(spark, sf_dir).fact, hot_threshold=5))
+    return ntz(detect.card_testing(_p(spark, sf_dir).features, hot_threshold=5))
 
 
 @register("det_02_account_takeover", q(f"""
@@ -159,7 +159,7 @@ SELECT transaction_id, card_id, {sround('geo_distance_from_home_km', 3)} AS geo_
        {sround('amount_zscore', 6)} AS amount_zscore FROM fct_transactions
 WHERE is_new_device = 1 AND geo_distance_from_home_km > {detect.TAKEOVER_MIN_KM} AND amount_zscore > {detect.TAKEOVER_MIN_Z}"""))
 def det_02(spark, sf_dir):
-    d = detect.account_takeover(_p(spark, sf_dir).fact)
+    d = detect.account_takeover(_p(spark, sf_dir).features)
     return d.select("transaction_id", "card_id", F.round("geo_distance_from_home_km", 3).alias("geo_distance_from_home_km"),
                     F.round("amount_zscore", 6).alias("amount_zscore"))
 
@@ -169,7 +169,7 @@ SELECT transaction_id, card_id, {sround('geo_distance_from_prev_km', 3)} AS geo_
        seconds_since_prev, {sround('implied_speed_kmh', 2)} AS implied_speed_kmh FROM fct_transactions
 WHERE implied_speed_kmh > {detect.JET_SPEED_KMH}"""))
 def det_03(spark, sf_dir):
-    d = detect.geo_impossible(_p(spark, sf_dir).fact)
+    d = detect.geo_impossible(_p(spark, sf_dir).features)
     return d.select("transaction_id", "card_id", F.round("geo_distance_from_prev_km", 3).alias("geo_distance_from_prev_km"),
                     "seconds_since_prev", F.round("implied_speed_kmh", 2).alias("implied_speed_kmh"))
 
@@ -178,7 +178,7 @@ def det_03(spark, sf_dir):
 SELECT transaction_id, card_id, amount_usd, {sround('amount_zscore', 6)} AS amount_zscore FROM fct_transactions
 WHERE amount_zscore > {detect.ANOMALY_MIN_Z}"""))
 def det_04(spark, sf_dir):
-    d = detect.amount_anomaly(_p(spark, sf_dir).fact)
+    d = detect.amount_anomaly(_p(spark, sf_dir).features)
     return d.select("transaction_id", "card_id", "amount_usd", F.round("amount_zscore", 6).alias("amount_zscore"))
 
 
@@ -194,7 +194,7 @@ WHERE cluster_count >= {detect.COLLUSION_MIN_COUNT}"""
 @register("det_05_merchant_collusion", q(_COLLUSION_SQL))
 def det_05(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return ntz(detect.merchant_collusion(p.fact, p.dim_merchant))
+    return ntz(detect.merchant_collusion(p.features, p.dim_merchant))
 
 
 @register("det_05b_merchant_collusion_hot_slices", q(_COLLUSION_SQL))
@@ -202,11 +202,11 @@ def det_05b(spark, sf_dir):
     """Every high-risk merchant with more than 30 rows is sliced (exactness
     check of the hot-merchant path on whole tables)."""
     p = _p(spark, sf_dir)
-    return ntz(detect.merchant_collusion(p.fact, p.dim_merchant, hot_threshold=30))
+    return ntz(detect.merchant_collusion(p.features, p.dim_merchant, hot_threshold=30))
 
 
 @register("det_06_diurnal_profile", q("""
 , per AS (SELECT CAST(hour(event_ts) AS INTEGER) AS event_hour, count(*) AS txns FROM fct_transactions GROUP BY 1)
 SELECT event_hour, txns, CAST(txns AS DOUBLE) / (SELECT sum(txns) FROM per) AS share FROM per"""))
 def det_06(spark, sf_dir):
-    return detect.diurnal_profile(_p(spark, sf_dir).fact)
+    return detect.diurnal_profile(_p(spark, sf_dir).features)
