@@ -140,3 +140,19 @@ def test_duplicate_chargebacks_do_not_fan_out_the_fact(spark):
     assert len(fact) == 2
     assert fact[1].is_confirmed_fraud and fact[1].chargeback_reason == "fraud"
     assert not fact[2].is_confirmed_fraud and fact[2].is_approved
+
+
+def test_scd2_table_matches_in_memory_history_and_replays(spark, tmp):
+    from cardsentry.sources import testdata
+    sf = "/root/testdata/sf0.001"
+    s1, s2 = testdata.card_snapshot(spark, sf, 1), testdata.card_snapshot(spark, sf, 2)
+    t1, t2, t3 = testdata.SNAPSHOT_1, testdata.SNAPSHOT_2, testdata.SNAPSHOT_3
+    table = scd2.SCD2Table(spark, f"{tmp}/cards_scd2")
+    for snap, t in [(s1, t1), (s2, t2), (s1, t3)]:
+        table.apply(snap, "card_id", testdata.CARD_CHECK_COLS, t)
+    table.apply(s1, "card_id", testdata.CARD_CHECK_COLS, t3)          # replay of the last apply
+    want = None
+    for snap, t in [(s1, t1), (s2, t2), (s1, t3)]:
+        want = scd2.scd2_apply(want, snap, "card_id", testdata.CARD_CHECK_COLS, t)
+    cols = want.columns
+    assert sorted(table.history().select(*cols).collect()) == sorted(want.collect())
