@@ -79,10 +79,11 @@ def batch_build(spark: SparkSession, landing: str, warehouse: str, checkpoints:
 
 
 def streaming_job(spark: SparkSession, warehouse: str, registry_root: str, checkpoints: str | None = None,
-                  once: bool = False, stateful: bool = False):
+                  once: bool = False, stateful: bool = True):
     """Score new bronze transactions with the champion model (rule score if
-    no champion exists yet).  ``stateful`` keeps card history in the state
-    store (``applyInPandasWithState``) instead of a history table."""
+    no champion exists yet).  By default card history lives in the state
+    store (``applyInPandasWithState``); ``stateful=False`` uses the
+    foreachBatch scorer with a versioned history table."""
     ensure_utc(spark)
     ckpt = checkpoints or f"{checkpoint_dir(spark)}/scoring"
     s = silver_from_bronze(spark, f"{warehouse}/bronze")
