@@ -87,7 +87,7 @@ def windowed(df: DataFrame, parts: list[str]) -> DataFrame:
     mean_q = F.floor((F.abs(num) * 2 + n) / (n * 2)) * F.signum(num).cast(dec)
     var_num = n * F.col("_q") - F.col("_s") * F.col("_s")          # n*sum(x^2) - (sum x)^2, exact
     return step2.select(
-        *[c for c in step2.columns if not c.startswith("_") or c.startswith("_cnt_") or c in ("_ctx", "_slice", "_slice_w")],
+        *[c for c in step2.columns if c not in ("_cs", "_cq", "_cn", "_s", "_q", "_n")],
         F.when(F.col("_n") > 0, mean_q.cast("double") / 1e6).alias("card_amount_mean"),
         F.when(F.col("_n") > 1, F.sqrt(var_num.cast("double") / (n * (n - 1)).cast("double") / 1e4))
          .alias("card_amount_std"),
