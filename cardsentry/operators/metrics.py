@@ -87,16 +87,24 @@ def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "labe
         arr = F.array(*[F.lit(float(b)) for b in bounds])
         # bucket 0 holds the highest scores
         per = per.withColumn("_b", F.size(F.filter(arr, lambda b: b >= F.col("score"))))
-    tot = per.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    # Offsets and grand totals over the range table (at most `buckets` rows).
-    prior = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    off = tot.select("_b", F.coalesce(F.sum("_bp").over(prior), F.lit(0)).alias("_op"),
-                     F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"),
-                     F.sum("_bp").over(every).cast("bigint").alias("n_pos"),
-                     F.sum("_bn").over(every).cast("bigint").alias("n_neg"))
     run = Window.partitionBy("_b").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cur = (per.join(F.broadcast(off), "_b")
+    if buckets == 1:
+        # one range (at most scores_per_bucket rows): no offsets, totals by window
+        whole = Window.partitionBy("_b")
+        with_off = (per.withColumn("_op", F.lit(0).cast("bigint")).withColumn("_on", F.lit(0).cast("bigint"))
+                    .withColumn("n_pos", F.sum("pos").over(whole).cast("bigint"))
+                    .withColumn("n_neg", F.sum("neg").over(whole).cast("bigint")))
+    else:
+        tot = per.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
+        # Offsets and grand totals over the range table (at most `buckets` rows).
+        prior = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        every = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        off = tot.select("_b", F.coalesce(F.sum("_bp").over(prior), F.lit(0)).alias("_op"),
+                         F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"),
+                         F.sum("_bp").over(every).cast("bigint").alias("n_pos"),
+                         F.sum("_bn").over(every).cast("bigint").alias("n_neg"))
+        with_off = per.join(F.broadcast(off), "_b")
+    cur = (with_off
            .withColumn("tp", (F.sum("pos").over(run) + F.col("_op")).cast("bigint"))
            .withColumn("fp", (F.sum("neg").over(run) + F.col("_on")).cast("bigint")))
     p = F.col("tp") / (F.col("tp") + F.col("fp"))
