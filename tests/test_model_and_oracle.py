@@ -60,6 +60,8 @@ def test_query_matches_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SF)
     cols = sorted(df.columns)
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan     # no cross joins
     res = duck.execute(entry.oracle_sql()[key])
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == cols
