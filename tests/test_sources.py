@@ -41,3 +41,18 @@ def test_materialize(spark, tmp):
     assert materialize(df, "view", "cs_test_view").count() == 5
     assert spark.table("cs_test_view").count() == 5
     assert materialize(df, "table", "t", f"{tmp}/t").count() == 5
+
+
+def test_partition_upsert_is_idempotent(spark, tmp):
+    from cardsentry.sources.tables import upsert_partitions
+    p = f"{tmp}/fact"
+    base = spark.range(40).select(F.col("id").alias("transaction_id"), (F.col("id") % 5).alias("event_date"),
+                                  F.lit("v1").alias("label"))
+    upsert_partitions(spark, p, base, "transaction_id")
+    upd = spark.range(30, 50).select(F.col("id").alias("transaction_id"), (F.col("id") % 5).alias("event_date"),
+                                     F.lit("v2").alias("label"))
+    upsert_partitions(spark, p, upd, "transaction_id")
+    once = sorted(spark.read.parquet(p).collect())
+    upsert_partitions(spark, p, upd, "transaction_id")        # replay
+    assert sorted(spark.read.parquet(p).collect()) == once
+    assert len(once) == 50 and sum(r["label"] == "v2" for r in once) == 20
