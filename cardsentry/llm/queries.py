@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, neardup, tokens
+from . import decontaminate, neardup, quality, tokens
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
