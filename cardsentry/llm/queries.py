@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, neardup, quality, tokens
+from . import decontaminate, mixing, neardup, quality, tokens
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,54 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Target weights by tree level; the domain is the source number's last digit modulo 4.
+MIX_WEIGHTS = mixing.Weights(domain={"0": 40, "1": 30, "2": 20, "3": 10}, lang={"en": 50, "de": 20, "fr": 20, "es": 10}, source={}, other=1)
+
+
+def mix_domain():
+    return F.pmod(F.ascii(F.right("source", F.lit(1))), F.lit(4)).cast("string")
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    chosen = mixing.mixture(table(spark, sf_dir, "documents"), mix_domain(), MIX_WEIGHTS, budget_permille=600, max_epochs=4, seed=1)
+    return chosen.where("copies > 0").drop("key")
+
+
+def _fill_sql(name: str, below: str, parent: str, weight: str, budget: str) -> str:
+    """CTEs that share out a level: <name>_a orders the children, <name> has each child's part."""
+    by = f"partition by {parent}" if parent else ""
+    keys = f"{parent}, " if parent else ""
+    on = f"join {below} using ({parent})" if parent else ""
+    return f"""
+{name}_a as (
+  select *, coalesce(sum(cap) over ({by} order by cap::double / w, child rows between unbounded preceding and 1 preceding), 0)::hugeint used,
+    sum(w) over ({by} order by cap::double / w, child rows between current row and unbounded following)::hugeint open
+  from (select {keys} {name} child, sum(tokens * 4)::hugeint cap, ({weight})::hugeint w from leaves group by all)),
+{name}_b as (select a.*, ({budget})::hugeint b, a.used * w + cap * open <= ({budget})::hugeint * w sat from {name}_a a {on}),
+{name}_t as (
+  select {keys} child {name}, case when sat then cap else
+    ((b - sum(case when sat then cap else 0 end) over ({by})::hugeint) * w) // (sum(case when sat then 0 else w end) over ({by})::hugeint) end got
+  from {name}_b)"""
+
+
+SQL["op4_mixing"] = f"""
+with sized as (
+  select doc_id, (ascii(right(source, 1)) % 4)::varchar domain, lang, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint n_tokens
+  from documents),
+leaves as (select domain, lang, source, sum(n_tokens)::hugeint tokens from sized group by all),
+{_fill_sql("domain", "", "", "case domain when '0' then 40 when '1' then 30 when '2' then 20 when '3' then 10 else 1 end", "(select sum(tokens) * 600 // 1000 from leaves)")},
+{_fill_sql("lang", "domain_t", "domain", "case lang when 'en' then 50 when 'de' then 20 when 'fr' then 20 when 'es' then 10 else 1 end", "got")},
+{_fill_sql("source", "lang_t", "domain, lang", "1", "got")},
+plan as (select l.*, (got // tokens)::bigint epochs, (got % tokens)::bigint rest from leaves l join source_t using (domain, lang, source)),
+placed as (
+  select s.*, epochs, rest, coalesce(sum(n_tokens) over (partition by domain, lang, source
+    order by md5('1:' || (epochs + 1) || ':' || doc_id), doc_id rows between unbounded preceding and 1 preceding), 0) before
+  from sized s join plan using (domain, lang, source))
+select doc_id, domain, lang, source, n_tokens, (epochs + case when before < rest then 1 else 0 end)::bigint copies
+from placed where epochs + case when before < rest then 1 else 0 end > 0
+"""
