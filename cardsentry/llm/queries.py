@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, neardup, quality, tokens
+from . import decontaminate, mixing, neardup, quality, sharding, tokens, warc
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,25 @@ placed as (
 select doc_id, domain, lang, source, n_tokens, (epochs + case when before < rest then 1 else 0 end)::bigint copies
 from placed where epochs + case when before < rest then 1 else 0 end > 0
 """
+
+
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return sharding.byte_shards(table(spark, sf_dir, "documents"), 40)
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return warc.warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op9_warc"] = """
+with p as (select page_id, strlen(coalesce(html, ''))::bigint payload_bytes, sha256(coalesce(html, '')) payload_digest from pages),
+f as (select *, min(page_id) over (partition by payload_digest) first from p)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end record_type,
+  case when payload_bytes >= 100 and page_id <> first then first end refers_to
+from f
+"""
