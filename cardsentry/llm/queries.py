@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, neardup, quality, sharding, tokens, warc
+from . import decontaminate, mixing, neardup, quality, sharding, tokens, toxicity, warc
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,11 @@ select page_id, payload_bytes, payload_digest,
   case when payload_bytes >= 100 and page_id <> first then first end refers_to
 from f
 """
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), use=fold != 1)
+    return out.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", "predicted")
