@@ -268,7 +268,7 @@ def _pass(bench, width: int, shard_bytes: int, schema: pa.Schema):
                     items[r] = (items[r] or []) + names
                     if best[0] > (longest[r]["words"] or 0):
                         longest[r] = dict(zip(("words", "item_id", "doc_word", "item_word"), best))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(n_words), pa.array(runs, schema.field("runs").type), pa.array(items, schema.field("items").type), pa.array(longest, schema.field("longest").type)], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), batch.column("text"), pa.array(n_words), pa.array(runs, schema.field("runs").type), pa.array(items, schema.field("items").type), pa.array(longest, schema.field("longest").type)], schema=schema)
 
     return search
 
@@ -282,10 +282,21 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int):
         yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
 
 
+def row_key():
+    """Equal for rows with equal id and text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` without the contaminated rows."""
+    found = contamination(docs, benchmark, **options).where("contaminated").select("key").distinct()
+    return docs.join(found, row_key() == F.col("key"), "left_anti")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, one_in: int = 20,
                   shard_bytes: int = 4 << 20, block_bytes: int = 16 << 20) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): n_words, n_hit, items,
-    items_sha256, contaminated, runs (hit words as half-open ranges), longest.
+    items_sha256, contaminated, runs (hit words as half-open ranges), longest, key (row_key).
 
     A window is ``width`` consecutive words of an item, or all words of a shorter
     one.  Contaminated: some word is hit and the hit words times ``one_in``
@@ -295,12 +306,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, one_in
     """
     spark = docs.sparkSession
     prepare(spark)
-    kinds = "doc_id long, text string, n_words long, runs " + RUNS + ", items array<string>, longest struct<words:int,item_id:string,doc_word:int,item_word:int>"
+    kinds = "doc_id long, key long, text string, n_words long, runs " + RUNS + ", items array<string>, longest struct<words:int,item_id:string,doc_word:int,item_word:int>"
     schema = spark.createDataFrame([], kinds).schema
-    arrow = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
+    arrow = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
                        ("runs", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("items", pa.list_(pa.string())),
                        ("longest", pa.struct([("words", pa.int32()), ("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32())]))])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text", F.lit(0).cast("long").alias("n_words"),
                        *(F.lit(None).cast(schema[c].dataType).alias(c) for c in ("runs", "items")),
                        F.struct(F.lit(0).alias("words"), F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("int").alias("doc_word"), F.lit(None).cast("int").alias("item_word")).alias("longest"))
     for block in benchmark_blocks(benchmark, block_bytes):
@@ -312,6 +323,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, one_in
                       lambda acc, r: F.struct((acc["n"] + F.greatest(F.lit(0), r["last"] - F.greatest(r["first"], acc["end"]))).alias("n"), F.greatest(acc["end"], r["last"]).alias("end")),
                       lambda acc: acc["n"].cast("long"))
     names = F.array_sort(F.array_distinct(F.coalesce("items", F.array().cast("array<string>"))))
-    out = rows.select("doc_id", "n_words", hit.alias("n_hit"), names.alias("items"), empty_runs.alias("runs"), "longest")
+    out = rows.select("doc_id", "key", "n_words", hit.alias("n_hit"), names.alias("items"), empty_runs.alias("runs"), "longest")
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                      ((F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "items", "runs", "longest")
+                      ((F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "items", "runs", "longest", "key")

@@ -189,3 +189,9 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(85, 100), w
     return (rows.join(named, "set_key", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def distinct_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component."""
+    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")

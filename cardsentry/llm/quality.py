@@ -242,3 +242,8 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 50_000) -> Da
     """
     out = judged(docs.select("doc_id", "text"), learned_rules(docs, labels, sample_rows))
     return out.select("doc_id", *(F.col("q_" + c).alias(c) for c in COUNTS[:5]), *(F.col("q_" + c).alias(c) for c in ("base_failed", "kept", "rule")))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, sample_rows: int = 50_000) -> DataFrame:
+    """``docs`` without the rows that the base rules or the learned ones reject."""
+    return judged(docs, learned_rules(docs, labels, sample_rows)).where("q_kept").select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, neardup, quality, sharding, tokens, toxicity, warc
+from . import decontaminate, lm, mixing, neardup, quality, sharding, suffixdedup, tokens, toxicity, warc
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +27,7 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "runs")
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "runs", "key")
 
 
 @query
@@ -121,3 +121,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
     out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), use=fold != 1)
     return out.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return suffixdedup.repeated_bytes(table(spark, sf_dir, "documents"), 50)
+
+
+@query
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return lm.scores(table(spark, sf_dir, "documents"), F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1)
