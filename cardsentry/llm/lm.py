@@ -249,22 +249,34 @@ def update(w, memory, x, y, new, h, rate: float = 0.05, clip: float = 5.0):
         kept.append((z, r, n, u))
         states[t] = h
     hs, target = states.reshape(-1, UNITS), y.ravel()
-    cls, member = target // MEMBERS, target % MEMBERS
-    rows = np.arange(len(target))
-    d_class = np.exp(_log_softmax(hs @ w["class_w"] + w["class_b"]))
-    d_class[rows, cls] -= 1
-    own = w["word_w"][cls]
-    d_word = np.exp(_log_softmax(np.matmul(own, hs[:, :, None])[:, :, 0] + w["word_b"][cls]))
-    d_word[rows, member] -= 1
+    order = np.argsort(target // MEMBERS, kind="stable")  # class by class: one product for all symbols of a class
+    hs, cls, member = hs[order], target[order] // MEMBERS, target[order] % MEMBERS
     scale = np.float32(1 / lanes)
-    d_class, d_word = d_class * scale, d_word * scale
+    d_class = np.exp(_log_softmax(hs @ w["class_w"] + w["class_b"]))
+    d_class[np.arange(len(cls)), cls] -= 1
+    d_class *= scale
+    d_sorted = d_class @ w["class_w"].T
     grad = {"class_w": hs.T @ d_class, "class_b": d_class.sum(0), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
-    np.add.at(grad["word_w"], cls, d_word[:, :, None] * hs[:, None, :])
-    np.add.at(grad["word_b"], cls, d_word)
-    d_states = (d_class @ w["class_w"].T + np.matmul(d_word[:, None, :], own)[:, 0]).reshape(steps, lanes, UNITS)
+    cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+    logits = np.empty((len(cls), MEMBERS), hs.dtype)
+    present = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c + 1] > cuts[c]]
+    for c, own in present:
+        np.matmul(hs[own], w["word_w"][c].T, out=logits[own])
+    d_word = np.exp(_log_softmax(logits + w["word_b"][cls]))
+    d_word[np.arange(len(cls)), member] -= 1
+    d_word *= scale
+    for c, own in present:
+        grad["word_w"][c] = d_word[own].T @ hs[own]
+        d_sorted[own] += d_word[own] @ w["word_w"][c]
+    first = [own.start for _, own in present]
+    grad["word_b"][[c for c, _ in present]] = np.add.reduceat(d_word, first, axis=0)
+    d_states = np.empty_like(d_sorted)
+    d_states[order] = d_sorted
+    d_states = d_states.reshape(steps, lanes, UNITS)
     d_h = np.zeros((lanes, UNITS), np.float32)
     d_x = np.zeros((steps, lanes, 3 * UNITS), np.float32)
     d_state = np.zeros_like(w["state"])
+    back = w["state"].T.copy()
     for t in range(steps - 1, -1, -1):
         z, r, n, u = kept[t]
         d = d_states[t] + d_h
@@ -274,16 +286,16 @@ def update(w, memory, x, y, new, h, rate: float = 0.05, clip: float = 5.0):
         d_x[t] = np.concatenate([d_z, d_r, d_n], 1)
         g = np.concatenate([d_z, d_r, d_n * r], 1)
         d_state += before[t].T @ g
-        d_h = np.where(new[t][:, None], 0, d * z + g @ w["state"].T)
+        d_h = np.where(new[t][:, None], 0, d * z + g @ back)
     grad["state"] = d_state
     for k, g in grad.items():
         np.clip(g, -clip, clip, out=g)
         memory[k] += g * g
         w[k] -= rate * g / np.sqrt(memory[k])
     # rows of inputs: only those that were read
-    used, inverse = np.unique(x.ravel(), return_inverse=True)
-    g = np.zeros((len(used), 3 * UNITS), np.float32)
-    np.add.at(g, inverse, d_x.reshape(-1, 3 * UNITS))
+    order = np.argsort(x.ravel(), kind="stable")
+    used, at = np.unique(x.ravel()[order], return_index=True)
+    g = np.add.reduceat(d_x.reshape(-1, 3 * UNITS)[order], at, axis=0)
     np.clip(g, -clip, clip, out=g)
     memory["inputs"][used] += g * g
     w["inputs"][used] -= rate * g / np.sqrt(memory["inputs"][used])
