@@ -150,9 +150,10 @@ def near_links(docs: DataFrame, similarity: Fraction = Fraction(85, 100), width:
     edges = stored(members.join(stars, "bucket").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "edges")
     # texts of both ends; every other document is left out before its text is shuffled
     ends = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(narrow.join(ends, "doc_id", "left_semi"), "ends")
-    pairs = (edges.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
-             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").select("a", "b", "a_text", "b_text"))
+    # the same joins at every size: what is small here grows with the corpus
+    texts = stored(narrow.join(ends.hint("merge"), "doc_id", "left_semi"), "ends")
+    pairs = (edges.hint("merge").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
+             .hint("merge").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").select("a", "b", "a_text", "b_text"))
     tested = stored(pairs.mapInArrow(_confirm(width, num, den), "a long, b long, linked boolean, na long, nb long, diff binary"), "tested")
 
     def siblings(key, table):
