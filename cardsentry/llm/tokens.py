@@ -41,7 +41,7 @@ MAGIC = b"FRVB"
 HEAD = struct.Struct("<4sIQQ")
 #: Lengths of the four codes of each control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
-PIECE_CACHE = 2_000_000
+PIECE_CACHE = 600_000
 BLOCK_IDS = 1 << 20
 # White space other than space and newline, or a run of two: such a text isn't cut into pieces.
 _ODD_SPACE = r"[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]"
@@ -171,7 +171,7 @@ def read_blocks(source) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarr
         yield [None if z else int(d) for d, z in zip(ids, null)], counts, unpack(control, data, n)
 
 
-def _parts(batches, size: int = 12 << 20):
+def _parts(batches, size: int = 4 << 20):
     """Parts of Arrow batches with about ``size`` bytes of text."""
     for b in batches:
         for i, j in slices(utf8(b.column("text"))[1], size):
