@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import checkpoint_dir, ensure_utc, ship_package
 
@@ -61,6 +61,11 @@ def block_count(docs: DataFrame, text: str = "text", block_bytes: int = 12 << 20
     return max(1, -(-(size or 0) // block_bytes), -(-(n or 0) // rows))
 
 
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns of ``docs`` in one, ``row``, out of reach of names that clash; ``row.*`` gives them back."""
+    return F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective finalizer on 64-bit values (in place where it can)."""
     h = h ^ (h >> np.uint64(33))

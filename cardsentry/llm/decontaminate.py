@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ALNUM, LOWER, prepare, slices, utf8, word_hashes, word_runs
+from .common import ALNUM, LOWER, prepare, slices, utf8, whole_rows, word_hashes, word_runs
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
@@ -290,7 +290,7 @@ def row_key():
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated rows."""
     found = contamination(docs, benchmark, **options).where("contaminated").select("key").distinct()
-    return docs.join(found, row_key() == F.col("key"), "left_anti")
+    return docs.select(whole_rows(docs), row_key().alias("key")).join(found, "key", "left_anti").select("row.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, one_in: int = 20,

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import prepare, stored
+from .common import prepare, stored, whole_rows
 
 BIG = "decimal(38,0)"
 BUCKET_ROWS = 50_000
@@ -120,5 +120,5 @@ def row_key() -> Column:
 def mixed(docs: DataFrame, domain: Column, weights: Weights, **options) -> DataFrame:
     """The mixture itself: each row of ``docs`` as often as its copies say."""
     chosen = mixture(docs, domain, weights, **options).where("copies > 0").select(F.col("key").alias("mix_key"), F.col("copies").alias("mix_copies"))
-    rows = docs.join(chosen, row_key() == F.col("mix_key"))
-    return rows.withColumn("mix_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*docs.columns)
+    rows = docs.select(whole_rows(docs), row_key().alias("mix_key")).join(chosen, "mix_key")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select("row.*")

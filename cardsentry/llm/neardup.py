@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER, SPACED, mix, prepare, shingle_hashes, slices, stored, utf8, word_hashes, word_runs
+from .common import LOWER, SPACED, mix, prepare, shingle_hashes, slices, stored, utf8, whole_rows, word_hashes, word_runs
 from .components import components
 
 STAR_BLOCK = 20_000
@@ -195,4 +195,4 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(85, 100), w
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component."""
     gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return docs.select(whole_rows(docs), F.col("doc_id").alias("gone")).join(gone, "gone", "left_anti").select("row.*")

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import prepare, stored
+from .common import prepare, stored, whole_rows
 
 WHITE = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
@@ -246,4 +246,5 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 50_000) -> Da
 
 def accepted(docs: DataFrame, labels: DataFrame, sample_rows: int = 50_000) -> DataFrame:
     """``docs`` without the rows that the base rules or the learned ones reject."""
-    return judged(docs, learned_rules(docs, labels, sample_rows)).where("q_kept").select(*docs.columns)
+    rules = learned_rules(docs, labels, sample_rows)
+    return judged(docs.select(whole_rows(docs), "text"), rules).where("q_kept").select("row.*")
