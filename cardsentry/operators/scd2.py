@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
@@ -132,6 +133,8 @@ class SCD2Table:
         try:
             closed = (self.spark.read.parquet(f"{self.root}/closed")
                       .filter(F.col("_closed_at") <= v).drop("_closed_at"))
-        except Exception:  # noqa: BLE001 - nothing closed yet
-            return cur
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return cur  # nothing closed yet
         return closed.unionByName(cur)

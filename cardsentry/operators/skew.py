@@ -44,7 +44,7 @@ class SliceSpec:
 
 
 def hot_keys(df: DataFrame, spec: SliceSpec, threshold: int,
-             max_hot: int = 1_000_000, min_width: int | None = None) -> DataFrame | None:
+             min_width: int | None = None) -> DataFrame | None:
     """Keys with more than ``threshold`` rows and their slice width in seconds.
 
     Returns None when no key is hot.  The width aims at about ``threshold``
@@ -56,11 +56,8 @@ def hot_keys(df: DataFrame, spec: SliceSpec, threshold: int,
              .agg(F.count(F.lit(1)).alias("_n"),
                   F.min(spec.epoch).alias("_lo"), F.max(spec.epoch).alias("_hi"))
              .filter(F.col("_n") > threshold))
-    n_hot = stats.count()
-    if n_hot == 0:
+    if stats.isEmpty():
         return None
-    if n_hot > max_hot:
-        raise ValueError(f"{n_hot} hot keys exceed max_hot={max_hot}; raise the threshold")
     width = F.greatest(
         F.lit(min_w).cast("bigint"),
         F.ceil((F.col("_hi") - F.col("_lo") + 1) * F.lit(float(threshold)) / F.col("_n")).cast("bigint"))
@@ -115,7 +112,7 @@ def drop_context(df: DataFrame) -> DataFrame:
 
 
 def window_apply(df: DataFrame, spec: SliceSpec, compute, hot_threshold: int | None,
-                 max_hot: int = 1_000_000, min_width: int | None = None,
+                 min_width: int | None = None,
                  prepare_hot=None) -> DataFrame:
     """Run ``compute(frame, partition_cols) -> DataFrame`` exactly, slicing hot keys.
 
@@ -123,7 +120,7 @@ def window_apply(df: DataFrame, spec: SliceSpec, compute, hot_threshold: int | N
     and only use frames within ``spec``'s look-back.  ``prepare_hot`` may
     transform the hot rows before slicing (e.g. join dims by broadcast).
     """
-    hot = hot_keys(df, spec, hot_threshold, max_hot, min_width) if hot_threshold else None
+    hot = hot_keys(df, spec, hot_threshold, min_width) if hot_threshold else None
     if hot is None:
         return compute(df, [spec.key])
     cold, hot_rows = split_hot(df, spec.key, hot)

@@ -83,14 +83,19 @@ def dedup_latest(df: DataFrame, key: str | list[str], order_desc: str | list[str
     the order columns and whose remaining fields are the row), not as a
     ``row_number`` window: partial aggregation keeps one row per key per task
     before the shuffle, so a key delivered millions of times does not end up
-    whole in one task.
+    whole in one task.  A row with a NULL in its key is no duplicate of any
+    other: each stays, for the not_null checks to count.
     """
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order_desc] if isinstance(order_desc, str) else list(order_desc)
     rest = [c for c in df.columns if c not in keys and c not in orders]
     best = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(orders)],
                           *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])).alias("_best")
-    out = df.groupBy(*keys).agg(best)
+    keyless = F.lit(False)
+    for k in keys:
+        keyless = keyless | F.col(k).isNull()
+    alone = df.withColumn("_alone", F.when(keyless, F.monotonically_increasing_id()))
+    out = alone.groupBy(*keys, "_alone").agg(best)
     names = {**{f"_o{i}": c for i, c in enumerate(orders)}, **{f"_r{i}": c for i, c in enumerate(rest)}}
     return out.select(*keys, *[F.col(f"_best.{k}").alias(v) for k, v in names.items()]).select(*df.columns)
 

@@ -2,8 +2,11 @@
 from __future__ import annotations
 
 import json
+import re
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 # Raw entity schemas of the landing zone (all ids are strings,
@@ -18,6 +21,8 @@ CHARGEBACKS_SCHEMA = (
     "chargeback_id string, transaction_id string, amount double, reason_code string, settle_ts string,"
     " settle_date date")
 TOPICS = {"transactions": TRANSACTIONS_SCHEMA, "auth_events": AUTH_SCHEMA, "chargebacks": CHARGEBACKS_SCHEMA}
+# Fixed value: the folder name of a NULL partition value.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 REFERENCE = ("accounts", "cards", "merchants")
 
 
@@ -33,12 +38,25 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 
 def read_jsonl_dataset(spark: SparkSession, topic_dir: str, schema: StructType | None = None) -> DataFrame:
-    """All JSON-lines files below a topic folder; ``key=value`` folders become
-    columns (partition discovery)."""
-    r = spark.read.option("recursiveFileLookup", "false")
+    """All JSON-lines files below a topic folder, in folders of any depth;
+    ``key=value`` folders become columns (dates, whole numbers or text, or the
+    type that ``schema`` gives the column)."""
+    r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
     if schema is not None:
         r = r.schema(schema)
-    return r.json(topic_dir)
+    df = r.json(topic_dir)
+    found: dict[str, set[str]] = {}
+    for path in df.inputFiles():
+        for k, v in re.findall(r"/([^/=]+)=([^/]+)(?=/)", path):
+            found.setdefault(unquote(k), set()).add(unquote(v))
+    types = {f.name: f.dataType for f in df.schema} if schema is not None else {}
+    for k, values in found.items():
+        named = [v for v in values if v != HIVE_NULL]
+        kind = types.get(k) or ("date" if all(map(re.compile(r"\d{4}-\d\d-\d\d").fullmatch, named)) else
+                                "bigint" if all(map(re.compile(r"-?\d{1,18}").fullmatch, named)) else "string")
+        raw = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), f"/{re.escape(k)}=([^/]+)/", 1)
+        df = df.withColumn(k, F.when((raw != "") & (raw != HIVE_NULL), raw).try_cast(kind))
+    return df
 
 
 def read_reference_array(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -63,12 +81,13 @@ def load_reference_snapshots(spark: SparkSession, landing: str, bronze: str) ->
 
 def write_partitioned_jsonl(df: DataFrame, path: str, key: str = "event_date",
                             drop: list[str] | None = None) -> int:
-    """Write rows as JSON lines grouped into ``key=value`` folders; returns the
-    row count written.  Rows are clustered by the key first, so each folder
-    gets few files."""
-    out = df.drop(*(drop or []))
-    out.repartition(key).write.mode("append").partitionBy(key).json(path)
-    return df.sparkSession.read.json(path).count()
+    """Write rows as JSON lines grouped into ``key=value`` folders, replacing the
+    folders that get rows; returns the number of rows written.  Rows are clustered
+    by the key first, so each folder gets few files."""
+    seen = Observation()
+    out = df.drop(*(drop or [])).observe(seen, F.count(F.lit(1)).alias("n"))
+    out.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).json(path)
+    return seen.get["n"]
 
 
 def write_reference_array(df: DataFrame, path: str) -> None:
@@ -111,6 +130,8 @@ def save_schema(spark: SparkSession, schema: StructType, path: str) -> None:
 def load_schema(spark: SparkSession, path: str) -> StructType | None:
     try:
         row = spark.read.text(path).first()
-    except Exception:  # noqa: BLE001 - absent path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return None if row is None else StructType.fromJson(json.loads(row[0]))

@@ -56,3 +56,19 @@ def test_partition_upsert_is_idempotent(spark, tmp):
     upsert_partitions(spark, p, upd, "transaction_id")        # replay
     assert sorted(spark.read.parquet(p).collect()) == once
     assert len(once) == 50 and sum(r["label"] == "v2" for r in once) == 20
+
+
+def test_nested_files_replaced_partitions_and_row_count(spark, tmp):
+    df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "transaction_id string, event_date string")
+    assert files.write_partitioned_jsonl(df, f"{tmp}/j") == 2
+    assert files.write_partitioned_jsonl(df, f"{tmp}/j") == 2  # replaced, not doubled
+    df.limit(1).write.json(f"{tmp}/j/plain/deeper")
+    back = files.read_jsonl_dataset(spark, f"{tmp}/j")
+    assert back.count() == 3 and back.filter("event_date is not null").count() == 2
+    assert dict(back.dtypes)["event_date"] == "date"
+
+
+def test_null_keys_are_not_duplicates(spark):
+    from cardsentry.operators.staging import dedup_latest
+    df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), ("a", 1), ("a", 3)], "k string, t int")
+    assert sorted(map(tuple, dedup_latest(df, "k", "t").collect()), key=str) == [("a", 3), (None, 1), (None, 1), (None, 2)]
