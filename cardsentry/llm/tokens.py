@@ -1,10 +1,11 @@
 """Token-id output: frequency-ranked ids in a byte-aligned variable-length code.
 
 Every whole text is encoded with a public tokenizer and ends with ``end_id``.
-A first pass counts all ids of the corpus; an id's code is its rank by falling
-count (ties by id), so frequent ids take one byte.  A second pass sorts the
-documents by range, writes one file for each range and the files are read back
-and decoded to give the result.
+A first pass encodes the texts, once, into a table of compressed ids and counts
+the ids of the corpus; an id's code is its rank by falling count (ties by id), so
+frequent ids take one byte.  A second pass sorts the documents' ids by range,
+writes one file for each range and the files are read back and decoded to give
+the result.
 
 File format ``.tok`` (integers little-endian), blocks one after another::
 
@@ -34,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import block_count, fresh_dir, prepare, slices, utf8
+from .common import block_count, fresh_dir, prepare, slices, stored, utf8
 from .files import open_fs, written
 
 MAGIC = b"FRVB"
@@ -43,6 +44,7 @@ HEAD = struct.Struct("<4sIQQ")
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 PIECE_CACHE = 600_000
 BLOCK_IDS = 1 << 20
+JOINED = 100
 # White space other than space and newline, or a run of two: such a text isn't cut into pieces.
 _ODD_SPACE = r"[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]"
 
@@ -58,6 +60,10 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        # byte-level vocabulary: one character for each byte of a token
+        self.width = np.zeros(self.library.get_vocab_size() + 1, np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.width[i] = len(token)
         self._clear()
 
     def _clear(self) -> None:
@@ -66,10 +72,30 @@ class Encoder:
         self.first = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
 
-    def _learn(self, new: list[str]) -> None:
-        got = [x.ids for x in self.library.encode_batch(new, add_special_tokens=False)]
+    def _call(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts and how many each has."""
+        got = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         n = np.fromiter(map(len, got), np.int64, len(got))
-        ids = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(n.sum()))
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(n.sum())), n
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_call`` for pieces that start with their only white space: the library
+        gets ``JOINED`` of them as one text, and the tokens' byte lengths tell where
+        each piece ends.  If a piece ends inside a token, they are encoded singly."""
+        ids, _ = self._call(["".join(pieces[i:i + JOINED]) for i in range(0, len(pieces), JOINED)])
+        at = np.concatenate([[0], np.cumsum(self.width[ids])])
+        ends = np.cumsum(pc.binary_length(pa.array(pieces, pa.string())).to_numpy(), dtype=np.int64)
+        cut = np.minimum(np.searchsorted(at, ends), len(at) - 1)
+        if at[-1] != (ends[-1] if len(ends) else 0) or not np.array_equal(at[cut], ends):
+            return self._call(pieces)
+        return ids, np.diff(cut, prepend=0)
+
+    def _learn(self, new: list[str]) -> None:
+        follows = [p[:1] in " \n" and p[1:].split() == [p[1:]] for p in new]
+        some, alone = list(itertools.compress(new, follows)), [p for p, f in zip(new, follows) if not f]
+        new = some + alone
+        (ids, n), (more, n_more) = self._joined(some), self._call(alone)
+        ids, n = np.concatenate([ids, more]), np.concatenate([n, n_more])
         k = len(self.at)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -178,28 +204,57 @@ def _parts(batches, size: int = 4 << 20):
             yield b.slice(i, j - i)
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(token_id, n) over all texts; one row for each id that occurs."""
+def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """(doc_id, tie, row, n, ids) of each row, written and read back: its number of
+    ids and their unsigned little-endian integers, of 2 bytes where they fit, compressed.
+    Rows with equal doc_id are told apart by ``tie``, a hash of the text, and ``row``."""
+
+    def encode(batches):
+        for part in _parts(batches):
+            ids, n = _encoder(tokenizer).encode(part.column("text"), end_id)
+            ids = ids.astype("<u2" if ids.max(initial=0) < 1 << 16 else "<u4")
+            ends = np.cumsum(n)
+            packed = [pa.compress(ids[i:j].tobytes(), "zstd", asbytes=True) for i, j in zip((ends - n).tolist(), ends.tolist())]
+            width = pa.array(np.full(len(n), ids.itemsize, np.int32))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "tie", "row")), pa.array(n), width, pa.array(packed, pa.binary())],
+                                             names=["doc_id", "tie", "row", "n", "width", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"), "text")
+    return stored(rows.mapInArrow(encode, "doc_id long, tie long, row long, n long, width int, ids binary"), "encoded")
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Row ranges of a batch of ``encoded`` with their ids, about ``BLOCK_IDS`` each or one document."""
+    n = batch.column("n").to_numpy()
+    for i, j in slices(np.concatenate([[0], np.cumsum(n)]), BLOCK_IDS):
+        part = batch.slice(i, j - i)
+        rows = zip(part.column("n").to_pylist(), part.column("width").to_pylist(), part.column("ids"))
+        yield i, j, np.concatenate([np.frombuffer(pa.decompress(x.as_buffer(), k * w, "zstd"), f"<u{w}") for k, w, x in rows])
+
+
+def id_counts(rows: DataFrame) -> DataFrame:
+    """(token_id, n) over all rows of ``encoded``; one row for each id that occurs."""
 
     def count(batches):
         total = np.zeros(1 << 16, np.int64)
-        for part in _parts(batches):
-            ids, _ = _encoder(tokenizer).encode(part.column("text"), end_id)
-            got = np.bincount(ids)
-            if len(got) > len(total):
-                total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
-            total[:len(got)] += got
+        for b in batches:
+            for _, _, ids in _unpacked(b):
+                got = np.bincount(ids)
+                if len(got) > len(total):
+                    total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
+                total[:len(got)] += got
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["token_id", "n"])
 
-    return docs.select("text").mapInArrow(count, "token_id long, n long").groupBy("token_id").agg(F.sum("n").alias("n"))
+    return rows.select("n", "width", "ids").mapInArrow(count, "token_id long, n long").groupBy("token_id").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, file_bytes: int = 16 << 20) -> DataFrame:
     """Writes the files below ``path``; returns (part, first_doc, n_docs, n_ids) of each."""
     spark = docs.sparkSession
+    rows = encoded(docs, tokenizer, end_id)
     # The ranking has one entry for each id of the vocabulary that occurs: its size is the tokenizer's, not the corpus's.
-    ranked = [r[0] for r in id_counts(docs, tokenizer, end_id).orderBy(F.desc("n"), "token_id").select("token_id").collect()]
+    ranked = [r[0] for r in id_counts(rows).orderBy(F.desc("n"), "token_id").select("token_id").collect()]
     rank = np.zeros(max(ranked, default=0) + 1, np.uint32)
     rank[ranked] = np.arange(len(ranked))
     with written(f"{path}/ranks.tok") as out:
@@ -218,22 +273,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, fi
                     write_block(out, ids, np.concatenate(counts), np.concatenate(codes))
                     ids.clear(), counts.clear(), codes.clear()
 
-            for b in _parts(batches):
-                got, n = _encoder(tokenizer).encode(b.column("text"), end_id)
-                ids += b.column("doc_id").to_pylist()
-                counts.append(n)
-                codes.append(shared.value[got])
-                n_docs, n_ids = n_docs + len(n), n_ids + len(got)
-                if sum(map(len, codes)) >= BLOCK_IDS:
-                    flush()
+            for b in batches:
+                for i, j, got in _unpacked(b):
+                    ids += b.column("doc_id").slice(i, j - i).to_pylist()
+                    counts.append(b.column("n").slice(i, j - i).to_numpy())
+                    codes.append(shared.value[got])
+                    n_docs, n_ids = n_docs + j - i, n_ids + len(got)
+                    if sum(map(len, codes)) >= BLOCK_IDS:
+                        flush()
             flush()
         yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     n = block_count(docs, block_bytes=file_bytes)
     # Equal ids are spread by the text, then by where the row was read.
-    tied = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
-    return (tied.repartitionByRange(n, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row")
-            .select("doc_id", "text").mapInArrow(write, "part long, n_docs long, n_ids long"))
+    return (rows.repartitionByRange(n, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row")
+            .select("doc_id", "n", "width", "ids").mapInArrow(write, "part long, n_docs long, n_ids long"))
 
 
 def read_tokens(spark: SparkSession, path: str, files: DataFrame, lists: bool = False) -> DataFrame:

@@ -328,3 +328,23 @@ def test_pipeline_stages(spark):
     assert three.columns == docs.columns and ids(three) == ids(decontaminate.contamination(docs, bench).where("not contaminated"))
     four = steps["mix_sources"](spark, docs, SF)
     assert four.columns == docs.columns and four.count() > 0
+
+
+def test_joined_pieces_encode_as_the_library_does():
+    texts = ["", None, " ", "\n", " a", "a \n b", "x y z", " \n", "don't stop <|endoftext|> now", "é è\tü", " a\0b c", "tail ", "日本語 テキスト 𝒳 y", "a\xa0b c", "word " * 500]
+    enc = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [x.ids + [70_000] for x in enc.library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for _ in range(2):  # once learning the pieces, once from those kept
+        ids, n = enc.encode(pa.array(texts), 70_000)
+        assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+    enc.width[:] = 1  # lengths that don't fit: pieces are encoded singly
+    enc._clear()
+    assert enc.encode(pa.array(texts), 70_000)[0].tolist() == ids.tolist()
+
+
+def test_token_files_with_ids_beyond_two_bytes(spark):
+    docs = spark.createDataFrame([(3, "a b"), (1, None), (None, "c"), (2, ""), (2, "")], "doc_id long, text string")
+    rows = tokens.token_output(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=70_000, lists=True).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None, 1, 2, 2, 3]
+    assert all(r.ids[-1] == 70_000 and len(r.ids) == r.n_tokens for r in rows) and [r.n_tokens for r in rows[1:4]] == [1, 1, 1]
+    assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:k]) for k in range(5)]
