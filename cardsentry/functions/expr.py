@@ -3,9 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Money is summed as exact cents so totals do not depend on partitioning or
-# task retry order; the result is returned as DOUBLE like the source column.
-MONEY = "decimal(18,2)"
+# Money is summed in decimals so totals do not depend on partitioning or task
+# retry order; ten places hold the minor units of every currency.  The result is
+# returned as DOUBLE like the source column.
+MONEY = "decimal(28,10)"
 
 
 def count_if(cond: Column) -> Column:
@@ -13,10 +14,6 @@ def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
-def sum_if(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value).otherwise(F.lit(0)))
-
-
 def money_sum(value: Column, cond: Column | None = None) -> Column:
     v = value.cast(MONEY)
     if cond is not None:

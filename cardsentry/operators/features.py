@@ -47,51 +47,24 @@ def with_epoch(df: DataFrame) -> DataFrame:
 def windowed(df: DataFrame, parts: list[str]) -> DataFrame:
     """Add prev_*, rolling amount stats and velocity counts.
 
-    The 50-row mean and standard deviation are not sliding-frame aggregates
-    (Spark re-aggregates a sliding frame whenever a row leaves it, i.e. ~50
-    updates per row): running sums of integer cents, their squares and counts
-    are accumulated once (O(1) per row) and the frame is the difference of
-    two lagged running totals.  Integer arithmetic makes the mean exact
-    (half-up at 6 places) and the variance numerator exact, so a constant
-    history gives a standard deviation of exactly 0.
+    Amounts keep every decimal they have.  The 50-row mean and deviation are
+    aggregates of their frame, evaluated in its order, so they depend on the rows
+    alone; a history of equal amounts has a deviation of exactly 0.
     """
     w = Window.partitionBy(*parts).orderBy(*ORDER)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    before = w.rowsBetween(-AMOUNT_ROWS, -1)
     by_sec = Window.partitionBy(*parts).orderBy("epoch")
-    cents = F.round(F.col("amount_usd") * 100).cast("bigint")
-    dec = "decimal(38,0)"
-    step1 = df.select(
+    return df.select(
         "*",
         F.lag("event_ts").over(w).alias("prev_ts"),
         F.lag("epoch").over(w).alias("prev_epoch"),
         F.lag("lat").over(w).alias("prev_lat"),
         F.lag("lon").over(w).alias("prev_lon"),
-        F.sum(cents.cast(dec)).over(upto).alias("_cs"),
-        F.sum((cents * cents).cast(dec)).over(upto).alias("_cq"),
-        F.count(cents).over(upto).alias("_cn"),
-    )
-
-    def frame(c):  # total over the previous AMOUNT_ROWS rows
-        return (F.coalesce(F.lag(c, 1).over(w), F.lit(0).cast(dec))
-                - F.coalesce(F.lag(c, AMOUNT_ROWS + 1).over(w), F.lit(0).cast(dec)))
-
-    step2 = step1.select(
-        "*", frame("_cs").alias("_s"), frame("_cq").alias("_q"),
-        (F.coalesce(F.lag("_cn", 1).over(w), F.lit(0))
-         - F.coalesce(F.lag("_cn", AMOUNT_ROWS + 1).over(w), F.lit(0))).alias("_n"),
+        F.avg("amount_usd").over(before).alias("card_amount_mean"),
+        F.stddev_samp("amount_usd").over(before).alias("card_amount_std"),
         # Range frames on whole seconds; they include same-second peers.
         *[F.count(F.lit(1)).over(by_sec.rangeBetween(-s, 0)).alias(f"_cnt_{s}") for s in VELOCITY_SECONDS],
     )
-    n = F.col("_n").cast(dec)
-    num = F.col("_s") * 10000
-    mean_q = F.floor((F.abs(num) * 2 + n) / (n * 2)) * F.signum(num).cast(dec)
-    var_num = n * F.col("_q") - F.col("_s") * F.col("_s")          # n*sum(x^2) - (sum x)^2, exact
-    return step2.select(
-        *[c for c in step2.columns if c not in ("_cs", "_cq", "_cn", "_s", "_q", "_n")],
-        F.when(F.col("_n") > 0, mean_q.cast("double") / 1e6).alias("card_amount_mean"),
-        F.when(F.col("_n") > 1, F.sqrt(var_num.cast("double") / (n * (n - 1)).cast("double") / 1e4))
-         .alias("card_amount_std"),
-    )
 
 
 def feature_columns(df: DataFrame) -> DataFrame:

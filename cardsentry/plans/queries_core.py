@@ -7,7 +7,7 @@ from ..functions.geo import haversine_km
 from ..operators import features as feat, gold, staging
 from .catalog import register
 from .context import FEATURE_ROUND, Pipeline, ntz, report_rounded
-from .oracle import hav, q, sround
+from .oracle import behaviour, hav, q, sround
 
 
 def _p(spark, sf_dir):
@@ -127,8 +127,8 @@ _WSQL = "SELECT transaction_id, card_id, {cols} FROM windowed"
 for _key, _cols, _rnd in [("win_01_lag_event_ts", ["prev_ts"], None),
                           ("win_02_lag_lat", ["prev_lat"], None),
                           ("win_03_lag_lon", ["prev_lon"], None),
-                          ("win_04_rolling_mean_amount", ["card_amount_mean"], 6),
-                          ("win_05_rolling_std_amount", ["card_amount_std"], 6),
+                          ("win_04_rolling_mean_amount", ["card_amount_mean"], 9),
+                          ("win_05_rolling_std_amount", ["card_amount_std"], 9),
                           ("win_06_velocity_60s", ["txn_count_60s"], None),
                           ("win_07_velocity_1h", ["txn_count_1h"], None)]:
     _sel = ", ".join(sround(c, _rnd) + f" AS {c}" if _rnd else c for c in _cols)
@@ -182,38 +182,13 @@ def feat_12(spark, sf_dir):
     return report_rounded(Pipeline.get(spark, sf_dir, hot_card_rows=20).features)
 
 
-_SKEW_SQL = q(f"""
-, skewed AS (SELECT transaction_id, CASE WHEN transaction_id % 3 = 0 THEN CAST(0 AS BIGINT) ELSE card_id END AS card_id,
-                    merchant_id, amount_usd, event_ts, event_date, entry_mode, device_id, lat, lon,
-                    is_fraud_label, fraud_type_label FROM stg_transactions)
-, sj AS (SELECT t.*, c.account_id, c.home_lat, c.home_lon, c.primary_device_id, m.merchant_category,
-                m.baseline_fraud_rate, epoch_us(t.event_ts) // 1000000 AS epoch
-         FROM skewed t LEFT JOIN stg_cards c ON t.card_id = c.card_id
-         LEFT JOIN stg_merchants m ON t.merchant_id = m.merchant_id)
-, sw AS (SELECT *, lag(epoch) OVER w AS prev_epoch, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon,
-                CASE WHEN count(amount_usd) OVER h = 0 THEN NULL ELSE
-                  CAST((sum(CAST(round(amount_usd * 100) AS BIGINT)) OVER h * 20000 + count(amount_usd) OVER h)
-                       // (2 * count(amount_usd) OVER h) AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS card_amount_mean,
-                stddev_samp(amount_usd) OVER h AS card_amount_std,
-                count(*) OVER (PARTITION BY card_id ORDER BY epoch RANGE BETWEEN 60 PRECEDING AND CURRENT ROW) AS txn_count_60s,
-                count(*) OVER (PARTITION BY card_id ORDER BY epoch RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS txn_count_1h
-         FROM sj
-         WINDOW w AS (PARTITION BY card_id ORDER BY epoch, event_ts, transaction_id),
-                h AS (PARTITION BY card_id ORDER BY epoch, event_ts, transaction_id ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING))
-SELECT transaction_id, card_id,
-       {sround('ln(1 + amount_usd)', 9)} AS amount_log,
-       coalesce(epoch - prev_epoch, 999999) AS seconds_since_prev,
-       {sround("coalesce(" + hav('lat', 'lon', 'prev_lat', 'prev_lon') + ", CAST(0 AS DOUBLE))", 3)} AS geo_distance_from_prev_km,
-       CASE WHEN card_amount_std IS NULL OR card_amount_std = 0 THEN CAST(0 AS DOUBLE)
-            ELSE {sround('(amount_usd - card_amount_mean) / card_amount_std', 6)} END AS amount_zscore,
-       txn_count_60s, txn_count_1h,
-       CASE WHEN coalesce(epoch - prev_epoch, 0) <= 0 THEN CAST(0 AS DOUBLE)
-            ELSE {sround("coalesce(" + hav('lat', 'lon', 'prev_lat', 'prev_lon') + ", CAST(0 AS DOUBLE)) / ((epoch - prev_epoch) / CAST(3600.0 AS DOUBLE))", 2)} END AS implied_speed_kmh
-FROM sw""")
-
-
 _SKEW_COLS = ["transaction_id", "card_id", "amount_log", "seconds_since_prev", "geo_distance_from_prev_km",
               "amount_zscore", "txn_count_60s", "txn_count_1h", "implied_speed_kmh"]
+_SKEW_SQL = q(f"""
+, skewed AS (SELECT * REPLACE (CASE WHEN transaction_id % 3 = 0 THEN CAST(0 AS BIGINT) ELSE card_id END AS card_id)
+             FROM stg_transactions)
+, {behaviour('skewed', 'skewed_')}
+SELECT {_sql_feats(_SKEW_COLS)} FROM skewed_features""")
 
 
 def _skewed(spark, sf_dir, hot):
