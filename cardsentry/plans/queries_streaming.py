@@ -29,27 +29,27 @@ def str_07(spark, sf_dir):
 
 @register("str_10_state_store_features", q(f"SELECT {_sql_feats(feat.OUTPUT_COLS)} FROM features"))
 def str_10(spark, sf_dir):
-    """All transactions land as four event-time files (days 1-8, 9-16, 17-24,
-    25-31) in the shared checkpoint folder and are streamed, one file per
-    micro-batch, through the state-store feature operator; the written
-    features equal the batch features."""
+    """All transactions land in four event-time batches (days 1-8, 9-16, 17-24,
+    25-31) in the shared checkpoint folder, the last hour of each batch once
+    more in the next, and are streamed through the state-store feature operator;
+    the written features equal the batch features."""
     p = Pipeline.get(spark, sf_dir)
     cards, merchants = p.dims
     txn = p.silver["transactions"].select(*feat.TXN_COLS)
     root = scratch_path(spark, f"str10-{uuid.uuid4().hex}")
     day = F.floor((F.dayofmonth("event_ts") - 1) / 8)
-    for k in range(4):
-        txn.filter(day == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    again = F.floor((F.dayofmonth(F.expr("event_ts + INTERVAL 1 HOUR")) - 1) / 8) == day + 1
     # The stateful operator keeps the partition count it starts with (one
     # state store per partition); size it to the cores, not the batch default.
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions",
                    str(max(1, min(int(prev), spark.sparkContext.defaultParallelism))))
     try:
-        q = (stateful_features(stream, cards, merchants).writeStream.format("parquet")
-             .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start(f"{root}/out"))
+        for k in range(4):
+            txn.filter((day == k) | (again & (day == k - 1))).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(txn.schema).parquet(f"{root}/in")
+            (stateful_features(stream, cards, merchants).writeStream.format("parquet").option("checkpointLocation", f"{root}/ck")
+             .trigger(availableNow=True).start(f"{root}/out").awaitTermination())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
-    q.awaitTermination()
     return report_rounded(spark.read.parquet(f"{root}/out"))

@@ -6,9 +6,12 @@ history (last 50 rows and rows within 3600 s of its newest row) as
 per-key state of ``applyInPandasWithState``: the state store checkpoints only
 the keys a micro-batch touched, so the work per batch follows the batch.
 
-Per card and micro-batch a small pandas step computes the same ten features as
-``operators.features`` (same frames, same ordering, same defaults, exact cent
-means); stream/batch agreement is asserted in the tests.
+Per card and micro-batch a small pandas step adds what the batch job gets from
+its windows (previous row, amount statistics, velocity counts); the features
+themselves are ``operators.features.feature_columns``, as in the batch job.
+A transaction that is delivered again is dropped before the step if its id is in
+the batch or in the card's history; an older one reaches no frame of another
+row, and the sink replaces rows by id.
 """
 from __future__ import annotations
 
@@ -16,153 +19,93 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from ..functions.geo import EARTH_RADIUS_KM
 from ..operators import features as feat
 from ..session import ship_package
 
 HISTORY = ["epoch", "ts_us", "transaction_id", "amount_usd", "lat", "lon"]
-
-
-def _hav(lat1, lon1, lat2, lon2):
-    p1, p2 = np.radians(lat1), np.radians(lat2)
-    a = np.sin(np.radians(lat2 - lat1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
-    return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(a, 1.0)))
-
-
-def _exact_mean(cents_sum: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Half-up mean of cents at 6 decimals, as DECIMAL avg gives in Spark
-    (integer arithmetic; 50 rows of cents stay far inside int64)."""
-    num = cents_sum.astype(np.int64) * 10000
-    den = np.maximum(n.astype(np.int64), 1)
-    q = (2 * np.abs(num) + den) // (2 * den) * np.sign(num)
-    return np.where(n > 0, q / 1e6, np.nan)
-
-
-def _frame_totals(run: np.ndarray, idx: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    return run[idx] - run[lo]
-
-
-def card_features(hist: dict, new: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
-    """Features of ``new`` rows of one card given its stored history arrays
-    ``hist`` (columns of HISTORY); returns (feature rows, new history)."""
+COUNTS = [f"_cnt_{s}" for s in feat.VELOCITY_SECONDS]
+ADDED = ["prev_epoch", "prev_lat", "prev_lon", "card_amount_mean", "card_amount_std"]
+BLOCK = 65_536  # rows whose amount frames are laid out at once
+
+
+def amount_statistics(amounts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample deviation of the up to AMOUNT_ROWS amounts before each row of ``at`` (NaN: none).
+
+    Frames are shifted by their first amount, so equal amounts deviate by exactly 0.
+    """
+    padded = np.r_[np.full(feat.AMOUNT_ROWS, np.nan), amounts]
+    frames = np.lib.stride_tricks.sliding_window_view(padded, feat.AMOUNT_ROWS)
+    mean, std = np.full(len(at), np.nan), np.full(len(at), np.nan)
+    for lo in range(0, len(at), BLOCK):
+        x = frames[at[lo:lo + BLOCK]]
+        known = ~np.isnan(x)
+        n = known.sum(axis=1)
+        first = x[np.arange(len(x)), known.argmax(axis=1)][:, None]
+        d = np.where(known, x - first, 0.0)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            m = d.sum(axis=1) / n
+            v = np.where(known, d - m[:, None], 0.0)
+            mean[lo:lo + BLOCK] = first[:, 0] + m
+            std[lo:lo + BLOCK] = np.where(n > 1, np.sqrt((v * v).sum(axis=1) / (n - 1)), np.nan)
+    return mean, std
+
+
+def card_step(hist: dict, new: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
+    """(``new`` rows of one card in event order with the columns ADDED and COUNTS,
+    the card's new history) given its stored history arrays ``hist`` (columns of HISTORY)."""
+    ids = new["transaction_id"]
+    again = ids.notna() & (ids.duplicated() | ids.isin(list(hist["transaction_id"])))
+    new = new[~again]
     n_h, n_n = len(hist["epoch"]), len(new)
+    if not n_n:
+        return new.assign(**{c: pd.Series(dtype=float) for c in ADDED + COUNTS}), hist
     col = {c: np.concatenate([np.asarray(hist[c]), new[c].to_numpy()]) for c in HISTORY}
-    ep = col["epoch"].astype(np.int64)
-    ts = col["ts_us"].astype(np.int64)
     tid = col["transaction_id"]
-    tid_key = tid.astype(str) if tid.dtype == object else tid
-    order = np.lexsort((tid_key, ts, ep))
-    is_new = np.r_[np.zeros(n_h, bool), np.ones(n_n, bool)][order]
-    ep, ts = ep[order], ts[order]
-    amt = col["amount_usd"].astype(float)[order]
-    lat, lon = col["lat"].astype(float)[order], col["lon"].astype(float)[order]
-    n = len(ep)
-    idx = np.arange(n)
-    lo = np.maximum(idx - feat.AMOUNT_ROWS, 0)
-
-    valid = ~np.isnan(amt)
-    cents = np.where(valid, np.round(np.nan_to_num(amt) * 100), 0).astype(np.int64)
-    run_n = np.r_[0, np.cumsum(valid.astype(np.int64))]
-    n_prev = _frame_totals(run_n, idx, lo)
-    run_s = np.r_[0, np.cumsum(cents)]
-    csum = _frame_totals(run_s, idx, lo)
-    mean = _exact_mean(csum, n_prev)
-    if n and np.abs(cents).max() < 60_000_000:          # n*sum(x^2) and sum(x)^2 stay inside int64
-        run_q = np.r_[0, np.cumsum(cents * cents)]
-        var_num = n_prev * _frame_totals(run_q, idx, lo) - csum * csum
-    else:                                               # exact with Python integers
-        c_obj = cents.astype(object)
-        run_q = np.r_[0, np.cumsum(c_obj * c_obj)].astype(object)
-        var_num = n_prev.astype(object) * (run_q[idx] - run_q[lo]) - csum.astype(object) * csum.astype(object)
-    den = (n_prev * (n_prev - 1)).astype(float)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        std = np.where(n_prev > 1, np.sqrt(np.asarray(var_num, dtype=float) / np.where(den > 0, den, 1) / 1e4), np.nan)
-
-    counts = {s: np.searchsorted(ep, ep, side="right") - np.searchsorted(ep, ep - s, side="left")
-              for s in feat.VELOCITY_SECONDS}
-    prev_ep = np.r_[np.nan, ep[:-1].astype(float)] if n else np.array([])
-    gap = ep - prev_ep
-    prev_lat, prev_lon = np.r_[np.nan, lat[:-1]], np.r_[np.nan, lon[:-1]]
-    prev_km = np.nan_to_num(_hav(lat, lon, prev_lat, prev_lon), nan=0.0)
-
-    # the new rows in their sorted order
-    pos = order[is_new] - n_h
-    out = new.iloc[pos].reset_index(drop=True)
-    sel = is_new
-    a, g, z_std, z_mean = amt[sel], gap[sel], std[sel], mean[sel]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        z = np.where(np.isnan(z_std) | (z_std == 0), 0.0, (a - z_mean) / np.where(z_std == 0, 1, z_std))
-        speed = np.where(np.nan_to_num(g, nan=0.0) <= 0, 0.0,
-                         prev_km[sel] / (np.where(np.isnan(g) | (g <= 0), 1, g) / 3600.0))
-    dev, prim = out["device_id"], out["primary_device_id"]
-    out["amount_log"] = np.log1p(a)
-    out["seconds_since_prev"] = np.where(np.isnan(g), feat.NO_PREVIOUS, g).astype(np.int64)
-    out["geo_distance_from_home_km"] = _hav(lat[sel], lon[sel], out["home_lat"].to_numpy(float),
-                                            out["home_lon"].to_numpy(float))
-    out["geo_distance_from_prev_km"] = prev_km[sel]
-    out["is_new_device"] = ((dev != prim) & dev.notna() & prim.notna()).astype(np.int32)
-    out["mcc_risk"] = out["baseline_fraud_rate"].astype(float).fillna(0.0)
-    out["amount_zscore"] = z
-    out["txn_count_60s"] = counts[feat.VELOCITY_SECONDS[0]][sel].astype(np.int64)
-    out["txn_count_1h"] = counts[feat.VELOCITY_SECONDS[1]][sel].astype(np.int64)
-    out["implied_speed_kmh"] = speed
-
-    keep = (idx >= n - feat.AMOUNT_ROWS) | (ep >= ep.max() - max(feat.VELOCITY_SECONDS)) if n else idx >= 0
-    srt = {"epoch": ep, "ts_us": ts, "transaction_id": tid[order], "amount_usd": amt, "lat": lat, "lon": lon}
-    return out, {c: srt[c][keep] for c in HISTORY}
-
-
-def _output_schema(stream: DataFrame) -> StructType:
-    t = {f.name: f.dataType for f in stream.schema.fields}
-    types = {
-        "transaction_id": t["transaction_id"], "card_id": t["card_id"], "merchant_id": t["merchant_id"],
-        "account_id": t.get("account_id", StringType()), "merchant_category": StringType(),
-        "event_ts": TimestampType(), "event_date": DateType(), "entry_mode": StringType(),
-        "amount_usd": DoubleType(), "amount_log": DoubleType(), "seconds_since_prev": LongType(),
-        "geo_distance_from_home_km": DoubleType(), "geo_distance_from_prev_km": DoubleType(),
-        "is_new_device": IntegerType(), "mcc_risk": DoubleType(), "amount_zscore": DoubleType(),
-        "txn_count_60s": LongType(), "txn_count_1h": LongType(), "implied_speed_kmh": DoubleType(),
-        "is_fraud_label": BooleanType(), "fraud_type_label": StringType(),
-    }
-    return StructType([StructField(c, types[c], True) for c in feat.OUTPUT_COLS])
-
-
-def _state_schema(stream: DataFrame) -> StructType:
-    """State: the card's history rows as parallel arrays."""
-    tid = {f.name: f.dataType for f in stream.schema.fields}["transaction_id"]
-    types = {"epoch": LongType(), "ts_us": LongType(), "transaction_id": tid,
-             "amount_usd": DoubleType(), "lat": DoubleType(), "lon": DoubleType()}
-    return StructType([StructField(c, ArrayType(types[c]), True) for c in HISTORY])
+    order = np.lexsort((tid.astype(str) if tid.dtype == object else tid, col["ts_us"].astype(np.int64), col["epoch"].astype(np.int64)))
+    row = {c: v[order] for c, v in col.items()}
+    ep = row["epoch"].astype(np.int64)
+    n, idx = len(ep), np.arange(len(ep))
+    at = idx[order >= n_h]                              # places of the new rows
+    out = new.iloc[order[at] - n_h].reset_index(drop=True)
+
+    before = np.maximum(at - 1, 0)
+    for c, name in (("epoch", "prev_epoch"), ("lat", "prev_lat"), ("lon", "prev_lon")):
+        out[name] = np.where(at > 0, row[c].astype(float)[before], np.nan)
+    out["card_amount_mean"], out["card_amount_std"] = amount_statistics(row["amount_usd"].astype(float), at)
+    for c, s in zip(COUNTS, feat.VELOCITY_SECONDS):
+        out[c] = np.searchsorted(ep, ep[at], side="right") - np.searchsorted(ep, ep[at] - s, side="left")
+
+    keep = (idx >= n - feat.AMOUNT_ROWS) | (ep >= ep.max() - max(feat.VELOCITY_SECONDS))
+    return out, {c: row[c][keep] for c in HISTORY}
 
 
 def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame) -> DataFrame:
-    """Feature rows for a stream of staged transactions (one output row per
-    input row), with per-card history in the state store."""
+    """Feature rows for a stream of staged transactions (one row for each
+    transaction), with per-card history in the state store.  The planner decides
+    from the dimensions' sizes whether it broadcasts them."""
     ship_package(stream.sparkSession)
     s = feat.with_epoch(stream.select(*feat.TXN_COLS)).withColumn("ts_us", F.unix_micros("event_ts"))
-    s = (s.join(F.broadcast(merchants.select(*feat.MERCHANT_COLS)), "merchant_id", "left")
-          .join(F.broadcast(cards.select(*feat.CARD_COLS)), "card_id", "left"))
-    out_schema = _output_schema(s)
-    state_schema = _state_schema(s)
-    out_cols = feat.OUTPUT_COLS
+    s = s.join(merchants.select(*feat.MERCHANT_COLS), "merchant_id", "left").join(cards.select(*feat.CARD_COLS), "card_id", "left")
+    out_schema = StructType([*s.schema.fields, *(StructField(c, DoubleType()) for c in ADDED), *(StructField(c, LongType()) for c in COUNTS)])
+    # state: the card's history rows as parallel arrays
+    state_schema = StructType([StructField(c, ArrayType(s.schema[c].dataType)) for c in HISTORY])
+    out_cols = out_schema.names
 
     def step(key, pdfs, state):
-        frames = list(pdfs)
-        new = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        new = pd.concat(list(pdfs), ignore_index=True)
         if state.exists:
-            arrs = state.get
-            hist = {c: np.asarray(arrs[i]) for i, c in enumerate(HISTORY)}
+            hist = {c: np.asarray(a, dtype=new[c].dtype) for c, a in zip(HISTORY, state.get)}
         else:
             hist = {c: np.asarray([], dtype=new[c].dtype) for c in HISTORY}
-        emitted, keep = card_features(hist, new)
-        state.update(tuple(keep[c].tolist() for c in HISTORY))
-        yield emitted[out_cols]
+        rows, kept = card_step(hist, new)
+        if len(rows):
+            state.update(tuple(kept[c].tolist() for c in HISTORY))
+            yield rows[out_cols]
 
-    return s.groupBy("card_id").applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    rows = s.groupBy("card_id").applyInPandasWithState(step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    return feat.feature_columns(rows.withColumn("prev_epoch", F.col("prev_epoch").cast("bigint")))
 
 
 def start_stateful_scoring(spark, bronze_txn: str, schema, cards: DataFrame, merchants: DataFrame,

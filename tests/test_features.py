@@ -163,3 +163,18 @@ def test_large_dimension_shares_the_window_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_sub_cent_amounts_are_kept(spark):
+    rows = [(i, 1, 7, a, T0 + timedelta(seconds=10 * i), "D1", 0.0, 0.0) for i, a in enumerate([0.001, 0.002, 0.003, 0.005])]
+    cards, merch = _dims(spark)
+    w = {r["transaction_id"]: r for r in feat.card_windows(_txn(spark, rows)).collect()}
+    assert abs(w[3]["card_amount_mean"] - 0.002) < 1e-15 and abs(w[3]["card_amount_std"] - 0.001) < 1e-15
+    f = {r["transaction_id"]: r for r in feat.compute_features(_txn(spark, rows), cards, merch).collect()}
+    assert abs(f[3]["amount_zscore"] - 3.0) < 1e-9
+
+
+def test_money_sum_keeps_small_units(spark):
+    from cardsentry.functions import money_sum
+    df = spark.createDataFrame([(0.0004,), (0.0004,), (1e12,), (None,)], "a double")
+    assert df.agg(money_sum(F.col("a"))).first()[0] == 1000000000000.0008

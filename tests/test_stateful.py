@@ -60,3 +60,34 @@ def test_stateful_scoring_end_to_end(spark, tmp):
     assert out.count() == 1000 and out.select("transaction_id").distinct().count() == 1000
     want = {str(r[0]): min(1.0, r[1] / 300.0) for r in raw.select("transaction_id", "amount").collect()}
     assert all(abs(r["fraud_score"] - want[r["transaction_id"]]) < 1e-12 for r in out.collect())
+
+
+def test_redelivered_rows_change_nothing(spark, tmp):
+    p = Pipeline.get(spark, SF)
+    s = p.silver
+    txn = s["transactions"].select(*feat.TXN_COLS)
+    for k in range(2):  # the second batch holds the first one's last hour again, and its own rows twice
+        own = txn.filter(F.dayofmonth("event_ts") > 15 if k else F.dayofmonth("event_ts") <= 15)
+        late = txn.filter((F.dayofmonth("event_ts") == 15) & (F.hour("event_ts") == 23))
+        (own.unionByName(late).unionByName(own) if k else own).write.mode("append").parquet(f"{tmp}/in")
+        stream = spark.readStream.schema(txn.schema).parquet(f"{tmp}/in")
+        (stateful_features(stream, s["cards"], s["merchants"]).writeStream.format("parquet")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start(f"{tmp}/out").awaitTermination())
+    cols = ["transaction_id", "txn_count_60s", "txn_count_1h", "seconds_since_prev", F.round("amount_zscore", 6).alias("z")]
+    got = sorted(spark.read.parquet(f"{tmp}/out").select(*cols).collect())
+    assert got == sorted(feat.compute_features(txn, s["cards"], s["merchants"]).select(*cols).collect())
+
+
+def test_card_step_amounts_and_missing_values():
+    import numpy as np
+    import pandas as pd
+    from cardsentry.streaming.stateful import HISTORY, card_step
+    new = pd.DataFrame({"epoch": [10, 20, 30, 30], "ts_us": [10, 20, 30, 31], "transaction_id": [1, 2, 3, 3],
+                        "amount_usd": [0.001, np.nan, 0.001, 9.0], "lat": [0.0] * 4, "lon": [0.0] * 4})
+    out, kept = card_step({c: np.asarray([], dtype=new[c].dtype) for c in HISTORY}, new)
+    assert out["transaction_id"].tolist() == [1, 2, 3] and kept["epoch"].tolist() == [10, 20, 30]
+    assert math.isnan(out["card_amount_mean"][0]) and out["card_amount_mean"][2] == 0.001 and math.isnan(out["card_amount_std"][2])
+    again, same = card_step(kept, new)
+    assert len(again) == 0 and same is kept
+    nxt, _ = card_step(kept, new.assign(transaction_id=[5, 6, 7, 8], epoch=[40, 40, 40, 40], ts_us=[1, 2, 3, 4], amount_usd=0.001))
+    assert nxt["card_amount_std"].tolist()[-1] == 0.0
