@@ -45,6 +45,7 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 PIECE_CACHE = 600_000
 BLOCK_IDS = 1 << 20
 JOINED = 100
+CALL_CHARS = 1 << 18
 # White space other than space and newline, or a run of two: such a text isn't cut into pieces.
 _ODD_SPACE = r"[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]"
 
@@ -73,10 +74,15 @@ class Encoder:
         self.size = np.zeros(1 << 14, np.int64)
 
     def _call(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts and how many each has."""
-        got = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        n = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(n.sum())), n
+        """All ids of the texts and how many each has.  The library's results take many
+        times the memory of the ids, so it gets about ``CALL_CHARS`` characters at a time."""
+        at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
+        ids, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i, j in slices(at, CALL_CHARS):
+            got = [x.ids for x in self.library.encode_batch_fast(texts[i:j], add_special_tokens=False)]
+            n.append(np.fromiter(map(len, got), np.int64, len(got)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(n[-1].sum())))
+        return np.concatenate(ids), np.concatenate(n)
 
     def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As ``_call`` for pieces that start with their only white space: the library
