@@ -103,10 +103,6 @@ def with_context(rows: DataFrame, spec: SliceSpec) -> DataFrame:
     return with_halo.unionByName(ctx)
 
 
-def partition_cols(spec: SliceSpec, sliced: bool) -> list[str]:
-    return [spec.key, SLICE] if sliced else [spec.key]
-
-
 def drop_context(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(CTX)).drop(CTX, SLICE, WIDTH)
 

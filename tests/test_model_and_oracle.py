@@ -3,6 +3,7 @@ import datetime as dt
 import decimal
 import math
 import os
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -50,8 +51,8 @@ def _norm(v):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ["region", "nation", "customer", "supplier", "events"]:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    for f in sorted(Path(SF).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM read_parquet('{f}')")
     return con
 
 
