@@ -12,11 +12,10 @@ a symbol of its own gets its class's probability times its share of the class by
 counts, so a text's probability is over all words and is comparable with the base
 score.  Its output starts at the corpus's frequencies.
 
-Training is truncated backpropagation on a fixed share of the training documents
-(``ROUNDS`` times one in ``ONE_IN``), so it grows with the corpus: in each round
-trainers start from the same weights, each learns from its documents, and the
-weights are averaged in two levels.  Scoring carries the state from window to
-window to a document's end.
+Training is truncated backpropagation on all training documents, each in one of
+``ROUNDS`` rounds: in each round trainers start from the same weights, each learns
+from its documents, and the weights are averaged in two levels.  Scoring carries
+the state from window to window to a document's end.
 """
 from __future__ import annotations
 
@@ -31,7 +30,7 @@ UNITS = 32
 CLASSES, MEMBERS = 64, 32
 SUFFIXES = 64
 WORDS = CLASSES * MEMBERS - SUFFIXES
-ROUNDS, ONE_IN = 3, 12
+ROUNDS = 3
 LANES, WINDOW = 32, 16
 SCORE_WINDOW = 64
 LEAST_UPDATES = 200
@@ -377,7 +376,7 @@ def trained(docs: DataFrame, vocab: Vocabulary, n_blocks: int) -> dict[str, np.n
             total = sum(m * np.frombuffer(x, np.float32).astype(float) for m, x in zip(n, table.column("w").to_pylist())) / max(n.sum(), 1)
             return pa.table({"n": [int(n.sum())], "w": [total.astype(np.float32).tobytes()]}, schema=pa.schema([("n", pa.int64()), ("w", pa.binary())]))
 
-        part = docs.where(~F.col("held_out") & (F.pmod(mark, F.lit(ONE_IN)) == k)).select("text", mark.alias("mark"), F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(trainers)).alias("trainer"))
+        part = docs.where(~F.col("held_out") & (F.pmod(mark, F.lit(ROUNDS)) == k)).select("text", mark.alias("mark"), F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(trainers)).alias("trainer"))
         models = part.groupBy("trainer").applyInArrow(learn, "n long, w binary")
         wide = max(1, int(trainers ** 0.5))
         averaged = models.withColumn("g", F.pmod(F.xxhash64("w"), F.lit(wide))).groupBy("g").applyInArrow(mean, "n long, w binary").collect()

@@ -241,6 +241,18 @@ def test_lm_counts_and_scores(docs, empty):
     assert lm.scores(empty, held).count() == 0
 
 
+def test_lm_network_reads_every_training_document(spark):
+    texts = [f"word{k} some more words" for k in range(6)]
+    docs = spark.createDataFrame([(k, t, False) for k, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    h, cls, _ = lm.tokens(pa.array(texts))
+    top = [(int(x), int((h == x).sum()), int(c)) for x, c in dict(zip(h.tolist(), cls.tolist())).items()]
+    sums = [np.bincount(cls[h != lm.END], minlength=lm.SUFFIXES), np.bincount([c for x, _, c in top if x != int(lm.END)], minlength=lm.SUFFIXES)]
+    vocab = lm.Vocabulary(top, *sums)
+    before = lm.flat(lm.initial_weights(vocab))
+    for k in range(6):  # a table of this one document must change the weights
+        assert not np.array_equal(lm.flat(lm.trained(docs.where(f"doc_id = {k}"), vocab, 1)), before), k
+
+
 def test_lm_probabilities_sum_to_one():
     class Flat:
         weight = np.arange(2048, 0, -1)
