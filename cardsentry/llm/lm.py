@@ -77,8 +77,9 @@ def _by_bucket(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 def corpus_counts(blocks, n: int) -> DataFrame:
     """COUNTS messages (target: block, origin: bucket, a: counts of the hashes that the
     block has in that bucket, in order) and one TOTALS message of each bucket (a: its
-    most frequent hashes, b: their counts, c: for each suffix class the count and
-    number of different words, those with symbols of their own included)."""
+    most frequent hashes, the end's always among them, b: their counts, c: for each
+    suffix class the count and number of different words, those with symbols of their
+    own included, the end not)."""
 
     def send(key, table):
         h, cls, first = tokens(table.column("text"))
@@ -102,7 +103,7 @@ def corpus_counts(blocks, n: int) -> DataFrame:
         seen = total > 0
         word = seen & (value != END)
         sums = np.concatenate([np.bincount(cls[at][word], weights=total[word], minlength=SUFFIXES), np.bincount(cls[at][word], minlength=SUFFIXES)]).astype(np.int64)
-        top = np.lexsort((value, -total))[:WORDS]
+        top = np.lexsort((value, -total, value != END))[:WORDS]
         top = top[seen[top]]
         return _message(out + [(-1, key[0].as_py(), TOTALS, value[top].tobytes(), total[top].tobytes(), np.concatenate([sums, cls[at][top].astype(np.int64)]).tobytes())])
 
@@ -147,7 +148,8 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, n: int) -> Vocabulary:
-    """From the buckets' TOTALS: sums of fixed size, and the WORDS most frequent words."""
+    """From the buckets' TOTALS: sums of fixed size, and the WORDS most frequent words,
+    the end before all: the totals need its count, however rare it is."""
     totals = counts.where(F.col("kind") == TOTALS)
 
     def merged(key, table):
@@ -155,7 +157,7 @@ def vocabulary(counts: DataFrame, n: int) -> Vocabulary:
         c = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("b").to_pylist()])
         rest = [np.frombuffer(x, np.int64) for x in table.column("c").to_pylist()]
         cls = np.concatenate([x[2 * SUFFIXES:] for x in rest])
-        top = np.lexsort((h, -c))[:WORDS]
+        top = np.lexsort((h, -c, h != END))[:WORDS]
         return _message([(-1, 0, TOTALS, h[top].tobytes(), c[top].tobytes(), np.concatenate([np.sum([x[:2 * SUFFIXES] for x in rest], 0), cls[top]]).tobytes())])
 
     while n > 64:  # levels of merging, so that few rows reach the driver
@@ -167,7 +169,7 @@ def vocabulary(counts: DataFrame, n: int) -> Vocabulary:
         rest = np.frombuffer(r["c"], np.int64)
         sums = sums + rest[:2 * SUFFIXES]
         top += zip(np.frombuffer(r["a"], np.uint64).tolist(), np.frombuffer(r["b"], np.int64).tolist(), rest[2 * SUFFIXES:].tolist())
-    top.sort(key=lambda t: (-t[1], t[0]))
+    top.sort(key=lambda t: (t[0] != int(END), -t[1], t[0]))
     return Vocabulary(top[:WORDS], sums[:SUFFIXES], sums[SUFFIXES:])
 
 

@@ -253,6 +253,22 @@ def test_lm_network_reads_every_training_document(spark):
         assert not np.array_equal(lm.flat(lm.trained(docs.where(f"doc_id = {k}"), vocab, 1)), before), k
 
 
+def test_lm_counts_an_end_rarer_than_the_most_frequent_words(spark, monkeypatch):
+    monkeypatch.setattr(lm, "trained", lambda docs, vocab, n: lm.initial_weights(vocab))  # counts only
+    rng, texts = random.Random(3), []
+    for _ in range(3):
+        words = [f"w{k}" for k in range(2500)] * 10
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(3, "w1 unseen")], "doc_id long, text string")
+    n, size = 3 * 25_001, 3 * 25_001 + 0.5 * 2502
+    for block_bytes in (40_000, 2_000):  # a few buckets, and levels of merging
+        got = {r.doc_id: r for r in lm.scores(docs, F.col("doc_id") == 3, block_bytes=block_bytes).collect()}
+        assert all(r.train_tokens == n for r in got.values())
+        assert got[3].n_known == 2 and abs(got[3].base_score - log10(30.5 / size) - log10(0.5 / size) - log10(3.5 / size)) < 1e-9
+        assert abs(got[0].base_score - 25_000 * log10(30.5 / size) - log10(3.5 / size)) < 1e-6
+
+
 def test_lm_probabilities_sum_to_one():
     class Flat:
         weight = np.arange(2048, 0, -1)
