@@ -5,7 +5,8 @@ and clean ones rarely do, each with its log-odds.  Its trie and the automaton "a
 once: a state is the set of (trie node, edits so far) that a word read up to here
 can be in, so the table of states holds every misspelling of every term without
 listing one.  All words of a slice of texts step through the table at once, one
-character for each step, and most are dead after a few.
+character for each step, and most are dead after a few.  Each code point of the
+lexicon has its own class, those of no term share one.
 
 Each hit is looked at in a window of words around it: a hit between quotation marks
 in its line counts as quoted, others as abuse.  A document's score is a logistic
@@ -28,7 +29,7 @@ STEMS = (4, 5, 6, 7, 8)
 WINDOW = 8
 EXACT, STEM, FUZZY = 1, 2, 3
 FUZZY_FROM = 5  # letters
-CODES = 0x250  # code points with a class of their own; all others share one
+CODES = 0x250  # letters from here on have sparse columns in the table of states
 FEATURES = ("evidence", "strongest", "hits", "share", "fuzzy", "quoted")
 # Pairs of quotation marks.
 QUOTES = [('"', '"'), ("“", "”"), ("„", "“"), ("«", "»"), ("‘", "’")]
@@ -57,10 +58,12 @@ class Automaton:
         bent = {w for w in fuzzy if w in words}
         on_way = {node(w[:k]) for w in bent for k in range(len(w) + 1)}
 
-        letters = sorted({c for n in children for c in n if ord(c) < CODES})
-        self.classes = np.zeros(CODES + 1, np.int32)  # 0: any other character
+        letters = sorted({c for n in children for c in n})
+        self.classes = np.zeros(max([CODES, *(ord(c) + 1 for c in letters)]) + 1, np.int32)  # 0: any other character
         for k, c in enumerate(letters):
             self.classes[ord(c)] = k + 1
+        self.width = len(letters) + 1
+        self.dense = sum(ord(c) < CODES for c in letters)  # the last class with a column of its own
 
         def closed(items: set[tuple[int, int]]) -> frozenset:
             out = set(items)
@@ -83,26 +86,35 @@ class Automaton:
         # a state of the table: where the word can be, and the heaviest stem it has passed
         start = (closed({(0, 0)}), None)
         index: dict = {(frozenset(), None): 0, start: 1}
-        table, kind, weight = [[0] * (len(letters) + 1)], [0], [0.0]
+        table, kind, weight = [[0] * (self.dense + 1)], [0], [0.0]
+        keys, targets = [], []  # moves by the other classes: state * width + class, where they lead
         todo = [start]
-        for state, stem in todo:
+        for at, (state, stem) in enumerate(todo, 1):
             exact = [words[ends[n]] for n, e in state if e == 0 and ends[n] is not None]
             near = [words[ends[n]] for n, e in state if e == 1 and ends[n] in bent]
             whole = [(w, EXACT) for w in exact] + ([] if stem is None else [(stems[stem], STEM)])
             best = max(whole or [(w, FUZZY) for w in near] or [(0.0, 0)])
             weight.append(best[0]), kind.append(best[1])
             row = []
-            for c in [None, *letters]:
+            follow = {c for n, _ in state for c in children[n]}  # any other letter moves as None
+            for c in [None, *sorted(follow)]:
                 nxt = step(state, c)
                 passed = [stem_at[n] for n, e in nxt if e == 0 and n in stem_at] + ([] if stem is None else [stem])
                 key = (nxt, max(passed, key=lambda s: (stems[s], s)) if passed else None)
                 if key not in index:
                     index[key] = len(index)
                     todo.append(key)
-                row.append(index[key])
+                if c is None:
+                    row = [index[key]] * (self.dense + 1)
+                elif (k := int(self.classes[ord(c)])) <= self.dense:
+                    row[k] = index[key]
+                else:
+                    keys.append(at * self.width + k), targets.append(index[key])
             table.append(row)
         self.table, self.kind, self.weight = np.array(table, np.int32), np.array(kind, np.int8), np.array(weight)
+        self.keys, self.targets = np.array(keys, np.int64), np.array(targets, np.int32)  # keys rise: states in order, letters sorted
         self.settled = (self.table == np.arange(len(table))[:, None]).all(1)  # no letter leads away
+        self.settled[self.keys[self.targets != self.keys // self.width] // self.width] = False
 
     def match(self, letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Kind (0: none) and weight of each word of the classes of a slice's characters."""
@@ -110,7 +122,15 @@ class Automaton:
         live, k = np.arange(len(starts)), 0
         while len(live):
             live = live[starts[live] + k < ends[live]]
-            state[live] = self.table[state[live], letters[starts[live] + k]]
+            before, c = state[live], letters[starts[live] + k]
+            after = self.table[before, np.where(c <= self.dense, c, 0)]
+            far = np.flatnonzero(c > self.dense)
+            if len(far):
+                key = before[far].astype(np.int64) * self.width + c[far]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                there = self.keys[at] == key
+                after[far[there]] = self.targets[at[there]]
+            state[live] = after
             live = live[~self.settled[state[live]]]
             k += 1
         return self.kind[state], self.weight[state]
@@ -148,7 +168,7 @@ def text_features(automaton: Automaton, texts: list[str | None]) -> np.ndarray:
     data = lower_ascii(np.concatenate(codes)) if codes else np.zeros(0, np.uint32)
     inside = is_word(data)
     starts, ends = word_runs(inside.astype(np.uint8), offsets, np.array([False, True] + [False] * 254))
-    kind, weight = automaton.match(automaton.classes[np.minimum(data, CODES)], starts, ends)
+    kind, weight = automaton.match(automaton.classes[np.minimum(data, len(automaton.classes) - 1)], starts, ends)
     out = np.zeros((len(texts), len(FEATURES)))
     n_words = np.diff(np.searchsorted(starts, offsets))
     hits = np.flatnonzero(kind)

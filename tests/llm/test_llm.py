@@ -317,6 +317,28 @@ def test_levenshtein_automaton():
         assert kind == want, w
 
 
+def test_automaton_in_other_scripts():
+    words = {"дурак": 2.0, "笨蛋": 3.0, "đồngốc": 1.5, "moron": 1.0}
+    auto = toxicity.Automaton(words, {"ненав": 0.5, "滚开滚开": 4.0}, ["дурак", "đồngốc", "moron"])
+    texts = {"дурак": (toxicity.EXACT, 2.0), "дурачук": (0, 0.0), "дурок": (toxicity.FUZZY, 2.0), "друрак": (toxicity.FUZZY, 2.0), "дура": (toxicity.FUZZY, 2.0), "д笨рак": (toxicity.FUZZY, 2.0), "дудак𝒳": (0, 0.0),
+             "笨蛋": (toxicity.EXACT, 3.0), "笨": (0, 0.0), "笨人": (0, 0.0), "ненавижу": (toxicity.STEM, 0.5), "滚开滚开了": (toxicity.STEM, 4.0), "滚开": (0, 0.0), "đồngốc": (toxicity.EXACT, 1.5), "đồngóc": (toxicity.FUZZY, 1.5), "mдron": (toxicity.FUZZY, 1.0), "🙂": (0, 0.0)}
+    for w, want in texts.items():
+        codes = np.frombuffer(w.encode("utf-32-le"), np.uint32)
+        kind, weight = auto.match(auto.classes[np.minimum(codes, len(auto.classes) - 1)], np.array([0]), np.array([len(codes)]))
+        assert (int(kind[0]), float(weight[0])) == want, w
+    x = toxicity.text_features(auto, ["ты дурак", "你 笨蛋", "ты кот", "🙂 你 好", None])
+    assert (x[:2, 2] > 0).all() and not x[2:].any()
+
+
+def test_toxicity_learns_terms_of_other_scripts(spark):
+    rows = [(k, f"текст{k} {'дурак 笨蛋' if k % 2 else 'хорошо 你好'} слово", k % 2) for k in range(80)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    new = spark.createDataFrame([(100, "ты дурак"), (101, "他 笨蛋"), (102, "все хорошо")], "doc_id long, text string")
+    docs = table.select("doc_id", "text").union(new)
+    got = {r.doc_id: r.score for r in toxicity.toxicity(docs, table.select("doc_id", "toxic"), F.lit(True)).collect()}
+    assert min(got[100], got[101]) > got[102] + 0.2
+
+
 def test_quotation():
     assert toxicity.quoted('he said "you idiot" to', 13, 18) and not toxicity.quoted("you idiot", 4, 9)
     assert not toxicity.quoted('"a" idiot "b"', 4, 9) and toxicity.quoted("«an idiot then»", 4, 9)
