@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -46,21 +47,25 @@ PIECE_CACHE = 600_000
 BLOCK_IDS = 1 << 20
 JOINED = 100
 CALL_CHARS = 1 << 18
-# White space other than space and newline, or a run of two: such a text isn't cut into pieces.
+# White space other than space and newline, or a run of two: such a text isn't cut into pieces,
+# nor one with an added token.
 _ODD_SPACE = r"[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]"
 
 
 class Encoder:
     """Texts to ids.  The pre-tokenizer never joins across the end of a word, so
     a text is cut before each single space or newline and each different piece is
-    encoded once by the library; texts with other white space go to it whole.
+    encoded once by the library; texts with other white space or with an added token
+    (which may take white space around it) go to it whole.
     The pieces kept are a cache: past ``PIECE_CACHE`` it starts anew."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = sorted(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(added)) if added else None
+        self.whole = "|".join([_ODD_SPACE, *added])
         # byte-level vocabulary: one character for each byte of a token
         self.width = np.zeros(self.library.get_vocab_size() + 1, np.int64)
         for token, i in self.library.get_vocab().items():
@@ -97,7 +102,7 @@ class Encoder:
         return ids, np.diff(cut, prepend=0)
 
     def _learn(self, new: list[str]) -> None:
-        follows = [p[:1] in " \n" and p[1:].split() == [p[1:]] for p in new]
+        follows = [p[:1] in " \n" and p[1:].split() == [p[1:]] and not (self.added and self.added.search(p)) for p in new]
         some, alone = list(itertools.compress(new, follows)), [p for p, f in zip(new, follows) if not f]
         new = some + alone
         (ids, n), (more, n_more) = self._joined(some), self._call(alone)
@@ -120,7 +125,7 @@ class Encoder:
             self._clear()
         texts = pc.fill_null(texts, "")
         cut = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n"), " ", "\0 ")
-        odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        odd = pc.match_substring_regex(texts, self.whole)
         if pc.any(odd).as_py():
             whole = pa.array([""] * len(texts), texts.type)
             cut = pc.split_pattern(pc.if_else(odd, whole, cut), "\0")

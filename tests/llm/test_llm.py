@@ -392,6 +392,22 @@ def test_joined_pieces_encode_as_the_library_does():
     assert enc.encode(pa.array(texts), 70_000)[0].tolist() == ids.tolist()
 
 
+def test_added_tokens_encode_as_a_fresh_library_does(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    fresh, end = Tokenizer.from_file(path), "<|endoftext|>"
+    texts = [f"hello {end} world", end, f" {end}", f"{end} ", f"a{end}b c", f"a {end}{end}\nb", f"x\n{end}", f"a  {end}  b", "<|endoftext|", "< |endoftext|>", "plain words here"]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [31373, 220, 50256, 995]
+    enc = tokens.Encoder(path)
+    for _ in range(2):
+        ids, n = enc.encode(pa.array(texts), 70_000)
+        assert [x[:-1].tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want
+    rows = tokens.token_output(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, end_id=2, lists=True).collect()
+    assert [r.ids for r in sorted(rows)] == [w + [2] for w in want]
+
+
 def test_token_files_with_ids_beyond_two_bytes(spark):
     docs = spark.createDataFrame([(3, "a b"), (1, None), (None, "c"), (2, ""), (2, "")], "doc_id long, text string")
     rows = tokens.token_output(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=70_000, lists=True).orderBy("start").collect()
