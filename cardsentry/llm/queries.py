@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, lm, mixing, neardup, quality, sharding, suffixdedup, tokens, toxicity, warc
+from . import decontaminate, lexical, lm, mixing, neardup, quality, sharding, suffixdedup, tokencount, tokens, toxicity, warc, whitening
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,36 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return lm.scores(table(spark, sf_dir, "documents"), F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1)
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+_TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SQL["op11_lexical_search"] = f"""
+with docs as (select row_number() over () rid, doc_id, {_TERMS_SQL} terms from documents where text is not null),
+corpus as (select count(*)::bigint n_docs, sum(len(terms))::bigint n_all from docs where len(terms) > 0),
+tf as (select rid, doc_id, len(terms)::bigint n, term, count(*)::bigint tf from (select rid, doc_id, terms, unnest(terms) term from docs) group by rid, doc_id, len(terms), term),
+df as (select term, count(*)::bigint df from tf group by term),
+items as (select row_number() over () iid, item_id, {_TERMS_SQL} terms from benchmark where text is not null),
+asked as (select iid, item_id, unnest(terms) term from items),
+scored as (
+  select iid, item_id, rid, doc_id,
+    sum(floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_all))))::bigint score
+  from asked join tf using (term) join df using (term) cross join corpus group by iid, item_id, rid, doc_id),
+ranked as (select *, row_number() over (partition by iid order by score desc, doc_id nulls last, rid)::integer rank from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", 4)
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 512)
