@@ -216,7 +216,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, sample_rows: int) -> D
     n = marks.count()
     if n > sample_rows:
         marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < max(1, 1_000_000 * sample_rows // n))
-    rows = measures(docs.select("doc_id", "text").join(marks, "doc_id"))
+    # at most about sample_rows ids, so they go to the texts, not the texts to them
+    rows = measures(docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id"))
     part = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 2).cast("int").alias("part")
     return stored(rows.select("label", part, base_failed().alias("failed"), *(c.alias(f) for f, c in ratios().items())), "labelled").where("not failed")
 
