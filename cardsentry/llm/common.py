@@ -66,6 +66,12 @@ def whole_rows(docs: DataFrame) -> Column:
     return F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")
 
 
+def row_hash(*columns: str) -> Column:
+    """128 bits, as hex, of the columns' values: each as its length and text, null marked, so no two different rows are written alike."""
+    text = lambda c: F.col(c).cast("string")
+    return F.md5(F.concat(*(F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in columns)))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective finalizer on 64-bit values (in place where it can)."""
     h = h ^ (h >> np.uint64(33))

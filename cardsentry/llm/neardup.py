@@ -4,14 +4,17 @@
    ``bins`` and each bin keeps its smallest hash.  An empty bin takes the value of
    the first full bin that a hash of (bin, attempt) names, the same for all
    documents, so two signatures agree in a bin as often as the sets are similar.
-2. Documents with equal sets form a class; its smallest id stands for it.
-3. ``bands`` of ``rows`` bins give buckets.  A bucket's smallest id is its centre
+2. Rows with equal sets form a class.  Its node is its smallest id with 62 bits of
+   the set's key behind it: ordered by id, and different for two texts under one id.
+3. ``bands`` of ``rows`` bins give buckets.  A bucket's smallest node is its centre
    and each other member one candidate edge, so edges grow with the members.
 4. Each edge is confirmed on the full sets.  The task also keeps the symmetric
    difference D of member and centre.  Two members x, y of a star differ by
    D(x) ^ D(y), and if their centre is linked with neither, they can be linked only
    if D(x) and D(y) share enough elements; an inverted index over the differences
-   finds exactly those links, without pairing all members.
+   finds such links.  A link inside a component that is already joined adds nothing:
+   members of the largest component are only met with those outside it, and each
+   component found gives one link, so a block gives fewer links than it has members.
 5. Links are contracted to components.
 
 With 42 bands of 6 rows, two sets of similarity 0.85 miss every bucket with a
@@ -24,12 +27,15 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import LOWER, SPACED, mix, prepare, shingle_hashes, slices, stored, utf8, whole_rows, word_hashes, word_runs
 from .components import components
 
-STAR_BLOCK = 20_000
+#: Members of a star, and bytes of their differences, that meet in one task.
+STAR_BLOCK, STAR_BYTES = 20_000, 32 << 20
+NODE = "decimal(38,0)"
+_NODE_SPAN = 1 << 62
 
 
 def shingle_sets(column, width: int = 5):
@@ -84,9 +90,9 @@ def _sketch(width: int, bins: int, rows: int):
                 n = np.zeros(len(sets), np.int64)
                 n[some] = keys.shape[1] if len(some) else 0
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    part.column("doc_id"), part.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(keys.reshape(-1)))], names=["doc_id", "n_shingles", "set_key", "bands"])
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(keys.reshape(-1)))], names=["doc_id", "text_key", "n_shingles", "set_key", "bands"])
     return sketch
 
 
@@ -109,6 +115,54 @@ def _confirm(width: int, num: int, den: int):
     return confirm
 
 
+def _postings(diffs: list[np.ndarray], some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Elements of the differences of some members in order, and whose each is."""
+    elements = np.concatenate([np.zeros(0, np.uint64), *(diffs[k] for k in some.tolist())])
+    owner = np.repeat(some, [len(diffs[k]) for k in some.tolist()])
+    order = np.argsort(elements, kind="stable")
+    return elements[order], owner[order]
+
+
+def _shared(diff: np.ndarray, elements: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many elements of ``diff`` each of the n members has, of those in the postings."""
+    lo, hi = np.searchsorted(elements, diff, "left"), np.searchsorted(elements, diff, "right")
+    spans = hi - lo
+    at = np.repeat(lo - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+    return np.bincount(owner[at], minlength=n)
+
+
+def spanning_links(ids: list, sizes: np.ndarray, diffs: list[np.ndarray], linked: np.ndarray, left: np.ndarray, num: int, den: int) -> list[tuple]:
+    """Of ``star_links`` so many that, with the links to the centre, the same members
+    are joined: each is between two components of those before it."""
+    n = np.array([len(d) for d in diffs], np.int64)
+    label = np.arange(len(diffs))
+    label[linked] = np.flatnonzero(linked)[0] if linked.any() else 0
+    everything = np.arange(len(diffs))
+    full = _postings(diffs, everything)
+    rest, inner, outside = full, -1, len(diffs)  # postings of those outside the component ``inner``
+    out = []
+    for k in np.flatnonzero(left & ~linked).tolist():
+        away = label != label[k]
+        if not away.any():
+            break  # all are joined
+        shared = _shared(diffs[k], *(rest if label[k] == inner else full), len(diffs))
+        near = (n[k] + n - 2 * shared) * (den + num) <= (den - num) * (sizes[k] + sizes)
+        near &= (shared > 0) & away
+        if not near.any():
+            continue
+        joined, first = np.unique(label[near], return_index=True)
+        out += [(ids[k], ids[y]) for y in np.flatnonzero(near)[first].tolist()]
+        label[np.isin(label, joined)] = label[k]
+        counts = np.bincount(label)
+        largest = int(counts.argmax())
+        if len(diffs) - int(counts[largest]) < outside // 2:
+            inner, outside = largest, len(diffs) - int(counts[largest])
+            rest = _postings(diffs, everything[label != inner])
+        elif counts[inner] == 0:  # it was joined to a smaller one's label
+            inner = int(label[k])
+    return out
+
+
 def star_links(ids: list[int], sizes: np.ndarray, diffs: list[np.ndarray], linked: np.ndarray, left: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
     """Links between members of one star of which the first isn't linked with the centre.
 
@@ -118,16 +172,10 @@ def star_links(ids: list[int], sizes: np.ndarray, diffs: list[np.ndarray], linke
     element can't be linked (see the module's text).
     """
     n = np.array([len(d) for d in diffs], np.int64)
-    elements = np.concatenate(diffs) if diffs else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(diffs)), n)
-    order = np.argsort(elements, kind="stable")
-    elements, owner = elements[order], owner[order]
+    elements, owner = _postings(diffs, np.arange(len(diffs)))
     out = []
     for k in np.flatnonzero(left & ~linked).tolist():
-        lo, hi = np.searchsorted(elements, diffs[k], "left"), np.searchsorted(elements, diffs[k], "right")
-        spans = hi - lo
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
-        shared = np.bincount(owner[at], minlength=len(diffs))
+        shared = _shared(diffs[k], elements, owner, len(diffs))
         near = (n[k] + n - 2 * shared) * (den + num) <= (den - num) * (sizes[k] + sizes)
         # of two members that aren't linked with the centre, the smaller id finds the link
         near &= (shared > 0) & (np.arange(len(diffs)) != k)
@@ -136,45 +184,57 @@ def star_links(ids: list[int], sizes: np.ndarray, diffs: list[np.ndarray], linke
 
 
 def near_links(docs: DataFrame, similarity: Fraction = Fraction(85, 100), width: int = 5, bins: int = 252, rows: int = 6) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, classes, links): documents with n_shingles and set_key, the
-    smallest id of each set, and confirmed links between such ids."""
+    """(documents, classes, links): rows with n_shingles, set_key and the text's hash,
+    the node of each set, and confirmed links between nodes, as many as join
+    what is linked."""
     spark = docs.sparkSession
     prepare(spark)
     num, den = similarity.numerator, similarity.denominator
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = stored(narrow.mapInArrow(_sketch(width, bins, rows), "doc_id long, n_shingles long, set_key binary, bands array<long>"), "sketches")
-    classes = stored(sketches.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    members = (sketches.join(classes, [sketches.set_key == classes.set_key, sketches.doc_id == classes.rep])
-               .select("rep", F.explode("bands").alias("bucket")))
+    sketches = stored(narrow.withColumn("text_key", text_key()).mapInArrow(_sketch(width, bins, rows), "doc_id long, text_key string, n_shingles long, set_key binary, bands array<long>"), "sketches")
+    low = F.conv(F.substring(F.hex("set_key"), 1, 16), 16, 10).cast(NODE)
+    classes = stored(sketches.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+                     .withColumn("node", (F.col("rep").cast(NODE) * F.lit(_NODE_SPAN).cast(NODE) + F.pmod(low, F.lit(_NODE_SPAN).cast(NODE))).cast(NODE)), "classes")
+    speakers = sketches.join(classes, [sketches.set_key == classes.set_key, sketches.doc_id == classes.rep])
+    members = speakers.select(F.col("node").alias("rep"), F.explode("bands").alias("bucket"))
     stars = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a <> last").select("bucket", "a")
     edges = stored(members.join(stars, "bucket").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "edges")
     # texts of both ends; every other document is left out before its text is shuffled
-    ends = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # one text of each set, under its smallest id, speaks for it
+    ends = (edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            .join(speakers.select("node", "doc_id", "text_key"), "node").groupBy("node", "doc_id").agg(F.min("text_key").alias("text_key")))
     # the same joins at every size: what is small here grows with the corpus
-    texts = stored(narrow.join(ends.hint("merge"), "doc_id", "left_semi"), "ends")
-    pairs = (edges.hint("merge").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
-             .hint("merge").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").select("a", "b", "a_text", "b_text"))
-    tested = stored(pairs.mapInArrow(_confirm(width, num, den), "a long, b long, linked boolean, na long, nb long, diff binary"), "tested")
+    keyed = narrow.withColumn("text_key", text_key())
+    texts = stored(keyed.join(ends.hint("merge"), ["doc_id", "text_key"]).dropDuplicates(["node"]).select("node", "text"), "ends")
+    pairs = (edges.hint("merge").join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+             .hint("merge").join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a").select("a", "b", "a_text", "b_text"))
+    tested = stored(pairs.mapInArrow(_confirm(width, num, den), f"a {NODE}, b {NODE}, linked boolean, na long, nb long, diff binary"), "tested")
 
     def siblings(key, table):
         flip = table.to_pydict()
         diffs = [np.frombuffer(x, np.uint64) for x in flip["diff"]]
         i, j = key[1].as_py(), key[2].as_py()
         mine = np.array([x == i for x in flip["salt"]], bool)
-        found = star_links(flip["b"], np.array(flip["nb"], np.int64), diffs, np.array(flip["linked"], bool), mine, num, den)
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+        found = spanning_links(flip["b"], np.array(flip["nb"], np.int64), diffs, np.array(flip["linked"], bool), mine, num, den)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.decimal128(38)), "b": pa.array([y for _, y in found], pa.decimal128(38))})
 
     # Stars without an unlinked member are done.  The others are met in blocks of about
-    # STAR_BLOCK members: block pair (i, j) has the members of i and j, so no group is whole in one task.
-    open_stars = (tested.groupBy("a").agg(F.count("*").alias("n"), F.count(F.expr("if(not linked, 1, null)")).alias("free"))
-                  .where("free > 0 and n > 1").select("a", F.ceil(F.col("n") / STAR_BLOCK).cast("int").alias("blocks")))
+    # STAR_BLOCK members or STAR_BYTES of differences: block pair (i, j) has the members of i and j,
+    # so no group is whole in one task.
+    open_stars = (tested.groupBy("a").agg(F.count("*").alias("n"), F.count(F.expr("if(not linked, 1, null)")).alias("free"), F.sum(F.octet_length("diff")).alias("bytes"))
+                  .where("free > 0 and n > 1").select("a", F.greatest(F.ceil(F.col("n") / STAR_BLOCK), F.ceil(F.col("bytes") / STAR_BYTES)).cast("int").alias("blocks")))
     salted = tested.join(open_stars, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
     met = (salted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select("a", "b", "linked", "nb", "diff", "salt", F.explode(F.array_distinct(F.array(F.struct(F.col("salt").alias("i"), F.col("other").alias("j")), F.struct(F.col("other").alias("i"), F.col("salt").alias("j"))))).alias("pair"))
            .select("a", "b", "linked", "nb", "diff", "salt", "pair.i", "pair.j"))
-    between = met.groupBy("a", "i", "j").applyInArrow(siblings, "a long, b long")
+    between = met.groupBy("a", "i", "j").applyInArrow(siblings, f"a {NODE}, b {NODE}")
     links = stored(tested.where("linked").select("a", "b").union(between.distinct()), "near-links")
-    return sketches.select("doc_id", "n_shingles", "set_key"), classes, links
+    return sketches.select("doc_id", "text_key", "n_shingles", "set_key"), classes, links
+
+
+def text_key() -> Column:
+    """128 bits of a text; null counts as empty."""
+    return F.md5(F.coalesce(F.col("text"), F.lit("")))
 
 
 def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(85, 100), width: int = 5) -> DataFrame:
@@ -183,16 +243,26 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(85, 100), w
     kept: the document is the smallest id of its component.  Null and empty texts
     and texts of white space have no shingles and are linked with nothing.  A null
     doc_id can't be named as a partner: such a row is kept, in a component without
-    id.  Rows with equal doc_id are one document and have one answer each.
+    id.  A row is judged by its own text: rows that repeat have the same answer, and
+    two texts under one doc_id have an answer each, so neither goes with the other.
+    Long texts count whole; other columns are not read.  An empty table gives no rows.
     """
+    return judged(docs, similarity, width).drop("text_key")
+
+
+def judged(docs: DataFrame, similarity: Fraction = Fraction(85, 100), width: int = 5) -> DataFrame:
+    """``near_duplicates`` with text_key, which tells the texts of one doc_id apart."""
     rows, classes, links = near_links(docs, similarity, width)
-    named = classes.join(components(links).withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    # a component's id is in front of its smallest node's 62 bits
+    of = components(links).select(F.col("id").alias("node"), F.expr(f"cast((component - pmod(component, {_NODE_SPAN}BD)) as {NODE}) div {_NODE_SPAN}BD").alias("component"))
+    named = classes.join(of, "node", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     return (rows.join(named, "set_key", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+            .select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component."""
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.select(whole_rows(docs), F.col("doc_id").alias("gone")).join(gone, "gone", "left_anti").select("row.*")
+    """``docs`` with the rows of each component's smallest document; a row goes by its id and its text."""
+    gone = judged(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone"), F.col("text_key").alias("gone_text")).distinct()
+    rows = docs.select(whole_rows(docs), F.col("doc_id").cast("long").alias("gone"), text_key().alias("gone_text"))
+    return rows.join(gone, ["gone", "gone_text"], "left_anti").select("row.*")
