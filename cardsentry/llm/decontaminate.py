@@ -27,11 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ALNUM, LOWER, prepare, slices, utf8, whole_rows, word_hashes, word_runs
+from .common import ALNUM, LOWER, prepare, row_hash, slices, utf8, whole_rows, word_hashes, word_runs
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
-PACK = 3  # words of a sort key: 21 bits each
+PACK, BITS = 2, 31  # words of a sort key, and bits of each
 
 
 def words(text: str | None) -> list[str]:
@@ -40,7 +40,7 @@ def words(text: str | None) -> list[str]:
 
 @dataclass
 class Benchmark:
-    """One block of items as word numbers (1 and up; 0: not in the benchmark)."""
+    """One block of items as word numbers (1 and up; 0: not in the benchmark); an item's id may be null."""
 
     vocabulary: dict[str, int]
     hashes: np.ndarray  # sorted, of the vocabulary
@@ -48,7 +48,7 @@ class Benchmark:
     item_at: np.ndarray  # item of each token
     suffixes: np.ndarray  # start of each suffix in tokens
     windows: list[tuple[int, int, list[str]]]  # start in tokens, words, ids of the items with that window
-    items: list[str]
+    items: list[str | None]
     shortest: int
     longest: int
 
@@ -69,13 +69,11 @@ def benchmark_index(rows: list[tuple[str, str | None]], width: int) -> Benchmark
         for k in range(len(w) - size + 1):
             entry = found.setdefault(tuple(w[k:k + size]), [start + k, size, []])
             if entry[2][-1:] != [name]:
-                entry[2].append(name)
+                entry[2].append(name)  # an item without id is found, but has no name to report
         suffixes += range(start, start + len(w))
         tokens += w + [0] * PACK
         item_at += [len(items)] * (len(w) + PACK)
         items.append(name)
-    if len(vocabulary) >= 1 << 21:
-        raise ValueError("more than 2**21 different words in a block: lower block_bytes")
     blob = "".join(vocabulary).encode()
     ends = np.cumsum([len(w.encode()) for w in vocabulary], dtype=np.int64)
     hashes = np.sort(word_hashes(np.frombuffer(blob, np.uint8), ends - np.diff(ends, prepend=0), ends)) if vocabulary else np.zeros(0, np.uint64)
@@ -88,7 +86,7 @@ def packed(tokens: np.ndarray) -> np.ndarray:
     t = np.concatenate([tokens, np.zeros(PACK, np.int64)])
     key = np.zeros(len(tokens), np.int64)
     for k in range(PACK):
-        key = (key << 21) | t[k:k + len(tokens)]
+        key = (key << BITS) | t[k:k + len(tokens)]
     return key
 
 
@@ -129,7 +127,7 @@ def _compare(keys: np.ndarray, at: np.ndarray, wanted: np.ndarray, where: np.nda
         left = left[left > 0]
         if not len(live):
             break
-        cut = 21 * np.maximum(0, PACK - left)
+        cut = BITS * np.maximum(0, PACK - left)
         p, q = at[live] + step, where[live] + step
         a = np.where(p < len(keys), keys[np.minimum(p, len(keys) - 1)], 0) >> cut
         b = np.where(q < len(wanted), wanted[np.minimum(q, len(wanted) - 1)], 0) >> cut
@@ -219,7 +217,7 @@ def match_shard(bench: Benchmark, texts: list[str | None], width: int) -> list[t
         np.add.at(covered, where, 1)
         np.add.at(covered, where + size[k], -1)
         for d in np.unique(np.searchsorted(doc_first, where, "right") - 1).tolist():
-            found.setdefault(d, set()).update(bench.windows[k][2])
+            found.setdefault(d, set()).update(x for x in bench.windows[k][2] if x is not None)
     hit = np.cumsum(covered[:-1]) > 0
     for d, names in found.items():
         a = int(doc_first[d])
@@ -284,7 +282,7 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int):
 
 def row_key():
     """Equal for rows with equal id and text."""
-    return F.xxhash64("doc_id", "text")
+    return row_hash("doc_id", "text")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -301,21 +299,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, one_in
     A window is ``width`` consecutive words of an item, or all words of a shorter
     one.  Contaminated: some word is hit and the hit words times ``one_in``
     are at least all.  A null or empty text has no words and isn't contaminated; items with
-    null text hold nothing and a null item_id names no item; rows that repeat give
-    equal results.  An empty benchmark or document table gives no hits or no rows.
+    null text hold nothing; an item without item_id is searched like any other, but
+    has no name in ``items``.  Rows that repeat give equal results.  Long texts are
+    matched whole; of ``docs`` only doc_id and text are read.  An empty benchmark or document table gives no hits or no rows.
     """
     spark = docs.sparkSession
     prepare(spark)
-    kinds = "doc_id long, key long, text string, n_words long, runs " + RUNS + ", items array<string>, longest struct<words:int,item_id:string,doc_word:int,item_word:int>"
+    kinds = "doc_id long, key string, text string, n_words long, runs " + RUNS + ", items array<string>, longest struct<words:int,item_id:string,doc_word:int,item_word:int>"
     schema = spark.createDataFrame([], kinds).schema
-    arrow = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
+    arrow = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("text", pa.string()), ("n_words", pa.int64()),
                        ("runs", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("items", pa.list_(pa.string())),
                        ("longest", pa.struct([("words", pa.int32()), ("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32())]))])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text", F.lit(0).cast("long").alias("n_words"),
                        *(F.lit(None).cast(schema[c].dataType).alias(c) for c in ("runs", "items")),
                        F.struct(F.lit(0).alias("words"), F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("int").alias("doc_word"), F.lit(None).cast("int").alias("item_word")).alias("longest"))
     for block in benchmark_blocks(benchmark, block_bytes):
-        index = spark.sparkContext.broadcast(benchmark_index([(name, text) for name, text in block if name is not None], width))
+        index = spark.sparkContext.broadcast(benchmark_index(block, width))
         rows = rows.mapInArrow(_pass(index, width, shard_bytes, arrow), schema)
     empty_runs = F.coalesce("runs", F.array().cast(RUNS))
     # runs of several blocks may overlap: count words behind the furthest end so far
