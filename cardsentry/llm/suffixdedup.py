@@ -215,10 +215,12 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
 class Block:
     """The documents of a block in a fixed order, without copies of smaller ids."""
 
-    def __init__(self, table: pa.Table, copies: set[int], length: int, gram: int):
+    def __init__(self, table: pa.Table, copies: set[tuple[int, bytes]], length: int, gram: int):
         rows = sorted(zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         self.rows = rows
-        taking = [k for k, (d, _) in enumerate(rows) if d is not None and d not in copies]
+        some = {d for d, _ in copies}
+        self.copied = [d in some and (d, text_key(t)) in copies for d, t in rows]
+        taking = [k for k, (d, _) in enumerate(rows) if d is not None and not self.copied[k]]
         self.place = np.array(taking, np.int64)
         self.ids = np.array([rows[k][0] for k in taking], np.int64)
         self.data, self.offsets = utf8(pa.array([rows[k][1] for k in taking], pa.large_string()))
@@ -259,8 +261,16 @@ def _read(messages: pa.Table, kind: int):
     return zip(*(rows.column(c).to_pylist() for c in ("origin", "a", "b", "c", "d", "e")))
 
 
-def _copies(messages: pa.Table) -> set[int]:
-    return {int(x) for _, a, *_ in _read(messages, COPY) for x in np.frombuffer(a, np.int64)}
+#: An id and the first 16 bytes of its text's SHA-256: a row that copies a smaller id's text.
+_COPY = np.dtype([("id", "<i8"), ("text", "V16")])
+
+
+def text_key(text: str) -> bytes:
+    return hashlib.sha256(text.encode()).digest()[:16]
+
+
+def _copies(messages: pa.Table) -> set[tuple[int, bytes]]:
+    return {(int(d), t.tobytes()) for _, a, *_ in _read(messages, COPY) for d, t in np.frombuffer(a, _COPY)}
 
 
 def _shared(messages: pa.Table) -> np.ndarray:
@@ -274,26 +284,28 @@ def repeated_bytes(docs: DataFrame, length: int = 50, gram: int = GRAM, block_by
     A byte goes if a string of ``length`` bytes that covers it also starts in a
     document with a smaller id.  Null texts are empty.  A null doc_id is smaller
     than none and larger than none: such a row keeps all.  Rows with equal ids are
-    equals: neither is a reason to cut the other.
+    equals: neither is a reason to cut the other, and each is cut for its own text
+    only.  Empty texts keep nothing and lose nothing; other columns are not read.
     """
     spark = docs.sparkSession
     prepare(spark)
     n = block_count(docs, block_bytes=block_bytes)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("block")
+    # by id and text, so rows that share an id, or have none, spread over the blocks
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block")
     blocks = rows.select("doc_id", "text", block).groupBy("block")
 
     def to(messages: DataFrame):
         return messages.groupBy("target")
 
-    # copies: ids whose text a smaller id has too
+    # copies: rows whose text a smaller id has too
     hashed = rows.where("doc_id is not null").select("doc_id", block, F.unhex(F.sha2("text", 256)).alias("h"))
     first = hashed.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h", "first")
     copies = (hashed.join(first, "h").where(F.col("doc_id") > F.col("first"))
-              .select(F.col("block").alias("target"), F.lit(0).cast("long").alias("origin"), F.lit(COPY).alias("kind"), "doc_id"))
+              .select(F.col("block").alias("target"), F.lit(0).cast("long").alias("origin"), F.lit(COPY).alias("kind"), "doc_id", F.substring("h", 1, 16).alias("h")).distinct())
 
     def pack_ids(key, table):
-        return _message([(key[0].as_py(), 0, COPY, np.array(table.column("doc_id").to_pylist(), np.int64).tobytes(), None, None, None, None)])
+        return _message([(key[0].as_py(), 0, COPY, np.array(list(zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist())), _COPY).tobytes(), None, None, None, None)])
 
     copies = copies.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4))).groupBy("target", "part").applyInArrow(lambda key, t: pack_ids(key, t), MESSAGE)
 
@@ -382,7 +394,7 @@ def repeated_bytes(docs: DataFrame, length: int = 50, gram: int = GRAM, block_by
         return _message(out)
 
     def cut(key, table, messages):
-        b = Block(table, copied := _copies(messages), length, gram)
+        b = Block(table, _copies(messages), length, gram)
         told: dict[tuple[int, int, bytes], np.ndarray] = {}
         for _, a, at, digests, sizes, flat in _read(messages, LEAST):
             ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64)
@@ -411,7 +423,7 @@ def repeated_bytes(docs: DataFrame, length: int = 50, gram: int = GRAM, block_by
         out = []
         for place, (d, text) in enumerate(b.rows):
             raw = text.encode()
-            gone, spans, kept = result.get(place) or ((len(raw), 1, b"") if d in copied and len(raw) >= length else (0, 0, raw))
+            gone, spans, kept = result.get(place) or ((len(raw), 1, b"") if b.copied[place] and len(raw) >= length else (0, 0, raw))
             out.append((d, len(raw), gone, spans, hashlib.sha256(kept).hexdigest()) + ((kept,) if texts else ()))
         kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + [("kept", pa.binary())] * texts
         return pa.table([pa.array(list(c), t) for c, (_, t) in zip(zip(*out), kinds)] if out else [pa.array([], t) for _, t in kinds], schema=pa.schema(kinds))

@@ -89,15 +89,15 @@ def test_decontamination(spark, docs, empty, block_bytes):
     windows = {}
     for name, text in items:
         w = ALNUM.findall(low(text))
-        for k in range(max(1, len(w) - 12) if w and name else 0):
-            windows.setdefault(tuple(w[k:k + 13]), set()).add(name)
+        for k in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[k:k + 13]), set()).update([name] if name else [])
     want = []
     for d, t in ROWS:
         w = ALNUM.findall(low(t))
         hit, names = set(), set()
         for size in {len(x) for x in windows}:
             for k in range(len(w) - size + 1):
-                if found := windows.get(tuple(w[k:k + size])):
+                if (found := windows.get(tuple(w[k:k + size]))) is not None:
                     names |= found
                     hit |= set(range(k, k + size))
         want.append((d, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
@@ -414,3 +414,96 @@ def test_token_files_with_ids_beyond_two_bytes(spark):
     assert [r.doc_id for r in rows] == [None, 1, 2, 2, 3]
     assert all(r.ids[-1] == 70_000 and len(r.ids) == r.n_tokens for r in rows) and [r.n_tokens for r in rows[1:4]] == [1, 1, 1]
     assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:k]) for k in range(5)]
+
+
+def near(x, y):
+    return 100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y))
+
+
+def joined(n, links):
+    """For each of n members the smallest member that the links join it with."""
+    root = list(range(n))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a, b in links:
+        p, r = sorted((find(a), find(b)))
+        root[r] = p
+    return [find(x) for x in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_spanning_links_join_what_all_links_join(seed):
+    rng = np.random.default_rng(seed)
+    base = np.arange(100, 220, dtype=np.uint64)
+    family = []
+    for k in range(10):
+        middle = np.concatenate([np.delete(base, rng.choice(120, 3 * k, replace=False)), np.arange(3 * k, dtype=np.uint64) + 1000 * (k // 2)])
+        family += [np.unique(np.concatenate([np.delete(middle, rng.choice(len(middle), rng.integers(0, 11), replace=False)), rng.integers(0, 90, rng.integers(0, 5)).astype(np.uint64)])) for _ in range(12)]
+    order = rng.permutation(len(family))
+    family = [family[k] for k in order]
+    n, sizes, diffs = len(family), np.array([len(x) for x in family]), [np.setxor1d(base, x) for x in family]
+    linked = np.array([near(base, x) for x in family])
+    centre = [(int(np.flatnonzero(linked)[0]), int(k)) for k in np.flatnonzero(linked)] if linked.any() else []
+    every = neardup.star_links(list(range(n)), sizes, diffs, linked, np.ones(n, bool), 85, 100)
+    got = neardup.spanning_links(list(range(n)), sizes, diffs, linked, np.ones(n, bool), 85, 100)
+    assert joined(n, centre + got) == joined(n, centre + every) and len(got) < n and set(map(frozenset, got)) <= set(map(frozenset, every))
+    # met as two halves, as block pairs do
+    half = np.arange(n) < n // 2
+    parts = neardup.spanning_links(list(range(n)), sizes, diffs, linked, half, 85, 100) + neardup.spanning_links(list(range(n)), sizes, diffs, linked, ~half, 85, 100)
+    assert joined(n, centre + parts) == joined(n, centre + every)
+
+
+def test_a_large_star_without_its_centre_gives_a_link_for_each_member():
+    """20,000 members near each other, none near the centre."""
+    rng = np.random.default_rng(1)
+    core, centre = np.arange(60, dtype=np.uint64), np.arange(12, 72, dtype=np.uint64)
+    family = [np.concatenate([np.delete(core, rng.choice(60, 2, replace=False)), np.array([1000 + k], np.uint64)]) for k in range(20_000)]
+    diffs, sizes = [np.setxor1d(centre, x) for x in family], np.full(20_000, 59)
+    assert not near(centre, family[0])
+    got = neardup.spanning_links(list(range(20_000)), sizes, diffs, np.zeros(20_000, bool), np.ones(20_000, bool), 85, 100)
+    assert len(got) == 19_999 and set(joined(20_000, got)) == {0}
+
+
+def test_two_texts_under_one_id(spark):
+    """A row is judged by its own text: no text loses its last row."""
+    rng = random.Random(4)
+    t, u, v, w = (" ".join(f"{k}{rng.randint(0, 10**6)}" for _ in range(60)) for k in "tuvw")
+    rows = [(1, t), (5, t), (5, u), (7, u), (5, v), (8, v), (3, w), (9, w + " more"), (5, w), (None, t)]
+    docs = spark.createDataFrame([(d, x, "k") for d, x in rows], "doc_id long, text string, gone_text string").repartition(3)
+    got = {(r.doc_id, r.text): r for r in neardup.judged(docs).join(docs.select(F.col("doc_id").alias("d"), "text", neardup.text_key().alias("k")), F.expr("text_key = k and doc_id <=> d")).select("doc_id", "text", "component_id", "kept").collect()}
+    assert {k: r.component_id for k, r in got.items()} == {(1, t): 1, (5, t): 1, (5, u): 5, (7, u): 5, (5, v): 5, (8, v): 5, (3, w): 3, (5, w): 3, (9, w + " more"): 3, (None, t): None}
+    left = neardup.distinct_documents(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, t), (5, u), (5, v), (3, w), (0, t)])
+
+
+def test_repeated_ids_are_cut_for_their_own_text(spark):
+    rng = random.Random(5)
+    a, b = (" ".join(f"{k}{rng.randint(0, 10**6)}" for _ in range(40)) for k in "ab")
+    rows = [(2, a), (5, a), (5, b), (5, b), (7, b), (None, a), (9, "")]
+    got = suffixdedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    n = {"a": len(a), "b": len(b)}
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in got) == sorted([(2, n["a"], 0), (5, n["a"], n["a"]), (5, n["b"], 0), (5, n["b"], 0), (7, n["b"], n["b"]), (0, n["a"], 0), (9, 0, 0)])
+
+
+def test_items_without_id_are_found(spark):
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "other text here"), (None, " ".join(words[:20]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, " ".join(words)), ("b", " ".join(words[10:24]))], "item_id string, text string")
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert (got[1].n_hit, got[1].n_items, got[1]["items"], got[1].contaminated) == (40, 1, ["b"], True)
+    assert (got[None].n_hit, got[None].n_items, got[None].contaminated, got[2].contaminated) == (20, 0, True, False)
+    assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [2]
+
+
+def test_rows_that_share_hashes_of_their_parts(spark):
+    """Nulls in different columns make different rows; 10,000 rows without id spread over hash ranges."""
+    from cardsentry.llm.common import row_hash
+
+    rows = [(1, None, "x", "s"), (1, "x", None, "s"), (1, "x", "x", None), (None, "x", None, "s"), (1, "x", "", "s"), (1, "", "x", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert docs.select(row_hash(*docs.columns)).distinct().count() == len(rows)
+    many = spark.range(10_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"), F.lit("s1").alias("source"))
+    out = mixing.mixture(many, F.lit("0"), mixing.Weights(), budget_permille=500, max_epochs=1)
+    taken = out.where("copies > 0")
+    assert out.count() == 10_000 and taken.count() == 5_000 and taken.select("key").distinct().count() == 5_000
+    assert mixing.mixed(many, F.lit("0"), mixing.Weights(), budget_permille=500, max_epochs=1).count() == 5_000
