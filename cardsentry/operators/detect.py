@@ -3,12 +3,12 @@
 Thresholds are parameters (defaults derived from the signal descriptions:
 tiny online charges seconds apart, unknown device far from home with an amount
 spike, faster-than-jet travel, extreme amount z-scores, bursts at high-risk
-merchants).  Windowed detectors key on card or merchant and go through the
-exact hot-key slicing of :mod:`cardsentry.operators.skew`.
+merchants).  Bursts are counted by (key, second) first and then over the distinct
+seconds in slices of time (:mod:`cardsentry.operators.skew`), whatever the key's rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import skew
 
@@ -30,19 +30,13 @@ def _epoch(df: DataFrame) -> DataFrame:
 
 
 def card_testing(feats: DataFrame, max_amount: float = TESTING_MAX_AMOUNT, window_s: int = TESTING_WINDOW_S,
-                 min_count: int = TESTING_MIN_COUNT, hot_threshold: int | None = None) -> DataFrame:
+                 min_count: int = TESTING_MIN_COUNT, slice_seconds: int = skew.SLICE_SECONDS) -> DataFrame:
     """Small online charges with at least ``min_count`` such charges on the
     card within the trailing ``window_s`` seconds (same second included)."""
     small = _epoch(feats.filter((F.col("entry_mode") == "online") & (F.col("amount_usd") < max_amount))
                    .select("transaction_id", "card_id", "event_ts", "amount_usd"))
-    spec = skew.SliceSpec("card_id", "epoch", ("epoch", "event_ts", "transaction_id"), 0, window_s)
-
-    def compute(df, parts):
-        w = Window.partitionBy(*parts).orderBy("epoch").rangeBetween(-window_s, 0)
-        return df.withColumn("burst_count", F.count(F.lit(1)).over(w))
-
-    out = skew.window_apply(small, spec, compute, hot_threshold)
-    return out.filter(F.col("burst_count") >= min_count).select(
+    bursts = skew.trailing_counts(small, "card_id", "epoch", {"burst_count": window_s}, slice_seconds).filter(F.col("burst_count") >= min_count)
+    return skew.with_counts(small, bursts, "card_id", "epoch").select(
         "transaction_id", "card_id", "event_ts", "amount_usd", "burst_count")
 
 
@@ -63,21 +57,15 @@ def amount_anomaly(feats: DataFrame, min_z: float = ANOMALY_MIN_Z) -> DataFrame:
 
 
 def merchant_collusion(feats: DataFrame, dim_merch: DataFrame, window_s: int = COLLUSION_WINDOW_S,
-                       min_count: int = COLLUSION_MIN_COUNT, hot_threshold: int | None = None) -> DataFrame:
+                       min_count: int = COLLUSION_MIN_COUNT, slice_seconds: int = skew.SLICE_SECONDS) -> DataFrame:
     """Transactions at high-risk-tier merchants with at least ``min_count``
     transactions at the same merchant in the trailing ``window_s`` seconds.
-    A busy merchant is the classic hot key: it is sliced like a hot card."""
+    A busy merchant is the classic hot key: its window has one row a second."""
     high = dim_merch.filter(F.col("risk_tier") == HIGH_RISK_TIER).select("merchant_id")
     rows = _epoch(feats.select("transaction_id", "merchant_id", "card_id", "event_ts")
                   .join(high, "merchant_id", "left_semi"))
-    spec = skew.SliceSpec("merchant_id", "epoch", ("epoch", "event_ts", "transaction_id"), 0, window_s)
-
-    def compute(df, parts):
-        w = Window.partitionBy(*parts).orderBy("epoch").rangeBetween(-window_s, 0)
-        return df.withColumn("cluster_count", F.count(F.lit(1)).over(w))
-
-    out = skew.window_apply(rows, spec, compute, hot_threshold)
-    return out.filter(F.col("cluster_count") >= min_count).select(
+    bursts = skew.trailing_counts(rows, "merchant_id", "epoch", {"cluster_count": window_s}, slice_seconds).filter(F.col("cluster_count") >= min_count)
+    return skew.with_counts(rows, bursts, "merchant_id", "epoch").select(
         "transaction_id", "merchant_id", "card_id", "event_ts", "cluster_count")
 
 

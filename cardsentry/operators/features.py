@@ -27,6 +27,9 @@ LABELS = ["is_fraud_label", "fraud_type_label"]
 AMOUNT_ROWS = 50
 VELOCITY_SECONDS = (60, 3600)
 NO_PREVIOUS = 999999
+VELOCITY = {f"_cnt_{s}": s for s in VELOCITY_SECONDS}
+#: Rows of a card above which its windows are evaluated in slices of as many.
+HOT_CARD_ROWS = 2_000_000
 
 ORDER = ("epoch", "event_ts", "transaction_id")
 SPEC = skew.SliceSpec(key="card_id", epoch="epoch", order=ORDER,
@@ -44,8 +47,8 @@ def with_epoch(df: DataFrame) -> DataFrame:
     return df.withColumn("epoch", F.unix_timestamp("event_ts"))
 
 
-def windowed(df: DataFrame, parts: list[str]) -> DataFrame:
-    """Add prev_*, rolling amount stats and velocity counts.
+def row_windows(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Add prev_* and the rolling amount statistics.
 
     Amounts keep every decimal they have.  The 50-row mean and deviation are
     aggregates of their frame, evaluated in its order, so they depend on the rows
@@ -53,7 +56,6 @@ def windowed(df: DataFrame, parts: list[str]) -> DataFrame:
     """
     w = Window.partitionBy(*parts).orderBy(*ORDER)
     before = w.rowsBetween(-AMOUNT_ROWS, -1)
-    by_sec = Window.partitionBy(*parts).orderBy("epoch")
     return df.select(
         "*",
         F.lag("event_ts").over(w).alias("prev_ts"),
@@ -62,11 +64,24 @@ def windowed(df: DataFrame, parts: list[str]) -> DataFrame:
         F.lag("lon").over(w).alias("prev_lon"),
         F.avg("amount_usd").over(before).alias("card_amount_mean"),
         F.stddev_samp("amount_usd").over(before).alias("card_amount_std"),
-        # Range frames on whole seconds; they include same-second peers.
-        *[F.count(F.lit(1)).over(by_sec.rangeBetween(-s, 0)).alias(f"_cnt_{s}") for s in VELOCITY_SECONDS],
     )
 
 
+def windowed(df: DataFrame, parts: list[str]) -> DataFrame:
+    """``row_windows`` and the velocity counts, all in one sort."""
+    by_sec = Window.partitionBy(*parts).orderBy("epoch")
+    # Range frames on whole seconds; they include same-second peers.
+    return row_windows(df, parts).select(
+        "*", *[F.count(F.lit(1)).over(by_sec.rangeBetween(-s, 0)).alias(c) for c, s in VELOCITY.items()])
+
+
+def sliced_windows(rows: DataFrame, slice_rows: int) -> DataFrame:
+    """The columns of ``windowed`` for rows of hot cards, no card in one task."""
+    counts = skew.trailing_counts(rows, "card_id", "epoch", VELOCITY)
+    sliced = skew.drop_context(row_windows(skew.equal_slices(rows, SPEC, slice_rows), ["card_id", skew.SLICE]))
+    return skew.with_counts(sliced, counts, "card_id", "epoch")
+
+
 def feature_columns(df: DataFrame) -> DataFrame:
     gap = F.col("epoch") - F.col("prev_epoch")
     prev_km = F.coalesce(haversine_km("lat", "lon", "prev_lat", "prev_lon"), F.lit(0.0))
@@ -86,12 +101,11 @@ def feature_columns(df: DataFrame) -> DataFrame:
         F.col(f"_cnt_{VELOCITY_SECONDS[1]}").alias("txn_count_1h"),
         F.when(F.coalesce(gap, F.lit(0)) <= 0, F.lit(0.0))
          .otherwise(prev_km / (gap / F.lit(3600.0))).alias("implied_speed_kmh"),
-        *([skew.CTX, skew.SLICE] if skew.CTX in df.columns else []),
-    ).select(*OUTPUT_COLS, *([skew.CTX, skew.SLICE] if skew.CTX in df.columns else []))
+    ).select(*OUTPUT_COLS)
 
 
 def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
-                     hot_card_rows: int | None = None, broadcast_dims: bool | str = "auto",
+                     hot_card_rows: int | None = HOT_CARD_ROWS, broadcast_dims: bool | str = "auto",
                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Feature rows for staged transactions.
 
@@ -103,8 +117,9 @@ def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
     ``max_broadcast_rows`` and otherwise shuffles (the card join then shares
     the window's card_id partitioning); False leaves it to the planner.
 
-    ``hot_card_rows``: cards with more rows than this are evaluated in time
-    slices (see :mod:`cardsentry.operators.skew`); results are identical.
+    ``hot_card_rows``: cards with more rows than this (rows without card count as
+    one) are evaluated in slices of so many rows (see
+    :mod:`cardsentry.operators.skew`); results are identical.  None: never.
     """
     t = with_epoch(txn.select(*TXN_COLS))
     c = cards.select(*CARD_COLS)
@@ -124,16 +139,21 @@ def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
     cold, hot_rows = skew.split_hot(base, "card_id", hot)
     cold_f = feature_columns(windowed(cold.join(c, "card_id", "left"), ["card_id"]))
     # Dims of hot cards: at most one row per hot card, a checked bound.
-    hot_dims = c.join(F.broadcast(hot.select("card_id")), "card_id", "left_semi")
-    sliced = skew.with_context(hot_rows.join(F.broadcast(hot_dims), "card_id", "left"), SPEC)
-    hot_f = skew.drop_context(feature_columns(windowed(sliced, ["card_id", skew.SLICE])))
+    hot_dims = c.join(F.broadcast(hot), "card_id", "left_semi")
+    hot_f = feature_columns(sliced_windows(hot_rows, hot_card_rows).join(F.broadcast(hot_dims), "card_id", "left"))
     return cold_f.unionByName(hot_f)
 
 
-def card_windows(txn: DataFrame) -> DataFrame:
+def card_windows(txn: DataFrame, hot_card_rows: int | None = HOT_CARD_ROWS) -> DataFrame:
     """The raw window columns (prev_*, rolling stats, velocity) of staged
     transactions, without dimension context; used for inspection and tests."""
-    w = windowed(with_epoch(txn.select(*TXN_COLS)), ["card_id"])
+    t = with_epoch(txn.select(*TXN_COLS))
+    hot = skew.hot_keys(t, SPEC, hot_card_rows) if hot_card_rows else None
+    if hot is None:
+        w = windowed(t, ["card_id"])
+    else:
+        cold, hot_rows = skew.split_hot(t, "card_id", hot)
+        w = windowed(cold, ["card_id"]).unionByName(sliced_windows(hot_rows, hot_card_rows))
     return w.withColumnRenamed(f"_cnt_{VELOCITY_SECONDS[0]}", "txn_count_60s") \
             .withColumnRenamed(f"_cnt_{VELOCITY_SECONDS[1]}", "txn_count_1h")
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .features import OUTPUT_COLS, compute_features
+from .features import HOT_CARD_ROWS, OUTPUT_COLS, compute_features
 from .gold import fct_transactions
 from .staging import dedup_latest
 
@@ -45,7 +45,7 @@ def high_water_mark(target: DataFrame | None, col: str = "event_date", default:
 
 def fact_updates(prev_fact: DataFrame, txn: DataFrame, auth: DataFrame, chargebacks: DataFrame,
                  cards: DataFrame, merchants: DataFrame, new_txn: DataFrame, new_auth: DataFrame,
-                 new_chargebacks: DataFrame, hot_card_rows: int | None = None,
+                 new_chargebacks: DataFrame, hot_card_rows: int | None = HOT_CARD_ROWS,
                  broadcast_dims: bool | str = "auto") -> DataFrame:
     """Fact rows to upsert after new silver rows arrived (see module doc).
 

@@ -38,7 +38,7 @@ def build_pipeline(label_col: str = "label", weight_col: str | None = "weight",
 def prepare(df: DataFrame, label_col: str) -> DataFrame:
     """Model input: features with NULL -> 0, integer label, class weight."""
     d = df.select(*FEATURES, F.col(label_col).cast("int").alias("label"), *(
-        [c for c in ("event_date", "transaction_id") if c in df.columns])).fillna(0, subset=FEATURES)
+        [c for c in ("event_date", "transaction_id", "split") if c in df.columns])).fillna(0, subset=FEATURES)
     return metrics.with_class_weight(d)
 
 
@@ -102,11 +102,11 @@ class Registry:
 
 
 def champion_gate(registry: Registry, candidate_run: str, test_df: DataFrame,
-                  margin: float = PROMOTION_MARGIN) -> tuple[bool, float, float]:
+                  margin: float = PROMOTION_MARGIN, candidate_pr_auc: float | None = None) -> tuple[bool, float, float]:
     """Promote the candidate iff its PR-AUC beats the champion's by ``margin``.
-    Both are scored on the same evaluation window (the candidate's test set);
-    no champion counts as 0."""
-    cand = evaluate(registry.load(candidate_run), test_df)["pr_auc"]
+    Both are scored on the same evaluation window (the candidate's test set), the
+    candidate only if its PR-AUC on it isn't given; no champion counts as 0."""
+    cand = evaluate(registry.load(candidate_run), test_df)["pr_auc"] if candidate_pr_auc is None else candidate_pr_auc
     champ_id = registry.champion()
     champ = evaluate(registry.load(champ_id), test_df)["pr_auc"] if champ_id else 0.0
     promote = cand > champ + margin

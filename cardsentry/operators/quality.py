@@ -128,6 +128,17 @@ def value_domains(txn: DataFrame) -> DataFrame:
     return txn.filter(F.coalesce(F.expr(VALUE_DOMAIN_VIOLATION), F.lit(True))).select("transaction_id")
 
 
+def invariants(silver: dict[str, DataFrame], fact: DataFrame) -> dict[str, tuple[str, DataFrame, str]]:
+    """The invariants over several tables, as ``run_suite`` takes them."""
+    cb, txn = silver["chargebacks"], silver["transactions"]
+    return {
+        "assert_fraud_rate_plausible": ("fct_transactions", fraud_rate_plausible(fact), "error"),
+        "assert_no_chargeback_before_transaction": ("stg_chargebacks", chargeback_before_transaction(cb, txn), "error"),
+        "every_transaction_has_auth": ("stg_transactions", missing_auth(txn, silver["auth_events"]), "warn"),
+        "chargebacks_reference_earlier_transactions": ("stg_chargebacks", chargeback_integrity(cb, txn), "error"),
+    }
+
+
 # ---------------------------------------------------------------- suite
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """Positional UNION ALL of same-layout frames, built as a balanced tree."""
@@ -169,6 +180,9 @@ def run_suite(tables: dict[str, DataFrame], checks: list[Check],
     """``custom`` maps check name -> (table name, violations DataFrame, severity)
     for multi-table invariants; their violations are the row counts."""
     custom = custom or {}
+    absent = {t for c in checks for t in (c.table, c.to_table) if t is not None} - set(tables.keys())
+    if absent:
+        raise KeyError(f"checks name tables that are absent: {sorted(absent)}")
     checks = list(checks) + [Check(n, t, "custom", severity=sev) for n, (t, _, sev) in custom.items()]
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}

@@ -1,23 +1,19 @@
 """Exact window evaluation for hot keys.
 
 A window partitioned by a key runs each key's rows in one task.  When one key
-holds a large share of all rows (a card, a merchant) that task becomes the
-whole job.  For windows whose frames look back a bounded number of rows and a
-bounded number of seconds, a hot key can be cut into time slices and each
-slice evaluated on its own, provided it sees the rows its frames reach back
-to.  Every slice therefore receives, as read-only context rows:
-
-* the *range halo*: all rows of the key within ``secs_back`` seconds before
-  the slice start (copied into each later slice they can reach), and
-* the *row halo*: the last ``rows_back`` rows before the slice start, wherever
-  they are.  They are found from the per-slice tails (last ``rows_back`` rows of
-  every slice): a tail row is needed by a later slice exactly when one of the
-  next ``rows_back`` tail rows belongs to that slice, so each tail row is sent
-  to at most ``rows_back`` slices.
-
-Both halos are suffixes of the key's ordered history, so their union is a
-suffix too and every frame of a core row sees exactly the rows it would see in
-the unsliced window.  Context rows are dropped after the window.
+holds a large share of all rows (a card, a merchant, or all rows without one) that
+task becomes the whole job.  Its two kinds of frames are split in two ways.
+
+*Row frames* (the previous row, the last 50 rows): hot rows are sorted by range over
+key and order, which deals them out evenly however the key's rows lie in time, and
+stored; a row's number within its key is its place in its range plus the totals of the
+ranges before (prefix sums over ranges, not rows).  Slices of equal row counts follow
+from the number, and each takes the last rows of the one before as read-only context.
+
+*Range frames* that count rows of the last seconds: rows are counted by (key, second)
+first, with map-side combine, so a window sees one row for each second, whatever
+happened in it.  Seconds are met in slices of time with the seconds before as
+context, and the counts go back to the rows by a join on key and second.
 
 Hot keys are found with a grouped count (map-side combined, so the hot key
 itself does not skew it); the hot set has at most ``rows / threshold`` entries,
@@ -25,13 +21,17 @@ which bounds what is broadcast.
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import scratch_path
 
 SLICE = "_slice"
 CTX = "_ctx"
-WIDTH = "_slice_w"
+#: Seconds that a slice of (key, second) counts spans: one row a second at most.
+SLICE_SECONDS = 86_400
 
 
 @dataclass(frozen=True)
@@ -43,87 +43,76 @@ class SliceSpec:
     secs_back: int           # widest RANGE frame looking back, in seconds
 
 
-def hot_keys(df: DataFrame, spec: SliceSpec, threshold: int,
-             min_width: int | None = None) -> DataFrame | None:
-    """Keys with more than ``threshold`` rows and their slice width in seconds.
-
-    Returns None when no key is hot.  The width aims at about ``threshold``
-    rows per slice but never goes below ``min_width`` (default: the range
-    look-back, so the range halo reaches only the previous slice).
-    """
-    min_w = int(min_width or max(spec.secs_back, 1))
-    stats = (df.groupBy(spec.key)
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.min(spec.epoch).alias("_lo"), F.max(spec.epoch).alias("_hi"))
-             .filter(F.col("_n") > threshold))
-    if stats.isEmpty():
+def hot_keys(df: DataFrame, spec: SliceSpec, threshold: int) -> DataFrame | None:
+    """Keys (NULL among them) with more than ``threshold`` rows; None if no key is hot.
+    A table of no more rows than that needs no look at its keys."""
+    if df.count() <= threshold:
         return None
-    width = F.greatest(
-        F.lit(min_w).cast("bigint"),
-        F.ceil((F.col("_hi") - F.col("_lo") + 1) * F.lit(float(threshold)) / F.col("_n")).cast("bigint"))
-    return stats.select(spec.key, width.alias(WIDTH))
+    stats = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
+    return None if stats.isEmpty() else stats.select(spec.key)
+
+
+def _is(left: str, right: str, *columns: str) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cold rows, hot rows with their slice width).  ``hot`` is size checked
-    by :func:`hot_keys`, so broadcasting it is bounded."""
-    hb = F.broadcast(hot)
-    return df.join(hb, key, "left_anti"), df.join(hb, key, "inner")
-
-
-def with_context(rows: DataFrame, spec: SliceSpec) -> DataFrame:
-    """Slice hot rows and add the halo rows each slice needs (``_ctx`` true)."""
-    ep, w = F.col(spec.epoch), F.col(WIDTH)
-    core = rows.withColumn(SLICE, F.floor(ep / w).cast("bigint")).withColumn(CTX, F.lit(False))
-    cols = core.columns
-
-    # Core rows and the range halo in one pass: a row at epoch e belongs to its
-    # own slice and is context for slices j with j*w - back <= e < j*w.
-    last_reached = F.floor((ep + F.lit(spec.secs_back)) / w).cast("bigint")
-    with_halo = (core.withColumn("_t", F.explode(F.sequence(F.col(SLICE), F.greatest(last_reached, F.col(SLICE)))))
-                 .withColumn(CTX, F.col("_t") != F.col(SLICE)).withColumn(SLICE, F.col("_t"))
-                 .select(*cols))
-
-    if spec.rows_back <= 0:
-        return with_halo
-    # Row halo from the per-slice tails.
-    order_desc = [F.col(c).desc() for c in spec.order]
-    order_asc = [F.col(c).asc() for c in spec.order]
-    tails = (core.withColumn("_rn", F.row_number().over(
-                 Window.partitionBy(spec.key, SLICE).orderBy(*order_desc)))
-             .filter(F.col("_rn") <= spec.rows_back))
-    reach = Window.partitionBy(spec.key).orderBy(*order_asc).rowsBetween(1, spec.rows_back)
-    ctx = (tails.withColumn("_next", F.collect_set(SLICE).over(reach))
-           .withColumn("_t", F.explode("_next"))
-           .filter(F.col("_t") != F.col(SLICE))
-           # rows already in the range halo of the target slice are not repeated
-           .filter(ep < F.col("_t") * w - F.lit(spec.secs_back))
-           .withColumn(SLICE, F.col("_t")).withColumn(CTX, F.lit(True))
-           .select(*cols))
-    return with_halo.unionByName(ctx)
+    """(cold rows, hot rows).  ``hot`` is bounded (see :func:`hot_keys`), so
+    broadcasting it is."""
+    a, b = df.alias("a"), F.broadcast(hot).alias("b")
+    return a.join(b, _is("a", "b", key), "left_anti"), a.join(b, _is("a", "b", key), "left_semi")
+
+
+def equal_slices(rows: DataFrame, spec: SliceSpec, slice_rows: int) -> DataFrame:
+    """The rows with ``_slice``, of ``slice_rows`` consecutive rows of a key each, and the
+    ``rows_back`` rows before each slice once more as its context (``_ctx`` true)."""
+    spark, keys = rows.sparkSession, [spec.key, *spec.order]
+    ranges = max(1, -(-rows.count() // slice_rows))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = (rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+             .withColumn("_range", F.spark_partition_id()).withColumn("_place", place))
+    # written once, so ranges and places hold for every later use
+    path = scratch_path(spark, f"slices-{uuid.uuid4().hex}")
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    before = Window.partitionBy(spec.key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (dealt.groupBy(spec.key, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+              .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    number = F.col("s._start") + F.col("r._place") - F.col("s._first")
+    out = dealt.alias("r").join(starts.alias("s"), _is("r", "s", spec.key, "_range")).select("r.*", number.alias("_number"))
+    own = F.floor(F.col("_number") / slice_rows).cast("bigint")
+    reached = F.floor((F.col("_number") + spec.rows_back) / slice_rows).cast("bigint")
+    return (out.withColumn("_own", own).withColumn(SLICE, F.explode(F.sequence("_own", reached)))
+            .withColumn(CTX, F.col(SLICE) != F.col("_own")).drop("_own", "_number", "_range", "_place"))
 
 
 def drop_context(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col(CTX)).drop(CTX, SLICE, WIDTH)
-
-
-def window_apply(df: DataFrame, spec: SliceSpec, compute, hot_threshold: int | None,
-                 min_width: int | None = None,
-                 prepare_hot=None) -> DataFrame:
-    """Run ``compute(frame, partition_cols) -> DataFrame`` exactly, slicing hot keys.
-
-    ``compute`` must build its windows with ``Window.partitionBy(*partition_cols)``
-    and only use frames within ``spec``'s look-back.  ``prepare_hot`` may
-    transform the hot rows before slicing (e.g. join dims by broadcast).
-    """
-    hot = hot_keys(df, spec, hot_threshold, min_width) if hot_threshold else None
-    if hot is None:
-        return compute(df, [spec.key])
-    cold, hot_rows = split_hot(df, spec.key, hot)
-    if prepare_hot is not None:
-        hot_rows = prepare_hot(hot_rows, hot)
-    sliced = drop_context(compute(with_context(hot_rows, spec), [spec.key, SLICE]))
-    return compute(cold, [spec.key]).unionByName(sliced)
+    return df.filter(~F.col(CTX)).drop(CTX, SLICE)
+
+
+def trailing_counts(rows: DataFrame, key: str, epoch: str, windows: dict[str, int], slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """(key, epoch, one column for each of ``windows``): how many rows the key has in the
+    last so many seconds, the second itself included, for each second with a row."""
+    back = max(windows.values())
+    width = max(slice_seconds, back)
+    seconds = rows.groupBy(key, epoch).agg(F.count(F.lit(1)).alias("_n"))
+    own = F.floor(F.col(epoch) / width).cast("bigint")
+    reached = F.floor((F.col(epoch) + back) / width).cast("bigint")
+    # rows without time are peers of each other and of no one else
+    met = F.when(F.col(epoch).isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(F.sequence(own, reached))
+    sliced = seconds.withColumn("_own", own).withColumn(SLICE, F.explode(met))
+    order = Window.partitionBy(key, SLICE).orderBy(epoch)
+    counted = sliced.select(key, epoch, "_own", SLICE, *[F.sum("_n").over(order.rangeBetween(-s, 0)).alias(c) for c, s in windows.items()])
+    return counted.where(F.col(SLICE).eqNullSafe(F.col("_own"))).drop("_own", SLICE)
+
+
+def with_counts(rows: DataFrame, counts: DataFrame, key: str, epoch: str) -> DataFrame:
+    """The rows with the counts of their key and second (an inner join: counts may have been filtered)."""
+    names = [c for c in counts.columns if c not in (key, epoch)]
+    return rows.alias("r").join(counts.alias("c"), _is("r", "c", key, epoch)).select("r.*", *[f"c.{c}" for c in names])
 
 
 def top_k_per_key(df: DataFrame, key: str, order_desc: list[str], k: int, salts: int = 16,

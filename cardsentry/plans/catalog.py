@@ -25,7 +25,7 @@ def register(key: str, sql: str | None = None):
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from . import (queries_core, queries_reports, queries_scd, queries_quality, queries_ml,  # noqa: F401
-                   queries_incremental, queries_streaming)
+                   queries_incremental, queries_jobs, queries_streaming)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -20,12 +20,12 @@ class Pipeline:
 
     _MEMO: dict = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, hot_card_rows: int | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_card_rows: int | None = feat.HOT_CARD_ROWS):
         ensure_utc(spark)
         self.spark, self.sf_dir, self.hot_card_rows = spark, sf_dir, hot_card_rows
 
     @classmethod
-    def get(cls, spark: SparkSession, sf_dir: str, hot_card_rows: int | None = None) -> "Pipeline":
+    def get(cls, spark: SparkSession, sf_dir: str, hot_card_rows: int | None = feat.HOT_CARD_ROWS) -> "Pipeline":
         """Per-session memo of the lazy plans (the driver tables are read-only):
         building a plan is driver-side work that does not depend on the data."""
         key = (id(spark), sf_dir, hot_card_rows)
@@ -50,7 +50,7 @@ class Pipeline:
         s = self.silver
         return broadcast_if_small(s["cards"]), broadcast_if_small(s["merchants"])
 
-    def compute_features(self, txn: DataFrame, hot_card_rows: int | None = None) -> DataFrame:
+    def compute_features(self, txn: DataFrame, hot_card_rows: int | None = feat.HOT_CARD_ROWS) -> DataFrame:
         c, m = self.dims
         return feat.compute_features(txn, c, m, hot_card_rows=hot_card_rows, broadcast_dims=False)
 

@@ -2,80 +2,31 @@
 
 Each is a plain function over a SparkSession; scheduling is left to whatever
 runs ``spark-submit``.  Intermediate results are written as Parquet tables
-under ``warehouse``; nothing passes through the driver.
+under ``warehouse``.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import features as feat, gold, metrics, model as mdl, quality, staging
+from ..operators import features as feat, metrics, model as mdl, staging
 from ..session import checkpoint_dir, ensure_utc
 from ..sources import files
 from ..streaming import ingest as ing, scoring
-
-
-def silver_from_bronze(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
-    """Typed, de-duplicated silver tables.  A file delivered twice lands twice
-    in bronze; the latest delivery (``_ingest_ts``) of each key is kept."""
-    raw = {t: ing.read_bronze(spark, f"{bronze}/raw_{t}") for t in list(files.TOPICS) + list(files.REFERENCE)}
-    keys = {"transactions": "transaction_id", "auth_events": "transaction_id", "chargebacks": "chargeback_id"}
-    for t, k in keys.items():
-        raw[t] = staging.dedup_latest(raw[t], k, "_ingest_ts")
-    return staging.silver(raw)
-
-
-def source_freshness(spark: SparkSession, bronze: str, as_of: str, warn_after_hours: float = 12,
-                     error_after_hours: float = 24) -> DataFrame:
-    """Freshness of every bronze table by its ``_ingest_ts`` at ``as_of``."""
-    parts = [quality.freshness(ing.read_bronze(spark, f"{bronze}/raw_{t}"), "_ingest_ts", as_of,
-                               warn_after_hours, error_after_hours, table=f"raw_{t}")
-             for t in list(files.TOPICS) + list(files.REFERENCE)]
-    return quality.union_all(parts)
+from . import daily
 
 
 def batch_build(spark: SparkSession, landing: str, warehouse: str, checkpoints: str | None = None,
-                run_quality: bool = True, hot_card_rows: int | None = 2_000_000,
+                run_quality: bool = True, hot_card_rows: int | None = feat.HOT_CARD_ROWS,
                 as_of: str | None = None) -> dict[str, int]:
-    """Ingest -> silver -> fact (date partitioned) -> marts -> quality gate.
-    With ``as_of``, source freshness is recorded and a table past its error
-    threshold stops the build."""
-    ensure_utc(spark)
+    """Ingest -> silver -> fact, dimensions and marts by what has arrived -> quality
+    gate -> publish (:mod:`cardsentry.plans.daily`).  With ``as_of``, source freshness
+    is recorded and a table past its error threshold stops the build."""
     ckpt = checkpoints or f"{checkpoint_dir(spark)}/ingest"
-    bronze = f"{warehouse}/bronze"
-    ing.ingest_all(spark, landing, bronze, ckpt)
-    if as_of is not None:
-        source_freshness(spark, bronze, as_of).write.mode("overwrite").parquet(f"{warehouse}/quality/freshness")
-        stale = spark.read.parquet(f"{warehouse}/quality/freshness").filter("status = 'error'").take(10)
-        if stale:
-            raise RuntimeError(f"stale sources: {[r['table_name'] for r in stale]}")
-    s = silver_from_bronze(spark, bronze)
-    # values present in bronze that fail their typed cast (NULL in silver)
-    staging.rejects(ing.read_bronze(spark, f"{bronze}/raw_transactions"), staging.TRANSACTION_CASTS) \
-        .write.mode("overwrite").parquet(f"{warehouse}/quality/rejects_transactions")
-    feats = feat.compute_features(s["transactions"], s["cards"], s["merchants"], hot_card_rows=hot_card_rows)
-    fact = gold.fct_transactions(feats, s["auth_events"], s["chargebacks"])
-    fact.write.mode("overwrite").partitionBy("event_date").parquet(f"{warehouse}/gold/fct_transactions")
-    fact = spark.read.parquet(f"{warehouse}/gold/fct_transactions")
-    dm = gold.dim_merchant(s["merchants"])
-    marts = {
-        "dim_merchant": dm,
-        "agg_fraud_by_hour": gold.agg_fraud_by_hour(fact),
-        "agg_merchant_risk": gold.agg_merchant_risk(fact, dm),
-        "mart_chargeback_exposure": gold.mart_chargeback_exposure(fact),
-    }
-    counts = {"fct_transactions": fact.count()}
-    for name, df in marts.items():
-        df.write.mode("overwrite").parquet(f"{warehouse}/gold/{name}")
-        counts[name] = spark.read.parquet(f"{warehouse}/gold/{name}").count()
-    if run_quality:
-        tables = {f"stg_{k}": v for k, v in s.items()}
-        tables.update({"fct_transactions": fact, "dim_merchant": spark.read.parquet(f"{warehouse}/gold/dim_merchant")})
-        checks = [c for c in quality.default_checks()
-                  if c.table in tables and (c.to_table is None or c.to_table in tables)]
-        res = quality.run_suite(tables, checks)
-        res.write.mode("overwrite").parquet(f"{warehouse}/quality/last_run")
-        quality.assert_suite(spark.read.parquet(f"{warehouse}/quality/last_run"))
-    return counts
+    return daily.daily_build(spark, landing, warehouse, ckpt, run_quality, hot_card_rows, as_of)
+
+
+def published_fact(spark: SparkSession, warehouse: str) -> DataFrame:
+    return daily.Warehouse(spark, warehouse).gold("fct_transactions")
 
 
 def streaming_job(spark: SparkSession, warehouse: str, registry_root: str, checkpoints: str | None = None,
@@ -83,22 +34,23 @@ def streaming_job(spark: SparkSession, warehouse: str, registry_root: str, check
     """Score new bronze transactions with the champion model (rule score if
     no champion exists yet).  By default card history lives in the state
     store (``applyInPandasWithState``); ``stateful=False`` uses the
-    foreachBatch scorer with a versioned history table."""
+    foreachBatch scorer with a table of card histories."""
     ensure_utc(spark)
     ckpt = checkpoints or f"{checkpoint_dir(spark)}/scoring"
-    s = silver_from_bronze(spark, f"{warehouse}/bronze")
+    path = f"{warehouse}/bronze/raw_transactions"
+    s = staging.silver({t: ing.read_topic(spark, f"{warehouse}/bronze", t) for t in ("cards", "merchants")})
     reg = mdl.Registry(spark, registry_root)
     champ = reg.load_champion()
     fn = scoring.model_score(champ) if champ is not None else scoring.rule_score
-    schema = ing.read_bronze(spark, f"{warehouse}/bronze/raw_transactions").schema
+    schema, columns = ing.physical(spark), ing.stored_schema(spark, path, files.TOPICS["transactions"])
+    view = lambda rows: ing.typed(rows, columns)
     if stateful:
         from ..streaming import stateful as st
-        return st.start_stateful_scoring(spark, f"{warehouse}/bronze/raw_transactions", schema, s["cards"],
-                                         s["merchants"], f"{warehouse}/gold/live_fraud_alerts", ckpt,
-                                         score_fn=fn, once=once)
+        return st.start_stateful_scoring(spark, path, schema, s["cards"], s["merchants"], f"{warehouse}/gold/live_fraud_alerts", ckpt,
+                                         score_fn=fn, once=once, view=view)
     scorer = scoring.Scorer(spark, s["cards"], s["merchants"], f"{warehouse}/gold/live_fraud_alerts",
                             f"{warehouse}/gold/card_state", score_fn=fn)
-    return scoring.start_scoring(spark, f"{warehouse}/bronze/raw_transactions", schema, scorer, ckpt, once=once)
+    return scoring.start_scoring(spark, path, schema, scorer, ckpt, once=once, view=view)
 
 
 def retrain_job(spark: SparkSession, warehouse: str, registry_root: str, as_of: str,
@@ -106,17 +58,16 @@ def retrain_job(spark: SparkSession, warehouse: str, registry_root: str, as_of:
     """Train on mature chargeback labels, split at the 0.8 date quantile,
     promote only on a PR-AUC gain over the champion."""
     ensure_utc(spark)
-    fact = spark.read.parquet(f"{warehouse}/gold/fct_transactions")
+    fact = published_fact(spark, warehouse)
     data = metrics.mature_labels(fact, as_of, maturity_days)
     split = metrics.quantile_split(data)
-    prepared = mdl.prepare(split.withColumn("is_confirmed_fraud", F.col("label")), "is_confirmed_fraud") \
-        .join(split.select("transaction_id", "split"), "transaction_id")
+    prepared = mdl.prepare(split.withColumn("is_confirmed_fraud", F.col("label")), "is_confirmed_fraud")
     tr, te = prepared.filter("split = 'train'"), prepared.filter("split = 'test'")
     model = mdl.train(tr, **gbt_params)
     m = mdl.evaluate(model, te)
     reg = mdl.Registry(spark, registry_root)
     run = reg.log_run(model, {**mdl.GBT_PARAMS, **gbt_params, "as_of": as_of}, m)
-    promoted, cand, champ = mdl.champion_gate(reg, run, te)
+    promoted, cand, champ = mdl.champion_gate(reg, run, te, candidate_pr_auc=m["pr_auc"])
     return {"run_id": run, "promoted": promoted, "candidate_pr_auc": cand, "champion_pr_auc": champ, **m}
 
 
@@ -126,7 +77,7 @@ def train_job(spark: SparkSession, warehouse: str, registry_root: str, split_dat
     evaluate on and after ``split_date``), log the run with PR-AUC, ROC-AUC,
     the F1-optimal alert threshold and the classification report."""
     ensure_utc(spark)
-    fact = spark.read.parquet(f"{warehouse}/gold/fct_transactions")
+    fact = published_fact(spark, warehouse)
     data = metrics.time_split(mdl.prepare(fact, "is_fraud_label"), split_date)
     tr, te = data.filter("split = 'train'"), data.filter("split = 'test'")
     model = mdl.train(tr, **gbt_params)

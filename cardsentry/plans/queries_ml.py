@@ -151,7 +151,7 @@ SELECT transaction_id, card_id, event_ts, amount_usd, burst_count FROM (
   FROM fct_transactions WHERE entry_mode = 'online' AND amount_usd < {detect.TESTING_MAX_AMOUNT})
 WHERE burst_count >= {detect.TESTING_MIN_COUNT}"""))
 def det_01b(spark, sf_dir):
-    return ntz(detect.card_testing(_p(spark, sf_dir).features, hot_threshold=5))
+    return ntz(detect.card_testing(_p(spark, sf_dir).features, slice_seconds=60))
 
 
 @register("det_02_account_takeover", q(f"""
@@ -202,7 +202,7 @@ def det_05b(spark, sf_dir):
     """Every high-risk merchant with more than 30 rows is sliced (exactness
     check of the hot-merchant path on whole tables)."""
     p = _p(spark, sf_dir)
-    return ntz(detect.merchant_collusion(p.features, p.dim_merchant, hot_threshold=30))
+    return ntz(detect.merchant_collusion(p.features, p.dim_merchant, slice_seconds=3600))
 
 
 @register("det_06_diurnal_profile", q("""

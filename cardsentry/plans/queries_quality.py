@@ -33,16 +33,7 @@ def suite_tables(p: Pipeline, fact=None) -> dict:
 
 
 def suite_custom(p: Pipeline, fact=None) -> dict:
-    s = p.silver
-    fact = p.fact if fact is None else fact
-    return {
-        "assert_fraud_rate_plausible": ("fct_transactions", dq.fraud_rate_plausible(fact), "error"),
-        "assert_no_chargeback_before_transaction":
-            ("stg_chargebacks", dq.chargeback_before_transaction(s["chargebacks"], s["transactions"]), "error"),
-        "every_transaction_has_auth": ("stg_transactions", dq.missing_auth(s["transactions"], s["auth_events"]), "warn"),
-        "chargebacks_reference_earlier_transactions":
-            ("stg_chargebacks", dq.chargeback_integrity(s["chargebacks"], s["transactions"]), "error"),
-    }
+    return dq.invariants(p.silver, p.fact if fact is None else fact)
 
 
 # ---------------------------------------------------------------- oracle for the suite

@@ -5,7 +5,6 @@ import json
 import re
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -67,18 +66,6 @@ def read_reference_array(spark: SparkSession, path: str, schema: StructType | No
     return r.json(path)
 
 
-def load_reference_snapshots(spark: SparkSession, landing: str, bronze: str) -> dict[str, int]:
-    """Overwrite bronze accounts/cards/merchants from the landing arrays, with
-    lineage columns so freshness applies to them as well."""
-    counts = {}
-    for name in REFERENCE:
-        df = with_lineage(read_reference_array(spark, f"{landing}/reference/{name}.json"))
-        out = f"{bronze}/raw_{name}"
-        df.write.mode("overwrite").parquet(out)
-        counts[name] = spark.read.parquet(out).count()
-    return counts
-
-
 def write_partitioned_jsonl(df: DataFrame, path: str, key: str = "event_date",
                             drop: list[str] | None = None) -> int:
     """Write rows as JSON lines grouped into ``key=value`` folders, replacing the
@@ -109,10 +96,6 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
-def infer_schema(spark: SparkSession, sample: str) -> StructType:
-    return spark.read.json(sample).schema
-
-
 def merge_schemas(stored: StructType, inferred: StructType) -> tuple[StructType, list[str]]:
     """Widen ``stored`` with fields that only ``inferred`` has (nullable)."""
     names = {f.name for f in stored.fields}
@@ -121,17 +104,26 @@ def merge_schemas(stored: StructType, inferred: StructType) -> tuple[StructType,
     return merged, [f.name for f in added]
 
 
-def save_schema(spark: SparkSession, schema: StructType, path: str) -> None:
-    """Persist a schema beside a checkpoint (through Spark, so any shared file
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def save_text(spark: SparkSession, value: str, path: str) -> None:
+    """Persist a short text beside a table (through Spark, so any shared file
     system the cluster uses works)."""
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_text(spark: SparkSession, path: str) -> str | None:
+    row = spark.read.text(path).first() if exists(spark, path) else None
+    return None if row is None else row[0]
+
+
+def save_schema(spark: SparkSession, schema: StructType, path: str) -> None:
+    save_text(spark, schema.json(), path)
 
 
 def load_schema(spark: SparkSession, path: str) -> StructType | None:
-    try:
-        row = spark.read.text(path).first()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return None if row is None else StructType.fromJson(json.loads(row[0]))
+    text = load_text(spark, path)
+    return None if text is None else StructType.fromJson(json.loads(text))

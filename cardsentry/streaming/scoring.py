@@ -8,9 +8,9 @@ rows and every row within 3600 s of the card's newest row, which is exactly
 what the widest frames reach back to, so in-order data scores the same as in
 batch.
 
-Both outputs are versioned by ``batch_id`` (serving table and history), so a
-replayed batch rewrites its own version from the version before it: no
-duplicates, state unchanged.
+Both outputs are append-only keyed tables: a batch writes its own alerts and the new
+history of its own cards, and a replayed batch replaces exactly what it wrote, from
+the history as of the batch before it: no duplicates, state unchanged.
 """
 from __future__ import annotations
 
@@ -22,12 +22,29 @@ from pyspark.sql.types import StructType
 
 from ..operators import features as feat, skew
 from ..operators.staging import dedup_latest, stg_transactions
-from ..sources.tables import VersionedTable
+from ..sources.keyed import KeyedTable
 
 ALERT_THRESHOLD = 0.5
 ALERT_SCHEMA = (
     "transaction_id string, card_id string, merchant_id string, amount double, event_ts timestamp,"
-    " fraud_score double, is_alert boolean")
+    " fraud_score double, is_alert boolean, event_date date")
+
+
+#: Folders that card histories are dealt out to.
+STATE_PARTS = 64
+
+
+def alerts_table(spark: SparkSession, root: str) -> KeyedTable:
+    """The serving table: the newest score of each transaction, filed by event date."""
+    return KeyedTable(spark, root, "transaction_id", "event_date")
+
+
+def serving_rows(scored: DataFrame, threshold: float) -> DataFrame:
+    """Scored transactions as rows of the serving table."""
+    return scored.select(
+        F.col("transaction_id").cast("string"), F.col("card_id").cast("string"),
+        F.col("merchant_id").cast("string"), F.col("amount_usd").alias("amount"), "event_ts",
+        "fraud_score", (F.col("fraud_score") >= threshold).alias("is_alert"), F.to_date("event_ts").alias("event_date"))
 
 
 def rule_score(feats: DataFrame) -> DataFrame:
@@ -77,9 +94,10 @@ class Scorer:
         # Dimension sizes are checked once; the micro-batch joins broadcast
         # them only below the bound, otherwise the planner decides.
         self.broadcast = (cards.count() <= max_broadcast_rows and merchants.count() <= max_broadcast_rows)
-        self.alerts = VersionedTable(spark, alerts_root)
+        self.alerts = alerts_table(spark, alerts_root)
         self.alerts.create_if_absent(ALERT_SCHEMA)
-        self.state = VersionedTable(spark, state_root)
+        # all rows of a card's newest batch are its history
+        self.state = KeyedTable(spark, state_root, "card_id", "part", many=True)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
@@ -87,36 +105,33 @@ class Scorer:
         batch = stg_transactions(batch_df) if self.raw_input else batch_df
         batch = batch.select(*feat.TXN_COLS).filter(F.col("event_ts").isNotNull())
         batch = dedup_latest(batch, "transaction_id", "event_ts")
-        version = int(batch_id) + 1
-        prev_v = self.state.latest_before(version)
         inp = batch
-        if prev_v is not None:
-            hist = (self.state.read(prev_v)
+        if self.state.exists():
+            parts = [r[0] for r in batch.select(_part()).distinct().collect()]     # STATE_PARTS at most
+            hist = (self.state.read(int(batch_id) - 1).where(F.col("part").isin(parts)).drop("part")
                     .join(batch.select("card_id").distinct(), "card_id", "left_semi")
                     .join(batch.select("transaction_id"), "transaction_id", "left_anti"))
             inp = batch.unionByName(hist, allowMissingColumns=True)
         feats = feat.compute_features(inp, self.cards, self.merchants, broadcast_dims=self.broadcast)
         feats = feats.join(batch.select("transaction_id"), "transaction_id", "left_semi")
-        scored = self.score_fn(feats)
-        out = scored.select(
-            F.col("transaction_id").cast("string"), F.col("card_id").cast("string"),
-            F.col("merchant_id").cast("string"), F.col("amount_usd").alias("amount"), "event_ts",
-            "fraud_score", (F.col("fraud_score") >= self.threshold).alias("is_alert"))
-        self.alerts.upsert(out, "transaction_id", version=version)
-        prev_state = self.state.read(prev_v) if prev_v is not None else None
-        rows = batch if prev_state is None else prev_state.unionByName(
-            batch.join(prev_state.select("transaction_id"), "transaction_id", "left_anti"))
-        self.state.write(bounded_history(rows), version=version)
+        self.alerts.append(serving_rows(self.score_fn(feats), self.threshold), int(batch_id))
+        self.state.append(bounded_history(inp).withColumn("part", _part()), int(batch_id))
+
+
+def _part() -> Column:
+    return F.pmod(F.xxhash64("card_id"), F.lit(STATE_PARTS)).cast("int").alias("part")
 
 
 def start_scoring(spark: SparkSession, bronze_txn: str, schema: StructType, scorer: Scorer, checkpoint: str,
                   once: bool = True, processing_time: str = "10 seconds",
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Stream new bronze transactions through the scorer."""
+                  max_files_per_trigger: int | None = None,
+                  view: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> StreamingQuery:
+    """Stream new bronze transactions through the scorer; ``view`` makes raw
+    transactions of the files' rows (the typed view of bronze lines)."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    w = r.parquet(bronze_txn).writeStream.foreachBatch(scorer).option("checkpointLocation", checkpoint)
+    w = view(r.parquet(bronze_txn)).writeStream.foreachBatch(scorer).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=processing_time)
     return w.start()
 

@@ -111,31 +111,26 @@ def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame)
 def start_stateful_scoring(spark, bronze_txn: str, schema, cards: DataFrame, merchants: DataFrame,
                            alerts_root: str, checkpoint: str, score_fn=None, threshold: float = 0.5,
                            once: bool = True, processing_time: str = "10 seconds",
-                           max_files_per_trigger: int | None = None):
-    """bronze transactions -> staged -> state-store features -> score ->
-    upsert into the serving table, versioned by batch id (replay safe)."""
+                           max_files_per_trigger: int | None = None, view=lambda rows: rows):
+    """bronze transactions -> staged -> state-store features -> score -> appended
+    to the serving table as the batch's rows (replay safe).  ``view`` makes raw
+    transactions of the files' rows."""
     from ..operators.staging import stg_transactions
-    from ..sources.tables import VersionedTable
     from . import scoring
 
     score_fn = score_fn or scoring.rule_score
-    alerts = VersionedTable(spark, alerts_root)
+    alerts = scoring.alerts_table(spark, alerts_root)
     alerts.create_if_absent(scoring.ALERT_SCHEMA)
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    staged = stg_transactions(r.parquet(bronze_txn)).filter(F.col("event_ts").isNotNull())
+    staged = stg_transactions(view(r.parquet(bronze_txn))).filter(F.col("event_ts").isNotNull())
     feats = stateful_features(staged, cards, merchants)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        scored = score_fn(batch)
-        out = scored.select(
-            F.col("transaction_id").cast("string"), F.col("card_id").cast("string"),
-            F.col("merchant_id").cast("string"), F.col("amount_usd").alias("amount"), "event_ts",
-            "fraud_score", (F.col("fraud_score") >= threshold).alias("is_alert"))
-        alerts.upsert(out, "transaction_id", version=int(batch_id) + 1, dedup_order="event_ts")
+        alerts.append(scoring.serving_rows(score_fn(batch), threshold), int(batch_id), order="event_ts")
 
     w = feats.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=processing_time)

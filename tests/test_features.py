@@ -178,3 +178,41 @@ def test_money_sum_keeps_small_units(spark):
     from cardsentry.functions import money_sum
     df = spark.createDataFrame([(0.0004,), (0.0004,), (1e12,), (None,)], "a double")
     assert df.agg(money_sum(F.col("a"))).first()[0] == 1000000000000.0008
+
+
+def test_a_burst_is_cut_into_equal_slices(spark):
+    """95 % of a card's rows in ten minutes, a third of them in one second, and rows
+    without card: slices of equal row counts, the same features."""
+    import random
+
+    from cardsentry.operators import skew
+    rng = random.Random(7)
+    n = 3000
+    seconds = [100_000 + (30 if rng.random() < 0.33 else rng.randint(0, 600)) if rng.random() < 0.95 else rng.randint(0, 10**6) for _ in range(n)]
+    rows = [(i, 1 if i % 3 else None, 7, rng.randint(1, 9000) / 100, T0 + timedelta(seconds=s), "D1", rng.random(), rng.random()) for i, s in enumerate(seconds)]
+    rows += [(n + i, 2, 7, 5.0, T0 + timedelta(seconds=40 * i), "D1", 0.0, 0.0) for i in range(30)]
+    t = feat.with_epoch(_txn(spark, rows))
+    t = t.withColumn("card_id", F.col("card_id").cast("long"))
+    hot = skew.hot_keys(t, feat.SPEC, 200)
+    assert sorted((r[0] for r in hot.collect()), key=str) == [1, None]
+    _, hot_rows = skew.split_hot(t, "card_id", hot)
+    sliced = skew.equal_slices(hot_rows, feat.SPEC, 200)
+    sizes = [r["count"] for r in sliced.groupBy("card_id", skew.SLICE).count().collect()]
+    assert max(sizes) <= 200 + feat.AMOUNT_ROWS and sliced.where(~F.col(skew.CTX)).count() == n
+    seconds_of = skew.trailing_counts(hot_rows, "card_id", "epoch", feat.VELOCITY)
+    assert seconds_of.groupBy("card_id", "epoch").count().where("count > 1").count() == 0
+    cards, merch = _dims(spark)
+    for plain, cut in ((feat.card_windows(t, None), feat.card_windows(t, 200)), (feat.compute_features(t, cards, merch, hot_card_rows=None), feat.compute_features(t, cards, merch, hot_card_rows=200))):
+        assert sorted(map(str, plain.select(*sorted(plain.columns)).collect())) == sorted(map(str, cut.select(*sorted(plain.columns)).collect()))
+
+
+def test_trailing_counts_against_brute_force(spark):
+    import random
+
+    from cardsentry.operators import skew
+    rng = random.Random(2)
+    rows = [(rng.choice([1, 2, None]), rng.choice([None, rng.randint(-300, 300)])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k long, epoch long")
+    for width in (1, 50, 10_000):
+        got = {(r.k, r.epoch): (r.a, r.b) for r in skew.trailing_counts(df, "k", "epoch", {"a": 0, "b": 37}, width).collect()}
+        assert got == {(k, e): tuple(sum(x == k and (y is None) == (e is None) and (e is None or e - s <= y <= e) for x, y in rows) for s in (0, 37)) for k, e in set(rows)}

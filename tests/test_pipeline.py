@@ -3,7 +3,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from cardsentry.operators import quality
 from cardsentry.plans import pipeline
+from cardsentry.plans.daily import Warehouse
 from cardsentry.sources import files, testdata
 
 SF = "/root/testdata/sf0.001"
@@ -42,14 +44,14 @@ def test_batch_stream_retrain(spark, tmp):
     import datetime as _dt
     now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     counts = pipeline.batch_build(spark, land, wh, f"{tmp}/ck", as_of=now)
+    gold = Warehouse(spark, wh).gold
     fresh = spark.read.parquet(f"{wh}/quality/freshness")
     assert fresh.count() == 6 and fresh.filter("status <> 'pass'").count() == 0
     assert counts["fct_transactions"] == 1000
-    assert counts["agg_fraud_by_hour"] > 0
-    rej = spark.read.parquet(f"{wh}/quality/rejects_transactions").first()
-    assert all(v == 0 for v in rej.asDict().values())
-    q = spark.read.parquet(f"{wh}/quality/last_run")
-    assert q.filter("status = 'fail'").count() == 0
+    assert gold("agg_fraud_by_hour").count() > 0
+    assert Warehouse(spark, wh).quarantine("transactions").count() == 0
+    q = spark.read.parquet(f"{wh}/quality/runs").where("batch = 0")
+    assert q.filter("status = 'fail'").count() == 0 and q.count() == len(quality.default_checks()) + 4
     # a re-delivered file (same transactions, later ingestion) must not duplicate facts
     dup = spark.read.json(f"{land}/transactions").limit(10)
     dup.write.mode("append").json(f"{land}/transactions/event_date=2024-01-05")
@@ -57,8 +59,7 @@ def test_batch_stream_retrain(spark, tmp):
     assert counts2["fct_transactions"] == 1000
     sq = pipeline.streaming_job(spark, wh, f"{tmp}/registry", f"{tmp}/ck/scoring", once=True)
     sq.awaitTermination()
-    from cardsentry.sources.tables import VersionedTable
-    alerts = VersionedTable(spark, f"{wh}/gold/live_fraud_alerts").read()
+    alerts = Warehouse(spark, wh).alerts()
     assert alerts.count() == 1000
     assert alerts.select("transaction_id").distinct().count() == 1000
     tr = pipeline.train_job(spark, wh, f"{tmp}/registry", "2024-01-24", maxIter=3, maxDepth=3)

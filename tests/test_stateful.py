@@ -47,7 +47,7 @@ def test_stateful_stream_matches_batch(spark, tmp):
 
 def test_stateful_scoring_end_to_end(spark, tmp):
     from cardsentry.sources import testdata
-    from cardsentry.sources.tables import VersionedTable
+    from cardsentry.streaming.scoring import alerts_table
     from cardsentry.streaming.stateful import start_stateful_scoring
     p = Pipeline.get(spark, SF)
     raw = testdata.transactions(spark, SF)
@@ -56,7 +56,7 @@ def test_stateful_scoring_end_to_end(spark, tmp):
     q = start_stateful_scoring(spark, f"{tmp}/bronze", raw.schema, p.silver["cards"], p.silver["merchants"],
                                f"{tmp}/alerts", f"{tmp}/ck", max_files_per_trigger=1)
     q.awaitTermination()
-    out = VersionedTable(spark, f"{tmp}/alerts").read()
+    out = alerts_table(spark, f"{tmp}/alerts").read()
     assert out.count() == 1000 and out.select("transaction_id").distinct().count() == 1000
     want = {str(r[0]): min(1.0, r[1] / 300.0) for r in raw.select("transaction_id", "amount").collect()}
     assert all(abs(r["fraud_score"] - want[r["transaction_id"]]) < 1e-12 for r in out.collect())

@@ -39,24 +39,25 @@ def test_ingest_once_lineage_and_evolution(spark, tmp):
     land, bronze, ck = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ck"
     n = _landing(spark, land)
     assert n == 1000
-    sch, added = ing.evolve_schema(spark, f"{land}/transactions", f"{ck}/schema", files.TRANSACTIONS_SCHEMA)
+    path, base = f"{bronze}/raw_transactions", files.TRANSACTIONS_SCHEMA
+    ing.ingest(spark, f"{land}/transactions", path, f"{ck}/commit").awaitTermination()
+    sch, added = ing.evolve(spark, path, base)
     assert added == []
-    ing.ingest(spark, f"{land}/transactions", f"{bronze}/raw_transactions", f"{ck}/commit", sch).awaitTermination()
-    b = ing.read_bronze(spark, f"{bronze}/raw_transactions")
+    b = ing.read_bronze(spark, path, base)
     assert b.count() == 1000
     assert b.filter(F.col("_source_file").isNull() | F.col("_ingest_ts").isNull()).count() == 0
     assert dict(b.dtypes)["event_date"] == "date"
     # rerun with nothing new: exactly-once
-    ing.ingest(spark, f"{land}/transactions", f"{bronze}/raw_transactions", f"{ck}/commit", sch).awaitTermination()
-    assert ing.read_bronze(spark, f"{bronze}/raw_transactions").count() == 1000
+    ing.ingest(spark, f"{land}/transactions", path, f"{ck}/commit").awaitTermination()
+    assert ing.read_bronze(spark, path, base).count() == 1000
     # a new file with an extra column widens the schema; old rows get NULL
     extra = _raw_json_txn(spark).limit(5).withColumn("transaction_id", F.concat(F.lit("N"), "transaction_id")) \
         .withColumn("channel", F.lit("app"))
     files.write_partitioned_jsonl(extra, f"{land}/transactions", "event_date")
-    sch2, added2 = ing.evolve_schema(spark, f"{land}/transactions", f"{ck}/schema", files.TRANSACTIONS_SCHEMA)
+    ing.ingest(spark, f"{land}/transactions", path, f"{ck}/commit").awaitTermination()
+    sch2, added2 = ing.evolve(spark, path, base)
     assert added2 == ["channel"]
-    ing.ingest(spark, f"{land}/transactions", f"{bronze}/raw_transactions", f"{ck}/commit", sch2).awaitTermination()
-    b2 = ing.read_bronze(spark, f"{bronze}/raw_transactions")
+    b2 = ing.read_bronze(spark, path, base)
     assert b2.count() == 1005
     assert b2.filter(F.col("channel") == "app").count() == 5
 
@@ -95,14 +96,14 @@ def test_stream_batch_parity_and_replay(spark, tmp):
     got = {r[0]: r[1] for r in alerts.select("transaction_id", "fraud_score").collect()}
     assert got == want
     # features of streamed rows equal batch features (history carried over)
-    hist_v = scorer.state.current_version()
+    hist_v = scorer.state.last_batch()
     state_before = sorted(scorer.state.read().collect())
     # replay the last batch
     last = raw.filter(F.col("_slice") == slices[-1]).drop("_slice")
     scorer(last, len(slices) - 1)
     assert scorer.alerts.read().count() == 1000
     assert sorted(scorer.state.read().collect()) == state_before
-    assert scorer.state.current_version() == hist_v
+    assert scorer.state.last_batch() == hist_v
 
 
 def test_stream_features_match_batch(spark, tmp):
