@@ -20,7 +20,9 @@ fact row are those of the run that computed it.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,6 +71,9 @@ class Warehouse:
     def tables(self) -> list[KeyedTable]:
         return [t for t in vars(self).values() if isinstance(t, KeyedTable)]
 
+    def compact(self) -> None:
+        at_once([t.compact for t in self.tables() if t is not self.counts])
+
     # ------------------------------------------------------------ runs
     def runs(self) -> DataFrame:
         path = f"{self.root}/state/runs"
@@ -100,6 +105,13 @@ class Warehouse:
         return self.counts.since(0).groupBy("card_id", "day", "event_date").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
+def at_once(steps: list) -> None:
+    """Run steps that don't depend on each other beside one another; the first error is raised."""
+    with ThreadPoolExecutor(6) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: computed once, whoever reads it."""
     path = scratch_path(df.sparkSession, f"daily-{name}-{uuid.uuid4().hex}")
@@ -178,13 +190,10 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
         changed = kept(unchanged(txn, old.select(*txn.columns), "transaction_id"), "changed")
         left = kept(known.join(changed.select("transaction_id"), "transaction_id", "left_semi"), "left")
 
-    wh.transactions.append(changed, batch)
-    wh.auth_events.append(auth, batch)
-    wh.chargebacks.append(cb, batch)
     waiting = auth.join(known.select("transaction_id"), "transaction_id", "left_anti").join(txn.select("transaction_id"), "transaction_id", "left_anti")
-    wh.auth_waiting.append(waiting, batch)
     with_id = changed.where("transaction_id is not null")
-    wh.counts.append(dirty.count_changes(with_id, left), batch)
+    at_once([partial(wh.transactions.append, changed, batch), partial(wh.auth_events.append, auth, batch), partial(wh.chargebacks.append, cb, batch),
+             partial(wh.auth_waiting.append, waiting, batch), lambda: wh.counts.append(dirty.count_changes(with_id, left), batch)])
 
     # days to read and rows to recompute
     silver = wh.transactions.read(batch).where("transaction_id is not null")
@@ -241,21 +250,21 @@ def merchant_risk(days: DataFrame, dim: DataFrame) -> DataFrame:
 
 def update_marts(wh: Warehouse, batch: int, touched: list, silver: dict[str, DataFrame]) -> None:
     """Marts by date for the touched dates, and the small tables whole."""
-    fact = on_dates(wh.fact.read(batch), touched)
-    wh.by_hour.append(gold.agg_fraud_by_hour(fact), batch)
-    wh.exposure.append(gold.mart_chargeback_exposure(fact), batch)
-    wh.merchant_days.append(merchant_days(fact), batch)
-    empty = set(touched) - set(dates_of(fact))
-    for t in (wh.by_hour, wh.exposure, wh.merchant_days):
-        if empty:
-            t.forget(sorted(empty, key=str))
-    part = F.lit(0).alias("part")
+    fact, part = on_dates(wh.fact.read(batch), touched), F.lit(0).alias("part")
     dim = gold.dim_merchant(silver["merchants"])
-    wh.dim_merchant.append(dim.select("*", part), batch)
+    at_once([
+        lambda: wh.by_hour.append(gold.agg_fraud_by_hour(fact), batch),
+        lambda: wh.exposure.append(gold.mart_chargeback_exposure(fact), batch),
+        lambda: wh.merchant_days.append(merchant_days(fact), batch),
+        lambda: wh.dim_merchant.append(dim.select("*", part), batch),
+        lambda: wh.dim_card.append(gold.dim_card(wh.card_history.read(batch), silver["accounts"]).select("*", part), batch),
+        # scores may come at any time for any date
+        lambda: wh.performance.append(gold.mart_model_performance(wh.fact.read(batch), wh.alerts()), batch),
+    ])
+    if empty := sorted(set(touched) - set(dates_of(fact)), key=str):
+        for t in (wh.by_hour, wh.exposure, wh.merchant_days):
+            t.forget(empty)
     wh.merchant_risk.append(merchant_risk(wh.merchant_days.read(batch), dim).select("*", part), batch)
-    wh.dim_card.append(gold.dim_card(wh.card_history.read(batch), silver["accounts"]).select("*", part), batch)
-    # scores may come at any time for any date
-    wh.performance.append(gold.mart_model_performance(wh.fact.read(batch), wh.alerts()), batch)
 
 
 def update_card_history(wh: Warehouse, batch: int, cards: DataFrame, as_of) -> None:
@@ -293,15 +302,13 @@ def daily_build(spark: SparkSession, landing: str, warehouse: str, checkpoints:
     wh = Warehouse(spark, warehouse)
     ing.ingest_all(spark, landing, f"{warehouse}/bronze", checkpoints)
     batch = wh.published() + 1
-    for table in wh.tables():
-        table.discard(batch)
+    at_once([partial(t.discard, batch) for t in wh.tables()])
     raw = {t: ing.read_topic(spark, f"{warehouse}/bronze", t) for t in [*files.TOPICS, *files.REFERENCE]}
     if as_of is not None:
         check_freshness(wh, raw, as_of, batch)
     new = {t: arrivals(spark, wh, t) for t in files.TOPICS}
     upto = {t: r.agg(F.max("_ingest_ts"), F.count(F.lit(1))).first() for t, (r, _) in new.items()}
-    for t in files.TOPICS:
-        put_aside(wh, t, batch)
+    at_once([partial(put_aside, wh, t, batch) for t in files.TOPICS])
     dims = staging.silver({t: raw[t] for t in files.REFERENCE})
     touched = update_fact(wh, batch, {t: s for t, (_, s) in new.items()}, dims["cards"], dims["merchants"], hot_card_rows)
     when = as_of or raw["cards"].agg(F.max("_ingest_ts")).first()[0]
@@ -316,9 +323,7 @@ def daily_build(spark: SparkSession, landing: str, warehouse: str, checkpoints:
     rows = [(batch, t, mark, n) for t, (mark, n) in upto.items()]
     spark.createDataFrame(rows, RUNS).coalesce(1).write.mode("append").parquet(f"{warehouse}/state/runs")
     if compact:
-        for table in wh.tables():
-            if table is not wh.counts:
-                table.compact()
+        wh.compact()
     return {t: n for t, (_, n) in upto.items()} | {"fct_transactions": wh.gold("fct_transactions").count()}
 
 

@@ -104,9 +104,31 @@ def merge_schemas(stored: StructType, inferred: StructType) -> tuple[StructType,
     return merged, [f.name for f in added]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _at(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _at(spark, path)
+    return store.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, where = _at(spark, path)
+    store.delete(where, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    store, where = _at(spark, path)
+    store.create(where, True).close()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a small folder; none if it isn't there."""
+    store, where = _at(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(where)] if store.exists(where) else []
 
 
 def save_text(spark: SparkSession, value: str, path: str) -> None:

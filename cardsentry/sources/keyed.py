@@ -50,15 +50,23 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, key: str | list[str], date: str = "event_date", many: bool = False):
         self.spark, self.root, self.date, self.many = spark, root.rstrip("/"), date, many
         self.key = [key] if isinstance(key, str) else list(key)
+        self._schema: StructType | None = None
 
     # ------------------------------------------------------------ files
     def schema(self) -> StructType | None:
-        return files.load_schema(self.spark, f"{self.root}/_schema")
+        """The stored schema; read once, then as this writer has widened it."""
+        if self._schema is None:
+            self._schema = files.load_schema(self.spark, f"{self.root}/_schema")
+        return self._schema
+
+    def _save(self, schema: StructType) -> None:
+        files.save_schema(self.spark, schema, f"{self.root}/_schema")
+        self._schema = schema
 
     def create_if_absent(self, schema: StructType | str) -> None:
         """Declare the table: readers get no rows with these columns."""
         if self.schema() is None:
-            files.save_schema(self.spark, files.schema_of(self.spark, schema), f"{self.root}/_schema")
+            self._save(files.schema_of(self.spark, schema))
 
     def exists(self) -> bool:
         return self.schema() is not None
@@ -77,11 +85,8 @@ class KeyedTable:
 
     def _mark(self, upto: int | None = None) -> int:
         """The label of the last complete compaction (of those up to a batch); -1 before the first."""
-        path, label = f"{self.root}/_marks", F.col("value").cast("long")
-        if not files.exists(self.spark, path):
-            return -1
-        found = self.spark.read.text(path).agg(F.max(F.when(label <= 2 * upto + 1, label) if upto is not None else label)).first()[0]
-        return -1 if found is None else found
+        marks = [int(name) for name in files.names(self.spark, f"{self.root}/_marks") if name.isdigit()]
+        return max((m for m in marks if upto is None or m <= 2 * upto + 1), default=-1)
 
     def last_batch(self) -> int | None:
         """The greatest batch number written; None if there is none."""
@@ -97,11 +102,11 @@ class KeyedTable:
         kept = self.schema()
         if kept is None:
             kept = StructType([StructField(f.name, f.dataType, True) for f in rows.schema.fields])
-            files.save_schema(self.spark, kept, f"{self.root}/_schema")
+            self._save(kept)
         else:
             wide, added = files.merge_schemas(kept, rows.schema)
             if added:
-                files.save_schema(self.spark, wide, f"{self.root}/_schema")
+                self._save(wide)
         overwrite_partitions(rows.withColumn(LABEL, F.lit(2 * int(batch)).cast("long")), self.root, self.date, LABEL)
 
     # ------------------------------------------------------------ read
@@ -183,12 +188,10 @@ class KeyedTable:
         replaced = [(d, label) for d, label in folders if label <= mark and any(label < x <= mark for e, x in folders if e == d)]
         # a date all of whose rows have moved away has no new folder: its old one goes now, before the mark
         self._remove(replaced + [(d, label) for d, label in folders if d in dates - left and label <= upto])
-        self.spark.createDataFrame([(str(upto + 1),)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/_marks")
+        files.touch(self.spark, f"{self.root}/_marks/{upto + 1}")
         return sorted(dates, key=str)
 
     def _remove(self, folders: list[tuple]) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for d, label in folders:
             name = files.HIVE_NULL if d is None else quote(str(d), safe=" -_.")
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{self.date}={name}/{LABEL}={label}")
-            path.getFileSystem(conf).delete(path, True)
+            files.remove(self.spark, f"{self.root}/{self.date}={name}/{LABEL}={label}")
