@@ -385,12 +385,18 @@ def repeated_bytes(docs: DataFrame, length: int = 50, gram: int = GRAM, block_by
                 group.append(i)
                 size += len(names[i][2]) + 1
         out = []
+        smallest = np.array([f.min() for f in found], np.int64)
+        digest: dict[int, bytes] = {}
         for origin, hashes, own, which in asked:
-            told = [k for k in range(len(own)) if (found[which[k]] < own[k]).any()]
-            if told:
-                out.append((origin, key[0].as_py(), LEAST, hashes[told].tobytes(), bytes(names[which[k]][1] for k in told),
-                            _digests([names[which[k]][2] for k in told]), np.array([len(found[which[k]]) for k in told], np.uint8).tobytes(),
-                            np.concatenate([found[which[k]] for k in told]).tobytes()))
+            told = np.flatnonzero(smallest[which] < own)
+            if len(told):
+                some = which[told].tolist()
+                for i in some:
+                    if i not in digest:
+                        digest[i] = _digests([names[i][2]])
+                out.append((origin, key[0].as_py(), LEAST, hashes[told].tobytes(), bytes(names[i][1] for i in some),
+                            b"".join(digest[i] for i in some), np.array([len(found[i]) for i in some], np.uint8).tobytes(),
+                            np.concatenate([found[i] for i in some]).tobytes()))
         return _message(out)
 
     def cut(key, table, messages):
@@ -404,16 +410,20 @@ def repeated_bytes(docs: DataFrame, length: int = 50, gram: int = GRAM, block_by
         doc, first, last, which, hashes, at, own, texts_ = b.pieces(_shared(messages))
         digests = [hashlib.blake2b(t, digest_size=16).digest() for t in texts_]
         least = [told.get((h, p, g)) for h, p, g in zip(hashes.tolist(), at, digests)]
-        marks = np.zeros(len(b.data) + 1, np.int32)
-        ids = b.ids[doc]
-        for k in np.flatnonzero((own[which] < ids) | np.array([least[w] is not None for w in which.tolist()], bool)).tolist():
-            w = which[k]
-            hit = np.full(last[k] - first[k] + 1, own[w] < ids[k]) if least[w] is None else np.minimum(least[w], own[w]) < ids[k]
-            where = np.flatnonzero(hit) + int(b.offsets[doc[k]] + first[k])
-            if len(where):
-                np.add.at(marks, where, 1)
-                np.add.at(marks, where + length, -1)
-        covered = np.cumsum(marks[:-1]) > 0
+        # windows to be cut, by their start; a byte is covered by those that start in the last ``length`` bytes
+        starts = np.zeros(len(b.data), bool)
+        ids, begin = b.ids[doc], b.offsets[doc] + first
+        mine = own[which] < ids
+        for x, y in zip(begin[mine].tolist(), (b.offsets[doc] + last + 1)[mine].tolist()):
+            starts[x:y] = True
+        asked = np.array([x is not None for x in least], bool)
+        asked = np.flatnonzero(asked[which] & ~mine) if len(which) else which
+        for x, w, i in zip(begin[asked].tolist(), which[asked].tolist(), ids[asked].tolist()):
+            hit = least[w] < i
+            starts[x:x + len(hit)] |= hit
+        so_far = np.cumsum(starts, dtype=np.int64)
+        covered = so_far > 0
+        covered[length:] = so_far[length:] > so_far[:-length]
         result = {}
         for k, place in enumerate(b.place.tolist()):
             x, y = int(b.offsets[k]), int(b.offsets[k + 1])
