@@ -237,9 +237,10 @@ def log_probabilities(w, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def update(w, memory, x, y, new, h, rate: float = 0.05, clip: float = 5.0):
-    """One truncated window: x, y, new of shape (steps, lanes); changes w and its
-    sums of squared gradients in ``memory``; returns the state after the window."""
+def gradients(w, x, y, new, real, h):
+    """Of one truncated window, x, y, new and real of shape (steps, lanes): the
+    gradients of the sum of the real symbols' negative log probabilities, by lane, and
+    the state after the window.  Those of ``inputs`` are by row that was read (x's order)."""
     steps, lanes = x.shape
     before, kept = np.zeros((steps, lanes, UNITS), np.float32), []
     states = np.zeros((steps, lanes, UNITS), np.float32)
@@ -255,7 +256,8 @@ def update(w, memory, x, y, new, h, rate: float = 0.05, clip: float = 5.0):
     scale = np.float32(1 / lanes)
     d_class = np.exp(_log_softmax(hs @ w["class_w"] + w["class_b"]))
     d_class[np.arange(len(cls)), cls] -= 1
-    d_class *= scale
+    counts = (real.ravel()[order] * scale)[:, None]  # places behind the material's end teach nothing
+    d_class *= counts
     d_sorted = d_class @ w["class_w"].T
     grad = {"class_w": hs.T @ d_class, "class_b": d_class.sum(0), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
     cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
@@ -265,7 +267,7 @@ def update(w, memory, x, y, new, h, rate: float = 0.05, clip: float = 5.0):
         np.matmul(hs[own], w["word_w"][c].T, out=logits[own])
     d_word = np.exp(_log_softmax(logits + w["word_b"][cls]))
     d_word[np.arange(len(cls)), member] -= 1
-    d_word *= scale
+    d_word *= counts
     for c, own in present:
         grad["word_w"][c] = d_word[own].T @ hs[own]
         d_sorted[own] += d_word[own] @ w["word_w"][c]
@@ -289,6 +291,13 @@ def update(w, memory, x, y, new, h, rate: float = 0.05, clip: float = 5.0):
         d_state += before[t].T @ g
         d_h = np.where(new[t][:, None], 0, d * z + g @ back)
     grad["state"] = d_state
+    return grad, d_x, h
+
+
+def update(w, memory, x, y, new, real, h, rate: float = 0.05, clip: float = 5.0):
+    """One window's step: changes w and its sums of squared gradients in ``memory``;
+    returns the state after the window."""
+    grad, d_x, h = gradients(w, x, y, new, real, h)
     for k, g in grad.items():
         np.clip(g, -clip, clip, out=g)
         memory[k] += g * g
@@ -305,8 +314,9 @@ def update(w, memory, x, y, new, h, rate: float = 0.05, clip: float = 5.0):
 
 def train_on(w, symbols: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     """Weights after all documents (symbols, offsets), dealt to lanes one behind the
-    other, have been read window by window; short material is read again until
-    LEAST_UPDATES windows."""
+    other, have been read window by window to their last symbol; the last lane is
+    filled up with places that don't count.  Material of fewer than LEAST_UPDATES
+    windows is read again until there are as many."""
     w = {k: v.copy() for k, v in w.items()}
     if not len(symbols):
         return w
@@ -316,14 +326,15 @@ def train_on(w, symbols: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]
     new[first[:-1]] = True
     previous[new] = start
     lanes = min(LANES, len(symbols))
-    n = len(symbols) // lanes
-    x, y, z = (a[:n * lanes].reshape(lanes, n).T for a in (previous, symbols, new))
+    n = -(-len(symbols) // lanes)
+    fill = n * lanes - len(symbols)
+    x, y, z, real = (np.concatenate([a, np.full(fill, v, a.dtype)]).reshape(lanes, n).T for a, v in ((previous, start), (symbols, 0), (new, True), (np.ones(len(symbols), np.float32), 0)))
     memory = {k: np.full(s, 1e-2 if k != "inputs" else 1e-2, np.float32) for k, s in SHAPES.items()}
     done = 0
     while done < LEAST_UPDATES:
         h = np.zeros((lanes, UNITS), np.float32)
         for t in range(0, n, WINDOW):
-            h = update(w, memory, x[t:t + WINDOW], y[t:t + WINDOW], z[t:t + WINDOW], h)
+            h = update(w, memory, x[t:t + WINDOW], y[t:t + WINDOW], z[t:t + WINDOW], real[t:t + WINDOW], h)
             done += 1
     return w
 
@@ -378,7 +389,7 @@ def trained(docs: DataFrame, vocab: Vocabulary, n_blocks: int) -> dict[str, np.n
             total = sum(m * np.frombuffer(x, np.float32).astype(float) for m, x in zip(n, table.column("w").to_pylist())) / max(n.sum(), 1)
             return pa.table({"n": [int(n.sum())], "w": [total.astype(np.float32).tobytes()]}, schema=pa.schema([("n", pa.int64()), ("w", pa.binary())]))
 
-        part = docs.where(~F.col("held_out") & (F.pmod(mark, F.lit(ROUNDS)) == k)).select("text", mark.alias("mark"), F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(trainers)).alias("trainer"))
+        part = docs.where(~F.col("held_out") & (F.pmod(mark, F.lit(ROUNDS)) == k)).select("text", mark.alias("mark"), F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(trainers)).alias("trainer"))
         models = part.groupBy("trainer").applyInArrow(learn, "n long, w binary")
         wide = max(1, int(trainers ** 0.5))
         averaged = models.withColumn("g", F.pmod(F.xxhash64("w"), F.lit(wide))).groupBy("g").applyInArrow(mean, "n long, w binary").collect()
@@ -393,13 +404,17 @@ def scores(docs: DataFrame, held_out: Column, block_bytes: int = 14 << 20) -> Da
     n_known, train_tokens, base_score and score (log10), learned from rows where
     ``held_out`` is false or null.
 
-    Null and empty texts are the end alone.  Without training rows all counts are
-    zero and each token has the base formula's probability of an unseen word.
+    Null and empty texts are the end alone.  Long texts are read to their end.  Rows
+    that repeat are each learned from and scored alike; a null doc_id is held out as
+    ``held_out`` says (null: it isn't), and rows spread over blocks and trainers by id
+    and text.  Without training rows all counts are zero and each token has the base
+    formula's probability of an unseen word.  Other columns are not read; an empty
+    table gives no rows.
     """
     prepare(docs.sparkSession)
     n = block_count(docs, block_bytes=block_bytes)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n))).groupBy("block")
+    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))).groupBy("block")
     counts = corpus_counts(blocks, n)
     vocab = vocabulary(counts, n)
     shared = docs.sparkSession.sparkContext.broadcast((vocab, trained(rows, vocab, n)))

@@ -507,3 +507,81 @@ def test_rows_that_share_hashes_of_their_parts(spark):
     taken = out.where("copies > 0")
     assert out.count() == 10_000 and taken.count() == 5_000 and taken.select("key").distinct().count() == 5_000
     assert mixing.mixed(many, F.lit("0"), mixing.Weights(), budget_permille=500, max_epochs=1).count() == 5_000
+
+
+def small_network(seed=0):
+    rng = np.random.default_rng(seed)
+    return {k: rng.normal(0, 0.4, s) for k, s in lm.SHAPES.items()}
+
+
+def window(rng, steps, lanes):
+    x, y = rng.integers(0, lm.CLASSES * lm.MEMBERS, (2, steps, lanes))
+    return x, y, rng.random((steps, lanes)) < 0.3, (rng.random((steps, lanes)) < 0.8).astype(float)
+
+
+def loss(w, x, y, new, real, h):
+    """The window's loss step by step, one lane at a time, from the unit's formulas."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    total, u = 0.0, lm.UNITS
+    for lane in range(x.shape[1]):
+        s = h[lane]
+        for t in range(x.shape[0]):
+            s = np.zeros(u) if new[t, lane] else s
+            i, g = w["inputs"][x[t, lane]], s @ w["state"]
+            z, r = sigmoid(i[:u] + g[:u]), sigmoid(i[u:2 * u] + g[u:2 * u])
+            n = np.tanh(i[2 * u:] + r * g[2 * u:])
+            s = (1 - z) * n + z * s
+            c, m = divmod(int(y[t, lane]), lm.MEMBERS)
+            a, b = s @ w["class_w"] + w["class_b"], w["word_w"][c] @ s + w["word_b"][c]
+            total -= real[t, lane] * (a[c] - np.log(np.exp(a).sum()) + b[m] - np.log(np.exp(b).sum()))
+    return total / x.shape[1]
+
+
+def test_network_gradients_against_differences():
+    rng, w = np.random.default_rng(4), small_network()
+    x, y, new, real = window(rng, 5, 3)
+    h = rng.normal(0, 0.3, (3, lm.UNITS))
+    grad, d_x, _ = lm.gradients(w, x, y, new, real, h.copy())
+    full = np.zeros(lm.SHAPES["inputs"])
+    np.add.at(full, x.ravel(), d_x.reshape(-1, 3 * lm.UNITS))
+    for name, g in {**grad, "inputs": full}.items():
+        # the largest entries and some others
+        places = np.unique(np.concatenate([np.argsort(-np.abs(g).ravel())[:12], rng.integers(0, g.size, 6)]))
+        for k in places.tolist():
+            at, e = np.unravel_index(k, g.shape), 1e-5
+            was = w[name][at]
+            w[name][at] = was + e
+            up = loss(w, x, y, new, real, h)
+            w[name][at] = was - e
+            down = loss(w, x, y, new, real, h)
+            w[name][at] = was
+            assert abs((up - down) / (2 * e) - g[at]) < 2e-4, (name, at)
+
+
+def test_network_scores_whole_documents_with_carried_state():
+    rng, w = np.random.default_rng(6), small_network(2)
+    sizes = [1, 300, 7, 64, 0, 2]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    symbols = rng.integers(0, lm.CLASSES * lm.MEMBERS, first[-1])
+    got = lm.score_documents({k: v.astype(np.float32) for k, v in w.items()}, symbols, first)
+    for a, b in zip(first[:-1], first[1:]):
+        if b > a:
+            x = np.concatenate([[lm.CLASSES * lm.MEMBERS], symbols[a:b - 1]])[:, None]
+            want = -loss(w, x, symbols[a:b][:, None], np.zeros((b - a, 1), bool), np.ones((b - a, 1)), np.zeros((1, lm.UNITS)))
+            assert abs(got[a:b].sum() - want) < 1e-2 * (b - a)
+    # a class's probabilities and those of its symbols each add up to one
+    states = rng.normal(0, 1, (1, lm.UNITS)).repeat(lm.CLASSES * lm.MEMBERS, 0)
+    assert abs(np.exp(lm.log_probabilities(w, states, np.arange(lm.CLASSES * lm.MEMBERS))).sum() - 1) < 1e-9
+
+
+def test_training_reads_to_the_last_symbol():
+    """The last symbols of a length that lanes don't divide change the weights."""
+    rng = np.random.default_rng(1)
+    n = lm.LANES * 40 + 7
+    symbols = rng.integers(0, 50, n)
+    w = {k: v.astype(np.float32) for k, v in small_network(3).items()}
+    a = lm.train_on(w, symbols, np.array([0, n]))
+    other = symbols.copy()
+    other[-1] = 1999
+    b = lm.train_on(w, other, np.array([0, n]))
+    assert np.abs(a["word_w"][1999 // lm.MEMBERS] - b["word_w"][1999 // lm.MEMBERS]).max() > 0
