@@ -10,9 +10,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from . import skew
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
+#: Facts of a key above which they are merged with its versions in slices.
+HOT_ROWS = 2_000_000
 
 
 def _ts(as_of) -> Column:
@@ -76,19 +80,41 @@ def current_view(history: DataFrame) -> DataFrame:
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str, ts_col: str,
-               cols: list[str], how: str = "left") -> DataFrame:
+               cols: list[str], how: str = "left", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Attach the version of ``history`` valid at each fact's ``ts_col``.
 
-    Equi-join on the key with the interval as a residual condition; the
-    number of versions per key is small, so the join stays a sort-merge (or
-    broadcast) join with a filter.  A hot fact key is split by AQE's skew-join
-    handling of the streamed side.
+    Facts and versions are merged in order of (key, time) and each fact takes the last
+    version before it, if that is still valid: the cost is that of sorting facts and
+    versions once, however many versions a key has.  The facts of a key (or without
+    one) with more than ``hot_rows`` rows are cut into slices of as many, which get
+    the versions that overlap their time.  Facts without key or time have no version.
     """
-    h = history.select(F.col(key).alias("_hk"), *cols, VALID_FROM, VALID_TO)
-    cond = ((F.col(key) == F.col("_hk"))
-            & (F.col(ts_col) >= F.col(VALID_FROM))
-            & (F.col(VALID_TO).isNull() | (F.col(ts_col) < F.col(VALID_TO))))
-    return facts.join(h, cond, how).drop("_hk")
+    versions = history.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.struct(VALID_FROM, VALID_TO, *cols).alias("_version"))
+    spec = skew.SliceSpec(key, ts_col, (ts_col,), 0, 0)
+    hot = skew.hot_keys(facts, spec, hot_rows) if hot_rows else None
+    if hot is None:
+        return _merged(facts, facts.columns, versions, [key], ts_col, cols, how)
+    cold, busy = skew.split_hot(facts, key, hot)
+    sliced = skew.equal_slices(busy, spec, hot_rows).drop(skew.CTX)
+    # one row for each slice: hot rows / hot_rows, and one more for each hot key
+    spans = F.broadcast(sliced.groupBy(F.col(key).alias("_k"), skew.SLICE).agg(F.min(ts_col).alias("_from"), F.max(ts_col).alias("_to")))
+    near = versions.join(spans, "_k").where((F.col(f"_version.{VALID_FROM}") <= F.col("_to")) & (F.col(f"_version.{VALID_TO}").isNull() | (F.col(f"_version.{VALID_TO}") > F.col("_from"))))
+    return _merged(cold, facts.columns, versions, [key], ts_col, cols, how).unionByName(
+        _merged(sliced, facts.columns, near.select("_k", skew.SLICE, "_version"), [key, skew.SLICE], ts_col, cols, how))
+
+
+def _merged(facts: DataFrame, names: list[str], versions: DataFrame, parts: list[str], ts_col: str, cols: list[str], how: str) -> DataFrame:
+    """``as_of_join`` within the groups of ``parts``; a version comes before a fact of the same time."""
+    rows = facts.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(parts)], F.col(ts_col).alias("_t"), F.lit(1).alias("_kind"),
+                        F.struct(*names).alias("_fact"), F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"))
+    marks = versions.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(["_k", *parts[1:]])], F.col(f"_version.{VALID_FROM}").alias("_t"), F.lit(0).alias("_kind"),
+                            F.lit(None).cast(rows.schema["_fact"].dataType).alias("_fact"), "_version")
+    order = Window.partitionBy(*[f"_p{i}" for i in range(len(parts))]).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.unionByName(marks).withColumn("_last", F.last("_version", ignorenulls=True).over(order)).where("_kind = 1")
+    valid = F.col("_last").isNotNull() & F.col("_t").isNotNull() & (F.col(f"_last.{VALID_TO}").isNull() | (F.col("_t") < F.col(f"_last.{VALID_TO}")))
+    if how == "inner":
+        found = found.where(valid)
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_last.{c}")).alias(c) for c in (*cols, VALID_FROM, VALID_TO)])
 
 
 class SCD2Table:

@@ -220,3 +220,37 @@ def dq_11(spark, sf_dir):
     f"SELECT transaction_id FROM stg_transactions WHERE coalesce({dq.VALUE_DOMAIN_VIOLATION}, true)"))
 def dq_12(spark, sf_dir):
     return dq.value_domains(_p(spark, sf_dir).silver["transactions"])
+
+
+# ---------------------------------------------------------------- invariants, seeded
+@register("dq_07b_features_not_null_seeded", q("SELECT transaction_id FROM fct_transactions WHERE transaction_id % 103 = 0"))
+def dq_07b(spark, sf_dir):
+    fact = _p(spark, sf_dir).fact
+    return dq.features_not_null(fact.withColumn("mcc_risk", F.when(F.col("transaction_id") % 103 != 0, F.col("mcc_risk"))), FEATURES)
+
+
+@register("dq_08b_fraud_rate_seeded", q("""
+SELECT count(*) AS n, CAST(count(*) FILTER (WHERE transaction_id % 8 = 0) AS BIGINT) AS fraud,
+       CAST(count(*) FILTER (WHERE transaction_id % 8 = 0) AS DOUBLE) / count(*) AS rate
+FROM fct_transactions"""))
+def dq_08b(spark, sf_dir):
+    return dq.fraud_rate_plausible(_p(spark, sf_dir).fact.withColumn("is_fraud_label", F.col("transaction_id") % 8 == 0))
+
+
+@register("dq_11b_chargeback_integrity_seeded", q("""
+SELECT chargeback_id, transaction_id + CASE WHEN transaction_id % 3 = 0 THEN 1000000000 ELSE 0 END AS transaction_id
+FROM stg_chargebacks WHERE transaction_id % 3 = 0 OR transaction_id % 3 = 1 AND transaction_id % 2 = 0"""))
+def dq_11b(spark, sf_dir):
+    """Chargebacks of unknown transactions, and some that settle with their transaction."""
+    s, tid = _p(spark, sf_dir).silver, F.col("transaction_id")
+    txn = s["transactions"].select(tid.alias("t"), "event_ts")
+    early = (tid % 3 == 1) & (tid % 2 == 0)
+    cb = (s["chargebacks"].join(txn, F.col("t") == tid).withColumn("settle_ts", F.when(early, F.col("event_ts")).otherwise(F.col("settle_ts"))).drop("t", "event_ts")
+          .withColumn("transaction_id", F.when(tid % 3 == 0, tid + 1000000000).otherwise(tid)))
+    return dq.chargeback_integrity(cb, s["transactions"])
+
+
+@register("dq_12b_value_domains_seeded", q("SELECT transaction_id FROM stg_transactions WHERE transaction_id % 107 = 0 OR transaction_id % 109 = 0"))
+def dq_12b(spark, sf_dir):
+    t, tid = _p(spark, sf_dir).silver["transactions"], F.col("transaction_id")
+    return dq.value_domains(t.withColumns({"lat": F.when(tid % 107 == 0, F.lit(120.0)).otherwise(F.col("lat")), "entry_mode": F.when(tid % 109 == 0, F.lit(None)).otherwise(F.col("entry_mode"))}))

@@ -1,7 +1,7 @@
 """SCD2 card history, current dimension and as-of join."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators import scd2
 from ..sources import testdata
@@ -114,3 +114,22 @@ def join_13(spark, sf_dir):
     t = p.silver["transactions"].select("transaction_id", "card_id", "event_ts")
     j = scd2.as_of_join(t, p.card_history(2), "card_id", "event_ts", ["is_active", "card_type"])
     return ntz(j.select("transaction_id", "card_id", "is_active", "card_type", "valid_from"))
+
+
+_MANY = """
+, busy AS (SELECT transaction_id, card_id % 3 AS k, event_ts FROM stg_transactions)
+, starts AS (SELECT k, event_ts AS valid_from, min(transaction_id) AS version FROM busy WHERE transaction_id % 2 = 0 GROUP BY k, event_ts)
+, versions AS (SELECT *, least(lead(valid_from) OVER (PARTITION BY k ORDER BY valid_from), valid_from + INTERVAL 10 MINUTE) AS valid_to FROM starts)
+SELECT b.transaction_id, b.k, v.version, v.valid_from FROM busy b
+LEFT JOIN versions v ON v.k = b.k AND b.event_ts >= v.valid_from AND b.event_ts < v.valid_to"""
+
+
+@register("join_13b_asof_many_versions", q(_MANY))
+def join_13b(spark, sf_dir):
+    """Three keys with a version at every other transaction, with gaps between them;
+    each key's facts are merged in slices of 500."""
+    t = _p(spark, sf_dir).silver["transactions"].select("transaction_id", (F.col("card_id") % 3).alias("k"), "event_ts")
+    starts = t.where("transaction_id % 2 = 0").groupBy("k", F.col("event_ts").alias("valid_from")).agg(F.min("transaction_id").alias("version"))
+    after = F.lead("valid_from").over(Window.partitionBy("k").orderBy("valid_from"))
+    versions = starts.withColumn("valid_to", F.least(after, F.col("valid_from") + F.expr("INTERVAL 10 MINUTES")))
+    return ntz(scd2.as_of_join(t, versions, "k", "event_ts", ["version"], hot_rows=500).select("transaction_id", "k", "version", "valid_from"))
