@@ -3,21 +3,18 @@
 The precision/recall curve needs cumulative counts over scores in descending
 order.  An unpartitioned window would pull every row into one task, so the
 curve is built as a two-level prefix sum: rows are first aggregated to one row
-per distinct score, scores are cut into ranges at approximate quantiles, each
-range gets the totals of all higher ranges as an offset (a window over at
-most ``buckets`` rows), and the running sum inside a range is an ordinary
-partitioned window.  The result is exact; the quantiles only balance the work.
+per distinct score, these are dealt out by range of score and written, each
+range gets the totals of all higher ranges as an offset (a window over one row
+for each range), and the running sum inside a range is an ordinary partitioned
+window.  The result is exact; where the ranges are cut only balances the work.
 """
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expr import count_if
 from ..session import checkpoint_dir
-
-DEFAULT_SCORES_PER_BUCKET = 1_000_000
+from . import skew
 
 
 def time_split(df: DataFrame, split_date: str, date_col: str = "event_date") -> DataFrame:
@@ -61,50 +58,27 @@ def _per_score(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
         count_if(lab).alias("pos"), count_if(~lab).alias("neg"))
 
 
-def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "label",
-             scores_per_bucket: int = DEFAULT_SCORES_PER_BUCKET, materialize: bool = True) -> DataFrame:
+def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "label", ranges: int | None = None) -> DataFrame:
     """One row per distinct score (descending): counts at the score and
     cumulative true/false positives when alerting at ``score >= threshold``.
 
     Columns: threshold, pos, neg, tp, fp, precision, recall, f1, n_pos, n_neg.
-
-    The per-score aggregate is used four times (size, range boundaries, range
-    totals, running sums); it is checkpointed once (reliable checkpoint in the
-    shared folder) unless ``materialize`` is False.
+    ``ranges``: into how many ranges the scores are dealt out (default: four for
+    each core, at most the session's shuffle partitions); the curve is the same for any.
     """
-    per = _per_score(scored, score_col, label_col)
-    if materialize:
-        checkpoint_dir(per.sparkSession)
-        per = per.checkpoint(eager=True)
-    n_scores = per.count()
-    buckets = max(1, math.ceil(n_scores / scores_per_bucket))
-    if buckets == 1:
-        per = per.withColumn("_b", F.lit(0))
-    else:
-        # Range boundaries: ``buckets - 1`` numbers, whatever the data size.
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = sorted(set(per.approxQuantile("score", probs, 1.0 / (10 * buckets))))
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        # bucket 0 holds the highest scores
-        per = per.withColumn("_b", F.size(F.filter(arr, lambda b: b >= F.col("score"))))
-    run = Window.partitionBy("_b").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    if buckets == 1:
-        # one range (at most scores_per_bucket rows): no offsets, totals by window
-        whole = Window.partitionBy("_b")
-        with_off = (per.withColumn("_op", F.lit(0).cast("bigint")).withColumn("_on", F.lit(0).cast("bigint"))
-                    .withColumn("n_pos", F.sum("pos").over(whole).cast("bigint"))
-                    .withColumn("n_neg", F.sum("neg").over(whole).cast("bigint")))
-    else:
-        tot = per.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-        # Offsets and grand totals over the range table (at most `buckets` rows).
-        prior = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        every = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        off = tot.select("_b", F.coalesce(F.sum("_bp").over(prior), F.lit(0)).alias("_op"),
-                         F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"),
-                         F.sum("_bp").over(every).cast("bigint").alias("n_pos"),
-                         F.sum("_bn").over(every).cast("bigint").alias("n_neg"))
-        with_off = per.join(F.broadcast(off), "_b")
-    cur = (with_off
+    spark = scored.sparkSession
+    checkpoint_dir(spark)
+    per = skew.dealt_by_range(_per_score(scored, score_col, label_col), [F.col("score").desc()], ranges or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+    run = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    tot = per.groupBy("_range").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
+    # Offsets and grand totals over the range table (``ranges`` rows at most).
+    prior = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    off = tot.select("_range", F.coalesce(F.sum("_bp").over(prior), F.lit(0)).alias("_op"),
+                     F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"),
+                     F.sum("_bp").over(every).cast("bigint").alias("n_pos"),
+                     F.sum("_bn").over(every).cast("bigint").alias("n_neg"))
+    cur = (per.join(F.broadcast(off), "_range")
            .withColumn("tp", (F.sum("pos").over(run) + F.col("_op")).cast("bigint"))
            .withColumn("fp", (F.sum("neg").over(run) + F.col("_on")).cast("bigint")))
     p = F.col("tp") / (F.col("tp") + F.col("fp"))

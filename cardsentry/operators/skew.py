@@ -66,18 +66,23 @@ def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataF
     return a.join(b, _is("a", "b", key), "left_anti"), a.join(b, _is("a", "b", key), "left_semi")
 
 
-def equal_slices(rows: DataFrame, spec: SliceSpec, slice_rows: int) -> DataFrame:
-    """The rows with ``_slice``, of ``slice_rows`` consecutive rows of a key each, and the
-    ``rows_back`` rows before each slice once more as its context (``_ctx`` true)."""
-    spark, keys = rows.sparkSession, [spec.key, *spec.order]
-    ranges = max(1, -(-rows.count() // slice_rows))
+def dealt_by_range(rows: DataFrame, order: list, ranges: int) -> DataFrame:
+    """The rows in ``ranges`` ranges of about equal size in ``order``, with ``_range`` and
+    the row's ``_place`` in it.  Written to the shared folder, so ranges and places hold
+    for every later use, whichever executor is lost."""
+    spark = rows.sparkSession
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    dealt = (rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    dealt = (rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
              .withColumn("_range", F.spark_partition_id()).withColumn("_place", place))
-    # written once, so ranges and places hold for every later use
-    path = scratch_path(spark, f"slices-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"ranges-{uuid.uuid4().hex}")
     dealt.write.parquet(path)
-    dealt = spark.read.schema(dealt.schema).parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
+def equal_slices(rows: DataFrame, spec: SliceSpec, slice_rows: int) -> DataFrame:
+    """The rows with ``_slice``, of ``slice_rows`` consecutive rows of a key each, and the
+    ``rows_back`` rows before each slice once more as its context (``_ctx`` true)."""
+    dealt = dealt_by_range(rows, [spec.key, *spec.order], max(1, -(-rows.count() // slice_rows)))
     before = Window.partitionBy(spec.key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (dealt.groupBy(spec.key, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
               .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))))

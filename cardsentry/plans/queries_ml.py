@@ -88,8 +88,8 @@ def ml_07(spark, sf_dir):
 
 @register("ml_07b_pr_curve_bucketed", q(SCORED_SQL + "SELECT * FROM curve"))
 def ml_07b(spark, sf_dir):
-    """Same curve forced through the multi-range prefix sum (50 scores per range)."""
-    return metrics.pr_curve(scored(_p(spark, sf_dir)), scores_per_bucket=50)
+    """Same curve with its scores in 37 ranges."""
+    return metrics.pr_curve(scored(_p(spark, sf_dir)), ranges=37)
 
 
 @register("ml_08_average_precision", q(SCORED_SQL + f"""

@@ -78,8 +78,8 @@ def _brute(scores, labels):
 
 
 @pytest.mark.parametrize("case", ["ties", "perfect", "all_pos", "random"])
-@pytest.mark.parametrize("per_bucket", [1_000_000, 3])
-def test_pr_metrics_match_brute_force(spark, case, per_bucket):
+@pytest.mark.parametrize("ranges", [None, 1, 5])
+def test_pr_metrics_match_brute_force(spark, case, ranges):
     import random
     rnd = random.Random(7)
     if case == "ties":
@@ -91,7 +91,7 @@ def test_pr_metrics_match_brute_force(spark, case, per_bucket):
     else:
         data = [(round(rnd.random(), 2), int(rnd.random() < 0.3)) for _ in range(200)]
     df = spark.createDataFrame(data, "score double, label int")
-    curve = metrics.pr_curve(df, scores_per_bucket=per_bucket)
+    curve = metrics.pr_curve(df, ranges=ranges)
     ap = metrics.average_precision(curve).first()[0]
     auc = metrics.roc_auc(curve).first()[0]
     bt = metrics.best_threshold(curve).first()
@@ -156,3 +156,29 @@ def test_scd2_table_matches_in_memory_history_and_replays(spark, tmp):
         want = scd2.scd2_apply(want, snap, "card_id", testdata.CARD_CHECK_COLS, t)
     cols = want.columns
     assert sorted(table.history().select(*cols).collect()) == sorted(want.collect())
+
+
+def test_as_of_join_edges(spark):
+    """Gaps, equal times, facts before the first version, nulls, inner joins, and slices."""
+    import random
+    from cardsentry.operators import scd2
+    rng = random.Random(5)
+    versions, t = [], {}
+    for k in (1, 2):
+        at = 100
+        for v in range(60):
+            end = at + rng.randint(1, 20)
+            versions.append((k, f"{k}-{v}", at, end if v < 59 else None))
+            at = end + rng.choice([0, 0, 5])
+    versions.append((None, "none", 0, None))
+    facts = [(i, rng.choice([1, 1, 1, 1, 2, 3, None]), rng.choice([None, *range(80, 1500, 1)])) for i in range(900)]
+    stamp = lambda c: F.timestamp_seconds(c)
+    h = spark.createDataFrame(versions, "k long, v string, a long, b long").select("k", "v", stamp(F.col("a")).alias("valid_from"), stamp(F.col("b")).alias("valid_to"))
+    f = spark.createDataFrame(facts, "id long, k long, t long").withColumn("ts", stamp(F.col("t")))
+    want = {i: next((v for kk, v, a, b in versions if kk == k and t is not None and a <= t and (b is None or t < b)), None) if k is not None else None for i, k, t in facts}
+    for hot in (None, 100, 7):
+        got = scd2.as_of_join(f, h, "k", "ts", ["v"], hot_rows=hot)
+        assert got.columns == ["id", "k", "t", "ts", "v", "valid_from", "valid_to"]
+        assert {r.id: r.v for r in got.collect()} == want and got.count() == len(facts)
+        inner = scd2.as_of_join(f, h, "k", "ts", ["v"], "inner", hot_rows=hot)
+        assert {r.id: r.v for r in inner.collect()} == {i: v for i, v in want.items() if v}
