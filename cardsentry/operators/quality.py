@@ -2,8 +2,8 @@
 
 Each check returns a DataFrame of violations (no rows = pass).  The suite
 runner evaluates a declarative list of checks with one aggregation per table
-for all row-level checks (one scan per table, map-side combined), plus one
-aggregation per uniqueness / relationship check, and returns one row per
+for all row-level checks (one scan per table, map-side combined), and one shuffle
+for all uniqueness and relationship checks together, and returns one row per
 check: (check_name, table_name, kind, violations, status).
 """
 from __future__ import annotations
@@ -175,6 +175,33 @@ def row_violation_sql(c: Check) -> str:
 ROW_KINDS = {"not_null", "accepted_values", "accepted_range", "expression"}
 
 
+def key_counts(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """(check_name, violations) of uniqueness and relationship checks: the keys of all
+    of them as rows tagged with their check, one scan of each table, counted in one
+    shuffle (map-side combined, so a key that repeats is one row a task)."""
+    asked: dict[str, list] = {}
+    for i, c in enumerate(checks):
+        asked.setdefault(c.table, []).append(F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("key"), F.lit(1).cast("bigint").alias("n"), F.lit(0).alias("parent")))
+        if c.kind == "relationships":
+            asked.setdefault(c.to_table, []).append(F.struct(F.lit(i).alias("i"), F.col(c.to_column).cast("string").alias("key"), F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("parent")))
+    keys = union_all([tables[t].select(F.explode(F.array(*marks)).alias("k")).select("k.*").where("key is not null") for t, marks in asked.items()])
+    per = keys.groupBy("i", "key").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    alone = F.col("i").isin([i for i, c in enumerate(checks) if c.kind == "unique"])
+    found = F.when(alone, (F.col("n") > 1).cast("bigint")).otherwise(F.when(F.col("parent") == 0, F.col("n")).otherwise(F.lit(0)))
+    names = F.array(*[F.lit(c.name) for c in checks])
+    return per.groupBy("i").agg(F.sum(found).alias("violations")).select(F.element_at(names, F.col("i") + 1).alias("check_name"), "violations")
+
+
+def violating_rows(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """(check_name, table_name, row as JSON) of the rows that row-level checks reject."""
+    parts = []
+    for t in dict.fromkeys(c.table for c in checks if c.kind in ROW_KINDS):
+        broken = F.array_compact(F.array(*[F.when(F.expr(row_violation_sql(c)), F.lit(c.name)) for c in checks if c.table == t and c.kind in ROW_KINDS]))
+        rows = tables[t].select(broken.alias("_broken"), F.to_json(F.struct(*tables[t].columns)).alias("row"))
+        parts.append(rows.select(F.explode("_broken").alias("check_name"), F.lit(t).alias("table_name"), "row"))
+    return union_all(parts)
+
+
 def run_suite(tables: dict[str, DataFrame], checks: list[Check],
               custom: dict[str, tuple[str, DataFrame, str]] | None = None) -> DataFrame:
     """``custom`` maps check name -> (table name, violations DataFrame, severity)
@@ -195,26 +222,22 @@ def run_suite(tables: dict[str, DataFrame], checks: list[Check],
                                      for i, c in enumerate(cs)])
         stack = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(cs))
         parts.append(agg.selectExpr(f"stack({len(cs)}, {stack}) AS (check_name, violations)"))
-    for c in checks:
-        if c.kind == "unique":
-            v = unique(tables[c.table], c.column)
-        elif c.kind == "relationships":
-            v = relationships(tables[c.table], c.column, tables[c.to_table], c.to_column)
-        elif c.kind == "custom":
-            v = custom[c.name][1]
-        else:
-            continue
-        parts.append(v.selectExpr(f"'{c.name}' AS check_name", "count(1) AS violations"))
+    keyed = [c for c in checks if c.kind in ("unique", "relationships")]
+    if keyed:
+        parts.append(key_counts(tables, keyed))
+    for name, (_, v, _) in custom.items():
+        parts.append(v.selectExpr(f"'{name}' AS check_name", "count(1) AS violations"))
     # identical (check_name, violations) layout: positional union as a balanced
     # tree (a left-deep chain re-analyses the growing plan at every step)
     res = union_all(parts)
     meta = res.sparkSession.createDataFrame(
         [(c.name, c.table, c.kind, c.severity) for c in checks],
         "check_name string, table_name string, kind string, severity string")
-    # Both sides have one row per check (a few dozen rows).
-    return (res.join(F.broadcast(meta), "check_name").select(
-        "check_name", "table_name", "kind", F.col("violations").cast("bigint").alias("violations"),
-        F.when(F.col("violations") == 0, F.lit("pass"))
+    # Both sides have one row per check (a few dozen rows); a key check without keys has none.
+    violations = F.coalesce("violations", F.lit(0)).cast("bigint")
+    return (meta.join(F.broadcast(res), "check_name", "left").select(
+        "check_name", "table_name", "kind", violations.alias("violations"),
+        F.when(violations == 0, F.lit("pass"))
          .when(F.col("severity") == "warn", F.lit("warn"))
          .otherwise(F.lit("fail")).alias("status")))
 

@@ -279,14 +279,23 @@ def update_card_history(wh: Warehouse, batch: int, cards: DataFrame, as_of) -> N
 
 
 # ---------------------------------------------------------------- gate
-def gate(wh: Warehouse, batch: int, raw: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
-    """All schema checks and invariants over what the run would publish.  A check
-    whose table is absent stops the run."""
-    fact = wh.fact.read(batch)
+def gate(wh: Warehouse, batch: int, raw: dict[str, DataFrame], silver: dict[str, DataFrame]) -> None:
+    """All schema checks and invariants over what the run would publish; a failed
+    check, or one whose table is absent, stops the run.  The results are in
+    ``quality/runs``, the rows that failed row-level checks reject in
+    ``quarantine/checks``."""
+    spark, fact = wh.spark, wh.fact.read(batch)
     tables = {f"raw_{k}": v for k, v in raw.items()} | {f"stg_{k}": v for k, v in silver.items()} | {
         "fct_transactions": fact, "dim_merchant": wh.dim_merchant.read(batch), "dim_card": wh.dim_card.read(batch),
         "agg_fraud_by_hour": wh.by_hour.read(batch), "agg_merchant_risk": wh.merchant_risk.read(batch), "mart_model_performance": wh.performance.read(batch)}
-    return quality.run_suite(tables, quality.default_checks(), quality.invariants(silver, fact))
+    checks, mark = quality.default_checks(), F.lit(batch)
+    overwrite_partitions(quality.run_suite(tables, checks, quality.invariants(silver, fact)).withColumn("batch", mark), f"{wh.root}/quality/runs", "batch")
+    result = spark.read.parquet(f"{wh.root}/quality/runs").where(F.col("batch") == batch)
+    failed = {r[0] for r in result.where("status = 'fail'").select("check_name").collect()}     # one name a check
+    broken = [c for c in checks if c.name in failed and c.kind in quality.ROW_KINDS]
+    if broken:
+        overwrite_partitions(quality.violating_rows(tables, broken).withColumn("batch", mark), f"{wh.root}/quarantine/checks", "batch")
+    quality.assert_suite(result)
 
 
 def daily_build(spark: SparkSession, landing: str, warehouse: str, checkpoints: str, run_quality: bool = True,
@@ -317,9 +326,7 @@ def daily_build(spark: SparkSession, landing: str, warehouse: str, checkpoints:
     silver = {**{t: dims[t] for t in files.REFERENCE}, "transactions": wh.transactions.read(batch),
               "auth_events": wh.auth_events.read(batch), "chargebacks": wh.chargebacks.read(batch)}
     if run_quality:
-        overwrite_partitions(gate(wh, batch, raw, silver).withColumn("batch", F.lit(batch)), f"{warehouse}/quality/runs", "batch")
-        result = spark.read.parquet(f"{warehouse}/quality/runs").where(F.col("batch") == batch)
-        quality.assert_suite(result)
+        gate(wh, batch, raw, silver)
     rows = [(batch, t, mark, n) for t, (mark, n) in upto.items()]
     spark.createDataFrame(rows, RUNS).coalesce(1).write.mode("append").parquet(f"{warehouse}/state/runs")
     if compact:

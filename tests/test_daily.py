@@ -135,6 +135,8 @@ def test_a_failed_gate_publishes_nothing(spark, tmp):
     with pytest.raises(AssertionError, match="amount_usd"):
         daily.daily_build(spark, land, root, f"{tmp}/ck")
     assert wh.published() == 0 and rows(wh.gold("fct_transactions")) == before
+    aside = spark.read.parquet(f"{root}/quarantine/checks").where("batch = 1").collect()
+    assert {"accepted_range_stg_transactions_amount_usd", "accepted_values_stg_transactions_entry_mode"} <= {r.check_name for r in aside} and all('"bad"' in r.row for r in aside)
     # the row comes again, mended: the batch is made anew
     good = bad.withColumns({"amount": F.lit(5.0), "entry_mode": F.lit("chip")})
     good.write.mode("append").json(f"{land}/transactions/event_date=2024-01-05")
