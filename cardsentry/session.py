@@ -1,11 +1,15 @@
 """Session construction and cluster-safe scratch locations."""
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings every job relies on.  The session time zone is part of the
 # semantics (hour-of-day, epoch seconds, dates are UTC), the rest is tuning.
 BASE_CONF = {
@@ -69,8 +73,11 @@ def ensure_utc(spark: SparkSession) -> None:
         try:
             if spark.conf.get(k, None) != v:
                 spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - setting absent in this Spark version
-            pass
+                log.info("session setting %s = %s", k, v)
+        except AnalysisException as e:  # a setting that this Spark version fixes at start
+            if k == "spark.sql.session.timeZone":
+                raise
+            log.warning("session setting %s can't be changed: %s", k, e)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -2,10 +2,8 @@
 from __future__ import annotations
 
 import json
-import re
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 # Raw entity schemas of the landing zone (all ids are strings,
@@ -36,26 +34,34 @@ def with_lineage(df: DataFrame) -> DataFrame:
              .withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def path_folders(path: Column) -> Column:
+    """The ``key=value`` folders of a file's path, as an array of (k, v)."""
+    decoded = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.transform(F.regexp_extract_all(path, F.lit(r"/([^/=]+=[^/]+)(?=/)"), F.lit(1)),
+                       lambda x: F.struct(decoded(F.substring_index(x, "=", 1)).alias("k"), decoded(F.substring(x, F.instr(x, "=") + 1, F.length(x))).alias("v")))
+
+
+def folder_value(folders: str, key: str) -> Column:
+    """The value of the innermost folder with this key; null for a NULL partition."""
+    return F.try_element_at(F.filter(folders, lambda x: (x["k"] == key) & (x["v"] != HIVE_NULL)), F.lit(-1))["v"]
+
+
 def read_jsonl_dataset(spark: SparkSession, topic_dir: str, schema: StructType | None = None) -> DataFrame:
     """All JSON-lines files below a topic folder, in folders of any depth;
     ``key=value`` folders become columns (dates, whole numbers or text, or the
     type that ``schema`` gives the column)."""
-    r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*")
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.json*"}
+    r = spark.read.options(**options)
     if schema is not None:
         r = r.schema(schema)
     df = r.json(topic_dir)
-    found: dict[str, set[str]] = {}
-    for path in df.inputFiles():
-        for k, v in re.findall(r"/([^/=]+)=([^/]+)(?=/)", path):
-            found.setdefault(unquote(k), set()).add(unquote(v))
+    # types of the folders' values: one aggregate over the files' paths (no file is opened), one row a key
+    values = spark.read.format("binaryFile").options(**options).load(topic_dir).select(F.explode(path_folders(F.col("path"))).alias("x")).select("x.k", "x.v")
+    like = lambda pattern: F.bool_and((F.col("v") == HIVE_NULL) | F.col("v").rlike(f"^{pattern}$"))
+    found = values.groupBy("k").agg(like(r"\d{4}-\d\d-\d\d").alias("dates"), like(r"-?\d{1,18}").alias("whole")).collect()
     types = {f.name: f.dataType for f in df.schema} if schema is not None else {}
-    for k, values in found.items():
-        named = [v for v in values if v != HIVE_NULL]
-        kind = types.get(k) or ("date" if all(map(re.compile(r"\d{4}-\d\d-\d\d").fullmatch, named)) else
-                                "bigint" if all(map(re.compile(r"-?\d{1,18}").fullmatch, named)) else "string")
-        raw = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), f"/{re.escape(k)}=([^/]+)/", 1)
-        df = df.withColumn(k, F.when((raw != "") & (raw != HIVE_NULL), raw).try_cast(kind))
-    return df
+    columns = {k: folder_value("_folders", k).try_cast(types.get(k) or ("date" if dates else "bigint" if whole else "string")) for k, dates, whole in found}
+    return df.withColumn("_folders", path_folders(F.col("_metadata.file_path"))).withColumns(columns).drop("_folders") if columns else df
 
 
 def read_reference_array(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -77,14 +83,6 @@ def write_partitioned_jsonl(df: DataFrame, path: str, key: str = "event_date",
     return seen.get["n"]
 
 
-def write_reference_array(df: DataFrame, path: str) -> None:
-    """Write a bounded reference table as one indented JSON array (driver side:
-    only for small dimension snapshots, never for fact data)."""
-    rows = [json.loads(r) for r in df.toJSON().collect()]
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(rows, f, indent=2)
-
-
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet, CSV or a table name; projected to ``columns`` at the scan."""
     if path.endswith(".csv"):

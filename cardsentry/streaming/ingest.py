@@ -34,11 +34,8 @@ def bronze_rows(lines: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     found = F.try_parse_json("value")
     data = F.when(F.schema_of_variant(found).startswith("OBJECT"), found)
-    decoded = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    folders = F.transform(F.regexp_extract_all(path, F.lit(r"/([^/=]+=[^/]+)(?=/)"), F.lit(1)),
-                          lambda x: F.struct(decoded(F.substring_index(x, "=", 1)).alias("k"), decoded(F.substring(x, F.instr(x, "=") + 1, F.length(x))).alias("v")))
     return (lines.where(F.trim("value") != "")
-            .select(data.alias("data"), F.when(data.isNull(), F.col("value")).alias("_bad_line"), folders.alias("_path"),
+            .select(data.alias("data"), F.when(data.isNull(), F.col("value")).alias("_bad_line"), files.path_folders(path).alias("_path"),
                     F.current_timestamp().alias("_ingest_ts"), path.alias("_source_file")))
 
 
@@ -68,8 +65,7 @@ def _value(f: StructField) -> Column:
     value = _field(f.name, f.dataType.simpleString())
     if isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)):
         return value
-    folder = F.try_element_at(F.filter("_path", lambda x: (x["k"] == f.name) & (x["v"] != files.HIVE_NULL)), F.lit(-1))["v"]
-    return F.coalesce(value, folder.try_cast(f.dataType))
+    return F.coalesce(value, files.folder_value("_path", f.name).try_cast(f.dataType))
 
 
 def _misfits(schema: StructType) -> Column:

@@ -7,6 +7,7 @@ from cardsentry.operators import quality
 from cardsentry.plans import pipeline
 from cardsentry.plans.daily import Warehouse
 from cardsentry.sources import files, testdata
+from tests.reference_files import write_reference_array
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,12 +30,12 @@ def _landing(spark, root):
                                            "amount", "reason_code", F.date_format("settle_ts", iso).alias("settle_ts"),
                                            "settle_date"), f"{root}/chargebacks", "settle_date")
     os.makedirs(f"{root}/reference", exist_ok=True)
-    files.write_reference_array(testdata.cards(spark, SF).withColumn("card_id", F.col("card_id").cast("string"))
+    write_reference_array(testdata.cards(spark, SF).withColumn("card_id", F.col("card_id").cast("string"))
                                 .withColumn("account_id", F.col("account_id").cast("string")),
                                 f"{root}/reference/cards.json")
-    files.write_reference_array(testdata.merchants(spark, SF).withColumn("merchant_id", F.col("merchant_id").cast("string")),
+    write_reference_array(testdata.merchants(spark, SF).withColumn("merchant_id", F.col("merchant_id").cast("string")),
                                 f"{root}/reference/merchants.json")
-    files.write_reference_array(testdata.accounts(spark, SF).withColumn("account_id", F.col("account_id").cast("string")),
+    write_reference_array(testdata.accounts(spark, SF).withColumn("account_id", F.col("account_id").cast("string")),
                                 f"{root}/reference/accounts.json")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cardsentry.operators import features as feat
 from cardsentry.operators.staging import stg_cards, stg_merchants, stg_transactions
 from cardsentry.sources import files, testdata
+from tests.reference_files import write_reference_array
 from cardsentry.sources.tables import VersionedTable, upsert_partitions
 from cardsentry.streaming import ingest as ing, scoring
 
@@ -29,9 +30,9 @@ def _landing(spark, root):
     cards = testdata.cards(spark, SF).withColumn("card_id", F.col("card_id").cast("string"))
     merch = testdata.merchants(spark, SF).withColumn("merchant_id", F.col("merchant_id").cast("string"))
     acc = testdata.accounts(spark, SF)
-    files.write_reference_array(cards, f"{root}/reference/cards.json")
-    files.write_reference_array(merch, f"{root}/reference/merchants.json")
-    files.write_reference_array(acc, f"{root}/reference/accounts.json")
+    write_reference_array(cards, f"{root}/reference/cards.json")
+    write_reference_array(merch, f"{root}/reference/merchants.json")
+    write_reference_array(acc, f"{root}/reference/accounts.json")
     return n
 
 
