@@ -122,7 +122,7 @@ def test_a_run_reads_and_writes_what_the_change_needs(spark, tmp):
 
 
 def test_a_failed_gate_publishes_nothing(spark, tmp):
-    from tests.test_pipeline import _landing
+    from test_pipeline import _landing
 
     land, root = f"{tmp}/landing", f"{tmp}/wh"
     _landing(spark, land)

@@ -7,7 +7,7 @@ from cardsentry.operators import quality
 from cardsentry.plans import pipeline
 from cardsentry.plans.daily import Warehouse
 from cardsentry.sources import files, testdata
-from tests.reference_files import write_reference_array
+from reference_files import write_reference_array
 
 SF = "/root/testdata/sf0.001"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cardsentry.operators import features as feat
 from cardsentry.operators.staging import stg_cards, stg_merchants, stg_transactions
 from cardsentry.sources import files, testdata
-from tests.reference_files import write_reference_array
+from reference_files import write_reference_array
 from cardsentry.sources.tables import VersionedTable, upsert_partitions
 from cardsentry.streaming import ingest as ing, scoring
 
