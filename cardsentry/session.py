@@ -80,6 +80,19 @@ def ensure_utc(spark: SparkSession) -> None:
             log.warning("session setting %s can't be changed: %s", k, e)
 
 
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Streaming queries started from here on keep state in RocksDB, which ``transformWithState``
+    needs; a query that is restarted keeps the store that its checkpoint names."""
+    for k, v in STATE_STORE.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+            log.info("session setting %s = %s", k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job state.
 

@@ -1,33 +1,46 @@
 """Stateful streaming features with the Structured Streaming state store.
 
-``Scorer`` (foreachBatch) reuses the batch feature plan but rewrites its
-history table every micro-batch.  This variant keeps each card's bounded
-history (last 50 rows and rows within 3600 s of its newest row) as
-per-key state of ``applyInPandasWithState``: the state store checkpoints only
-the keys a micro-batch touched, so the work per batch follows the batch.
-
-Per card and micro-batch a small pandas step adds what the batch job gets from
+``Scorer`` (foreachBatch) reuses the batch feature plan and keeps histories in a
+table.  This variant keeps each card's bounded history (last 50 rows and the rows
+within 3600 s of its newest one) as per-key state of ``transformWithStateInPandas``
+in the RocksDB state store, so the work per batch follows the batch:
+
+* ``last``: the newest 50 rows, and which minutes ``hour`` holds with how many rows;
+* ``hour``: the other rows of the last hour, an entry for each minute.  A batch writes
+  the minutes that it changed and removes those that fell out of the hour;
+* ``waiting``: a card's rows of a batch come in no order and may be any number.  Beyond
+  ``STEP_ROWS`` they are written here as sorted runs of pages, and merged back in event
+  order, so a worker holds a page of each run and the history, not the batch's rows.
+
+Per card and step a small pandas function adds what the batch job gets from
 its windows (previous row, amount statistics, velocity counts); the features
 themselves are ``operators.features.feature_columns``, as in the batch job.
+A step ends with a whole second, so rows of one second of one card are in one step.
 A transaction that is delivered again is dropped before the step if its id is in
-the batch or in the card's history; an older one reaches no frame of another
+the step or in the card's history; an older one reaches no frame of another
 row, and the sink replaces rows by id.
 """
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from ..operators import features as feat
-from ..session import ship_package
+from ..session import ship_package, use_rocksdb
 
 HISTORY = ["epoch", "ts_us", "transaction_id", "amount_usd", "lat", "lon"]
 COUNTS = [f"_cnt_{s}" for s in feat.VELOCITY_SECONDS]
 ADDED = ["prev_epoch", "prev_lat", "prev_lon", "card_amount_mean", "card_amount_std"]
 BLOCK = 65_536  # rows whose amount frames are laid out at once
+STEP_ROWS = 50_000  # rows of one card that are handled at once
+PAGE_ROWS = 4_096
+MINUTE = 60
 
 
 def amount_statistics(amounts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,9 +65,12 @@ def amount_statistics(amounts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
     return mean, std
 
 
-def card_step(hist: dict, new: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
+def card_step(hist: dict, new: pd.DataFrame, end: int | None = None) -> tuple[pd.DataFrame, dict]:
     """(``new`` rows of one card in event order with the columns ADDED and COUNTS,
-    the card's new history) given its stored history arrays ``hist`` (columns of HISTORY)."""
+    the card's new history) given its stored history arrays ``hist`` (columns of HISTORY).
+
+    ``end``: rows after this second may follow, so the history is what they can
+    reach; without it the history is the one to keep for later batches."""
     ids = new["transaction_id"]
     again = ids.notna() & (ids.duplicated() | ids.isin(list(hist["transaction_id"])))
     new = new[~again]
@@ -77,34 +93,130 @@ def card_step(hist: dict, new: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
     for c, s in zip(COUNTS, feat.VELOCITY_SECONDS):
         out[c] = np.searchsorted(ep, ep[at], side="right") - np.searchsorted(ep, ep[at] - s, side="left")
 
-    keep = (idx >= n - feat.AMOUNT_ROWS) | (ep >= ep.max() - max(feat.VELOCITY_SECONDS))
-    return out, {c: row[c][keep] for c in HISTORY}
+    return out, recent({c: row[c] for c in HISTORY}, end)
 
 
-def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame) -> DataFrame:
+def recent(row: dict, end: int | None = None) -> dict:
+    """Of a card's rows in event order: the last AMOUNT_ROWS up to the second ``end`` (the
+    last one), those of the whole minutes that the hour before it touches, and all after it."""
+    ep = row["epoch"].astype(np.int64)
+    if not len(ep):
+        return row
+    end = int(ep[-1]) if end is None else end
+    first = (end - max(feat.VELOCITY_SECONDS)) // MINUTE * MINUTE
+    keep = (np.arange(len(ep)) >= np.searchsorted(ep, end, side="right") - feat.AMOUNT_ROWS) | (ep >= first)
+    return {c: v[keep] for c, v in row.items()}
+
+
+class CardProcessor(StatefulProcessor):
+    """One card's rows of a micro-batch -> the same rows with ADDED and COUNTS."""
+
+    def __init__(self, columns: list[str], id_type, step_rows: int = STEP_ROWS, page_rows: int = PAGE_ROWS):
+        self.columns, self.step_rows, self.page_rows = columns, step_rows, page_rows
+        self.types = {"epoch": LongType(), "ts_us": LongType(), "transaction_id": id_type}
+
+    def init(self, handle) -> None:
+        arrays = [StructField(c, ArrayType(self.types.get(c, DoubleType()))) for c in HISTORY]
+        whole = [StructField(c, ArrayType(LongType())) for c in ("minutes", "rows")]
+        self.last = handle.getValueState("last", StructType(arrays + whole))
+        self.hour = handle.getMapState("hour", StructType([StructField("minute", LongType())]), StructType(arrays))
+        self.waiting = handle.getMapState("waiting", "run int, page int", "rows binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        hist, held = self.load()
+        for new, end in self.steps(rows):
+            out, hist = card_step(hist, new, end)
+            if len(out):
+                yield out[self.columns]
+        self.save(recent(hist), held)
+
+    def array(self, c: str, values: list) -> np.ndarray:
+        if isinstance(self.types.get(c), StringType):
+            return np.asarray(values, dtype=object)
+        if c in ("epoch", "ts_us") or (c in self.types and None not in values):
+            return np.asarray(values, dtype=np.int64)
+        return np.asarray(values, dtype=float)
+
+    def plain(self, c: str, values: np.ndarray) -> list:
+        if c in self.types and values.dtype.kind == "f":  # pandas' form of integers with nulls
+            return [None if x != x else int(x) for x in values.tolist()]
+        return values.tolist()
+
+    def load(self) -> tuple[dict, dict[int, int]]:
+        """The history in event order; the minutes that ``hour`` holds, with their rows."""
+        if not self.last.exists():
+            return {c: self.array(c, []) for c in HISTORY}, {}
+        *newest, minutes, counts = self.last.get()
+        parts = [self.hour.getValue((m,)) for m in minutes] + [newest]
+        return {c: self.array(c, [x for p in parts for x in p[k]]) for k, c in enumerate(HISTORY)}, dict(zip(minutes, counts))
+
+    def save(self, hist: dict, held: dict[int, int]) -> None:
+        """Writes the newest rows and the minutes that changed: a minute only gains rows, so one with as many is the same."""
+        older = max(0, len(hist["epoch"]) - feat.AMOUNT_ROWS)
+        minutes, starts, counts = np.unique(hist["epoch"][:older].astype(np.int64) // MINUTE, return_index=True, return_counts=True)
+        now = dict(zip(minutes.tolist(), counts.tolist()))
+        for m, at in zip(minutes.tolist(), starts.tolist()):
+            if held.get(m) != now[m]:
+                self.hour.updateValue((m,), tuple(self.plain(c, hist[c][at:at + now[m]]) for c in HISTORY))
+        for m in held.keys() - now.keys():
+            self.hour.removeKey((m,))
+        self.last.update((*(self.plain(c, hist[c][older:]) for c in HISTORY), list(now), list(now.values())))
+
+    def steps(self, frames: Iterable[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, int | None]]:
+        """The rows in parts of ascending seconds, each with the last second that it may hold (None: no rows follow)."""
+        pages: list[tuple[int, int, int]] = []  # first second, run, page
+        part, n, runs = [], 0, 0
+        for f in frames:
+            part.append(f)
+            n += len(f)
+            if n >= self.step_rows:
+                pages += self.write_run(pd.concat(part, ignore_index=True), runs)
+                part, n, runs = [], 0, runs + 1
+        if not pages:
+            if n:
+                yield pd.concat(part, ignore_index=True), None
+            return
+        if n:
+            pages += self.write_run(pd.concat(part, ignore_index=True), runs)
+        pages.sort()
+        part, n, low = [], 0, pages[0][0]
+        for i, (_, run, page) in enumerate(pages, 1):
+            part.append(pickle.loads(self.waiting.getValue((run, page))[0]))
+            self.waiting.removeKey((run, page))
+            n += len(part[-1])
+            if i == len(pages):
+                yield pd.concat(part, ignore_index=True), None
+            elif n >= self.step_rows and (after := pages[i][0]) > low:
+                rows = pd.concat(part, ignore_index=True)
+                ready = rows["epoch"] < after  # later pages begin at this second or after it
+                yield rows[ready].reset_index(drop=True), after - 1
+                part = [rows[~ready]]
+                n, low = len(part[0]), after
+
+    def write_run(self, rows: pd.DataFrame, run: int) -> list[tuple[int, int, int]]:
+        """Writes the rows by second, in pages; (first second, run, page) of each."""
+        rows = rows.sort_values("epoch", kind="stable", ignore_index=True)
+        out = []
+        for page, at in enumerate(range(0, len(rows), self.page_rows)):
+            self.waiting.updateValue((run, page), (pickle.dumps(rows[at:at + self.page_rows]),))
+            out.append((int(rows["epoch"][at]), run, page))
+        return out
+
+
+def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame, step_rows: int = STEP_ROWS) -> DataFrame:
     """Feature rows for a stream of staged transactions (one row for each
     transaction), with per-card history in the state store.  The planner decides
-    from the dimensions' sizes whether it broadcasts them."""
+    from the dimensions' sizes whether it broadcasts them.  Rows without card are
+    one card; rows need an event time.  Sets the session's state store to RocksDB."""
     ship_package(stream.sparkSession)
+    use_rocksdb(stream.sparkSession)
     s = feat.with_epoch(stream.select(*feat.TXN_COLS)).withColumn("ts_us", F.unix_micros("event_ts"))
     s = s.join(merchants.select(*feat.MERCHANT_COLS), "merchant_id", "left").join(cards.select(*feat.CARD_COLS), "card_id", "left")
     out_schema = StructType([*s.schema.fields, *(StructField(c, DoubleType()) for c in ADDED), *(StructField(c, LongType()) for c in COUNTS)])
-    # state: the card's history rows as parallel arrays
-    state_schema = StructType([StructField(c, ArrayType(s.schema[c].dataType)) for c in HISTORY])
-    out_cols = out_schema.names
-
-    def step(key, pdfs, state):
-        new = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            hist = {c: np.asarray(a, dtype=new[c].dtype) for c, a in zip(HISTORY, state.get)}
-        else:
-            hist = {c: np.asarray([], dtype=new[c].dtype) for c in HISTORY}
-        rows, kept = card_step(hist, new)
-        if len(rows):
-            state.update(tuple(kept[c].tolist() for c in HISTORY))
-            yield rows[out_cols]
-
-    rows = s.groupBy("card_id").applyInPandasWithState(step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    processor = CardProcessor(out_schema.names, s.schema["transaction_id"].dataType, step_rows)
+    # the key isn't null: the Python side compares keys by value, and a missing number equals none
+    card = F.when(F.col("card_id").isNull(), F.lit("-")).otherwise(F.concat(F.lit("card "), F.col("card_id").cast("string")))
+    rows = s.withColumn("_card", card).groupBy("_card").transformWithStateInPandas(processor, out_schema, "Append", "None")
     return feat.feature_columns(rows.withColumn("prev_epoch", F.col("prev_epoch").cast("bigint")))
 
 

@@ -91,3 +91,126 @@ def test_card_step_amounts_and_missing_values():
     assert len(again) == 0 and same is kept
     nxt, _ = card_step(kept, new.assign(transaction_id=[5, 6, 7, 8], epoch=[40, 40, 40, 40], ts_us=[1, 2, 3, 4], amount_usd=0.001))
     assert nxt["card_amount_std"].tolist()[-1] == 0.0
+
+
+class _Value:
+    def __init__(self):
+        self.v = None
+
+    def exists(self):
+        return self.v is not None
+
+    def get(self):
+        return self.v
+
+    def update(self, v):
+        self.v = v
+
+
+class _Map(dict):
+    def __init__(self):
+        super().__init__()
+        self.written, self.most = [], 0
+
+    def getValue(self, k):
+        return self.get(k)
+
+    def updateValue(self, k, v):
+        self[k] = v
+        self.written.append(k)
+        self.most = max(self.most, len(self))
+
+    def removeKey(self, k):
+        self.pop(k, None)
+
+
+class _Handle:
+    def getValueState(self, name, schema):
+        return _Value()
+
+    def getMapState(self, name, key, value):
+        return _Map()
+
+
+def _processor(step_rows, page_rows=64):
+    from pyspark.sql.types import LongType
+    from cardsentry.streaming.stateful import ADDED, COUNTS, HISTORY, CardProcessor
+    p = CardProcessor(HISTORY + ADDED + COUNTS, LongType(), step_rows, page_rows)
+    p.init(_Handle())
+    return p
+
+
+def _batch(rng, n, lo, hi, first_id):
+    import numpy as np
+    import pandas as pd
+    ep = rng.integers(lo, hi, n)
+    ep[: n // 3] = lo + (hi - lo) // 2  # a third in one second
+    return pd.DataFrame({"epoch": ep, "ts_us": ep * 1_000_000 + rng.integers(0, 999_999, n), "transaction_id": np.arange(first_id, first_id + n),
+                         "amount_usd": np.where(rng.random(n) < 0.1, np.nan, rng.random(n) * 100), "lat": rng.random(n), "lon": rng.random(n)})
+
+
+def _chunks(pdf, n):
+    return (pdf[i:i + n].reset_index(drop=True) for i in range(0, len(pdf), n))
+
+
+def test_a_hot_card_in_runs_equals_one_step():
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    # the second batch holds late rows, and rows of the first again
+    one = _batch(rng, 3000, 0, 20_000, 0)
+    two = pd.concat([_batch(rng, 3000, 12_000, 40_000, 5000), one[one["epoch"] > 18_000]], ignore_index=True).sample(frac=1, random_state=1)
+    whole, runs = _processor(10**9), _processor(200)
+    for pdf in (one, two):
+        a, b = (pd.concat(list(p.handleInputRows((1,), _chunks(pdf, 70), None))).sort_values("transaction_id", ignore_index=True) for p in (whole, runs))
+        pd.testing.assert_frame_equal(a, b)
+        assert len(runs.waiting) == 0 and whole.last.v[:len(a)] is not None
+        np.testing.assert_equal(whole.last.v, runs.last.v)
+        np.testing.assert_equal(dict(whole.hour), dict(runs.hour))
+    assert sorted(a["transaction_id"]) == list(range(5000, 8000))
+
+
+def test_a_step_holds_few_rows_of_a_large_batch():
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    ep = np.sort(rng.integers(0, 10**6, 100_000))
+    rng.shuffle(ep)
+    p = _processor(2000, 200)
+    sizes, last = [], -1
+    for rows, end in p.steps(_chunks(pd.DataFrame({"epoch": ep, "x": 1}), 500)):
+        assert rows["epoch"].min() > last
+        last = int(rows["epoch"].max())
+        sizes.append(len(rows))
+    # a step's rows, and a page of each run: 50 runs of pages of 200
+    assert sum(sizes) == len(ep) and max(sizes) <= 2000 + 50 * 200 and len(p.waiting) == 0
+
+
+def test_a_batch_writes_the_minutes_it_changed():
+    import numpy as np
+    import pandas as pd
+    p = _processor(10**9)
+    ep = np.repeat(np.arange(0, 7200), 2)  # two rows a second for two hours
+    frame = lambda ep, at: pd.DataFrame({"epoch": ep, "ts_us": ep * 10**6, "transaction_id": np.arange(at, at + len(ep)), "amount_usd": 1.0, "lat": 0.0, "lon": 0.0})
+    list(p.handleInputRows((1,), iter([frame(ep, 0)]), None))
+    assert len(p.hour) <= 62
+    p.hour.written.clear()
+    out = pd.concat(p.handleInputRows((1,), iter([frame(np.array([7200, 7201]), 10**6)]), None))
+    assert len(p.hour.written) <= 2 and out["_cnt_3600"].tolist() == [7201, 7200]  # 3600..7199 twice and 7200; 3601..7199 twice, 7200 and 7201
+    list(p.handleInputRows((1,), iter([frame(np.array([99_999]), 10**7)]), None))
+    assert not p.hour and len(p.last.v[0]) == 50
+
+
+def test_a_hot_card_in_the_stream_equals_the_batch(spark, tmp):
+    s = Pipeline.get(spark, SF).silver
+    txn = s["transactions"].select(*feat.TXN_COLS).withColumn(
+        "card_id", F.when(F.col("transaction_id") % 3 == 0, F.lit(None).cast("bigint")).otherwise(F.col("card_id") % 4))
+    for k in range(2):
+        txn.filter((F.dayofmonth("event_ts") > 15) == bool(k)).repartition(3).write.mode("append").parquet(f"{tmp}/in")
+        stream = spark.readStream.schema(txn.schema).parquet(f"{tmp}/in")
+        (stateful_features(stream, s["cards"], s["merchants"], step_rows=40).writeStream.format("parquet")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start(f"{tmp}/out").awaitTermination())
+    cols = ["transaction_id", "card_id", "txn_count_60s", "txn_count_1h", "seconds_since_prev", F.round("amount_zscore", 6).alias("z")]
+    got = spark.read.parquet(f"{tmp}/out").select(*cols).orderBy("transaction_id").collect()
+    want = feat.compute_features(txn, s["cards"], s["merchants"]).select(*cols).orderBy("transaction_id").collect()
+    assert got == want and any(r["card_id"] is None for r in got)
