@@ -108,7 +108,7 @@ def agg_13(spark, sf_dir):
 
 
 @register("agg_14_kpi_feature_separation", q(f"""
-SELECT is_fraud_label, {xmean('amount_usd', 2, 2)} AS amount,
+SELECT is_fraud_label, {sround(msum('amount_usd') + ' / CAST(count(amount_usd) AS DOUBLE)', 2)} AS amount,
        {sround('avg(geo_distance_from_home_km)', 2)} AS geo_from_home_km,
        {sround('avg(geo_distance_from_prev_km)', 2)} AS geo_from_prev_km,
        {sround('avg(implied_speed_kmh)', 2)} AS implied_speed_kmh,
