@@ -11,7 +11,7 @@ integers, so the split doesn't depend on an order of additions; the remainder of
 integer division (less than one token for each child) is left unused.
 
 A leaf's budget is a number of whole epochs and a prefix of one more.  An epoch's
-order is the md5 of (seed, epoch, document id; the row's key where there is no id).  The prefix sums behind the cut are
+order is the md5 of (seed, epoch, the row's key), so rows that share an id or have none spread like all others.  The prefix sums behind the cut are
 taken in hash ranges of each leaf, so that no leaf is sorted by one task.
 """
 from __future__ import annotations
@@ -87,8 +87,8 @@ def mixture(docs: DataFrame, domain: Column, weights: Weights, budget_permille:
     copies: how often the mixture holds the row.  A null language, source or domain
     is the child "unknown"; rows equal in these columns are one with their sum
     of tokens and are taken together.  Rows with equal id and different texts are
-    rows of their own; rows without id are ordered by their key, so they spread over
-    the hash ranges.  Texts without words cost nothing: they come with each epoch.
+    rows of their own, and these and rows without id spread over the hash ranges like
+    all others.  Texts without words cost nothing: they come with each epoch.
     Long texts count all their words; other columns are not read.  An empty table
     gives no rows.
     """
@@ -100,7 +100,7 @@ def mixture(docs: DataFrame, domain: Column, weights: Weights, budget_permille:
     total = rows.agg(F.sum("cost")).first()[0] or 0
     leaves = stored(rows.groupBy(*LEVELS).agg(F.count("*").alias("docs"), F.sum("cost").alias("tokens")), "leaves")
     plan = stored(leaf_budgets(leaves, weights, total * budget_permille // 1000, max_epochs), "budgets")
-    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("epochs") + 1).cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.col("key"))))
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("epochs") + 1).cast("string"), F.col("key")))
     placed = rows.join(plan, list(LEVELS)).withColumn("mark", mark)
     buckets = F.ceil(F.col("docs") / BUCKET_ROWS).cast("long")
     # a hash's range: its first 32 bits scaled to the leaf's number of ranges, so ranges follow the order of the marks
@@ -109,7 +109,7 @@ def mixture(docs: DataFrame, domain: Column, weights: Weights, budget_permille:
     leaf = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (placed.groupBy(*LEVELS, "bucket").agg(F.sum("cost").alias("sum"))
               .withColumn("start", F.coalesce(F.sum("sum").over(leaf), F.lit(0))).drop("sum"))
-    inner = Window.partitionBy(*LEVELS, "bucket").orderBy("mark", "doc_id", "key").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*LEVELS, "bucket").orderBy("mark", "key").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("start") + F.coalesce(F.sum("cost").over(inner), F.lit(0))
     copies = F.col("epochs") + F.when(before < F.col("rest"), 1).otherwise(0)
     return placed.join(starts, [*LEVELS, "bucket"]).select("key", "doc_id", *LEVELS, "n_tokens", copies.alias("copies"))

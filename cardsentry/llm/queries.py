@@ -77,6 +77,7 @@ def _fill_sql(name: str, below: str, parent: str, weight: str, budget: str) -> s
 SQL["op4_mixing"] = f"""
 with sized as (
   select doc_id, (ascii(right(source, 1)) % 4)::varchar domain, lang, source,
+    md5({" || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '-')" for c in ("doc_id", "text", "lang", "source"))}) key,
     len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint n_tokens
   from documents),
 leaves as (select domain, lang, source, sum(n_tokens)::hugeint tokens from sized group by all),
@@ -86,7 +87,7 @@ leaves as (select domain, lang, source, sum(n_tokens)::hugeint tokens from sized
 plan as (select l.*, (got // tokens)::bigint epochs, (got % tokens)::bigint rest from leaves l join source_t using (domain, lang, source)),
 placed as (
   select s.*, epochs, rest, coalesce(sum(n_tokens) over (partition by domain, lang, source
-    order by md5('1:' || (epochs + 1) || ':' || doc_id), doc_id rows between unbounded preceding and 1 preceding), 0) before
+    order by md5('1:' || (epochs + 1) || ':' || key), key rows between unbounded preceding and 1 preceding), 0) before
   from sized s join plan using (domain, lang, source))
 select doc_id, domain, lang, source, n_tokens, (epochs + case when before < rest then 1 else 0 end)::bigint copies
 from placed where epochs + case when before < rest then 1 else 0 end > 0
