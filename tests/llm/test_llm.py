@@ -344,6 +344,53 @@ def test_quotation():
     assert not toxicity.quoted('"a" idiot "b"', 4, 9) and toxicity.quoted("«an idiot then»", 4, 9)
 
 
+def test_quotation_windows_are_words():
+    long = "x" * 2_000
+    assert toxicity.quoted(f'"{long} idiot {long}"', 2_002, 2_007)
+    assert not toxicity.quoted('"a b c d e f g h i idiot"', 19, 24) and toxicity.quoted('"c d e f g h i idiot"', 15, 20)
+    assert not toxicity.quoted('"one\nidiot"', 5, 10)
+
+
+def test_misspelled_stems_and_ordinary_words_by_brute_force():
+    words, stems, fuzzy, bent, plain = {"idiot": 2.0, "scum": 3.0}, {"moro": 1.0, "stupi": 1.5}, ["idiot", "scum"], ["moro", "stupi"], ["sum", "idiom", "studio"]
+    auto = toxicity.Automaton(words, stems, fuzzy, bent, plain)
+    rng = np.random.default_rng(5)
+    base = [*words, *stems, *plain, "morons", "stupidly"]
+    tries = set(base)
+    for _ in range(4_000):
+        w = list(base[rng.integers(len(base))])
+        for _ in range(rng.integers(1, 3)):
+            at, c = int(rng.integers(len(w) + 1)), "abdimorstuz"[rng.integers(11)]
+            w[at:at + int(rng.integers(2))] = [c] if rng.random() < 0.7 else []
+        tries.add("".join(w))
+    tries = sorted(t for t in tries if t)
+    near = auto.neighbours(tries)
+    for w, got in zip(tries, near):
+        whole = w in words or any(w.startswith(x) for x in stems) or w in plain
+        want = set() if whole else {x for x in fuzzy if _distance(w, x) <= 1}
+        begins = [] if whole else [x for x in bent if any(_distance(w[:k], x) <= 1 for k in range(len(w) + 1))]
+        assert set(got) == want | {x + "*" for x in begins}, w
+
+
+def test_misspelled_terms_are_caught_on_held_out_rows(spark):
+    """Terms of the lexicon with one edit, in sentences of their own; neighbours that clean texts use stay clean."""
+    rng = np.random.default_rng(6)
+    terms = ["scumbag", "idiot", "moron", "vermin", "loser"]
+    rows = [(k, f"text {k} you {terms[k % 5]} go away" if k % 2 else f"text {k} a vermil and a pleasant day", k % 2) for k in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    bent = []
+    for t in terms:
+        for _ in range(20):
+            at = int(rng.integers(1, len(t)))
+            bent.append(t[:at] + "qxz"[rng.integers(3)] + t[at + int(rng.integers(2)):])
+    new = [(1_000 + k, f"text {k} you {w} go far") for k, w in enumerate(bent)] + [(5_000, "a vermil is nice"), (5_001, None), (5_001, "")]
+    docs = table.select("doc_id", "text").union(spark.createDataFrame(new, "doc_id long, text string"))
+    got = toxicity.toxicity(docs, table.select("doc_id", "toxic"), F.lit(True), precision=0.9).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert sum(score[1_000 + k] > score[5_000] + 0.1 for k in range(len(bent))) >= 0.95 * len(bent)
+    assert abs(score[5_000] - score[5_001]) < 0.05 and len(got) == 503
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = q.QUERIES["op10_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").where("held_out").collect()
