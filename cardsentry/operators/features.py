@@ -77,8 +77,9 @@ def windowed(df: DataFrame, parts: list[str]) -> DataFrame:
 
 def sliced_windows(rows: DataFrame, slice_rows: int) -> DataFrame:
     """The columns of ``windowed`` for rows of hot cards, no card in one task."""
-    counts = skew.trailing_counts(rows, "card_id", "epoch", VELOCITY)
-    sliced = skew.drop_context(row_windows(skew.equal_slices(rows, SPEC, slice_rows), ["card_id", skew.SLICE]))
+    dealt = skew.dealt_rows(rows, SPEC, slice_rows)
+    counts = skew.trailing_counts(dealt, "card_id", "epoch", VELOCITY)
+    sliced = skew.drop_context(row_windows(skew.slices_of(dealt, SPEC, slice_rows), ["card_id", skew.SLICE]))
     return skew.with_counts(sliced, counts, "card_id", "epoch")
 
 
@@ -138,9 +139,9 @@ def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
 
     cold, hot_rows = skew.split_hot(base, "card_id", hot)
     cold_f = feature_columns(windowed(cold.join(c, "card_id", "left"), ["card_id"]))
-    # Dims of hot cards: at most one row per hot card, a checked bound.
-    hot_dims = c.join(F.broadcast(hot), "card_id", "left_semi")
-    hot_f = feature_columns(sliced_windows(hot_rows, hot_card_rows).join(F.broadcast(hot_dims), "card_id", "left"))
+    # Dims of hot cards: at most one row per hot card, broadcast below a checked bound.
+    hot_dims = broadcast_if_small(c.join(broadcast_if_small(hot), "card_id", "left_semi"), max_broadcast_rows)
+    hot_f = feature_columns(sliced_windows(hot_rows, hot_card_rows).join(hot_dims, "card_id", "left"))
     return cold_f.unionByName(hot_f)
 
 

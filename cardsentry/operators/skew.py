@@ -6,9 +6,10 @@ task becomes the whole job.  Its two kinds of frames are split in two ways.
 
 *Row frames* (the previous row, the last 50 rows): hot rows are sorted by range over
 key and order, which deals them out evenly however the key's rows lie in time, and
-stored; a row's number within its key is its place in its range plus the totals of the
-ranges before (prefix sums over ranges, not rows).  Slices of equal row counts follow
-from the number, and each takes the last rows of the one before as read-only context.
+stored; a row's number is its place in its range plus the totals of the ranges before
+(prefix sums over ranges, not rows).  Slices of equal row counts follow from the number,
+and each takes the last rows before it as read-only context.  How many ranges there are
+follows from the rows and the cores, not from the length of a slice.
 
 *Range frames* that count rows of the last seconds: rows are counted by (key, second)
 first, with map-side combine, so a window sees one row for each second, whatever
@@ -16,8 +17,8 @@ happened in it.  Seconds are met in slices of time with the seconds before as
 context, and the counts go back to the rows by a join on key and second.
 
 Hot keys are found with a grouped count (map-side combined, so the hot key
-itself does not skew it); the hot set has at most ``rows / threshold`` entries,
-which bounds what is broadcast.
+itself does not skew it) and stored; the hot set has at most ``rows / threshold``
+entries, and is broadcast below a checked bound.
 """
 from __future__ import annotations
 
@@ -26,12 +27,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.expr import broadcast_if_small
 from ..session import scratch_path
 
 SLICE = "_slice"
 CTX = "_ctx"
 #: Seconds that a slice of (key, second) counts spans: one row a second at most.
 SLICE_SECONDS = 86_400
+#: Rows that a range may hold when there are more than a few for each core.
+RANGE_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -45,11 +49,20 @@ class SliceSpec:
 
 def hot_keys(df: DataFrame, spec: SliceSpec, threshold: int) -> DataFrame | None:
     """Keys (NULL among them) with more than ``threshold`` rows; None if no key is hot.
-    A table of no more rows than that needs no look at its keys."""
+    A table of no more rows than that needs no look at its keys.  Counted once: every
+    use of the keys reads them from the shared folder."""
     if df.count() <= threshold:
         return None
     stats = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
-    return None if stats.isEmpty() else stats.select(spec.key)
+    hot = stored(stats.select(spec.key), "hot")
+    return None if hot.isEmpty() else hot
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back."""
+    path = scratch_path(rows.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _is(left: str, right: str, *columns: str) -> Column:
@@ -60,9 +73,9 @@ def _is(left: str, right: str, *columns: str) -> Column:
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cold rows, hot rows).  ``hot`` is bounded (see :func:`hot_keys`), so
-    broadcasting it is."""
-    a, b = df.alias("a"), F.broadcast(hot).alias("b")
+    """(cold rows, hot rows).  ``hot`` is broadcast if it is small; a large one has
+    keys of few rows each, for the planner to join as it likes."""
+    a, b = df.alias("a"), broadcast_if_small(hot).alias("b")
     return a.join(b, _is("a", "b", key), "left_anti"), a.join(b, _is("a", "b", key), "left_semi")
 
 
@@ -70,28 +83,38 @@ def dealt_by_range(rows: DataFrame, order: list, ranges: int) -> DataFrame:
     """The rows in ``ranges`` ranges of about equal size in ``order``, with ``_range`` and
     the row's ``_place`` in it.  Written to the shared folder, so ranges and places hold
     for every later use, whichever executor is lost."""
-    spark = rows.sparkSession
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     dealt = (rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
              .withColumn("_range", F.spark_partition_id()).withColumn("_place", place))
-    path = scratch_path(spark, f"ranges-{uuid.uuid4().hex}")
-    dealt.write.parquet(path)
-    return spark.read.schema(dealt.schema).parquet(path)
+    return stored(dealt, "ranges")
+
+
+def dealt_rows(rows: DataFrame, spec: SliceSpec, slice_rows: int) -> DataFrame:
+    """:func:`dealt_by_range` over key and order: no range below a slice, and else as many as
+    the cores share well or as hold ``RANGE_ROWS`` rows each."""
+    spark, n = rows.sparkSession, rows.count()
+    enough = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return dealt_by_range(rows, [spec.key, *spec.order], max(1, min(-(-n // slice_rows), max(enough, -(-n // RANGE_ROWS)))))
 
 
 def equal_slices(rows: DataFrame, spec: SliceSpec, slice_rows: int) -> DataFrame:
-    """The rows with ``_slice``, of ``slice_rows`` consecutive rows of a key each, and the
-    ``rows_back`` rows before each slice once more as its context (``_ctx`` true)."""
-    dealt = dealt_by_range(rows, [spec.key, *spec.order], max(1, -(-rows.count() // slice_rows)))
-    before = Window.partitionBy(spec.key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (dealt.groupBy(spec.key, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
-              .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))))
-    number = F.col("s._start") + F.col("r._place") - F.col("s._first")
-    out = dealt.alias("r").join(starts.alias("s"), _is("r", "s", spec.key, "_range")).select("r.*", number.alias("_number"))
+    """The rows with ``_slice``, of ``slice_rows`` consecutive rows in order of key and
+    ``spec.order``, and the ``rows_back`` rows before each slice once more as its context
+    (``_ctx`` true).  A key's rows in a slice are those with both: slices don't end at keys."""
+    return slices_of(dealt_rows(rows, spec, slice_rows), spec, slice_rows)
+
+
+def slices_of(dealt: DataFrame, spec: SliceSpec, slice_rows: int) -> DataFrame:
+    """:func:`equal_slices` of rows that are dealt out already."""
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each range
+    starts = (dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    out = dealt.join(F.broadcast(starts), "_range").withColumn("_number", F.col("_start") + F.col("_place"))
     own = F.floor(F.col("_number") / slice_rows).cast("bigint")
     reached = F.floor((F.col("_number") + spec.rows_back) / slice_rows).cast("bigint")
     return (out.withColumn("_own", own).withColumn(SLICE, F.explode(F.sequence("_own", reached)))
-            .withColumn(CTX, F.col(SLICE) != F.col("_own")).drop("_own", "_number", "_range", "_place"))
+            .withColumn(CTX, F.col(SLICE) != F.col("_own")).drop("_own", "_number", "_range", "_place", "_start"))
 
 
 def drop_context(df: DataFrame) -> DataFrame:

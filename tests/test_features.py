@@ -216,3 +216,20 @@ def test_trailing_counts_against_brute_force(spark):
     for width in (1, 50, 10_000):
         got = {(r.k, r.epoch): (r.a, r.b) for r in skew.trailing_counts(df, "k", "epoch", {"a": 0, "b": 37}, width).collect()}
         assert got == {(k, e): tuple(sum(x == k and (y is None) == (e is None) and (e is None or e - s <= y <= e) for x, y in rows) for s in (0, 37)) for k, e in set(rows)}
+
+
+def test_ranges_follow_the_rows_not_the_slices(spark, monkeypatch):
+    """Short slices of many rows don't make a task of each."""
+    from cardsentry.operators import skew
+    made, deal = [], skew.dealt_by_range
+    monkeypatch.setattr(skew, "dealt_by_range", lambda rows, order, ranges: made.append(ranges) or deal(rows, order, ranges))
+    rows = spark.range(900).selectExpr("id % 7 AS k", "id AS epoch")
+    spec = skew.SliceSpec("k", "epoch", ("epoch",), 3, 0)
+    got = skew.equal_slices(rows, spec, 2).collect()
+    assert made == [8]                                          # the session's shuffle partitions
+    own = sorted((r["k"], r["epoch"], r[skew.SLICE]) for r in got if not r[skew.CTX])
+    assert [r[2] for r in own] == [i // 2 for i in range(900)]  # consecutive rows, whatever the ranges
+    monkeypatch.setattr(skew, "RANGE_ROWS", 50)
+    skew.equal_slices(rows, spec, 2)
+    skew.equal_slices(rows, spec, 300)
+    assert made == [8, 18, 3]
