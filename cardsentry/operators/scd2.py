@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.expr import broadcast_if_small
 from . import skew
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
@@ -85,32 +86,41 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str, ts_col: str,
 
     Facts and versions are merged in order of (key, time) and each fact takes the last
     version before it, if that is still valid: the cost is that of sorting facts and
-    versions once, however many versions a key has.  The facts of a key (or without
-    one) with more than ``hot_rows`` rows are cut into slices of as many, which get
-    the versions that overlap their time.  Facts without key or time have no version.
+    versions once, however many versions a key has.  Keys (or none) with more than
+    ``hot_rows`` facts are merged in slices of as many rows, facts and versions counted;
+    a slice starts with the last version before it.  Facts without key or time have no version.
     """
     versions = history.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.struct(VALID_FROM, VALID_TO, *cols).alias("_version"))
     spec = skew.SliceSpec(key, ts_col, (ts_col,), 0, 0)
     hot = skew.hot_keys(facts, spec, hot_rows) if hot_rows else None
     if hot is None:
-        return _merged(facts, facts.columns, versions, [key], ts_col, cols, how)
+        return _merged(_in_one(facts, facts.columns, versions, key, ts_col), ["_p"], F.lit(None), cols, how)
     cold, busy = skew.split_hot(facts, key, hot)
-    sliced = skew.equal_slices(busy, spec, hot_rows).drop(skew.CTX)
-    # one row for each slice: hot rows / hot_rows, and one more for each hot key
-    spans = F.broadcast(sliced.groupBy(F.col(key).alias("_k"), skew.SLICE).agg(F.min(ts_col).alias("_from"), F.max(ts_col).alias("_to")))
-    near = versions.join(spans, "_k").where((F.col(f"_version.{VALID_FROM}") <= F.col("_to")) & (F.col(f"_version.{VALID_TO}").isNull() | (F.col(f"_version.{VALID_TO}") > F.col("_from"))))
-    return _merged(cold, facts.columns, versions, [key], ts_col, cols, how).unionByName(
-        _merged(sliced, facts.columns, near.select("_k", skew.SLICE, "_version"), [key, skew.SLICE], ts_col, cols, how))
-
-
-def _merged(facts: DataFrame, names: list[str], versions: DataFrame, parts: list[str], ts_col: str, cols: list[str], how: str) -> DataFrame:
-    """``as_of_join`` within the groups of ``parts``; a version comes before a fact of the same time."""
-    rows = facts.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(parts)], F.col(ts_col).alias("_t"), F.lit(1).alias("_kind"),
+    busy_versions = versions.where(f"_version.{VALID_FROM} is not null").join(broadcast_if_small(hot.withColumnRenamed(key, "_k")), "_k", "left_semi")
+    rows = _in_one(busy, facts.columns, busy_versions, key, ts_col)
+    sliced = skew.equal_slices(rows, skew.SliceSpec("_p", "_t", ("_t", "_kind"), 0, 0), hot_rows).drop(skew.CTX)
+    # one row for each slice and key: rows / hot_rows, and one more for each hot key
+    ends = sliced.groupBy("_p", skew.SLICE).agg(F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_end"))
+    before = Window.partitionBy("_p").orderBy(skew.SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).drop("_end")
+    begun = sliced.alias("r").join(carried.alias("c"), F.col("r._p").eqNullSafe(F.col("c._p")) & (F.col(f"r.{skew.SLICE}") == F.col(f"c.{skew.SLICE}"))).select("r.*", "c._carried")
+    return _merged(_in_one(cold, facts.columns, versions, key, ts_col), ["_p"], F.lit(None), cols, how).unionByName(
+        _merged(begun, ["_p", skew.SLICE], F.col("_carried"), cols, how))
+
+
+def _in_one(facts: DataFrame, names: list[str], versions: DataFrame, key: str, ts_col: str) -> DataFrame:
+    """Facts and versions as rows of one table, with key ``_p`` and time ``_t``; a version comes before a fact of the same time."""
+    rows = facts.select(F.col(key).alias("_p"), F.col(ts_col).alias("_t"), F.lit(1).alias("_kind"),
                         F.struct(*names).alias("_fact"), F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"))
-    marks = versions.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(["_k", *parts[1:]])], F.col(f"_version.{VALID_FROM}").alias("_t"), F.lit(0).alias("_kind"),
+    marks = versions.select(F.col("_k").alias("_p"), F.col(f"_version.{VALID_FROM}").alias("_t"), F.lit(0).alias("_kind"),
                             F.lit(None).cast(rows.schema["_fact"].dataType).alias("_fact"), "_version")
-    order = Window.partitionBy(*[f"_p{i}" for i in range(len(parts))]).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    found = rows.unionByName(marks).withColumn("_last", F.last("_version", ignorenulls=True).over(order)).where("_kind = 1")
+    return rows.unionByName(marks)
+
+
+def _merged(rows: DataFrame, parts: list[str], carried: Column, cols: list[str], how: str) -> DataFrame:
+    """``as_of_join`` within the groups of ``parts``; ``carried``: the last version before a group."""
+    order = Window.partitionBy(*parts).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_last", F.coalesce(F.last("_version", ignorenulls=True).over(order), carried)).where("_kind = 1")
     valid = F.col("_last").isNotNull() & F.col("_t").isNotNull() & (F.col(f"_last.{VALID_TO}").isNull() | (F.col("_t") < F.col(f"_last.{VALID_TO}")))
     if how == "inner":
         found = found.where(valid)

@@ -182,3 +182,19 @@ def test_as_of_join_edges(spark):
         assert {r.id: r.v for r in got.collect()} == want and got.count() == len(facts)
         inner = scd2.as_of_join(f, h, "k", "ts", ["v"], "inner", hot_rows=hot)
         assert {r.id: r.v for r in inner.collect()} == {i: v for i, v in want.items() if v}
+
+
+def test_as_of_join_in_short_slices_makes_few_tasks(spark, monkeypatch):
+    """A key with a version at every third second, cut into slices of three rows: the plain
+    join's rows, from a few ranges; rows without key, gaps, and a version that spans slices."""
+    from cardsentry.operators import skew
+    made, deal = [], skew.dealt_by_range
+    monkeypatch.setattr(skew, "dealt_by_range", lambda rows, order, ranges: made.append(ranges) or deal(rows, order, ranges))
+    at = "timestamp_seconds(1700000000 + {})"
+    facts = spark.range(400).selectExpr("id", "CASE WHEN id % 5 = 0 THEN NULL WHEN id < 350 THEN 1 ELSE 2 END AS k", f"{at.format('id')} AS ts")
+    open_ended = "CASE WHEN id <> 99 THEN " + at.format("id * 3 + 2") + " END"
+    many = spark.range(100).where("id < 40 OR id > 90").selectExpr("1 AS k", f"{at.format('id * 3')} AS valid_from", f"{open_ended} AS valid_to", "id AS version")
+    versions = many.unionByName(spark.sql(f"SELECT 2 AS k, {at.format('-9')} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, 700L AS version"))
+    plain, cut = (sorted(map(str, scd2.as_of_join(facts, versions, "k", "ts", ["version"], hot_rows=n).collect())) for n in (None, 3))
+    assert cut == plain and sum("version=700," in r for r in plain) == 40
+    assert made and max(made) <= 8
