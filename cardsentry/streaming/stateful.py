@@ -12,9 +12,12 @@ in the RocksDB state store, so the work per batch follows the batch:
   ``STEP_ROWS`` they are written here as sorted runs of pages, and merged back in event
   order, so a worker holds a page of each run and the history, not the batch's rows.
 
-Per card and step a small pandas function adds what the batch job gets from
-its windows (previous row, amount statistics, velocity counts); the features
-themselves are ``operators.features.feature_columns``, as in the batch job.
+The operator's key is a share of the cards, not a card: a call into Python, its frames
+and their conversion cost the same for one card's few rows of a batch as for thousands
+of rows of many cards.  State is still read and written card by card, for the cards of the
+batch only.  Per share and step, arrays sorted by card and event order give what the
+batch job gets from its windows (previous row, amount statistics, velocity counts); the
+features themselves are ``operators.features.feature_columns``, as in the batch job.
 A step ends with a whole second, so rows of one second of one card are in one step.
 A transaction that is delivered again is dropped before the step if its id is in
 the step or in the card's history; an older one reaches no frame of another
@@ -29,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegralType, LongType, StringType, StructField, StructType
 
 from ..operators import features as feat
 from ..session import ship_package, use_rocksdb
@@ -40,11 +43,13 @@ ADDED = ["prev_epoch", "prev_lat", "prev_lon", "card_amount_mean", "card_amount_
 BLOCK = 65_536  # rows whose amount frames are laid out at once
 STEP_ROWS = 50_000  # rows of one card that are handled at once
 PAGE_ROWS = 4_096
+SHARES = 4_096  # of the cards: the operator's keys
 MINUTE = 60
 
 
-def amount_statistics(amounts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def amount_statistics(amounts: np.ndarray, at: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Mean and sample deviation of the up to AMOUNT_ROWS amounts before each row of ``at`` (NaN: none).
+    ``starts``: for each row of ``at`` the first row of its card (else all rows are one card's).
 
     Frames are shifted by their first amount, so equal amounts deviate by exactly 0.
     """
@@ -54,6 +59,8 @@ def amount_statistics(amounts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
     for lo in range(0, len(at), BLOCK):
         x = frames[at[lo:lo + BLOCK]]
         known = ~np.isnan(x)
+        if starts is not None:
+            known &= at[lo:lo + BLOCK, None] + np.arange(-feat.AMOUNT_ROWS, 0) >= starts[lo:lo + BLOCK, None]
         n = known.sum(axis=1)
         first = x[np.arange(len(x)), known.argmax(axis=1)][:, None]
         d = np.where(known, x - first, 0.0)
@@ -203,6 +210,101 @@ class CardProcessor(StatefulProcessor):
         return out
 
 
+def cards_step(hists: list[dict], new: pd.DataFrame, of: np.ndarray, end: int | None = None) -> tuple[pd.DataFrame, list[dict | None]]:
+    """``card_step`` for many cards at once: ``of`` says which of ``hists`` each row of ``new``
+    belongs to.  Ids come with a flag ``no_id`` (null), so that they stay what they are.
+    Returns the new histories; None for a card that got no new row."""
+    columns = [*HISTORY, "no_id"]
+    lens = [len(h["epoch"]) for h in hists]
+    n_h = sum(lens)
+    who = np.r_[np.repeat(np.arange(len(hists)), lens), of]
+    col = {c: np.concatenate([*(h[c] for h in hists), new[c].to_numpy()]) for c in columns}
+    tid, no_id = col["transaction_id"], col["no_id"].astype(bool)
+    keep = no_id | ~pd.DataFrame({"who": who, "tid": tid, "no_id": no_id}).duplicated().to_numpy()
+    keep[:n_h] = True
+    order = np.lexsort((tid.astype(str) if tid.dtype == object else tid, no_id, col["ts_us"], col["epoch"], who))
+    order = order[keep[order]]
+    row, who = {c: v[order] for c, v in col.items()}, who[order]
+    ep, idx = row["epoch"], np.arange(len(order))
+    at = idx[order >= n_h]                              # places of the new rows
+    out = new.iloc[order[at] - n_h].reset_index(drop=True)
+    if not len(at):
+        return out.assign(**{c: pd.Series(dtype=float) for c in ADDED + COUNTS}), [None] * len(hists)
+
+    bounds = np.searchsorted(who, np.arange(len(hists) + 1))
+    starts, before = bounds[who[at]], np.maximum(at - 1, 0)
+    for c, name in (("epoch", "prev_epoch"), ("lat", "prev_lat"), ("lon", "prev_lon")):
+        out[name] = np.where(at > starts, row[c].astype(float)[before], np.nan)
+    out["card_amount_mean"], out["card_amount_std"] = amount_statistics(row["amount_usd"], at, starts)
+    place = (who << 40) + (ep - ep.min())               # card and second in one order
+    for c, s in zip(COUNTS, feat.VELOCITY_SECONDS):
+        out[c] = np.searchsorted(place, place[at], side="right") - np.maximum(np.searchsorted(place, place[at] - s, side="left"), starts)
+
+    # the new histories, as ``recent`` has them: up to ``end`` or the card's last row
+    last = ep[bounds[1:] - 1]
+    if end is not None:
+        last = np.minimum(last, end)
+    upto = np.searchsorted(place, (np.arange(len(hists)) << 40) + (last - ep.min()), side="right")
+    first = (last - max(feat.VELOCITY_SECONDS)) // MINUTE * MINUTE
+    kept = (idx >= upto[who] - feat.AMOUNT_ROWS) | (ep >= first[who])
+    now, edges = {c: v[kept] for c, v in row.items()}, np.r_[0, np.cumsum(kept)][bounds]
+    got = np.bincount(who[at], minlength=len(hists)) > 0
+    return out, [{c: v[lo:hi] for c, v in now.items()} if some else None for some, lo, hi in zip(got, edges, edges[1:])]
+
+
+class CardsProcessor(CardProcessor):
+    """A share of the cards: their rows of a micro-batch -> the same rows with ADDED and COUNTS.
+    The state is each card's own, by the card's key."""
+
+    def init(self, handle) -> None:
+        arrays = [StructField(c, ArrayType(self.types.get(c, DoubleType()))) for c in HISTORY]
+        whole = [StructField(c, ArrayType(LongType())) for c in ("minutes", "rows")]
+        card = StructField("card", StringType())
+        self.last = handle.getMapState("last", StructType([card]), StructType(arrays + whole))
+        self.hour = handle.getMapState("hour", StructType([card, StructField("minute", LongType())]), StructType(arrays))
+        self.waiting = handle.getMapState("waiting", "run int, page int", "rows binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for new, end in self.steps(rows):
+            of, cards = pd.factorize(new["card_key"])
+            loaded = [self.load_card(c) for c in cards]
+            out, hists = cards_step([hist for hist, _ in loaded], new, of, end)
+            for card, hist, (_, held) in zip(cards, hists, loaded):
+                if hist is not None:
+                    self.save_card(card, hist, held)
+            if len(out):
+                yield out[self.columns]
+
+    def load_card(self, card: str) -> tuple[dict, dict[int, int]]:
+        found = self.last.getValue((card,))
+        *newest, minutes, counts = found or [[]] * (len(HISTORY) + 2)
+        parts = [self.hour.getValue((card, m)) for m in minutes] + [newest]
+        hist = {c: [x for p in parts for x in p[k]] for k, c in enumerate(HISTORY)}
+        hist["no_id"] = np.asarray([x is None for x in hist["transaction_id"]], dtype=bool)
+        text = isinstance(self.types["transaction_id"], StringType)
+        hist["transaction_id"] = np.asarray([("" if text else 0) if x is None else x for x in hist["transaction_id"]], dtype=object if text else np.int64)
+        for c in HISTORY:
+            if c != "transaction_id":
+                hist[c] = np.asarray(hist[c], dtype=np.int64 if c in self.types else float)
+        return hist, dict(zip(minutes, counts))
+
+    def save_card(self, card: str, hist: dict, held: dict[int, int]) -> None:
+        """As ``save``: the newest rows, and the minutes that changed."""
+        lists = {c: hist[c].tolist() for c in HISTORY}
+        if hist["no_id"].any():
+            lists["transaction_id"] = [None if no else x for x, no in zip(lists["transaction_id"], hist["no_id"])]
+        older, now = max(0, len(hist["epoch"]) - feat.AMOUNT_ROWS), {}
+        if older:
+            minutes, starts, counts = np.unique(hist["epoch"][:older] // MINUTE, return_index=True, return_counts=True)
+            now = dict(zip(minutes.tolist(), counts.tolist()))
+            for m, at in zip(minutes.tolist(), starts.tolist()):
+                if held.get(m) != now[m]:
+                    self.hour.updateValue((card, m), tuple(lists[c][at:at + now[m]] for c in HISTORY))
+        for m in held.keys() - now.keys():
+            self.hour.removeKey((card, m))
+        self.last.updateValue((card,), (*(lists[c][older:] for c in HISTORY), list(now), list(now.values())))
+
+
 def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame, step_rows: int = STEP_ROWS) -> DataFrame:
     """Feature rows for a stream of staged transactions (one row for each
     transaction), with per-card history in the state store.  The planner decides
@@ -212,11 +314,19 @@ def stateful_features(stream: DataFrame, cards: DataFrame, merchants: DataFrame,
     use_rocksdb(stream.sparkSession)
     s = feat.with_epoch(stream.select(*feat.TXN_COLS)).withColumn("ts_us", F.unix_micros("event_ts"))
     s = s.join(merchants.select(*feat.MERCHANT_COLS), "merchant_id", "left").join(cards.select(*feat.CARD_COLS), "card_id", "left")
-    out_schema = StructType([*s.schema.fields, *(StructField(c, DoubleType()) for c in ADDED), *(StructField(c, LongType()) for c in COUNTS)])
-    processor = CardProcessor(out_schema.names, s.schema["transaction_id"].dataType, step_rows)
+    types = {f.name: f.dataType for f in s.schema.fields}
+    no_id = F.lit("" if isinstance(types["transaction_id"], StringType) else 0).cast(types["transaction_id"])
     # the key isn't null: the Python side compares keys by value, and a missing number equals none
     card = F.when(F.col("card_id").isNull(), F.lit("-")).otherwise(F.concat(F.lit("card "), F.col("card_id").cast("string")))
-    rows = s.withColumn("_card", card).groupBy("_card").transformWithStateInPandas(processor, out_schema, "Append", "None")
+    # whole numbers that may be missing cross as texts, as pandas would make floats of a frame's
+    texts = [c for c, t in types.items() if isinstance(t, IntegralType) and c not in ("epoch", "ts_us", "transaction_id")]
+    s = s.select(*[F.col(c).cast("string").alias(c) if c in texts else F.col(c) for c in types], card.alias("card_key"), F.col("transaction_id").isNull().alias("no_id"))
+    s = s.withColumn("transaction_id", F.coalesce("transaction_id", no_id))
+    out_schema = StructType([*s.schema.fields, *(StructField(c, DoubleType()) for c in ADDED), *(StructField(c, LongType()) for c in COUNTS)])
+    processor = CardsProcessor(out_schema.names, types["transaction_id"], step_rows)
+    share = F.pmod(F.xxhash64("card_key"), F.lit(SHARES)).cast("int")
+    rows = s.withColumn("share", share).groupBy("share").transformWithStateInPandas(processor, out_schema, "Append", "None")
+    rows = rows.withColumns({c: F.col(c).cast(types[c]) for c in texts} | {"transaction_id": F.when(~F.col("no_id"), F.col("transaction_id"))})
     return feat.feature_columns(rows.withColumn("prev_epoch", F.col("prev_epoch").cast("bigint")))
 
 

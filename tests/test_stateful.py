@@ -214,3 +214,40 @@ def test_a_hot_card_in_the_stream_equals_the_batch(spark, tmp):
     got = spark.read.parquet(f"{tmp}/out").select(*cols).orderBy("transaction_id").collect()
     want = feat.compute_features(txn, s["cards"], s["merchants"]).select(*cols).orderBy("transaction_id").collect()
     assert got == want and any(r["card_id"] is None for r in got)
+
+
+def test_many_cards_in_one_call_equal_card_by_card():
+    """A share's cards at once, in steps or whole, against one processor for each card; with
+    cards of few rows and many, late and redelivered rows, rows without id and large ids."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.types import LongType
+    from cardsentry.streaming.stateful import ADDED, COUNTS, HISTORY, CardsProcessor
+    rng, big = np.random.default_rng(5), 2**60
+
+    def share(n, lo, hi, at):
+        pdf = _batch(rng, n, lo, hi, big + at).assign(no_id=False)
+        return pdf.assign(card_key=[f"card {int(x)}" for x in rng.integers(0, 12, n) ** 2 // 12])
+
+    one = share(2500, 0, 20_000, 0)
+    two = pd.concat([share(2500, 12_000, 40_000, 5000), one[one["epoch"] > 18_000]], ignore_index=True).sample(frac=1, random_state=1)
+    two.loc[two["transaction_id"] == big + 5003, ["transaction_id", "no_id"]] = [0, True]
+    columns = ["card_key", "no_id", *HISTORY, *ADDED, *COUNTS]
+    whole, runs, each = CardsProcessor(columns, LongType()), CardsProcessor(columns, LongType(), 200, 64), {}
+    rows = []
+    for p in (whole, runs):
+        p.init(_Handle())
+    for pdf in (one, two):
+        a, b = (pd.concat(list(p.handleInputRows((1,), _chunks(pdf, 70), None))).sort_values(["transaction_id", "ts_us"], ignore_index=True) for p in (whole, runs))
+        pd.testing.assert_frame_equal(a, b)
+        assert len(runs.waiting) == 0 and dict(whole.last).keys() == dict(runs.last).keys()
+        want = []
+        for card, mine in pdf.groupby("card_key"):
+            p = each.setdefault(card, _processor(10**9))
+            p.columns = columns
+            want += p.handleInputRows((card,), iter([mine.reset_index(drop=True)]), None)
+            assert str(whole.last[(card,)]) == str(p.last.v) and {m: str(v) for (c, m), v in whole.hour.items() if c == card} == {m: str(v) for (m,), v in p.hour.items()} or pdf is two
+        want = pd.concat(want).sort_values(["transaction_id", "ts_us"], ignore_index=True)
+        pd.testing.assert_frame_equal(a, want)
+        rows.append(len(a))
+    assert rows == [2500, 2500] and a["no_id"].sum() == 1 and set(a["transaction_id"]) - {0} == {big + i for i in range(5000, 7500)} - {big + 5003}
