@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -65,21 +65,29 @@ def model_score(model) -> Callable[[DataFrame], DataFrame]:
     return fn
 
 
-def bounded_history(rows: DataFrame) -> DataFrame:
+def bounded_history(rows: DataFrame, hot_card_rows: int = feat.HOT_CARD_ROWS) -> DataFrame:
     """Per card: the last ``AMOUNT_ROWS`` rows and all rows within the widest
     velocity window of the card's newest row.
 
-    Skew-safe: the newest epoch per card is a partial aggregate, the recent
-    rows come from a join with it (AQE splits a hot card on the large side),
-    and the last rows are an exact salted top-k.
+    One shuffle by card.  Skew-safe: for cards with more rows than ``HOT_CARD_ROWS`` the
+    newest epoch per card is a partial aggregate, the recent rows come from a join with
+    it (AQE splits a hot card on the large side), and the last rows are an exact salted
+    top-k.
     """
-    rows = feat.with_epoch(rows)
+    rows = feat.with_epoch(rows).where("card_id is not null and epoch is not null")
     back = max(feat.VELOCITY_SECONDS)
-    newest = rows.groupBy("card_id").agg(F.max("epoch").alias("_newest"))
-    recent = rows.join(newest, "card_id").filter(F.col("epoch") >= F.col("_newest") - back).drop("_newest")
-    last = skew.top_k_per_key(rows, "card_id", list(feat.ORDER), feat.AMOUNT_ROWS)
-    older = last.join(newest, "card_id").filter(F.col("epoch") < F.col("_newest") - back).drop("_newest")
-    return recent.unionByName(older).drop("epoch")
+    hot = skew.hot_keys(rows, feat.SPEC, hot_card_rows)
+    cold, busy = (rows, None) if hot is None else skew.split_hot(rows, "card_id", hot)
+    last_first = Window.partitionBy("card_id").orderBy(*[F.col(c).desc() for c in feat.ORDER])
+    ranked = cold.withColumns({"_newest": F.first("epoch").over(last_first), "_rank": F.row_number().over(last_first)})
+    kept = ranked.filter((F.col("epoch") >= F.col("_newest") - back) | (F.col("_rank") <= feat.AMOUNT_ROWS)).drop("_newest", "_rank")
+    if busy is not None:
+        newest = busy.groupBy("card_id").agg(F.max("epoch").alias("_newest"))
+        recent = busy.join(newest, "card_id").filter(F.col("epoch") >= F.col("_newest") - back).drop("_newest")
+        last = skew.top_k_per_key(busy, "card_id", list(feat.ORDER), feat.AMOUNT_ROWS)
+        older = last.join(newest, "card_id").filter(F.col("epoch") < F.col("_newest") - back).drop("_newest")
+        kept = kept.unionByName(recent).unionByName(older)
+    return kept.drop("epoch")
 
 
 class Scorer:
@@ -104,18 +112,25 @@ class Scorer:
             return
         batch = stg_transactions(batch_df) if self.raw_input else batch_df
         batch = batch.select(*feat.TXN_COLS).filter(F.col("event_ts").isNotNull())
-        batch = dedup_latest(batch, "transaction_id", "event_ts")
+        # the batch, and it with its history, are computed once, whoever reads them
+        batch = dedup_latest(batch, "transaction_id", "event_ts").persist()
         inp = batch
-        if self.state.exists():
-            parts = [r[0] for r in batch.select(_part()).distinct().collect()]     # STATE_PARTS at most
-            hist = (self.state.read(int(batch_id) - 1).where(F.col("part").isin(parts)).drop("part")
-                    .join(batch.select("card_id").distinct(), "card_id", "left_semi")
-                    .join(batch.select("transaction_id"), "transaction_id", "left_anti"))
-            inp = batch.unionByName(hist, allowMissingColumns=True)
-        feats = feat.compute_features(inp, self.cards, self.merchants, broadcast_dims=self.broadcast)
-        feats = feats.join(batch.select("transaction_id"), "transaction_id", "left_semi")
-        self.alerts.append(serving_rows(self.score_fn(feats), self.threshold), int(batch_id))
-        self.state.append(bounded_history(inp).withColumn("part", _part()), int(batch_id))
+        try:
+            if self.state.exists():
+                parts = [r[0] for r in batch.select(_part()).distinct().collect()]     # STATE_PARTS at most
+                stored = self.state.read(int(batch_id) - 1).where(F.col("part").isin(parts)).drop("part")
+                # rows that are delivered again, mostly few: the history itself isn't dealt out by id
+                again = stored.select("transaction_id").join(batch.select("transaction_id"), "transaction_id", "left_semi").distinct()
+                hist = (stored.join(batch.select("card_id").distinct(), "card_id", "left_semi")
+                        .join(again, "transaction_id", "left_anti"))
+                inp = batch.unionByName(hist, allowMissingColumns=True).persist()
+            feats = feat.compute_features(inp, self.cards, self.merchants, broadcast_dims=self.broadcast)
+            feats = feats.join(batch.select("transaction_id"), "transaction_id", "left_semi")
+            self.alerts.append(serving_rows(self.score_fn(feats), self.threshold), int(batch_id))
+            self.state.append(bounded_history(inp).withColumn("part", _part()), int(batch_id))
+        finally:
+            inp.unpersist()
+            batch.unpersist()
 
 
 def _part() -> Column:

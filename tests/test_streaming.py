@@ -158,3 +158,24 @@ def test_versioned_table_and_partition_upsert(spark, tmp):
     out = spark.read.parquet(p)
     assert out.count() == 20
     assert out.filter("v = 'new'").count() == 1 and out.filter("day = 1 AND v = 'old'").count() == 5
+
+
+def test_bounded_history_deals_rows_out_by_card_once(spark):
+    """Cards of few rows and many, equal seconds, rows without card or time: brute force,
+    the path of hot cards, and one exchange of the rows."""
+    import random
+
+    from cardsentry.operators import features as feat
+    from cardsentry.streaming.scoring import bounded_history
+    rng = random.Random(4)
+    rows = [(i, rng.choice([1, 1, 1, 2, 3, None]) if i < 580 else i, None if i % 29 == 0 else rng.randint(0, 40_000) // (9 if i % 2 else 1)) for i in range(600)]
+    t = spark.createDataFrame(rows, "transaction_id long, card_id long, s long").selectExpr("transaction_id", "card_id", "timestamp_seconds(s) AS event_ts")
+    want = []
+    for card in {c for _, c, _ in rows if c is not None}:
+        mine = sorted(((s, i) for i, c, s in rows if c == card and s is not None), reverse=True)
+        want += [i for n, (s, i) in enumerate(mine) if n < feat.AMOUNT_ROWS or s >= mine[0][0] - 3600]
+    plain, cut = bounded_history(t), bounded_history(t, hot_card_rows=60)
+    for got in (plain, cut):
+        assert got.columns == t.columns and sorted(r[0] for r in got.collect()) == sorted(want)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
