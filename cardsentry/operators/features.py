@@ -83,7 +83,7 @@ def sliced_windows(rows: DataFrame, slice_rows: int) -> DataFrame:
     return skew.with_counts(sliced, counts, "card_id", "epoch")
 
 
-def feature_columns(df: DataFrame) -> DataFrame:
+def feature_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     gap = F.col("epoch") - F.col("prev_epoch")
     prev_km = F.coalesce(haversine_km("lat", "lon", "prev_lat", "prev_lon"), F.lit(0.0))
     std = F.col("card_amount_std")
@@ -102,12 +102,13 @@ def feature_columns(df: DataFrame) -> DataFrame:
         F.col(f"_cnt_{VELOCITY_SECONDS[1]}").alias("txn_count_1h"),
         F.when(F.coalesce(gap, F.lit(0)) <= 0, F.lit(0.0))
          .otherwise(prev_km / (gap / F.lit(3600.0))).alias("implied_speed_kmh"),
-    ).select(*OUTPUT_COLS)
+        *keep,
+    ).select(*OUTPUT_COLS, *keep)
 
 
 def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
                      hot_card_rows: int | None = HOT_CARD_ROWS, broadcast_dims: bool | str = "auto",
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                     max_broadcast_rows: int = 1_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """Feature rows for staged transactions.
 
     ``txn``/``cards``/``merchants`` are the silver tables (stg_*).  Dimension
@@ -121,8 +122,10 @@ def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
     ``hot_card_rows``: cards with more rows than this (rows without card count as
     one) are evaluated in slices of so many rows (see
     :mod:`cardsentry.operators.skew`); results are identical.  None: never.
+
+    ``keep``: further columns of ``txn`` that the feature rows carry.
     """
-    t = with_epoch(txn.select(*TXN_COLS))
+    t = with_epoch(txn.select(*TXN_COLS, *keep))
     c = cards.select(*CARD_COLS)
     m = merchants.select(*MERCHANT_COLS)
     if broadcast_dims == "auto":
@@ -135,13 +138,13 @@ def compute_features(txn: DataFrame, cards: DataFrame, merchants: DataFrame,
 
     hot = skew.hot_keys(t, SPEC, hot_card_rows) if hot_card_rows else None
     if hot is None:
-        return feature_columns(windowed(base.join(c, "card_id", "left"), ["card_id"]))
+        return feature_columns(windowed(base.join(c, "card_id", "left"), ["card_id"]), keep)
 
     cold, hot_rows = skew.split_hot(base, "card_id", hot)
-    cold_f = feature_columns(windowed(cold.join(c, "card_id", "left"), ["card_id"]))
+    cold_f = feature_columns(windowed(cold.join(c, "card_id", "left"), ["card_id"]), keep)
     # Dims of hot cards: at most one row per hot card, broadcast below a checked bound.
     hot_dims = broadcast_if_small(c.join(broadcast_if_small(hot), "card_id", "left_semi"), max_broadcast_rows)
-    hot_f = feature_columns(sliced_windows(hot_rows, hot_card_rows).join(hot_dims, "card_id", "left"))
+    hot_f = feature_columns(sliced_windows(hot_rows, hot_card_rows).join(hot_dims, "card_id", "left"), keep)
     return cold_f.unionByName(hot_f)
 
 

@@ -46,17 +46,17 @@ class Warehouse:
     spark: SparkSession
     root: str
 
-    def table(self, name: str, key, date: str = "event_date", many: bool = False) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/{name}", key, date, many)
+    def table(self, name: str, key, date: str = "event_date", many: bool = False, single: bool = False) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/{name}", key, date, many, single)
 
     def __post_init__(self) -> None:
         t = self.table
-        self.transactions = t("silver/transactions", "transaction_id")
+        self.transactions = t("silver/transactions", "transaction_id", single=True)
         self.auth_events = t("silver/auth_events", "transaction_id", "auth_date")
         self.auth_waiting = t("silver/auth_waiting", "transaction_id", "auth_date")
         self.chargebacks = t("silver/chargebacks", "chargeback_id", "settle_date")
         self.card_history = t("silver/card_history", ["card_id", scd2.VALID_FROM], "opened")
-        self.fact = t("gold/fct_transactions", "transaction_id")
+        self.fact = t("gold/fct_transactions", "transaction_id", single=True)
         self.by_hour = t("gold/agg_fraud_by_hour", "event_date", many=True)
         self.exposure = t("gold/mart_chargeback_exposure", "event_date", many=True)
         self.performance = t("gold/mart_model_performance", "event_date", many=True)
@@ -135,6 +135,21 @@ def unchanged(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     return new.alias("n").join(old.alias("o"), dirty.same("n", "o", *new.columns) & (F.col(f"n.{key}") == F.col(f"o.{key}")), "left_anti")
 
 
+def repeated(rows: DataFrame, key: str) -> DataFrame | None:
+    """The keys that several of these stored rows have; None if there are none."""
+    twice = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+    return None if twice.isEmpty() else kept(twice, "twice")
+
+
+def single_rows(rows: DataFrame, key: str, twice: DataFrame | None, date: str = "event_date") -> DataFrame:
+    """One row of each key: of those that have a key of ``twice`` the greatest, in the
+    order in which a table's columns are read (the date comes last)."""
+    if twice is None:
+        return rows
+    several = rows.join(twice, key, "left_semi").select(*[c for c in rows.columns if c != date], date)
+    return rows.join(twice, key, "left_anti").select(*rows.columns).unionByName(staging.dedup_latest(several, key, []))
+
+
 def found_at(table: KeyedTable, before: int, ids: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Where the rows with these ids are filed: a scan of ``columns`` only, between the smallest and the greatest id."""
     lo, hi = ids.agg(F.min(key), F.max(key)).first()
@@ -189,10 +204,12 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
         old = on_dates(wh.transactions.read(before), dates_of(known.join(txn.select("transaction_id"), "transaction_id", "left_semi")))
         changed = kept(unchanged(txn, old.select(*txn.columns), "transaction_id"), "changed")
         left = kept(known.join(changed.select("transaction_id"), "transaction_id", "left_semi"), "left")
+    if (twice := repeated(changed, "transaction_id")) is not None:
+        changed = kept(single_rows(changed, "transaction_id", twice), "single")
 
     waiting = auth.join(known.select("transaction_id"), "transaction_id", "left_anti").join(txn.select("transaction_id"), "transaction_id", "left_anti")
     with_id = changed.where("transaction_id is not null")
-    at_once([partial(wh.transactions.append, changed, batch), partial(wh.auth_events.append, auth, batch), partial(wh.chargebacks.append, cb, batch),
+    at_once([partial(wh.transactions.append, changed, batch, replaces=left), partial(wh.auth_events.append, auth, batch), partial(wh.chargebacks.append, cb, batch),
              partial(wh.auth_waiting.append, waiting, batch), lambda: wh.counts.append(dirty.count_changes(with_id, left), batch)])
 
     # days to read and rows to recompute
@@ -207,8 +224,7 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
         folders = dates_of(counts.alias("c").join(days.alias("d"), dirty.same("c", "d", "card_id", "day"), "left_semi"))
         pruned = on_dates(silver, folders).withColumn("day", F.to_date("event_ts"))
         history = kept(pruned.alias("t").join(days.alias("d"), dirty.same("t", "d", "card_id", "day")).select("t.*", "d.dirty"), "history")
-        recomputed = history.where("dirty").select("transaction_id")
-        rows = feat.compute_features(history.drop("day", "dirty"), cards, merchants, hot_card_rows=hot_card_rows).join(recomputed, "transaction_id", "left_semi")
+        rows = feat.compute_features(history, cards, merchants, hot_card_rows=hot_card_rows, keep=("dirty",)).where("dirty").drop("dirty")
 
     # outcomes: what has just come, else what the fact row had, else what waited for the transaction
     rows = kept(rows, "features")
@@ -216,7 +232,7 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
         said = known.join(auth.select("transaction_id").unionByName(disputed).distinct(), "transaction_id", "left_semi")
         only = on_dates(wh.fact.read(before), dates_of(said)).join(said.select("transaction_id"), "transaction_id", "left_semi")
         only = only.join(rows.select("transaction_id"), "transaction_id", "left_anti").select(*feat.OUTPUT_COLS)
-        rows = kept(rows.unionByName(only), "rows")
+        rows = rows.unionByName(kept(only, "only"))
         where = dates_of(rows.select("event_date").unionByName(left.select("event_date")))
         was = on_dates(wh.fact.read(before), where).select("transaction_id", "is_approved", "decline_reason", F.lit(1).alias("rank"))
     else:
@@ -226,7 +242,12 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
     told = staging.dedup_latest(told.join(rows.select("transaction_id"), "transaction_id", "left_semi"), "transaction_id", "rank").drop("rank")
     claims = wh.chargebacks.read(batch).join(rows.select("transaction_id"), "transaction_id", "left_semi")
     fact = gold.fct_transactions(rows, told, claims)
-    wh.fact.append(fact, batch)
+    # a fact row of a transaction that was there before may replace one; repeated dimension keys repeat rows
+    replaces = None
+    if left is not None:
+        added = with_id.select("transaction_id").join(left.select("transaction_id"), "transaction_id", "left_anti")
+        replaces = rows.select("transaction_id").distinct().join(added, "transaction_id", "left_anti")
+    wh.fact.append(single_rows(fact, "transaction_id", repeated(rows, "transaction_id")), batch, replaces=replaces)
     touched = wh.fact.since(batch).select("event_date")
     return dates_of(touched if left is None else touched.unionByName(left.select("event_date")))
 

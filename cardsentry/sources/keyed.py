@@ -19,9 +19,15 @@ that has lost all its rows at once), so a reader
 that began before it still finds its files.  One writer appends at a time; a
 compaction may run beside it.  A row with a NULL in its key is no other row's
 successor: it stays, and a replayed batch replaces its own.
+
+In a ``single`` table the writer gives each batch at most one row of a key, and may name
+the keys that earlier batches hold (``_replaced/L``).  Its readers take all rows but
+those that a later batch names, or has if it names none: no aggregate over whole rows,
+no shuffle of them where few are replaced, and only the asked columns and dates.
 """
 from __future__ import annotations
 
+import re
 from functools import reduce
 from urllib.parse import quote
 
@@ -32,6 +38,7 @@ from ..operators.staging import dedup_latest
 from . import files
 
 LABEL = "_label"
+REPLACED = "_replaced"
 
 
 def overwrite_partitions(rows: DataFrame, path: str, *columns: str) -> None:
@@ -45,10 +52,10 @@ class KeyedTable:
     """``key``: the columns that identify a row.  ``date``: the partition column.
     ``many``: a batch may hold several rows of a key; all rows of the key's newest
     batch are current (state kept for each key; in a batch they share the partition),
-    else one row is."""
+    else one row is.  ``single``: no batch holds two rows of a key."""
 
-    def __init__(self, spark: SparkSession, root: str, key: str | list[str], date: str = "event_date", many: bool = False):
-        self.spark, self.root, self.date, self.many = spark, root.rstrip("/"), date, many
+    def __init__(self, spark: SparkSession, root: str, key: str | list[str], date: str = "event_date", many: bool = False, single: bool = False):
+        self.spark, self.root, self.date, self.many, self.single = spark, root.rstrip("/"), date, many, single
         self.key = [key] if isinstance(key, str) else list(key)
         self._schema: StructType | None = None
 
@@ -94,9 +101,10 @@ class KeyedTable:
         return max(labels) // 2 if labels else None
 
     # ------------------------------------------------------------ write
-    def append(self, rows: DataFrame, batch: int, order: str | list[str] | None = None) -> None:
+    def append(self, rows: DataFrame, batch: int, order: str | list[str] | None = None, replaces: DataFrame | None = None) -> None:
         """Upsert ``rows`` as ``batch`` (batches are numbered upwards from 0).  ``order``:
-        of several rows of a key the greatest by it counts.  New columns widen the table."""
+        of several rows of a key the greatest by it counts.  New columns widen the table.
+        ``replaces`` (single tables): at least those keys of ``rows`` that earlier batches hold."""
         if order is not None and not self.many:
             rows = dedup_latest(rows, self.key, order)
         kept = self.schema()
@@ -107,11 +115,41 @@ class KeyedTable:
             wide, added = files.merge_schemas(kept, rows.schema)
             if added:
                 self._save(wide)
+        if self.single:
+            noted = f"{self.root}/{REPLACED}/{2 * int(batch)}"
+            if replaces is not None:
+                replaces.select(*self.key).write.mode("overwrite").parquet(noted)
+            elif files.exists(self.spark, noted):
+                files.remove(self.spark, noted)
         overwrite_partitions(rows.withColumn(LABEL, F.lit(2 * int(batch)).cast("long")), self.root, self.date, LABEL)
 
     # ------------------------------------------------------------ read
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        """The current rows of each key among ``rows``."""
+    def _labels(self, rows: DataFrame) -> set[int]:
+        """The labels of the files that a scan has listed; no job is run."""
+        return {int(found[1]) for found in map(re.compile(rf"/{LABEL}=(\d+)/").search, rows.inputFiles()) if found}
+
+    def _noted(self) -> set[int]:
+        """The labels whose batches have named the keys that they replace."""
+        return {int(name) for name in files.names(self.spark, f"{self.root}/{REPLACED}") if name.isdigit()}
+
+    def _replacing(self, rows: DataFrame, labels: set[int]) -> DataFrame:
+        """(key, label) of those of ``rows`` with these labels that may replace earlier ones (single tables)."""
+        noted = self._noted() & labels
+        parts = [rows.where(F.col(LABEL).isin(labels - noted)).select(*self.key, LABEL)]
+        keys = StructType([self.schema()[k] for k in self.key])
+        parts += [self.spark.read.schema(keys).parquet(f"{self.root}/{REPLACED}/{label}").withColumn(LABEL, F.lit(label).cast("long")) for label in sorted(noted)]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _newest(self, rows: DataFrame, labels: set[int]) -> DataFrame:
+        """The current rows of each key among ``rows``, which have these labels."""
+        if self.single:
+            if len(labels) < 2:
+                return rows
+            last = max(labels)
+            newer = [F.col(f"n.{k}") == F.col(f"r.{k}") for k in self.key] + [F.col(f"n.{LABEL}") > F.col(f"r.{LABEL}")]
+            n = self._replacing(rows, labels - {min(labels)}).alias("n")
+            old = rows.where(F.col(LABEL) < last).alias("r").join(n, reduce(lambda a, b: a & b, newer), "left_anti")
+            return old.unionByName(rows.where(F.col(LABEL) == last))
         if not self.many:
             return dedup_latest(rows, self.key, LABEL)
         same = [F.col(f"n.{k}").eqNullSafe(F.col(f"r.{k}")) for k in self.key] + [F.col(f"n.{LABEL}") == F.col(f"r.{LABEL}")]
@@ -139,13 +177,19 @@ class KeyedTable:
 
     def _current(self, upto: int | None = None) -> DataFrame:
         rows, mark = self._rows(), self._mark(upto)
+        labels = self._labels(rows) if self.single else set()
         if upto is not None:
             rows = rows.where(F.col(LABEL) <= 2 * upto + 1)
+            labels = {label for label in labels if label <= 2 * upto + 1}
         if mark < 0:
-            return self._newest(rows)
+            return self._newest(rows, labels)
         later = rows.where(F.col(LABEL) > mark)
-        base = self._live(rows, self.folders(), mark)
-        return base.join(later.select(*self.key), self.key, "left_anti").select(*rows.columns).unionByName(self._newest(later).select(*rows.columns))
+        return self._merged(rows, self._live(rows, self.folders(), mark), later, {label for label in labels if label > mark})
+
+    def _merged(self, rows: DataFrame, base: DataFrame, later: DataFrame, labels: set[int]) -> DataFrame:
+        """The compacted rows that no later one replaces, and the newest of those."""
+        keys = (self._replacing(later, labels) if self.single else later).select(*self.key)
+        return base.join(keys, self.key, "left_anti").select(*rows.columns).unionByName(self._newest(later, labels).select(*rows.columns))
 
     def since(self, batch: int) -> DataFrame:
         """The rows that were written by ``batch`` and later ones."""
@@ -155,6 +199,7 @@ class KeyedTable:
         """Remove what an attempt at ``batch`` has written, before another one."""
         if self.exists():
             self._remove([(d, label) for d, label in self.folders() if label >= 2 * batch])
+            self._forget_noted(lambda label: label >= 2 * batch)
 
     def drop_before(self, batch: int) -> None:
         """Remove batches below ``batch`` (snapshots that nobody reads any more)."""
@@ -177,11 +222,14 @@ class KeyedTable:
         rows = self._rows().where(F.col(LABEL) <= upto)
         base, later = self._live(rows, folders, mark), rows.where(F.col(LABEL) > mark)
         dates = {d for d, label in folders if mark < label <= upto}
+        labels = {label for _, label in folders if mark < label <= upto}
         if mark >= 0:
-            dates |= {r[0] for r in base.join(later.select(*self.key), self.key, "left_semi").select(self.date).distinct().collect()}
-            now = base.join(later.select(*self.key), self.key, "left_anti").select(*rows.columns).unionByName(self._newest(later).select(*rows.columns))
+            self._forget_noted(lambda label: label <= mark)
+            keys = (self._replacing(later, labels) if self.single else later).select(*self.key)
+            dates |= {r[0] for r in base.join(keys, self.key, "left_semi").select(self.date).distinct().collect()}
+            now = self._merged(rows, base, later, labels)
         else:
-            now = self._newest(rows)
+            now = self._newest(rows, labels)
         touched = reduce(lambda a, b: a | b, [F.col(self.date).eqNullSafe(F.lit(d)) for d in sorted(dates, key=str)])
         overwrite_partitions(now.where(touched).withColumn(LABEL, F.lit(upto + 1).cast("long")), self.root, self.date, LABEL)
         left = {d for d, label in self.folders() if label == upto + 1}
@@ -191,6 +239,12 @@ class KeyedTable:
         files.touch(self.spark, f"{self.root}/_marks/{upto + 1}")
         return sorted(dates, key=str)
 
+    def _forget_noted(self, which) -> None:
+        """Remove the lists of replaced keys of some labels."""
+        for label in self._noted() if self.single else ():
+            if which(label):
+                files.remove(self.spark, f"{self.root}/{REPLACED}/{label}")
+
     def _remove(self, folders: list[tuple]) -> None:
         for d, label in folders:
             name = files.HIVE_NULL if d is None else quote(str(d), safe=" -_.")

@@ -143,3 +143,23 @@ def test_a_failed_gate_publishes_nothing(spark, tmp):
     daily.daily_build(spark, land, root, f"{tmp}/ck")
     assert wh.published() == 1 and wh.gold("fct_transactions").count() == 1001
     assert wh.gold("fct_transactions").where("transaction_id = 'bad'").first().amount_usd == 5.0
+
+
+def test_repeated_rows_of_a_batch_count_once(spark, tmp):
+    """Transactions and dimension rows that come twice: one fact row each, as when readers
+    chose among them; the silver table and the fact need no aggregate to be read."""
+    txn, auth, cb, cards, merchants = (daily.kept(x, "test") for x in staged(spark))
+    twice, cut = txn.where("transaction_id % 5 = 0"), F.lit("2024-01-20").cast("timestamp")
+    wh = daily.Warehouse(spark, f"{tmp}/wh")
+    some = twice.unionByName(twice.withColumn("amount_usd", F.col("amount_usd") + 1)).unionByName(txn)
+    for batch, rows_ in enumerate([some.where(F.col("event_ts") < cut), some.where(F.col("event_ts") >= cut)]):
+        mine = [x.join(rows_.select("transaction_id"), "transaction_id", "left_semi") for x in (auth, cb)]
+        daily.update_fact(wh, batch, {"transactions": rows_, "auth_events": mine[0], "chargebacks": mine[1]}, cards.unionByName(cards.where("card_id = 1")), merchants)
+    best = txn.where("transaction_id % 5 <> 0").unionByName(twice.withColumn("amount_usd", F.col("amount_usd") + 1))
+    plain = ["transaction_id", "card_id", "amount_usd", "is_approved", "is_confirmed_fraud"]
+    assert sorted(wh.fact.read().select(*plain).collect(), key=str) == sorted(rebuild(best, auth, cb, cards, merchants).select(*plain).collect(), key=str)
+    assert wh.card_days().agg(F.sum("n")).first()[0] == txn.count()
+    for table in (wh.transactions, wh.fact):
+        files_ = spark.read.parquet(table.root).where(F.col("transaction_id").isNotNull())
+        assert files_.groupBy("transaction_id", "_label").count().where("count > 1").isEmpty()
+        assert "SortAggregate" not in table.read()._jdf.queryExecution().executedPlan().toString()

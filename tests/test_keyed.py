@@ -136,3 +136,37 @@ def test_read_as_of_a_batch_and_discard(spark, tmp):
     assert sorted(r.v for r in table.read().collect()) == ["a", "b"]
     table.forget([r.event_date for r in table.read().select("event_date").distinct().collect()])
     assert table.read().count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_batches_of_a_single_table_equal_a_dict(spark, tmp, seed):
+    rng = random.Random(seed)
+    table, want = KeyedTable(spark, f"{tmp}/t", "k", single=True), {}
+    for batch in range(5):
+        rows = [(k, f"2024-01-0{rng.randint(1, 5)}", f"{batch}-{k}") for k in rng.sample(range(30), 8)]
+        known = frame(spark, [r for r in rows if r[0] in want]).select("k") if rng.random() < 0.6 else None
+        table.append(frame(spark, [*rows, (None, "2024-01-01", f"{batch}")]), batch, replaces=known)
+        if rng.random() < 0.4:
+            table.append(frame(spark, [*rows, (None, "2024-01-01", f"{batch}")]), batch)      # replay, without the list
+        before = dict(want)
+        want |= {k: (k, d, v) for k, d, v in rows}
+        of = lambda upto=None: sorted((r.k, str(r.event_date), r.v) for r in table.read(upto).where("k is not null").collect())
+        assert of() == sorted(want.values()) and table.read().where("k is null").count() == batch + 1
+        assert table._mark() > 2 * batch - 2 or not batch or of(batch - 1) == sorted(before.values())
+        if rng.random() < 0.4:
+            table.compact()
+            assert of() == sorted(want.values())
+    table.append(frame(spark, [(0, "2024-01-01", "gone")]), 5, replaces=frame(spark, [(0, "2024-01-01", "")]))
+    table.discard(5)
+    assert of() == sorted(want.values()) and 10 not in table._noted()
+
+
+def test_a_single_table_is_read_without_a_shuffle_of_its_rows(spark, tmp):
+    """Batches that replace little: narrow, pruned scans, no aggregate over whole rows."""
+    table = KeyedTable(spark, f"{tmp}/t", "k", single=True)
+    for b in range(3):
+        table.append(frame(spark, [(10 * b + k, f"2024-01-0{k + 1}", "v") for k in range(5)] + ([(1, "2024-01-03", "w")] if b == 2 else [])), b, replaces=frame(spark, [(1, "2024-01-03", "")] if b == 2 else []))
+    part = table.read().where("event_date = date'2024-01-02'").select("k")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortAggregate" not in plan and "v#" not in plan
+    assert sorted(r.k for r in part.collect()) == [11, 21]
