@@ -204,12 +204,12 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
         old = on_dates(wh.transactions.read(before), dates_of(known.join(txn.select("transaction_id"), "transaction_id", "left_semi")))
         changed = kept(unchanged(txn, old.select(*txn.columns), "transaction_id"), "changed")
         left = kept(known.join(changed.select("transaction_id"), "transaction_id", "left_semi"), "left")
-    if (twice := repeated(changed, "transaction_id")) is not None:
-        changed = kept(single_rows(changed, "transaction_id", twice), "single")
+    # the table gets one row of a key; card counts count what came, repeated rows too
+    own = single_rows(changed, "transaction_id", repeated(changed, "transaction_id"))
 
     waiting = auth.join(known.select("transaction_id"), "transaction_id", "left_anti").join(txn.select("transaction_id"), "transaction_id", "left_anti")
     with_id = changed.where("transaction_id is not null")
-    at_once([partial(wh.transactions.append, changed, batch, replaces=left), partial(wh.auth_events.append, auth, batch), partial(wh.chargebacks.append, cb, batch),
+    at_once([partial(wh.transactions.append, own, batch, replaces=left), partial(wh.auth_events.append, auth, batch), partial(wh.chargebacks.append, cb, batch),
              partial(wh.auth_waiting.append, waiting, batch), lambda: wh.counts.append(dirty.count_changes(with_id, left), batch)])
 
     # days to read and rows to recompute
