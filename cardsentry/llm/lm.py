@@ -32,8 +32,10 @@ SUFFIXES = 64
 WORDS = CLASSES * MEMBERS - SUFFIXES
 ROUNDS = 3
 LANES, WINDOW = 32, 16
-SCORE_WINDOW = 64
-LEAST_UPDATES = 200
+MOST_LANES = 128
+RATE = 0.05
+LEAST_UPDATES, ENOUGH_UPDATES = 200, 1000
+SIDE, HELD, PIECE = 512, 1 << 15, 1024  # documents scored side by side, states held for a pass of the softmax, places of a piece of it
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # the end's place among word hashes
 MESSAGE = "target long, origin long, kind int, a binary, b binary, c binary"
 _FIELDS = pa.schema([("target", pa.int64()), ("origin", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
@@ -205,35 +207,66 @@ def unflat(x: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+def _gates(rows: np.ndarray) -> np.ndarray:
+    """Rows of (z, r, n) weights, z's and r's with their signs changed: ``step`` takes 1 / (1 + exp(-x))."""
+    out = rows.reshape(-1, 3, UNITS).copy()
+    np.negative(out[:, :2], out=out[:, :2])
+    return out
+
+
+def _read(rows: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Of rows of three parts, those of the symbols, part by part: (..., lanes) to (..., 3, lanes, UNITS)."""
+    return np.take(rows.reshape(-1, UNITS), symbols[..., None, :] * 3 + np.arange(3)[:, None], axis=0)
+
 
+def step(state, x, h, out):
+    """One step of the unit from states h to ``out``: x, the inputs' parts (3, lanes, UNITS)
+    with signs as in ``_gates``, becomes z, r and n; returns the states' part of n.
+    ``state``: the states' weights, part by part."""
+    g = np.matmul(h, state)
+    zr, n = x[:2], x[2]
+    zr += g[:2]
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
+    np.multiply(zr[1], g[2], out=out)
+    n += out
+    np.tanh(n, out=n)
+    np.subtract(h, n, out=out)
+    out *= zr[0]
+    out += n
+    return g[2]
 
-def step(w, x, h):
-    """One step of the unit: inputs' rows x and states h to (z, r, n, state part of n, new h)."""
-    g = h @ w["state"]
-    zr = _sigmoid(x[:, :2 * UNITS] + g[:, :2 * UNITS])
-    z, r = zr[:, :UNITS], zr[:, UNITS:]
-    u = g[:, 2 * UNITS:]
-    n = np.tanh(x[:, 2 * UNITS:] + r * u)
-    return z, r, n, u, n + z * (h - n)
 
+def _chances(x):
+    """Of scores (symbols, places): exp of each less its place's largest, and their sums."""
+    x -= x.max(0)
+    np.exp(x, out=x)
+    return x, x.sum(0)
 
-def _log_softmax(x):
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+
+def _log_chance(x, at):
+    """The log of the softmax over the rows of x (symbols, places), at row ``at`` of each place."""
+    own = x[at, np.arange(len(at))] - x.max(0)
+    return own - np.log(_chances(x)[1])
 
 
 def log_probabilities(w, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """Natural log probability of each symbol given the state before it."""
+    """Natural log probability of each symbol given the state before it; class by
+    class, in pieces that stay in the processor's cache."""
     cls, member = symbols // MEMBERS, symbols % MEMBERS
-    out = _log_softmax(states @ w["class_w"] + w["class_b"])[np.arange(len(cls)), cls]
-    order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        rows = order[cuts[c]:cuts[c + 1]]
-        if len(rows):
-            out[rows] += _log_softmax(states[rows] @ w["word_w"][c].T + w["word_b"][c])[np.arange(len(rows)), member[rows]]
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+    states, member = states[order], member[order]
+    found = np.empty(len(order), states.dtype)
+    for i in range(0, len(order), PIECE):
+        found[i:i + PIECE] = _log_chance(w["class_w"].T @ states[i:i + PIECE].T + w["class_b"][:, None], cls[order[i:i + PIECE]])
+    for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        for i in range(a, b, PIECE):
+            j = min(b, i + PIECE)
+            found[i:j] += _log_chance(w["word_w"][c] @ states[i:j].T + w["word_b"][c][:, None], member[i:j])
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
@@ -242,56 +275,72 @@ def gradients(w, x, y, new, real, h):
     gradients of the sum of the real symbols' negative log probabilities, by lane, and
     the state after the window.  Those of ``inputs`` are by row that was read (x's order)."""
     steps, lanes = x.shape
-    before, kept = np.zeros((steps, lanes, UNITS), np.float32), []
-    states = np.zeros((steps, lanes, UNITS), np.float32)
+    kind = w["state"].dtype
+    fresh = new.any(1).tolist()  # steps at which some document begins
+    state = np.ascontiguousarray(_gates(w["state"]).transpose(1, 0, 2))
+    gates = _read(w["inputs"], x)  # becomes z, r and n
+    np.negative(gates[:, :2], out=gates[:, :2])
+    before, states, u = (np.empty((steps, lanes, UNITS), kind) for _ in range(3))
     for t in range(steps):
-        h = np.where(new[t][:, None], 0, h).astype(np.float32)
-        before[t] = h
-        z, r, n, u, h = step(w, w["inputs"][x[t]], h)
-        kept.append((z, r, n, u))
-        states[t] = h
-    hs, target = states.reshape(-1, UNITS), y.ravel()
-    order = np.argsort(target // MEMBERS, kind="stable")  # class by class: one product for all symbols of a class
-    hs, cls, member = hs[order], target[order] // MEMBERS, target[order] % MEMBERS
-    scale = np.float32(1 / lanes)
-    d_class = np.exp(_log_softmax(hs @ w["class_w"] + w["class_b"]))
-    d_class[np.arange(len(cls)), cls] -= 1
-    counts = (real.ravel()[order] * scale)[:, None]  # places behind the material's end teach nothing
-    d_class *= counts
-    d_sorted = d_class @ w["class_w"].T
-    grad = {"class_w": hs.T @ d_class, "class_b": d_class.sum(0), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
+        np.multiply(h, ~new[t][:, None], out=before[t]) if fresh[t] else np.copyto(before[t], h)
+        u[t] = step(state, gates[t], before[t], states[t])
+        h = states[t]
+    target = y.ravel()
+    order = np.argsort((target // MEMBERS).astype(np.uint8), kind="stable")  # class by class: one product for all symbols of a class
+    hs, cls, member, place = states.reshape(-1, UNITS)[order], target[order] // MEMBERS, target[order] % MEMBERS, np.arange(target.size)
+    counts = (real.ravel()[order] / lanes).astype(kind)  # places behind the material's end teach nothing
+    d_class, total = _chances(w["class_w"].T @ hs.T + w["class_b"][:, None])
+    d_class *= counts / total
+    d_class[cls, place] -= counts
+    d_sorted = d_class.T @ w["class_w"].T
+    grad = {"class_w": hs.T @ d_class.T, "class_b": d_class.sum(1), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
     cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
-    logits = np.empty((len(cls), MEMBERS), hs.dtype)
     present = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c + 1] > cuts[c]]
+    d_word = np.empty((MEMBERS, len(cls)), kind)
     for c, own in present:
-        np.matmul(hs[own], w["word_w"][c].T, out=logits[own])
-    d_word = np.exp(_log_softmax(logits + w["word_b"][cls]))
-    d_word[np.arange(len(cls)), member] -= 1
-    d_word *= counts
+        np.matmul(w["word_w"][c], hs[own].T, out=d_word[:, own])
+    d_word += w["word_b"].T[:, cls]
+    d_word, total = _chances(d_word)
+    d_word *= counts / total
+    d_word[member, place] -= counts
     for c, own in present:
-        grad["word_w"][c] = d_word[own].T @ hs[own]
-        d_sorted[own] += d_word[own] @ w["word_w"][c]
-    first = [own.start for _, own in present]
-    grad["word_b"][[c for c, _ in present]] = np.add.reduceat(d_word, first, axis=0)
+        np.matmul(d_word[:, own], hs[own], out=grad["word_w"][c])
+        d_sorted[own] += d_word[:, own].T @ w["word_w"][c]
+    grad["word_b"][[c for c, _ in present]] = np.add.reduceat(d_word, [own.start for _, own in present], axis=1).T
     d_states = np.empty_like(d_sorted)
     d_states[order] = d_sorted
     d_states = d_states.reshape(steps, lanes, UNITS)
-    d_h = np.zeros((lanes, UNITS), np.float32)
-    d_x = np.zeros((steps, lanes, 3 * UNITS), np.float32)
-    d_state = np.zeros_like(w["state"])
+    z, r, n = gates[:, 0], gates[:, 1], gates[:, 2]
+    # what one unit of a state's gradient is to z, r and the states' part of n: all steps at once
+    d_gates = np.empty((steps, lanes, 3, UNITS), kind)
+    d_n = (1 - z) * (1 - n * n)
+    d_gates[:, :, 0] = (before - n) * z * (1 - z)
+    d_gates[:, :, 1] = d_n * u * r * (1 - r)
+    d_gates[:, :, 2] = d_n * r
+    d_h = np.zeros((lanes, UNITS), kind)
     back = w["state"].T.copy()
     for t in range(steps - 1, -1, -1):
-        z, r, n, u = kept[t]
-        d = d_states[t] + d_h
-        d_n = d * (1 - z) * (1 - n * n)
-        d_z = d * (before[t] - n) * z * (1 - z)
-        d_r = d_n * u * r * (1 - r)
-        d_x[t] = np.concatenate([d_z, d_r, d_n], 1)
-        g = np.concatenate([d_z, d_r, d_n * r], 1)
-        d_state += before[t].T @ g
-        d_h = np.where(new[t][:, None], 0, d * z + g @ back)
-    grad["state"] = d_state
-    return grad, d_x, h
+        d = d_states[t]
+        d += d_h
+        d_gates[t] *= d[:, None]
+        np.matmul(d_gates[t].reshape(lanes, -1), back, out=d_h)
+        d_h += d * z[t]
+        if fresh[t]:
+            d_h *= ~new[t][:, None]
+    grad["state"] = before.reshape(-1, UNITS).T @ d_gates.reshape(-1, 3 * UNITS)
+    np.multiply(d_states, d_n, out=d_gates[:, :, 2])
+    return grad, d_gates.reshape(steps, lanes, 3 * UNITS), h
+
+
+def _learn(memory, g, rate, clip):
+    """The step of weights with gradients g; adds to their sums of squares in ``memory``."""
+    np.clip(g, -clip, clip, out=g)
+    by = g * g
+    memory += by
+    np.sqrt(memory, out=by)
+    np.divide(g, by, out=by)
+    by *= rate
+    return by
 
 
 def update(w, memory, x, y, new, real, h, rate: float = 0.05, clip: float = 5.0):
@@ -299,16 +348,20 @@ def update(w, memory, x, y, new, real, h, rate: float = 0.05, clip: float = 5.0)
     returns the state after the window."""
     grad, d_x, h = gradients(w, x, y, new, real, h)
     for k, g in grad.items():
-        np.clip(g, -clip, clip, out=g)
-        memory[k] += g * g
-        w[k] -= rate * g / np.sqrt(memory[k])
+        w[k] -= _learn(memory[k], g, rate, clip)
     # rows of inputs: only those that were read
-    order = np.argsort(x.ravel(), kind="stable")
-    used, at = np.unique(x.ravel()[order], return_index=True)
-    g = np.add.reduceat(d_x.reshape(-1, 3 * UNITS)[order], at, axis=0)
-    np.clip(g, -clip, clip, out=g)
-    memory["inputs"][used] += g * g
-    w["inputs"][used] -= rate * g / np.sqrt(memory["inputs"][used])
+    order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
+    read = x.ravel()[order]
+    at = np.flatnonzero(np.concatenate([[True], read[1:] != read[:-1], [True]]))
+    times, at = np.diff(at), at[:-1]
+    used, d_x = read[at], d_x.reshape(-1, 3 * UNITS)
+    g, several = d_x[order[at]], times > 1  # reduceat is slow on rows read once
+    if several.any():
+        begin = np.cumsum(times[several]) - times[several]
+        g[several] = np.add.reduceat(d_x[order[np.repeat(several, times)]], begin, axis=0)
+    squares = memory["inputs"][used]
+    w["inputs"][used] -= _learn(squares, g, rate, clip)
+    memory["inputs"][used] = squares
     return h
 
 
@@ -316,54 +369,58 @@ def train_on(w, symbols: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]
     """Weights after all documents (symbols, offsets), dealt to lanes one behind the
     other, have been read window by window to their last symbol; the last lane is
     filled up with places that don't count.  Material of fewer than LEAST_UPDATES
-    windows is read again until there are as many."""
+    windows is read again until there are as many.  More lanes are used where
+    ENOUGH_UPDATES windows remain, with longer steps."""
     w = {k: v.copy() for k, v in w.items()}
     if not len(symbols):
         return w
-    start = CLASSES * MEMBERS
-    previous = np.concatenate([[start], symbols[:-1]])
+    start, symbols = CLASSES * MEMBERS, symbols.astype(np.int32)
+    previous = np.concatenate([symbols[:1], symbols[:-1]])
     new = np.zeros(len(symbols), bool)
     new[first[:-1]] = True
     previous[new] = start
-    lanes = min(LANES, len(symbols))
+    lanes = min(max(LANES, len(symbols) // (WINDOW * ENOUGH_UPDATES)), MOST_LANES, len(symbols))
+    rate = RATE * max(1, lanes / LANES) ** (2 / 3)
     n = -(-len(symbols) // lanes)
     fill = n * lanes - len(symbols)
-    x, y, z, real = (np.concatenate([a, np.full(fill, v, a.dtype)]).reshape(lanes, n).T for a, v in ((previous, start), (symbols, 0), (new, True), (np.ones(len(symbols), np.float32), 0)))
-    memory = {k: np.full(s, 1e-2 if k != "inputs" else 1e-2, np.float32) for k, s in SHAPES.items()}
+    x, y, z, real = (np.ascontiguousarray(np.concatenate([a, np.full(fill, v, a.dtype)]).reshape(lanes, n).T) for a, v in ((previous, start), (symbols, 0), (new, True), (np.ones(len(symbols), np.float32), 0)))
+    memory = {k: np.full(s, 1e-2, np.float32) for k, s in SHAPES.items()}
     done = 0
     while done < LEAST_UPDATES:
         h = np.zeros((lanes, UNITS), np.float32)
         for t in range(0, n, WINDOW):
-            h = update(w, memory, x[t:t + WINDOW], y[t:t + WINDOW], z[t:t + WINDOW], real[t:t + WINDOW], h)
+            h = update(w, memory, x[t:t + WINDOW], y[t:t + WINDOW], z[t:t + WINDOW], real[t:t + WINDOW], h, rate)
             done += 1
     return w
 
 
 def score_documents(w, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Natural log probability of each symbol; the documents run side by side, the
-    longest first, and each keeps its state until its end."""
+    """Natural log probability of each symbol; documents of about one length run side
+    by side, SIDE at a time, and each keeps its state until its end."""
     out = np.zeros(len(symbols))
     sizes = np.diff(first)
     order = np.argsort(-sizes, kind="stable")
-    begin, sizes = first[:-1][order], sizes[order]
-    live = int((sizes > 0).sum())
-    h = np.zeros((live, UNITS), np.float32)
-    previous = np.full(live, CLASSES * MEMBERS)
-    t, states, places = 0, [], []
-    held = 0
-    while live:
-        at = begin[:live] + t
-        h = step(w, w["inputs"][previous], h)[4]
-        states.append(h), places.append(at)
-        held += live
-        previous = symbols[at]
-        t += 1
-        live = int(np.searchsorted(-sizes, -t, "left")) if t else live
-        if held >= 1 << 16 or len(states) >= 64 * SCORE_WINDOW or not live:
-            where = np.concatenate(places)
-            out[where] = log_probabilities(w, np.concatenate(states), symbols[where])
-            states, places, held = [], [], 0
-        h, previous = h[:live], previous[:live]
+    order = order[sizes[order] > 0]
+    rows = _gates(w["inputs"])
+    state = np.ascontiguousarray(_gates(w["state"]).transpose(1, 0, 2))
+    states, places, held = np.empty((HELD + SIDE, UNITS), np.float32), np.empty(HELD + SIDE, np.int64), 0
+
+    for i in range(0, len(order), SIDE):
+        begin, size = first[order[i:i + SIDE]], sizes[order[i:i + SIDE]]
+        lives = np.searchsorted(-size, -np.arange(size[0]), "left").tolist()  # at step t: documents of more than t symbols
+        h = np.zeros((len(size), UNITS), np.float32)
+        previous = np.full(len(size), CLASSES * MEMBERS)
+        for t, live in enumerate(lives):
+            if held >= HELD:
+                out[places[:held]] = log_probabilities(w, states[:held], symbols[places[:held]])
+                held = 0
+            to = slice(held, held + live)
+            step(state, _read(rows, previous[:live]), h[:live], states[to])
+            h = states[to].copy()
+            np.add(begin[:live], t, out=places[to])
+            previous = symbols[places[to]]
+            held += live
+    out[places[:held]] = log_probabilities(w, states[:held], symbols[places[:held]])
     return out
 
 
@@ -428,10 +485,12 @@ def scores(docs: DataFrame, held_out: Column, block_bytes: int = 14 << 20) -> Da
         for bucket, raw in zip(answers.column("origin").to_pylist(), answers.column("a").to_pylist()):
             count[order[cuts[bucket]:cuts[bucket + 1]]] = np.frombuffer(raw, np.int64)
         c = count[inverse]
-        base = np.log10((c + 0.5) / (known.total + 0.5 * (known.distinct + 1)))
-        symbols, own = known.symbol(h, cls)
+        base = np.log10((count + 0.5) / (known.total + 0.5 * (known.distinct + 1)))[inverse]
+        symbol, own = known.symbol(value, np.zeros(len(value), np.int64))  # different words are looked up once
+        own = own[inverse]
+        symbols = np.where(own, symbol[inverse], known.suffix_symbol[cls])
         log10 = score_documents(w, symbols, first) / np.log(10)
-        log10 += np.where(own, 0.0, np.log10((c + 0.5) / known.class_weight[cls]))
+        log10[~own] += np.log10((c[~own] + 0.5) / known.class_weight[cls[~own]])
         sums = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731 - no document is without tokens
         return pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("held_out"), "n_tokens": np.diff(first), "n_known": sums((c > 0).astype(np.int64)),
                          "train_tokens": np.full(len(first) - 1, known.total), "base_score": sums(base), "score": sums(log10)})

@@ -632,3 +632,50 @@ def test_training_reads_to_the_last_symbol():
     other[-1] = 1999
     b = lm.train_on(w, other, np.array([0, n]))
     assert np.abs(a["word_w"][1999 // lm.MEMBERS] - b["word_w"][1999 // lm.MEMBERS]).max() > 0
+
+
+def test_large_material_is_read_once_in_fewer_steps(monkeypatch):
+    """Each symbol once, in windows of more lanes; small material keeps its lanes."""
+    rng, w = np.random.default_rng(2), {k: v.astype(np.float32) for k, v in small_network(3).items()}
+    for n, lanes, most in ((2_100_003, 128, 1_030), (110_000, 32, 220)):
+        symbols, seen, steps = rng.integers(0, 2048, n), np.zeros(2048), []
+
+        def update(w, memory, x, y, new, real, h, rate):
+            seen[:] += np.bincount(y.ravel(), weights=real.ravel(), minlength=2048)
+            steps.append(y.shape)
+            return h
+
+        monkeypatch.setattr(lm, "update", update)
+        lm.train_on(w, symbols, np.array([0, 700, n]))
+        assert len(steps) <= most and steps[0] == (lm.WINDOW, lanes)
+        assert (seen == np.bincount(symbols, minlength=2048)).all()
+
+
+def test_more_lanes_learn_as_well():
+    """Held-out log probability of a chain of symbols: with the lanes of large material, no worse than with few."""
+    rng = np.random.default_rng(5)
+    follower, jumps = rng.integers(0, 300, 300), rng.random(1_100_000) < 0.3
+    symbols = rng.integers(0, 300, len(jumps))
+    for k in np.flatnonzero(~jumps[1:]) + 1:
+        symbols[k] = follower[symbols[k - 1]]
+    w = {k: np.zeros(s, np.float32) for k, s in lm.SHAPES.items()} | {"inputs": rng.normal(0, 0.3, lm.SHAPES["inputs"]).astype(np.float32), "state": rng.normal(0, 0.1, lm.SHAPES["state"]).astype(np.float32)}
+    train, rest = symbols[:1_060_000], symbols[1_060_000:]
+    ends = lambda x: np.append(np.arange(0, len(x), 500), len(x))
+    found = {}
+    for most in (lm.LANES, lm.MOST_LANES):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lm, "MOST_LANES", most)
+            found[most] = lm.score_documents(lm.train_on(w, train, ends(train)), rest, ends(rest)).mean()
+    assert found[lm.MOST_LANES] > found[lm.LANES] - 0.01 and found[lm.LANES] > -4
+
+
+def test_scores_do_not_depend_on_batches(monkeypatch):
+    rng, w = np.random.default_rng(8), {k: v.astype(np.float32) for k, v in small_network(5).items()}
+    first = np.concatenate([[0], np.cumsum(rng.integers(0, 60, 200))])
+    symbols = rng.integers(0, lm.CLASSES * lm.MEMBERS, first[-1])
+    whole = lm.score_documents(w, symbols, first)
+    for side, held, piece in ((3, 10, 4), (1, 1, 1), (64, 1000, 7)):
+        for k, v in (("SIDE", side), ("HELD", held), ("PIECE", piece)):
+            monkeypatch.setattr(lm, k, v)
+        assert np.abs(lm.score_documents(w, symbols, first) - whole).max() < 1e-4
+    assert len(lm.score_documents(w, symbols[:0], np.zeros(1, int))) == 0 and len(lm.score_documents(w, symbols[:0], np.zeros(3, int))) == 0
