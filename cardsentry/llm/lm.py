@@ -32,10 +32,12 @@ SUFFIXES = 64
 WORDS = CLASSES * MEMBERS - SUFFIXES
 ROUNDS = 3
 LANES, WINDOW = 32, 16
-MOST_LANES = 128
+MOST_LANES = 192
 RATE = 0.05
-LEAST_UPDATES, ENOUGH_UPDATES = 200, 1000
-SIDE, HELD, PIECE = 512, 1 << 15, 1024  # documents scored side by side, states held for a pass of the softmax, places of a piece of it
+LEAST_UPDATES, ENOUGH_UPDATES = 200, 600
+# Sizes of work that stays in the processor's cache: bytes of text, documents scored side by side, the least and most
+# steps whose inputs are read at once and how many they are together, states held for a pass of the softmax, and its pieces.
+TEXT_PIECE, SIDE, STEPS, AT_ONCE, HELD, PIECE = 1 << 17, 512, (16, 256), 1 << 13, 1 << 15, 1024
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # the end's place among word hashes
 MESSAGE = "target long, origin long, kind int, a binary, b binary, c binary"
 _FIELDS = pa.schema([("target", pa.int64()), ("origin", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
@@ -47,7 +49,7 @@ def tokens(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     of each (0 for ends), and the offsets of the texts."""
     data, offsets = utf8(column)
     hashes, classes, counts = [], [], []
-    for i, j in slices(offsets):
+    for i, j in slices(offsets, TEXT_PIECE):
         part = LOWER[data[offsets[i]:offsets[j]]]
         at = offsets[i:j + 1] - offsets[i]
         s, e = word_runs(part, at, SPACED)
@@ -76,6 +78,13 @@ def _by_bucket(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(n + 1))
 
 
+def _of_value(value: np.ndarray, inverse: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """The suffix class of each different hash: all its tokens have the same."""
+    out = np.empty(len(value), np.uint8)
+    out[inverse] = cls
+    return out
+
+
 def corpus_counts(blocks, n: int) -> DataFrame:
     """COUNTS messages (target: block, origin: bucket, a: counts of the hashes that the
     block has in that bucket, in order) and one TOTALS message of each bucket (a: its
@@ -86,10 +95,10 @@ def corpus_counts(blocks, n: int) -> DataFrame:
     def send(key, table):
         h, cls, first = tokens(table.column("text"))
         train = np.repeat(~np.array(table.column("held_out").to_pylist(), bool), np.diff(first))
-        value, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+        value, inverse = np.unique(h, return_inverse=True)
         count = np.bincount(inverse, weights=train, minlength=len(value)).astype(np.int64)
         order, cuts = _by_bucket(value, n)
-        value, count, cls = value[order], count[order], cls[at[order]].astype(np.uint8)
+        value, count, cls = value[order], count[order], _of_value(value, inverse, cls)[order]
         return _message([(k, key[0].as_py(), COUNTS, value[x:y].tobytes(), count[x:y].tobytes(), cls[x:y].tobytes()) for k, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x])
 
     def answer(key, table):
@@ -97,17 +106,18 @@ def corpus_counts(blocks, n: int) -> DataFrame:
         parts = [np.frombuffer(x, np.uint64) for x in table.column("a").to_pylist()]
         count = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("b").to_pylist()])
         cls = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("c").to_pylist()])
-        value, at, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+        value, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+        cls = _of_value(value, inverse, cls)
         total = np.zeros(len(value), np.int64)
         np.add.at(total, inverse, count)
         ends = np.cumsum([len(p) for p in parts])
         out = [(o, key[0].as_py(), COUNTS, total[inverse[e - len(p):e]].tobytes(), None, None) for o, p, e in zip(origin, parts, ends.tolist())]
         seen = total > 0
         word = seen & (value != END)
-        sums = np.concatenate([np.bincount(cls[at][word], weights=total[word], minlength=SUFFIXES), np.bincount(cls[at][word], minlength=SUFFIXES)]).astype(np.int64)
+        sums = np.concatenate([np.bincount(cls[word], weights=total[word], minlength=SUFFIXES), np.bincount(cls[word], minlength=SUFFIXES)]).astype(np.int64)
         top = np.lexsort((value, -total, value != END))[:WORDS]
         top = top[seen[top]]
-        return _message(out + [(-1, key[0].as_py(), TOTALS, value[top].tobytes(), total[top].tobytes(), np.concatenate([sums, cls[at][top].astype(np.int64)]).tobytes())])
+        return _message(out + [(-1, key[0].as_py(), TOTALS, value[top].tobytes(), total[top].tobytes(), np.concatenate([sums, cls[top].astype(np.int64)]).tobytes())])
 
     sent = blocks.applyInArrow(send, MESSAGE)
     return stored(sent.groupBy("target").applyInArrow(answer, MESSAGE), "lm-counts")
@@ -247,8 +257,9 @@ def _chances(x):
 
 def _log_chance(x, at):
     """The log of the softmax over the rows of x (symbols, places), at row ``at`` of each place."""
-    own = x[at, np.arange(len(at))] - x.max(0)
-    return own - np.log(_chances(x)[1])
+    x -= x.max(0)
+    own = x[at, np.arange(len(at))]
+    return own - np.log(np.exp(x, out=x).sum(0))
 
 
 def log_probabilities(w, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
@@ -293,7 +304,7 @@ def gradients(w, x, y, new, real, h):
     d_class *= counts / total
     d_class[cls, place] -= counts
     d_sorted = d_class.T @ w["class_w"].T
-    grad = {"class_w": hs.T @ d_class.T, "class_b": d_class.sum(1), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
+    grad = {"class_w": (d_class @ hs).T, "class_b": d_class.sum(1), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
     cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
     present = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c + 1] > cuts[c]]
     d_word = np.empty((MEMBERS, len(cls)), kind)
@@ -358,7 +369,8 @@ def update(w, memory, x, y, new, real, h, rate: float = 0.05, clip: float = 5.0)
     g, several = d_x[order[at]], times > 1  # reduceat is slow on rows read once
     if several.any():
         begin = np.cumsum(times[several]) - times[several]
-        g[several] = np.add.reduceat(d_x[order[np.repeat(several, times)]], begin, axis=0)
+        pairs = np.result_type(g, np.complex64)  # two numbers are added as one: half the calls
+        g[several] = np.add.reduceat(d_x[order[np.repeat(several, times)]].view(pairs), begin, axis=0).view(g.dtype)
     squares = memory["inputs"][used]
     w["inputs"][used] -= _learn(squares, g, rate, clip)
     memory["inputs"][used] = squares
@@ -396,31 +408,43 @@ def train_on(w, symbols: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]
 
 def score_documents(w, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Natural log probability of each symbol; documents of about one length run side
-    by side, SIDE at a time, and each keeps its state until its end."""
+    by side, SIDE at a time, and each keeps its state until its end.  The inputs of
+    some steps are read at once; what is behind a document's end in them isn't kept."""
     out = np.zeros(len(symbols))
     sizes = np.diff(first)
     order = np.argsort(-sizes, kind="stable")
     order = order[sizes[order] > 0]
     rows = _gates(w["inputs"])
     state = np.ascontiguousarray(_gates(w["state"]).transpose(1, 0, 2))
-    states, places, held = np.empty((HELD + SIDE, UNITS), np.float32), np.empty(HELD + SIDE, np.int64), 0
+    states, places, held = np.empty((HELD + max(SIDE * STEPS[0], AT_ONCE), UNITS), np.float32), [], 0
+
+    def flush():
+        at = np.concatenate(places)
+        inside = np.flatnonzero(at >= 0)
+        out[at[inside]] = log_probabilities(w, states[inside], symbols[at[inside]])
 
     for i in range(0, len(order), SIDE):
         begin, size = first[order[i:i + SIDE]], sizes[order[i:i + SIDE]]
-        lives = np.searchsorted(-size, -np.arange(size[0]), "left").tolist()  # at step t: documents of more than t symbols
-        h = np.zeros((len(size), UNITS), np.float32)
-        previous = np.full(len(size), CLASSES * MEMBERS)
-        for t, live in enumerate(lives):
+        h, t, last = np.zeros((len(size), UNITS), np.float32), 0, int(size[0])
+        while t < last:
+            live = int(np.searchsorted(-size, -t, "left"))  # documents of more than t symbols
+            steps = min(last - t, max(STEPS[0], min(STEPS[1], AT_ONCE // live)))
+            step_of = np.arange(t, t + steps)[:, None]
+            at = np.where(step_of < size[:live], begin[:live] + step_of, -1)
+            x = _read(rows, np.where(step_of > 0, symbols[at - 1], CLASSES * MEMBERS))
+            to = states[held:held + steps * live].reshape(steps, live, UNITS)
+            h = h[:live]
+            for k in range(steps):
+                step(state, x[k], h, to[k])
+                h = to[k]
+            h = h.copy()
+            places.append(at.ravel())
+            held, t = held + steps * live, t + steps
             if held >= HELD:
-                out[places[:held]] = log_probabilities(w, states[:held], symbols[places[:held]])
-                held = 0
-            to = slice(held, held + live)
-            step(state, _read(rows, previous[:live]), h[:live], states[to])
-            h = states[to].copy()
-            np.add(begin[:live], t, out=places[to])
-            previous = symbols[places[to]]
-            held += live
-    out[places[:held]] = log_probabilities(w, states[:held], symbols[places[:held]])
+                flush()
+                places, held = [], 0
+    if held:
+        flush()
     return out
 
 

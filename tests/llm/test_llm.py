@@ -637,7 +637,7 @@ def test_training_reads_to_the_last_symbol():
 def test_large_material_is_read_once_in_fewer_steps(monkeypatch):
     """Each symbol once, in windows of more lanes; small material keeps its lanes."""
     rng, w = np.random.default_rng(2), {k: v.astype(np.float32) for k, v in small_network(3).items()}
-    for n, lanes, most in ((2_100_003, 128, 1_030), (110_000, 32, 220)):
+    for n, lanes, most in ((2_100_003, lm.MOST_LANES, 1_030), (110_000, 32, 220)):
         symbols, seen, steps = rng.integers(0, 2048, n), np.zeros(2048), []
 
         def update(w, memory, x, y, new, real, h, rate):
@@ -674,8 +674,8 @@ def test_scores_do_not_depend_on_batches(monkeypatch):
     first = np.concatenate([[0], np.cumsum(rng.integers(0, 60, 200))])
     symbols = rng.integers(0, lm.CLASSES * lm.MEMBERS, first[-1])
     whole = lm.score_documents(w, symbols, first)
-    for side, held, piece in ((3, 10, 4), (1, 1, 1), (64, 1000, 7)):
-        for k, v in (("SIDE", side), ("HELD", held), ("PIECE", piece)):
+    for side, held, piece, steps, at_once in ((3, 10, 4, (2, 5), 8), (1, 1, 1, (1, 1), 1), (64, 1000, 7, (16, 256), 1 << 13)):
+        for k, v in (("SIDE", side), ("HELD", held), ("PIECE", piece), ("STEPS", steps), ("AT_ONCE", at_once), ("TEXT_PIECE", held)):
             monkeypatch.setattr(lm, k, v)
         assert np.abs(lm.score_documents(w, symbols, first) - whole).max() < 1e-4
     assert len(lm.score_documents(w, symbols[:0], np.zeros(1, int))) == 0 and len(lm.score_documents(w, symbols[:0], np.zeros(3, int))) == 0
