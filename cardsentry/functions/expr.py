@@ -44,6 +44,18 @@ def rounded_mean(value: Column, in_scale: int, out_scale: int) -> Column:
     return F.when(n > 0, q.cast("double") / float(10 ** out_scale))
 
 
+#: Rows up to which a join's stored side is broadcast.
+BUILD_ROWS = 100_000
+
+
+def build_side(df):
+    """The right side of a join with a stored table: broadcast if it has at most
+    ``BUILD_ROWS`` rows, else sorted and merged.  Left to itself, the planner goes by the
+    size of the compressed files, where a narrow row may take a byte, and builds a table
+    of millions of rows on the driver.  Rows of stored tables are counted from footers."""
+    return F.broadcast(df) if df.count() <= BUILD_ROWS else df.hint("merge")
+
+
 def broadcast_if_small(df, max_rows: int = 1_000_000):
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows;
     beyond that it is returned as is and the planner shuffles (AQE may still

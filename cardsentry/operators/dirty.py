@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.expr import build_side
 from .features import AMOUNT_ROWS, VELOCITY_SECONDS
 
 DAY_SECONDS = 86_400
@@ -55,12 +56,12 @@ def touched_counts(counts: DataFrame, marks: DataFrame) -> DataFrame:
     cards = marks.groupBy("card_id").agg(F.min(F.coalesce("day", F.lit("0001-01-01").cast("date"))).alias("first"))
     earliest, oldest = marks.agg(F.min("day")).first()[0], counts.agg(F.min("day")).first()[0]
     undated = marks.where("day is null").limit(1).count() > 0
-    span = LOOK_BACK_DAYS
+    span, side = LOOK_BACK_DAYS, build_side(cards)
     while True:
         part = counts
         if earliest is not None and not undated:
             part = counts.where(F.col("day").isNull() | (F.col("day") >= F.date_sub(F.lit(earliest), span)))
-        mine = part.alias("c").join(cards.alias("m"), same("c", "m", "card_id")).select("c.*", "m.first")
+        mine = part.alias("c").join(side.alias("m"), same("c", "m", "card_id")).select("c.*", "m.first")
         if undated or earliest is None or oldest is None or (earliest - oldest).days <= span:
             return mine.drop("first")
         # cards that the part doesn't show to have enough rows before their first change

@@ -26,7 +26,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.expr import MONEY, count_if, ratio
+from ..functions.expr import MONEY, build_side, count_if, ratio
 from ..operators import dirty, features as feat, gold, incremental, quality, scd2, staging
 from ..session import ensure_utc, scratch_path
 from ..sources import files
@@ -132,7 +132,7 @@ def arrivals(spark: SparkSession, wh: Warehouse, topic: str) -> tuple[DataFrame,
 
 def unchanged(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` that differ from ``old`` in some column, or aren't there."""
-    return new.alias("n").join(old.alias("o"), dirty.same("n", "o", *new.columns) & (F.col(f"n.{key}") == F.col(f"o.{key}")), "left_anti")
+    return new.alias("n").join(old.hint("merge").alias("o"), dirty.same("n", "o", *new.columns) & (F.col(f"n.{key}") == F.col(f"o.{key}")), "left_anti")
 
 
 def repeated(rows: DataFrame, key: str) -> DataFrame | None:
@@ -146,15 +146,16 @@ def single_rows(rows: DataFrame, key: str, twice: DataFrame | None, date: str =
     order in which a table's columns are read (the date comes last)."""
     if twice is None:
         return rows
-    several = rows.join(twice, key, "left_semi").select(*[c for c in rows.columns if c != date], date)
-    return rows.join(twice, key, "left_anti").select(*rows.columns).unionByName(staging.dedup_latest(several, key, []))
+    side = build_side(twice)
+    several = rows.join(side, key, "left_semi").select(*[c for c in rows.columns if c != date], date)
+    return rows.join(side, key, "left_anti").select(*rows.columns).unionByName(staging.dedup_latest(several, key, []))
 
 
 def found_at(table: KeyedTable, before: int, ids: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Where the rows with these ids are filed: a scan of ``columns`` only, between the smallest and the greatest id."""
     lo, hi = ids.agg(F.min(key), F.max(key)).first()
     rows = table.read(before).select(key, *columns)
-    return kept(rows.where(F.col(key).between(lo, hi)).join(ids, key, "left_semi"), "found")
+    return kept(rows.where(F.col(key).between(lo, hi)).join(build_side(ids), key, "left_semi"), "found")
 
 
 def dates_of(rows: DataFrame, column: str = "event_date") -> list:
@@ -193,21 +194,22 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
     auth = auth.withColumn("auth_date", F.to_date("auth_ts"))
 
     # where the transactions that arrive again, or are referred to, are filed
-    old_cb = wh.chargebacks.read(before).join(cb.select("chargeback_id"), "chargeback_id", "left_semi") if not first else cb.limit(0)
+    old_cb = wh.chargebacks.read(before).join(build_side(cb.select("chargeback_id")), "chargeback_id", "left_semi") if not first else cb.limit(0)
     disputed = kept(cb.select("transaction_id").unionByName(old_cb.select("transaction_id")).where("transaction_id is not null").distinct(), "disputed")
     ids = txn.select("transaction_id").unionByName(auth.select("transaction_id")).unionByName(disputed).where("transaction_id is not null").distinct()
     place = ["card_id", "event_ts", "event_date"]
     known = found_at(wh.transactions, before, kept(ids, "ids"), "transaction_id", place) if not first else txn.limit(0).select("transaction_id", *place)
+    txn_ids = build_side(txn.select("transaction_id"))
     if first:
         changed, left = txn, None
     else:
-        old = on_dates(wh.transactions.read(before), dates_of(known.join(txn.select("transaction_id"), "transaction_id", "left_semi")))
+        old = on_dates(wh.transactions.read(before), dates_of(known.join(txn_ids, "transaction_id", "left_semi")))
         changed = kept(unchanged(txn, old.select(*txn.columns), "transaction_id"), "changed")
-        left = kept(known.join(changed.select("transaction_id"), "transaction_id", "left_semi"), "left")
+        left = kept(known.join(build_side(changed.select("transaction_id")), "transaction_id", "left_semi"), "left")
     # the table gets one row of a key; card counts count what came, repeated rows too
     own = single_rows(changed, "transaction_id", repeated(changed, "transaction_id"))
 
-    waiting = auth.join(known.select("transaction_id"), "transaction_id", "left_anti").join(txn.select("transaction_id"), "transaction_id", "left_anti")
+    waiting = auth.join(build_side(known.select("transaction_id")), "transaction_id", "left_anti").join(txn_ids, "transaction_id", "left_anti")
     with_id = changed.where("transaction_id is not null")
     at_once([partial(wh.transactions.append, own, batch, replaces=left), partial(wh.auth_events.append, auth, batch), partial(wh.chargebacks.append, cb, batch),
              partial(wh.auth_waiting.append, waiting, batch), lambda: wh.counts.append(dirty.count_changes(with_id, left), batch)])
@@ -221,17 +223,18 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
         marks = kept(dirty.markers(places), "marks")
         counts = kept(dirty.touched_counts(wh.card_days(), marks), "counts")
         days = kept(dirty.needed_days(counts, marks), "days")
-        folders = dates_of(counts.alias("c").join(days.alias("d"), dirty.same("c", "d", "card_id", "day"), "left_semi"))
+        wanted = build_side(days)
+        folders = dates_of(counts.alias("c").join(wanted.alias("d"), dirty.same("c", "d", "card_id", "day"), "left_semi"))
         pruned = on_dates(silver, folders).withColumn("day", F.to_date("event_ts"))
-        history = kept(pruned.alias("t").join(days.alias("d"), dirty.same("t", "d", "card_id", "day")).select("t.*", "d.dirty"), "history")
+        history = kept(pruned.alias("t").join(wanted.alias("d"), dirty.same("t", "d", "card_id", "day")).select("t.*", "d.dirty"), "history")
         rows = feat.compute_features(history, cards, merchants, hot_card_rows=hot_card_rows, keep=("dirty",)).where("dirty").drop("dirty")
 
     # outcomes: what has just come, else what the fact row had, else what waited for the transaction
     rows = kept(rows, "features")
     if not first:
-        said = known.join(auth.select("transaction_id").unionByName(disputed).distinct(), "transaction_id", "left_semi")
-        only = on_dates(wh.fact.read(before), dates_of(said)).join(said.select("transaction_id"), "transaction_id", "left_semi")
-        only = only.join(rows.select("transaction_id"), "transaction_id", "left_anti").select(*feat.OUTPUT_COLS)
+        said = kept(known.join(build_side(auth.select("transaction_id").unionByName(disputed)), "transaction_id", "left_semi"), "said")
+        only = on_dates(wh.fact.read(before), dates_of(said)).join(build_side(said.select("transaction_id")), "transaction_id", "left_semi")
+        only = only.join(build_side(rows.select("transaction_id")), "transaction_id", "left_anti").select(*feat.OUTPUT_COLS)
         rows = rows.unionByName(kept(only, "only"))
         where = dates_of(rows.select("event_date").unionByName(left.select("event_date")))
         was = on_dates(wh.fact.read(before), where).select("transaction_id", "is_approved", "decline_reason", F.lit(1).alias("rank"))
@@ -239,14 +242,15 @@ def update_fact(wh: Warehouse, batch: int, new: dict[str, DataFrame], cards: Dat
         was = auth.limit(0).select("transaction_id", "is_approved", "decline_reason", F.lit(1).alias("rank"))
     answer = ["transaction_id", "is_approved", "decline_reason"]
     told = auth.select(*answer, F.lit(2).alias("rank")).unionByName(was).unionByName(wh.auth_waiting.read(before).select(*answer, F.lit(0).alias("rank")) if not first else was.limit(0))
-    told = staging.dedup_latest(told.join(rows.select("transaction_id"), "transaction_id", "left_semi"), "transaction_id", "rank").drop("rank")
-    claims = wh.chargebacks.read(batch).join(rows.select("transaction_id"), "transaction_id", "left_semi")
-    fact = gold.fct_transactions(rows, told, claims)
+    row_ids = build_side(rows.select("transaction_id"))
+    told = staging.dedup_latest(told.join(row_ids, "transaction_id", "left_semi"), "transaction_id", "rank").drop("rank")
+    claims = wh.chargebacks.read(batch).join(row_ids, "transaction_id", "left_semi")
+    fact = gold.fct_transactions(rows, told.hint("merge"), claims.hint("merge"))
     # a fact row of a transaction that was there before may replace one; repeated dimension keys repeat rows
     replaces = None
     if left is not None:
-        added = with_id.select("transaction_id").join(left.select("transaction_id"), "transaction_id", "left_anti")
-        replaces = rows.select("transaction_id").distinct().join(added, "transaction_id", "left_anti")
+        added = kept(with_id.select("transaction_id").join(build_side(left.select("transaction_id")), "transaction_id", "left_anti"), "added")
+        replaces = rows.select("transaction_id").distinct().join(build_side(added), "transaction_id", "left_anti")
     wh.fact.append(single_rows(fact, "transaction_id", repeated(rows, "transaction_id")), batch, replaces=replaces)
     touched = wh.fact.since(batch).select("event_date")
     return dates_of(touched if left is None else touched.unionByName(left.select("event_date")))

@@ -34,6 +34,7 @@ from urllib.parse import quote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..functions.expr import build_side
 from ..operators.staging import dedup_latest
 from . import files
 
@@ -147,7 +148,7 @@ class KeyedTable:
                 return rows
             last = max(labels)
             newer = [F.col(f"n.{k}") == F.col(f"r.{k}") for k in self.key] + [F.col(f"n.{LABEL}") > F.col(f"r.{LABEL}")]
-            n = self._replacing(rows, labels - {min(labels)}).alias("n")
+            n = build_side(self._replacing(rows, labels - {min(labels)})).alias("n")
             old = rows.where(F.col(LABEL) < last).alias("r").join(n, reduce(lambda a, b: a & b, newer), "left_anti")
             return old.unionByName(rows.where(F.col(LABEL) == last))
         if not self.many:
@@ -188,7 +189,7 @@ class KeyedTable:
 
     def _merged(self, rows: DataFrame, base: DataFrame, later: DataFrame, labels: set[int]) -> DataFrame:
         """The compacted rows that no later one replaces, and the newest of those."""
-        keys = (self._replacing(later, labels) if self.single else later).select(*self.key)
+        keys = build_side(self._replacing(later, labels).select(*self.key)) if self.single else later.select(*self.key)
         return base.join(keys, self.key, "left_anti").select(*rows.columns).unionByName(self._newest(later, labels).select(*rows.columns))
 
     def since(self, batch: int) -> DataFrame:
@@ -225,7 +226,7 @@ class KeyedTable:
         labels = {label for _, label in folders if mark < label <= upto}
         if mark >= 0:
             self._forget_noted(lambda label: label <= mark)
-            keys = (self._replacing(later, labels) if self.single else later).select(*self.key)
+            keys = build_side(self._replacing(later, labels).select(*self.key)) if self.single else later.select(*self.key)
             dates |= {r[0] for r in base.join(keys, self.key, "left_semi").select(self.date).distinct().collect()}
             now = self._merged(rows, base, later, labels)
         else:

@@ -2,13 +2,16 @@
 redelivered and moved rows, and what a run reads."""
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from cardsentry.functions import expr
 from cardsentry.operators import dirty, features as feat, gold, staging
 from cardsentry.plans import daily
 from cardsentry.plans.context import Pipeline
+from cardsentry.sources import keyed
 
 SF = "/root/testdata/sf0.001"
 
@@ -162,3 +165,27 @@ def test_repeated_rows_of_a_batch_count_once(spark, tmp):
         files_ = spark.read.parquet(table.root).where(F.col("transaction_id").isNotNull())
         assert files_.groupBy("transaction_id", "_label").count().where("count > 1").isEmpty()
         assert "SortAggregate" not in table.read()._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("bound", [2, 100_000])
+def test_tables_are_broadcast_by_their_rows(spark, tmp, monkeypatch, bound):
+    """However small its files, a table of more rows than the bound isn't built on the driver
+    by any join of a run; one of few rows is broadcast.  The fact is the same."""
+    monkeypatch.setattr(expr, "BUILD_ROWS", bound, raising=False)
+    txn, auth, cb, cards, merchants = (daily.kept(x, "test") for x in staged(spark))
+    late, cut = F.col("transaction_id") % 37 == 0, F.lit("2024-01-20").cast("timestamp")
+    again = txn.where("transaction_id % 101 = 5 and event_ts < '2024-01-20'").withColumn("amount_usd", F.col("amount_usd") + 1)
+    batches = [(txn.where((F.col("event_ts") < cut) & ~late), auth.where(F.col("auth_ts") < cut), cb.limit(0)),
+               (txn.where((F.col("event_ts") >= cut) | late).unionByName(again), auth.where(F.col("auth_ts") >= cut), cb)]
+    plans, wh = [], daily.Warehouse(spark, f"{tmp}/wh")
+    for module, name in ((daily, "kept"), (keyed, "overwrite_partitions")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, *a, real=real: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(df, *a))[1])
+    for batch, new in enumerate(batches):
+        daily.update_fact(wh, batch, dict(zip(("transactions", "auth_events", "chargebacks"), new)), cards, merchants)
+    wh.compact()
+    keys = [x for plan in plans for x in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)]
+    built = [x for x in keys if x.startswith(("transaction_id", "chargeback_id", "coalesce(card_id"))]
+    assert bool(built) == (bound > 2), built
+    best = staging.dedup_latest(txn.withColumn("_n", F.lit(0)).unionByName(again.withColumn("_n", F.lit(1))), "transaction_id", "_n").drop("_n")
+    assert rows(wh.fact.read()) == rows(rebuild(best, auth, cb, cards, merchants))
